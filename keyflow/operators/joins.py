@@ -9,6 +9,8 @@ skew-join split for hot keys).
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +21,31 @@ _BROADCASTABLE = {"inner", "left", "left_outer", "left_semi", "leftsemi",
                   "left_anti", "leftanti"}
 
 
+# proofs already made in this session: (plan hash, input files, bound) -> result
+_PROOFS: OrderedDict[tuple, bool] = OrderedDict()
+_PROOF_CACHE_SIZE = 512
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds no more than ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` holds no more than ``max_rows`` rows (reads at most max_rows+1).
+
+    The answer is remembered per (analyzed plan, input file list): any
+    rewrite of an input produces new file names, so a changed table is
+    checked again, while repeated queries over the same tables skip the job.
+    """
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a stable hash: always check
+        key = None
+    if key is not None and key in _PROOFS:
+        _PROOFS.move_to_end(key)
+        return _PROOFS[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROOFS[key] = ok
+        if len(_PROOFS) > _PROOF_CACHE_SIZE:
+            _PROOFS.popitem(last=False)
+    return ok
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from keyflow.operators.aggregates import group_count
-from keyflow.operators.joins import anti_join, dim_join
+from keyflow.operators.joins import anti_join, dim_join, has_at_most
 
 
 class ParquetTable:
@@ -83,11 +83,17 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
     return anti_join(batch, target.select(key), key)
 
 
+def key_join(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
+             how: str) -> DataFrame:
+    """Fact-dimension join on FK = PK; a shared key name joins USING it."""
+    on = fact_fk if fact_fk == dim_pk else F.col(fact_fk) == F.col(dim_pk)
+    return dim_join(fact, dim, on, how)
+
+
 def flat_rows(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
               columns: Sequence) -> DataFrame:
     """The flat layout: fact left join dimension, dimension code inlined."""
-    joined = dim_join(fact, dim, F.col(fact_fk) == F.col(dim_pk), "left")
-    return joined.select(*columns)
+    return key_join(fact, dim, fact_fk, dim_pk, "left").select(*columns)
 
 
 def flat_refresh(flat: DataFrame, fact: DataFrame, dim: DataFrame, fact_fk: str,
@@ -144,28 +150,47 @@ class KeyedUpsertTable:
 def rollup(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
            label_col: str, label: str = "label", alias: str = "cnt") -> DataFrame:
     """``SELECT label, COUNT(*) FROM fact JOIN dim GROUP BY label`` (A4, K9 body)."""
-    joined = dim_join(fact.select(fact_fk), dim.select(dim_pk, label_col),
-                      F.col(fact_fk) == F.col(dim_pk), "inner")
+    joined = key_join(fact.select(fact_fk), dim.select(dim_pk, label_col),
+                      fact_fk, dim_pk, "inner")
     return group_count(joined, label_col, alias, label)
 
 
 class RollupTable:
-    """Materialized rollup: a stored snapshot, refreshed in full on demand."""
+    """Materialized rollup: a stored snapshot, refreshed in full on demand.
+
+    ``refresh`` writes the snapshot and keeps it cached in executor memory,
+    so reads touch neither storage nor the fact table. A rollup proven to
+    have at most ``small_rows`` rows is ordered inside one partition (no
+    range-partitioning pass); a larger one gets a distributed sort.
+    """
 
     def __init__(self, spark: SparkSession, path: str, label: str = "label",
-                 alias: str = "cnt"):
+                 alias: str = "cnt", small_rows: int = 100_000):
         self.table = ParquetTable(spark, path)
         self.label = label
         self.alias = alias
+        self.small_rows = small_rows
+        self._snapshot: DataFrame | None = None
+        self._small = False
 
     def refresh(self, rollup_df: DataFrame) -> None:
-        # the rollup is tiny (one row per label): one output file
-        self.table.overwrite(rollup_df.coalesce(1))
+        self.table.overwrite(rollup_df)
+        if self._snapshot is not None:
+            self._snapshot.unpersist()
+        snap = self.table.read().persist()
+        self._small = has_at_most(snap, self.small_rows)  # also fills the cache
+        self._snapshot = snap
+
+    def snapshot(self) -> DataFrame:
+        return self._snapshot if self._snapshot is not None else self.table.read()
 
     def read(self) -> DataFrame:
         """``SELECT * FROM mv ORDER BY cnt DESC`` (ties by label)."""
-        return self.table.read().orderBy(F.col(self.alias).desc(),
-                                         F.col(self.label).asc_nulls_last())
+        order = [F.col(self.alias).desc(), F.col(self.label).asc_nulls_last()]
+        snap = self.snapshot()
+        if self._small:
+            return snap.coalesce(1).sortWithinPartitions(*order)
+        return snap.orderBy(*order)
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "dup") -> DataFrame:

@@ -232,7 +232,7 @@ def _rollup_table(spark, sf) -> tables.RollupTable:
 
 def mv_build(spark, sf):
     """K9: build the rollup snapshot."""
-    return _rollup_table(spark, sf).table.read()
+    return _rollup_table(spark, sf).snapshot()
 
 
 def mv_read(spark, sf):
@@ -242,7 +242,7 @@ def mv_read(spark, sf):
 
 def mv_unique_check(spark, sf):
     """The rollup's label is unique (0 duplicated labels)."""
-    return tables.duplicate_keys(_rollup_table(spark, sf).table.read(), "label")
+    return tables.duplicate_keys(_rollup_table(spark, sf).snapshot(), "label")
 
 
 # ---------------------------------------------------------------- outbox
