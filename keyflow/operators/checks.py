@@ -94,8 +94,8 @@ def loss_audit(produced: DataFrame, consumed: DataFrame, key: str) -> DataFrame:
     return per_key.agg(
         F.count_if(F.col("c") == 0).alias("missing"),
         F.count_if(F.col("p") == 0).alias("extra"),
-        F.coalesce(F.sum(F.greatest(F.col("c") - F.col("p"), F.lit(0))), F.lit(0))
-         .cast("long").alias("duplicated"),
+        F.coalesce(F.sum(F.greatest(F.col("c") - F.greatest(F.col("p"), F.lit(1)), F.lit(0))),
+                   F.lit(0)).cast("long").alias("duplicated"),
     )
 
 

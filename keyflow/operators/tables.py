@@ -130,6 +130,9 @@ class KeyedUpsertTable:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(self.EPOCH).parquet(self.path))
 
+    def exists(self) -> bool:
+        return ParquetTable(self.spark, self.path).exists()
+
     def versions(self) -> DataFrame:
         """Every written version of every key, with its epoch."""
         return self.spark.read.parquet(self.path)
