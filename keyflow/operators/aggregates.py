@@ -7,13 +7,18 @@ is combined map-side, so skew costs one row per task, not one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyflow.operators.joins import dim_join
+
 # Spark's default; rank error is n/accuracy and the sketch is O(accuracy) per group
 DEFAULT_ACCURACY = 10_000
+# a GK sketch of this accuracy keeps every value of a group with fewer than
+# EXACT_SKETCH / 2 values (no rank slack, no compression), so it is exact there
+EXACT_SKETCH = 1_000_000
 
 
 def count_all(df: DataFrame, alias: str = "cnt") -> DataFrame:
@@ -39,22 +44,123 @@ def group_count(df: DataFrame, key: str | Column, alias: str = "cnt",
             .orderBy(F.col(alias).desc(), F.col(name).asc_nulls_last()))
 
 
+def _keys_equal(keys: Sequence[str], renamed: Sequence[str]) -> Column | None:
+    """Null-safe equality of ``keys`` with their renamed copies (NULL is a group)."""
+    cond = None
+    for k, r in zip(keys, renamed):
+        c = F.col(k).eqNullSafe(F.col(r))
+        cond = c if cond is None else (cond & c)
+    return cond
+
+
+def exact_percentiles(df: DataFrame, value_col: str, percentiles: Mapping[str, float],
+                      group_cols: Sequence[str] = (),
+                      num_partitions: int | None = None) -> DataFrame:
+    """Exact discrete percentiles: per group, the value at 1-based rank
+    ``ceil(p * n)`` among the non-null values (SQL ``percentile_disc``).
+
+    Distributed without collecting a group anywhere: values are range
+    partitioned by ``(group, value)`` and sorted inside each task, so a group
+    holding a third of all rows is spread over many tasks by value range.
+    Each task's run of a group is a block; a small aggregate over blocks
+    (tasks x groups rows) gives every block's starting rank, and the wanted
+    ranks are picked from the blocks that hold them. The sorted values and
+    the small rank table are written below the checkpoint folder, which cuts
+    the lineage: every later pass reads stored rows, none recomputes the sort.
+    """
+    from keyflow.session import scratch_dir
+
+    if not group_cols:
+        one = df.withColumn("__all", F.lit(0))
+        return exact_percentiles(one, value_col, percentiles, ["__all"], num_partitions) \
+            .drop("__all")
+    keys = list(group_cols)
+    spark = df.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # ``__t`` breaks ties so that one value held by a third of all rows is
+    # still split over several tasks; equal values are interchangeable
+    vals = (df.select(*keys, F.col(value_col).alias("__v")).filter(F.col("__v").isNotNull())
+              .withColumn("__t", F.xxhash64(F.monotonically_increasing_id())))
+    sorted_path = scratch_dir(spark, "percentile_sorted")
+    (vals.repartitionByRange(parts, *keys, "__v", "__t")
+         .sortWithinPartitions(*keys, "__v", "__t")
+         .withColumn("__pid", F.spark_partition_id())
+         .withColumn("__mid", F.monotonically_increasing_id())
+         .write.parquet(sorted_path))
+    ordered = spark.read.parquet(sorted_path)
+    blocks = ordered.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__bn"),
+                                                  F.min("__mid").alias("__b0"))
+    before = Window.partitionBy(*keys).orderBy("__pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__bn").over(before), F.lit(0)))
+    blocks = blocks.withColumn("__n", F.sum("__bn").over(Window.partitionBy(*keys)))
+    n = F.col("__n")
+    ranks = [F.struct(F.lit(name).alias("__name"),
+                      F.greatest(F.lit(1), n - F.floor(n - F.lit(p) * n)).cast("long").alias("__rank"))
+             for name, p in percentiles.items()]
+    located = (blocks.select("*", F.explode(F.array(*ranks)).alias("__w")).select("*", "__w.*")
+               .filter((F.col("__rank") > F.col("__before"))
+                       & (F.col("__rank") <= F.col("__before") + F.col("__bn")))
+               .select("__name", "__pid",
+                       (F.col("__b0") + F.col("__rank") - F.col("__before") - 1).alias("__mid")))
+    located_path = scratch_dir(spark, "percentile_ranks")
+    located.write.parquet(located_path)
+    picked = dim_join(ordered, spark.read.parquet(located_path), ["__pid", "__mid"], "inner")
+    aggs = [F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in percentiles]
+    return picked.groupBy(*keys).agg(*aggs)
+
+
 def latency_stats(df: DataFrame, latency_col: str = "latency_ms",
-                  group_cols: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                  group_cols: Sequence[str] = (), accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Row count, measured count, p50, p95 and max of latency.
 
     Null latencies are counted in ``n`` but skipped by the other aggregates,
-    so no separate filter pass is needed.
+    so no separate filter pass is needed. With ``accuracy`` the percentiles
+    come from ``percentile_approx`` in the same single aggregate (rank error
+    n/accuracy; exact while a group has fewer values than ``accuracy``, which
+    holds for a micro-batch bounded by the source's admission control). With
+    ``accuracy=None`` they are exact at any size: a sketch that provably keeps
+    every value when the largest group is small enough, else
+    ``exact_percentiles``. The stats of the fast path are small (one row per
+    group) and are recomputed from the stored values if read again.
     """
     lat = F.col(latency_col)
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.count(lat).alias("measured"),
-        F.percentile_approx(lat, 0.5, accuracy).alias("p50"),
-        F.percentile_approx(lat, 0.95, accuracy).alias("p95"),
-        F.max(lat).alias("p_max"),
-    ]
-    return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
+    base = [F.count(F.lit(1)).alias("n"), F.count(lat).alias("measured")]
+    if accuracy is not None:
+        aggs = base + [
+            F.percentile_approx(lat, 0.5, accuracy).alias("p50"),
+            F.percentile_approx(lat, 0.95, accuracy).alias("p95"),
+            F.max(lat).alias("p_max"),
+        ]
+        return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
+    from keyflow.session import scratch_dir
+
+    keys = list(group_cols)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "latency_values")
+    # the input is computed once and stored: every pass below reads stored rows
+    df.select(*keys, lat.alias("__lat")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    # fast path: one aggregate whose sketch provably holds every value
+    stats = latency_stats(stored, "__lat", keys, EXACT_SKETCH)
+    biggest = stats.agg(F.max("measured")).first()[0] or 0
+    if 2 * biggest < EXACT_SKETCH:
+        return stats
+    # a group too large for an exact sketch: sort-based exact percentiles
+    if not keys:
+        stored = stored.withColumn("__all", F.lit(0))
+        keys = ["__all"]
+    main = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                     F.count("__lat").alias("measured"),
+                                     F.max("__lat").alias("p_max"))
+    pct = exact_percentiles(stored, "__lat", {"p50": 0.5, "p95": 0.95}, keys)
+    pk = [f"__pk{i}" for i in range(len(keys))]
+    pct = pct.select(*[F.col(k).alias(r) for k, r in zip(keys, pk)], "p50", "p95")
+    # one row per group on each side: a shuffle join, turned into a
+    # broadcast by AQE from the measured size when small
+    out = main.join(pct, _keys_equal(keys, pk), "left")
+    out = out.select(*keys, "n", "measured", "p50", "p95", "p_max")
+    return out.drop("__all") if "__all" in keys else out
 
 
 def delivery_counters(log: DataFrame, failures_col: str = "failures",

@@ -72,8 +72,14 @@ def parse_messages(frame: DataFrame, schema: StructType, key_field: str = "id",
     and are dropped. An empty-string key is kept (the validity split rejects
     it later). ``keep`` carries frame columns (e.g. partition, offset) along.
     """
-    parsed = frame.select(*keep, F.from_json(F.col("value").cast("string"), schema).alias("data"))
-    return parsed.select(*keep, "data.*").filter(F.col(key_field).isNotNull())
+    # ``inline`` of a one-element array flattens the parsed struct in a
+    # Generate node: the payload is parsed once per row, and the key filter
+    # (on the generator's output) cannot be pushed below it, where it would
+    # re-parse each payload and pull the parse in front of an earlier
+    # repartition. A plain ``data.*`` projection parses once per field.
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    rows = frame.select(*keep, F.inline(F.array(parsed)))
+    return rows.filter(F.col(key_field).isNotNull())
 
 
 def enrich(df: DataFrame, batch_start_ms: int, processed_at: str | None = None,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from keyflow.functions.scalars import epoch_ms
 from keyflow.operators.messages import to_message
+from keyflow.operators.partitioning import ensure_parallel
 
 # the fixed processing clock of the oracle-checked queries (2024-02-01T00:00:00Z)
 BATCH_START_MS = 1706745600000
@@ -50,7 +51,7 @@ def event_frame(events: DataFrame, drop_ts_when: Column | None = None) -> DataFr
     The key is the user, the partition ``user_id mod 6`` and the offset the
     event sequence.
     """
-    recs = event_records(events, drop_ts_when)
+    recs = event_records(ensure_parallel(events), drop_ts_when)
     return to_message(recs, "username", RECORD_FIELDS, keep=["partition", "offset"])
 
 

@@ -33,9 +33,6 @@ from keyflow.streaming.job import BatchProcessor, build_stream, run_available_no
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# percentile sketch accuracy for the oracle-checked latency queries: exact at
-# these table sizes (see README: memory grows with accuracy per group)
-EXACT_ACCURACY = 1_000_000
 CLAIM_SIZE = 500
 PAGE_SIZE = 10  # results per API payload page
 LOOKUP_KEY = 1000
@@ -323,7 +320,7 @@ def latency_stats(spark, sf):
     frame = event_frame(_t(spark, sf, "events"), drop_ts_when=F.col("event_id") % 7 == 0)
     parsed = messages.parse_messages(frame, EVENT_MESSAGE)
     enriched = messages.enrich(parsed, BATCH_START_MS)
-    return agg.latency_stats(enriched, "latency_ms", ["event_type"], EXACT_ACCURACY)
+    return agg.latency_stats(enriched, "latency_ms", ["event_type"], accuracy=None)
 
 
 def key_partition_check(spark, sf):

@@ -118,3 +118,41 @@ def test_api_flatten_number_and_text_fields(spark):
     assert sorted(r.post_code for r in out) == ["1234", "AB-1"]
     assert out[0].username == "ana1" and out[0].event_ts_ms == 5
     assert out[0].id != out[1].id
+
+
+@pytest.mark.parametrize("groups", [[], ["g"]])
+def test_exact_percentiles_match_brute_force(spark, groups):
+    import math
+
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), float(rnd.choice([rnd.randint(0, 50), 7])))
+            for _ in range(400)] + [("b", None), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = agg.exact_percentiles(df, "v", {"p10": 0.1, "p50": 0.5, "p95": 0.95, "p100": 1.0},
+                                groups, num_partitions=5).collect()
+    def want(vals):
+        vals = sorted(v for v in vals if v is not None)
+        return {name: vals[max(1, math.ceil(p * len(vals))) - 1]
+                for name, p in (("p10", 0.1), ("p50", 0.5), ("p95", 0.95), ("p100", 1.0))}
+    if groups:
+        expect = {}
+        for g in {r[0] for r in rows}:
+            vals = [v for gg, v in rows if gg == g and v is not None]
+            if vals:
+                expect[g] = want(vals)
+        assert {r.g: {k: r[k] for k in ("p10", "p50", "p95", "p100")} for r in got} == expect
+    else:
+        assert {k: got[0][k] for k in ("p10", "p50", "p95", "p100")} == want([v for _, v in rows])
+
+
+def test_latency_stats_exact_paths_agree(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["x", "y"]), float(rnd.randint(0, 1000)) if rnd.random() > 0.1 else None)
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "t string, latency_ms double")
+    fast = sorted(map(tuple, agg.latency_stats(df, group_cols=["t"], accuracy=None).collect()))
+    monkeypatch.setattr(agg, "EXACT_SKETCH", 10)  # force the sort-based path
+    slow = sorted(map(tuple, agg.latency_stats(df, group_cols=["t"], accuracy=None).collect()))
+    assert fast == slow
+    one = agg.latency_stats(df, accuracy=None).first()
+    assert one.n == 3000 and one.measured == sum(1 for _, v in rows if v is not None)
