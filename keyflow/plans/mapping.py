@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from keyflow.functions.scalars import epoch_ms
 from keyflow.operators.messages import to_message
@@ -45,16 +46,37 @@ def event_records(events: DataFrame, drop_ts_when: Column | None = None) -> Data
     )
 
 
-def event_frame(events: DataFrame, drop_ts_when: Column | None = None) -> DataFrame:
+def event_frame(events: DataFrame, drop_ts_when: Column | None = None,
+                spread: bool = True) -> DataFrame:
     """events -> bus frame ``key, value, partition, offset``.
 
     The key is the user, the partition ``user_id mod 6`` and the offset the
     event sequence.
     """
-    recs = event_records(ensure_parallel(events), drop_ts_when)
+    recs = event_records(ensure_parallel(events) if spread else events, drop_ts_when)
     return to_message(recs, "username", RECORD_FIELDS, keep=["partition", "offset"])
 
 
+BUS_SCHEMA = StructType([
+    StructField("key", BinaryType()), StructField("value", BinaryType()),
+    StructField("offset", LongType()), StructField("partition", IntegerType()),
+])
+
+
+def publish_bus(events: DataFrame, path: str, drop_ts_when: Column | None = None) -> None:
+    """Offline twin of publishing to the topic.
+
+    One folder per bus partition (``partition=<n>``), one file per folder,
+    messages in offset order inside it: all messages of a user sit in one
+    partition in order, like a keyed topic. Encoding runs after the shuffle
+    to the bus partitions, so it is spread over them.
+    """
+    by_part = events.repartition(BUS_PARTITIONS, F.pmod(F.col("user_id"), F.lit(BUS_PARTITIONS)))
+    frame = event_frame(by_part, drop_ts_when, spread=False)
+    (frame.sortWithinPartitions("partition", "offset")
+          .write.partitionBy("partition").parquet(path))
+
+
 def truncate_payloads(frame: DataFrame, when: Column) -> DataFrame:
     """Cut the payloads where ``when`` holds in half: malformed messages on the wire."""
     text = F.col("value").cast("string")

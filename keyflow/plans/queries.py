@@ -18,17 +18,18 @@ from keyflow.operators import aggregates as agg
 from keyflow.operators import checks, joins, messages, outbox, partitioning, tables
 from keyflow.plans.mapping import (
     BATCH_START_MS,
+    BUS_SCHEMA,
     delivery_log,
     event_frame,
-    event_records,
+    publish_bus,
     truncate_payloads,
 )
 from keyflow.schemas import EVENT_MESSAGE, SENT_LEDGER
 from keyflow.session import scratch_dir
 from keyflow.sources.api import explode_pages
 from keyflow.sources.generator import fact_series, generate_users
-from keyflow.sources.stream import exact_glob, file_stream
-from keyflow.sources.tables import read_table, table_path
+from keyflow.sources.stream import file_stream
+from keyflow.sources.tables import read_table
 from keyflow.streaming.job import BatchProcessor, build_stream, run_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -386,14 +387,15 @@ def table_diff(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-def _stream_into(spark, sf, files: str, max_files: int | None = None,
+def _stream_into(spark, sf, max_files: int | None = None,
                  replay_epoch0: bool = False, restart: bool = False):
-    """Events as a file stream -> messages -> parse -> foreachBatch upsert."""
-    schema = spark.read.parquet(files).schema
+    """Events published to the bus twin, then streamed: parse -> foreachBatch upsert."""
+    bus = scratch_dir(spark, "bus")
+    publish_bus(_t(spark, sf, "events"), bus)
 
     def records():
-        src = file_stream(spark, files, schema, max_files_per_trigger=max_files)
-        return build_stream(event_frame(src), EVENT_MESSAGE)
+        src = file_stream(spark, bus, BUS_SCHEMA, max_files_per_trigger=max_files)
+        return build_stream(src, EVENT_MESSAGE)
 
     sink = tables.KeyedUpsertTable(spark, scratch_dir(spark, "created_users"), "id")
     metrics = tables.ParquetTable(spark, scratch_dir(spark, "batch_metrics"))
@@ -411,30 +413,22 @@ def _stream_into(spark, sf, files: str, max_files: int | None = None,
     return sink, metrics
 
 
-def _split_events(spark, sf, parts: int = 3) -> str:
-    """The events table rewritten as ``parts`` files by time range (one per epoch)."""
-    path = scratch_dir(spark, "events_split")
-    (_t(spark, sf, "events").repartitionByRange(parts, "ts", "event_id")
-        .write.mode("overwrite").parquet(path))
-    return path
-
-
 def stream_enrich(spark, sf):
-    """The streaming job over the events file."""
-    sink, _ = _stream_into(spark, sf, exact_glob(table_path(sf, "events")))
+    """The streaming job over the published events."""
+    sink, _ = _stream_into(spark, sf)
     return sink.read().select("id", "latency_ms")
 
 
 def stream_replay(spark, sf):
-    """Three epochs, restart on the same checkpoint, epoch 0 applied again."""
-    sink, _ = _stream_into(spark, sf, _split_events(spark, sf), max_files=1,
-                           replay_epoch0=True, restart=True)
+    """Three epochs (two bus partitions each), restart on the same
+    checkpoint, epoch 0 applied again."""
+    sink, _ = _stream_into(spark, sf, max_files=2, replay_epoch0=True, restart=True)
     return sink.read().select("id", "latency_ms")
 
 
 def batch_metrics(spark, sf):
-    """Per-epoch metrics of the streaming job, summed over epochs."""
-    _, metrics = _stream_into(spark, sf, _split_events(spark, sf), max_files=1)
+    """Per-epoch metrics of the streaming job, summed over its three epochs."""
+    _, metrics = _stream_into(spark, sf, max_files=2)
     return metrics.read().agg(F.sum("rows").cast("long").alias("rows"),
                               F.sum("measured").cast("long").alias("measured"),
                               F.count(F.lit(1)).alias("epochs"))
