@@ -182,7 +182,8 @@ def delivery_counters(log: DataFrame, failures_col: str = "failures",
     )
 
 
-def delivery_ratios(counters: DataFrame, elapsed_s: float | None = None) -> DataFrame:
+def delivery_ratios(counters: DataFrame, elapsed_s: float | None = None,
+                    keep_counters: bool = False) -> DataFrame:
     """Success %, recovery % and average retries from the counters.
 
     ``total`` excludes invalid records. Recovery is 100 and average retries
@@ -203,6 +204,8 @@ def delivery_ratios(counters: DataFrame, elapsed_s: float | None = None) -> Data
     if elapsed_s is not None:
         cols.append((sent.cast("double") / F.lit(elapsed_s) if elapsed_s > 0 else F.lit(0.0))
                     .alias("throughput"))
+    if keep_counters:
+        cols = [F.col(c) for c in counters.columns] + cols
     return counters.select(*cols)
 
 
