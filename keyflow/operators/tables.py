@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from keyflow.operators.aggregates import group_count
-from keyflow.operators.joins import anti_join, dim_join, has_at_most
+from keyflow.operators.joins import MAX_BROADCAST_ROWS, anti_join, dim_join, has_at_most
 
 
 class ParquetTable:
@@ -71,7 +71,8 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[s
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
-                     order_col: str | None = None) -> DataFrame:
+                     order_col: str | None = None,
+                     max_batch_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``incoming`` to append so that existing keys stay untouched (K1, K2).
 
     ``INSERT ... ON CONFLICT (key) DO NOTHING``: the first row per key in the
@@ -80,6 +81,13 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
     batch = first_per_key(incoming, key, order_col) if order_col else incoming.dropDuplicates([key])
     if order_col and order_col not in target.columns:
         batch = batch.drop(order_col)
+    batch_keys = batch.select(key)
+    if has_at_most(batch_keys, max_batch_rows):
+        # small load, big table: find the load's keys that already exist with
+        # a broadcast probe over the target's key column (a scan, no shuffle
+        # of the target), then drop them from the load
+        existing = target.select(key).join(F.broadcast(batch_keys), key, "left_semi")
+        return batch.join(existing, key, "left_anti")
     return anti_join(batch, target.select(key), key)
 
 
