@@ -31,8 +31,19 @@ def count_filtered(df: DataFrame, condition: Column, alias: str = "cnt") -> Data
     return count_all(df.filter(condition), alias)
 
 
+def order_by_count(df: DataFrame, name: str, alias: str = "cnt",
+                   small: bool = False) -> DataFrame:
+    """``ORDER BY count DESC`` with ties broken by the key (O1).
+
+    A result proven small (``small``) is ordered inside one partition; any
+    other gets a distributed range-partitioned sort.
+    """
+    order = [F.col(alias).desc(), F.col(name).asc_nulls_last()]
+    return df.coalesce(1).sortWithinPartitions(*order) if small else df.orderBy(*order)
+
+
 def group_count(df: DataFrame, key: str | Column, alias: str = "cnt",
-                label: str | None = None) -> DataFrame:
+                label: str | None = None, small: bool = False) -> DataFrame:
     """``GROUP BY key ORDER BY count DESC`` (A3/A4, O1).
 
     NULL keys form their own group. Ties are broken by the key so that the
@@ -40,8 +51,8 @@ def group_count(df: DataFrame, key: str | Column, alias: str = "cnt",
     """
     k = F.col(key) if isinstance(key, str) else key
     name = label or (key if isinstance(key, str) else "label")
-    return (df.groupBy(k.alias(name)).agg(F.count(F.lit(1)).alias(alias))
-            .orderBy(F.col(alias).desc(), F.col(name).asc_nulls_last()))
+    counts = df.groupBy(k.alias(name)).agg(F.count(F.lit(1)).alias(alias))
+    return order_by_count(counts, name, alias, small)
 
 
 def _keys_equal(keys: Sequence[str], renamed: Sequence[str]) -> Column | None:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from keyflow.operators.aggregates import group_count
+from keyflow.operators.aggregates import order_by_count
 from keyflow.operators.joins import MAX_BROADCAST_ROWS, anti_join, dim_join, has_at_most
 
 
@@ -160,10 +160,21 @@ class KeyedUpsertTable:
 
 def rollup(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
            label_col: str, label: str = "label", alias: str = "cnt") -> DataFrame:
-    """``SELECT label, COUNT(*) FROM fact JOIN dim GROUP BY label`` (A4, K9 body)."""
-    joined = key_join(fact.select(fact_fk), dim.select(dim_pk, label_col),
-                      fact_fk, dim_pk, "inner")
-    return group_count(joined, label_col, alias, label)
+    """``SELECT label, COUNT(*) FROM fact JOIN dim GROUP BY label`` (A4, K9 body).
+
+    Aggregated before the join: the fact collapses to one count per FK
+    (partial + final aggregate on the key), so the join probes one row per
+    FK instead of one per fact row, and a hot FK is combined map-side. Facts
+    whose FK has no dimension row drop out in the inner join. The result
+    has at most one row per dimension row, so when the dimension is proven
+    small it is ordered inside one partition.
+    """
+    per_fk = fact.groupBy(fact_fk).agg(F.count(F.lit(1)).alias("__c"))
+    labels = dim.select(dim_pk, label_col)
+    joined = key_join(per_fk, labels, fact_fk, dim_pk, "inner")
+    counts = joined.groupBy(F.col(label_col).alias(label)).agg(
+        F.sum("__c").cast("long").alias(alias))
+    return order_by_count(counts, label, alias, small=has_at_most(labels, MAX_BROADCAST_ROWS))
 
 
 class RollupTable:
