@@ -31,14 +31,17 @@ CLAIM_BATCH = 5000
 SYNTHETIC_BATCH = 5000
 
 
+Table = tables.ParquetTable | tables.BucketedTable
+
+
 @dataclass
 class Layout:
     """Where the pipeline's tables live."""
 
-    fact: tables.ParquetTable        # users_raw
+    fact: Table                      # users_raw
     dim: DataFrame                   # dim_gender (gender_id, gender_code, gender_label)
-    ledger: tables.ParquetTable      # sent ledger (id, claim_id)
-    flat: tables.ParquetTable        # users_baseline
+    ledger: Table                    # sent ledger (id, claim_id)
+    flat: Table                      # users_baseline
     rollup: tables.RollupTable       # mv_gender_counts
 
 
@@ -52,6 +55,20 @@ def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
     )
 
 
+def new_bucketed_layout(spark: SparkSession, root: str, dim: DataFrame, buckets: int,
+                        prefix: str = "kf") -> Layout:
+    """Fact, ledger and flat table bucketed by ``id`` into the same buckets:
+    the claim's anti join, the sent flag and the flat refresh run without
+    shuffling the big tables."""
+    def bucketed(name: str) -> tables.BucketedTable:
+        return tables.BucketedTable(spark, f"{prefix}_{name}", f"{root}/{name}", "id", buckets)
+
+    return Layout(fact=bucketed("users_raw"), dim=dim, ledger=bucketed("sent_ledger"),
+                  flat=bucketed("users_baseline"),
+                  rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts",
+                                            label="gender_label"))
+
+
 def _fact_rows(users: DataFrame, dim: DataFrame) -> DataFrame:
     resolved = joins.resolve_key(users, dim, "gender", "gender_code", "gender_id", "gender_id")
     cols = []

@@ -156,3 +156,37 @@ def test_latency_stats_exact_paths_agree(spark, monkeypatch):
     assert fast == slow
     one = agg.latency_stats(df, accuracy=None).first()
     assert one.n == 3000 and one.measured == sum(1 for _, v in rows if v is not None)
+
+
+def test_hot_group_and_hot_value(spark, tmp):
+    """One group holds 60% of the rows, most of them one identical value."""
+    import math
+
+    from keyflow.operators import tables
+
+    rows = [("hot", 5.0)] * 500 + [("hot", float(i)) for i in range(100)] + \
+           [(f"k{i % 40}", float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.p50, r.p95) for r in
+           agg.exact_percentiles(df, "v", {"p50": 0.5, "p95": 0.95}, ["g"], num_partitions=6).collect()}
+    for g in {r[0] for r in rows}:
+        vals = sorted(v for gg, v in rows if gg == g)
+        want = tuple(vals[max(1, math.ceil(p * len(vals))) - 1] for p in (0.5, 0.95))
+        assert got[g] == want
+    # the tiebreak spreads the hot value over several range partitions
+    spread = (df.filter("g = 'hot' and v = 5.0")
+                .withColumn("t", F.xxhash64(F.monotonically_increasing_id()))
+                .repartitionByRange(6, "g", "v", "t")
+                .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 1
+
+    # keyed upsert and insert-if-absent under a hot key
+    sink = tables.KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["seq"])
+    ev = spark.createDataFrame([("hot", i, f"v{i}") for i in range(600)] +
+                               [(f"c{i}", i, "x") for i in range(50)], "id string, seq long, v string")
+    sink.write_epoch(ev, 0)
+    assert {r.id: r.v for r in sink.read().collect()}["hot"] == "v599"
+    target = spark.createDataFrame([("c1", 0, "old")], "id string, seq long, v string")
+    new = tables.insert_if_absent(target, ev, "id", "seq")
+    got_new = {r.id: r.v for r in new.collect()}
+    assert got_new["hot"] == "v0" and "c1" not in got_new and len(got_new) == 50

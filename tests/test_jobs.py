@@ -26,8 +26,14 @@ def _payloads(spark):
                                                 "value string"))
 
 
-def test_ingest_publish_compare(spark, tmp):
-    layout = jobs.new_layout(spark, tmp, gender_dimension(spark))
+import pytest
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_ingest_publish_compare(spark, tmp, bucketed):
+    dim = gender_dimension(spark)
+    layout = (jobs.new_bucketed_layout(spark, tmp, dim, 4, prefix=f"kf{abs(hash(tmp))}")
+              if bucketed else jobs.new_layout(spark, tmp, dim))
     first = jobs.ingest(spark, layout, _payloads(spark), n_synthetic=300, now_ms=1)
     assert first.count() == 302
     assert layout.fact.read().filter(F.col("gender_id").isNull()).count() == 1  # unknown code

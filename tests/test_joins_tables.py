@@ -138,3 +138,21 @@ def test_create_tables_idempotent_and_analyze(spark, tmp):
     tables.analyze(spark, "kf_test.dim_gender")
     stats = spark.sql("DESCRIBE EXTENDED kf_test.dim_gender").collect()
     assert any("2 rows" in (r.data_type or "") for r in stats if r.col_name == "Statistics")
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp):
+    facts = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"),
+                                        (F.col("id") % 7).alias("v"))
+    fact = tables.BucketedTable(spark, "kf_fact_b", f"{tmp}/fact_b", "id", 8)
+    ledger = tables.BucketedTable(spark, "kf_ledger_b", f"{tmp}/ledger_b", "id", 8)
+    fact.overwrite(facts)
+    ledger.overwrite(facts.filter("v = 3").select("id", F.lit("c1").alias("claim_id")))
+    ledger.append(facts.filter("v = 4").select("id", F.lit("c2").alias("claim_id")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unsent = fact.read().join(ledger.read(), "id", "left_anti")
+        plan = _plan(unsent)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert unsent.count() == facts.filter("v not in (3, 4)").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
