@@ -25,12 +25,6 @@ def expectation_suite(df: DataFrame, violations: Mapping[str, Column],
     return df.agg(*aggs)
 
 
-def duplicate_rows(df: DataFrame, key: str, alias: str = "dup_id") -> DataFrame:
-    """Rows beyond the first per non-null key (``count(*) - count(DISTINCT key)`` on keys)."""
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias(alias))
-
-
 def record_violations(required: Sequence[str], id_col: str = "id",
                       domain: Mapping[str, Sequence[str]] | None = None,
                       ts_col: str | None = None, ts_range: tuple[int, int] | None = None,

@@ -45,8 +45,12 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     """
     if df.isStreaming:  # micro-batches are spread by the source's own splits
         return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the plan as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def order_violations(df: DataFrame, key: str, seq: str, ts: str,

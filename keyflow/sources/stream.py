@@ -17,7 +17,11 @@ MAX_OFFSETS_PER_TRIGGER = 10_000
 def kafka_source_options(bootstrap: str, topic: str = TOPIC,
                          starting_offsets: str = "earliest",
                          max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+                         min_partitions: int | None = None,
                          **extra: str) -> dict[str, str]:
+    """Source options; ``min_partitions`` splits each topic partition's
+    offset range over several tasks (no shuffle), so a topic with few
+    partitions still parses on many cores."""
     opts = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
@@ -26,6 +30,8 @@ def kafka_source_options(bootstrap: str, topic: str = TOPIC,
         # a lost broker or deleted segment must fail loudly, not skip data
         "failOnDataLoss": "true",
     }
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra)
     return opts
 
@@ -36,13 +42,6 @@ def kafka_stream(spark: SparkSession, bootstrap: str, **kwargs) -> DataFrame:
         **kafka_source_options(bootstrap, **kwargs)).load()
 
 
-def exact_glob(path: str) -> str:
-    """A glob that matches exactly one file path; file streams need a
-    folder or a glob, not a bare file."""
-    head, _, name = path.rstrip("/").rpartition("/")
-    return f"{head}/[{name[0]}]{name[1:]}"
-
-
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """File twin of the bus: new files under ``path`` become micro-batches."""

@@ -58,3 +58,12 @@ def jdbc_write_options(url: str, table: str, batch_size: int = 500,
     opts = {"url": url, "dbtable": table, "batchsize": str(batch_size)}
     opts.update(extra)
     return opts
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
+               batch_size: int = 500, **extra: str) -> None:
+    """Bulk insert into an RDBMS table, ``batch_size`` rows per round trip,
+    one connection per task (the tasks' partitions are the write's
+    parallelism)."""
+    df.write.format("jdbc").options(**jdbc_write_options(url, table, batch_size, **extra)) \
+        .mode(mode).save()

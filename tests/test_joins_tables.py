@@ -156,3 +156,15 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp):
         assert unsent.count() == facts.filter("v not in (3, 4)").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_jdbc_options():
+    from keyflow.sources.tables import jdbc_options, jdbc_write_options
+
+    o = jdbc_options("jdbc:postgresql://db/x", "users_raw", "n", 0, 1000, 16)
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
+        ("n", "0", "1000", "16")
+    assert "partitionColumn" not in jdbc_options("jdbc:x", "dim_gender")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", "n")
+    assert jdbc_write_options("jdbc:x", "users_raw")["batchsize"] == "500"
