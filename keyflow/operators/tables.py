@@ -150,11 +150,17 @@ class KeyedUpsertTable:
     EPOCH = "_epoch"
 
     def __init__(self, spark: SparkSession, path: str, key: str,
-                 order_cols: Sequence[str] = ()):
+                 order_cols: Sequence[str] = (), global_order: bool = False):
+        """``order_cols`` order versions inside one epoch (later wins). With
+        ``global_order`` they order versions across epochs too, before the
+        epoch: use it when they carry the source's own order (a message
+        offset), so that last-write-wins holds even if input segments reach
+        the stream out of order."""
         self.spark = spark
         self.path = path
         self.key = key
         self.order_cols = list(order_cols)
+        self.global_order = global_order
 
     def write_epoch(self, batch: DataFrame, epoch: int) -> None:
         """Write one micro-batch as partition ``_epoch=epoch`` (replaces a replay)."""
@@ -181,7 +187,9 @@ class KeyedUpsertTable:
 
     def read(self) -> DataFrame:
         """Current table: the latest version of each key."""
-        latest = last_per_key(self.versions(), self.key, [self.EPOCH, *self.order_cols])
+        order = ([*self.order_cols, self.EPOCH] if self.global_order
+                 else [self.EPOCH, *self.order_cols])
+        latest = last_per_key(self.versions(), self.key, order)
         return latest.drop(self.EPOCH)
 
     def compact_to(self, path: str) -> None:

@@ -63,16 +63,22 @@ BUS_SCHEMA = StructType([
 ])
 
 
-def publish_bus(events: DataFrame, path: str, drop_ts_when: Column | None = None) -> None:
+def publish_bus(events: DataFrame, path: str, drop_ts_when: Column | None = None,
+                tasks: int | None = None) -> None:
     """Offline twin of publishing to the topic.
 
-    One folder per bus partition (``partition=<n>``), one file per folder,
-    messages in offset order inside it: all messages of a user sit in one
-    partition in order, like a keyed topic. Encoding runs after the shuffle
-    to the bus partitions, so it is spread over them.
+    One folder per bus partition (``partition=<n>``); inside it, segment
+    files that each hold a contiguous, ordered offset range. All messages of
+    a user sit in one bus partition, like a keyed topic. The write is range
+    partitioned by ``(bus partition, offset)`` over ``tasks`` tasks (default:
+    the cluster's cores), so encoding and writing scale with the cluster,
+    not with the six bus partitions.
     """
-    by_part = events.repartition(BUS_PARTITIONS, F.pmod(F.col("user_id"), F.lit(BUS_PARTITIONS)))
-    frame = event_frame(by_part, drop_ts_when, spread=False)
+    spark = events.sparkSession
+    tasks = tasks or max(BUS_PARTITIONS, spark.sparkContext.defaultParallelism)
+    bus_part = F.pmod(F.col("user_id"), F.lit(BUS_PARTITIONS))
+    ranged = events.repartitionByRange(tasks, bus_part, F.col("event_id"))
+    frame = event_frame(ranged, drop_ts_when, spread=False)
     (frame.sortWithinPartitions("partition", "offset")
           .write.partitionBy("partition").parquet(path))
 

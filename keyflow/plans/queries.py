@@ -387,17 +387,28 @@ def table_diff(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-def _stream_into(spark, sf, max_files: int | None = None,
+def _stream_into(spark, sf, epochs: int | None = None,
                  replay_epoch0: bool = False, restart: bool = False):
-    """Events published to the bus twin, then streamed: parse -> foreachBatch upsert."""
+    """Events published to the bus twin, then streamed: parse -> foreachBatch upsert.
+
+    With ``epochs`` the stream admits ``ceil(files / epochs)`` segment files
+    per trigger, which gives exactly that many micro-batches for any number
+    of segments >= 5 (there is at least one per bus partition).
+    """
     bus = scratch_dir(spark, "bus")
     publish_bus(_t(spark, sf, "events"), bus)
+    max_files = None
+    if epochs:
+        n_files = len(spark.read.schema(BUS_SCHEMA).parquet(bus).inputFiles())
+        max_files = -(-n_files // epochs)
 
     def records():
         src = file_stream(spark, bus, BUS_SCHEMA, max_files_per_trigger=max_files)
-        return build_stream(src, EVENT_MESSAGE)
+        return build_stream(src, EVENT_MESSAGE, offset_col="offset")
 
-    sink = tables.KeyedUpsertTable(spark, scratch_dir(spark, "created_users"), "id")
+    # versions are ordered by the message offset: segments may arrive in any order
+    sink = tables.KeyedUpsertTable(spark, scratch_dir(spark, "created_users"), "id",
+                                   order_cols=["_offset"], global_order=True)
     metrics = tables.ParquetTable(spark, scratch_dir(spark, "batch_metrics"))
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: BATCH_START_MS)
     ckpt = scratch_dir(spark, "stream_ckpt")
@@ -420,15 +431,14 @@ def stream_enrich(spark, sf):
 
 
 def stream_replay(spark, sf):
-    """Three epochs (two bus partitions each), restart on the same
-    checkpoint, epoch 0 applied again."""
-    sink, _ = _stream_into(spark, sf, max_files=2, replay_epoch0=True, restart=True)
+    """Three epochs, restart on the same checkpoint, epoch 0 applied again."""
+    sink, _ = _stream_into(spark, sf, epochs=3, replay_epoch0=True, restart=True)
     return sink.read().select("id", "latency_ms")
 
 
 def batch_metrics(spark, sf):
     """Per-epoch metrics of the streaming job, summed over its three epochs."""
-    _, metrics = _stream_into(spark, sf, max_files=2)
+    _, metrics = _stream_into(spark, sf, epochs=3)
     return metrics.read().agg(F.sum("rows").cast("long").alias("rows"),
                               F.sum("measured").cast("long").alias("measured"),
                               F.count(F.lit(1)).alias("epochs"))

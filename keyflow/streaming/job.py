@@ -117,9 +117,17 @@ def _opt_float(v) -> float | None:
     return None if v is None else float(v)
 
 
-def build_stream(frame: DataFrame, schema: StructType, key_field: str = "id") -> DataFrame:
-    """Message frame -> parsed records with a key (P1, F1); works on streams and batches."""
-    return parse_messages(frame, schema, key_field)
+def build_stream(frame: DataFrame, schema: StructType, key_field: str = "id",
+                 offset_col: str | None = None) -> DataFrame:
+    """Message frame -> parsed records with a key (P1, F1); works on streams and batches.
+
+    ``offset_col`` carries the message offset along as ``_offset`` (for a
+    sink that orders versions by it).
+    """
+    if offset_col is None:
+        return parse_messages(frame, schema, key_field)
+    parsed = parse_messages(frame, schema, key_field, keep=[offset_col])
+    return parsed.withColumnRenamed(offset_col, "_offset")
 
 
 def start_stream(records: DataFrame, processor: BatchProcessor, checkpoint: str,

@@ -168,3 +168,14 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", "n")
     assert jdbc_write_options("jdbc:x", "users_raw")["batchsize"] == "500"
+
+
+def test_upsert_global_order_survives_out_of_order_segments(spark, tmp):
+    sink = tables.KeyedUpsertTable(spark, f"{tmp}/s", "id", order_cols=["_offset"],
+                                   global_order=True)
+    sch = "id string, v string, _offset long"
+    sink.write_epoch(spark.createDataFrame([("a", "newer", 10), ("b", "b", 3)], sch), 0)
+    sink.write_epoch(spark.createDataFrame([("a", "older", 5)], sch), 1)
+    assert {r.id: r.v for r in sink.read().collect()} == {"a": "newer", "b": "b"}
+    epoch_first = tables.KeyedUpsertTable(spark, f"{tmp}/s", "id", order_cols=["_offset"])
+    assert {r.id: r.v for r in epoch_first.read().collect()}["a"] == "older"
