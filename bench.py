@@ -3,7 +3,7 @@
 Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-Each query runs once to warm up, then ``BENCH_RUNS`` times; the median is
+Each query runs once to warm up, then ``BENCH_RUNS`` (5) times; the median is
 reported. Results go to Spark's ``noop`` sink, so the whole plan executes
 but nothing is collected to the driver.
 
@@ -64,7 +64,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", app="keyflow-bench",
                           shuffle_partitions=int(cpus) * 2,

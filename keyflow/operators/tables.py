@@ -224,8 +224,9 @@ class RollupTable:
 
     ``refresh`` writes the snapshot and keeps it cached in executor memory,
     so reads touch neither storage nor the fact table. A rollup proven to
-    have at most ``small_rows`` rows is ordered inside one partition (no
-    range-partitioning pass); a larger one gets a distributed sort.
+    have at most ``small_rows`` rows is cached as one partition already in
+    read order: the read's ``ORDER BY`` is then satisfied by the cached
+    plan and Spark drops the sort. A larger one gets a distributed sort.
     """
 
     def __init__(self, spark: SparkSession, path: str, label: str = "label",
@@ -235,14 +236,19 @@ class RollupTable:
         self.alias = alias
         self.small_rows = small_rows
         self._snapshot: DataFrame | None = None
-        self._small = False
+
+    def _order(self) -> list:
+        return [F.col(self.alias).desc(), F.col(self.label).asc_nulls_last()]
 
     def refresh(self, rollup_df: DataFrame) -> None:
         self.table.overwrite(rollup_df)
         if self._snapshot is not None:
             self._snapshot.unpersist()
-        snap = self.table.read().persist()
-        self._small = has_at_most(snap, self.small_rows)  # also fills the cache
+        snap = self.table.read()
+        if has_at_most(snap, self.small_rows):
+            snap = snap.coalesce(1).sortWithinPartitions(*self._order())
+        snap = snap.persist()
+        snap.count()  # materialize the cache now, not on the first read
         self._snapshot = snap
 
     def snapshot(self) -> DataFrame:
@@ -250,11 +256,7 @@ class RollupTable:
 
     def read(self) -> DataFrame:
         """``SELECT * FROM mv ORDER BY cnt DESC`` (ties by label)."""
-        order = [F.col(self.alias).desc(), F.col(self.label).asc_nulls_last()]
-        snap = self.snapshot()
-        if self._small:
-            return snap.coalesce(1).sortWithinPartitions(*order)
-        return snap.orderBy(*order)
+        return self.snapshot().orderBy(*self._order())
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "dup") -> DataFrame:
