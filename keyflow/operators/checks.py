@@ -25,6 +25,12 @@ def expectation_suite(df: DataFrame, violations: Mapping[str, Column],
     return df.agg(*aggs)
 
 
+def as_check_rows(suite: DataFrame, row_count: str | None = "n") -> DataFrame:
+    """The one-row suite as ``(check, violations)`` rows (an unpivot)."""
+    checks = [c for c in suite.columns if c != row_count]
+    return suite.unpivot([], checks, "check", "violations")
+
+
 def record_violations(required: Sequence[str], id_col: str = "id",
                       domain: Mapping[str, Sequence[str]] | None = None,
                       ts_col: str | None = None, ts_range: tuple[int, int] | None = None,

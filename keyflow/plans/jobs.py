@@ -12,6 +12,7 @@ plain function over tables that Spark reads and writes.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -132,13 +133,16 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
         layout.ledger.append(outbox.ledger_rows(batch, claim_id))
     valid, invalid = messages.validity_split(batch)
     stamped = messages.stamp_send_time(valid, now_ms)
+    started = time.monotonic()
     send(messages.to_message(stamped, "username"))
+    elapsed_s = time.monotonic() - started
     if not mark_before_send:
         layout.ledger.append(outbox.ledger_rows(batch, claim_id))
     # the bus write either lands the whole batch or raises: no partial failures
     log = batch.select(F.col("id"), F.lit(0).alias("failures"),
                        messages.is_valid().alias("valid"))
-    return agg.delivery_ratios(agg.delivery_counters(log), keep_counters=True)
+    return agg.delivery_ratios(agg.delivery_counters(log), elapsed_s=elapsed_s,
+                               keep_counters=True)
 
 
 def refresh_flat(layout: Layout) -> DataFrame:

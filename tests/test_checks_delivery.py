@@ -36,6 +36,14 @@ def test_expectations(spark):
     assert (r.n, r.null_event_id, r.dup_event_id, r.bad_domain) == (4, 1, 1, 1)
 
 
+def test_check_rows(spark):
+    df = spark.createDataFrame([(1, "view"), (None, "x")], "event_id long, event_type string")
+    suite = checks.expectations(df, "event_id",
+                                {"bad_domain": ~F.col("event_type").isin("view", "click")})
+    rows = {r.check: r.violations for r in checks.as_check_rows(suite).collect()}
+    assert rows == {"null_event_id": 1, "bad_domain": 1, "dup_event_id": 0}
+
+
 def test_json_roundtrip_same(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, 2.5)], "a long, b string, c double")
     out = checks.json_roundtrip(df)

@@ -44,6 +44,7 @@ def test_ingest_publish_compare(spark, tmp, bucketed):
     report = jobs.publish(spark, layout, sent_frames.append, batch_size=200, now_ms=77).first()
     assert (report.sent, report.invalid, report.failed, report.total) == (200, 0, 0, 200)
     assert report.success_pct == 100.0 and report.recovery_pct == 100.0 and report.avg_retries == 0.0
+    assert report.throughput >= 0
     msgs = parse_messages(sent_frames[0], USER_MESSAGE)
     assert msgs.count() == 200 and {r.event_ts_ms for r in msgs.collect()} == {77}
     assert layout.ledger.read().count() == 200
