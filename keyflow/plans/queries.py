@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyflow.operators import aggregates as agg
 from keyflow.operators import checks, joins, messages, outbox, partitioning, tables
@@ -34,6 +35,14 @@ from keyflow.streaming.job import BatchProcessor, build_stream, run_available_no
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# one result of a conversation page: nested like the API's user results
+CONVERSATION_RESULT = T.StructType([
+    T.StructField("conv", T.StructType([T.StructField("id", T.LongType())])),
+    T.StructField("turn", T.StructType([T.StructField("number", T.LongType())])),
+    T.StructField("role", T.StringType()),
+    T.StructField("text", T.StringType()),
+])
+
 CLAIM_SIZE = 500
 PAGE_SIZE = 10  # results per API payload page
 LOOKUP_KEY = 1000
@@ -72,9 +81,7 @@ def api_flatten(spark, sf):
                       F.col("role"), F.col("text"))
     pages = (conv.groupBy("conv_id", F.floor(F.col("turn") / PAGE_SIZE).alias("page"))
              .agg(F.to_json(F.struct(F.collect_list(result).alias("results"))).alias("value")))
-    result_schema = "struct<conv: struct<id: bigint>, turn: struct<number: bigint>, role: string, text: string>"
-    from pyspark.sql.types import _parse_datatype_string
-    return explode_pages(pages, "value", _parse_datatype_string(result_schema),
+    return explode_pages(pages, "value", CONVERSATION_RESULT,
                          {"conv_id": "conv.id", "turn": "turn.number", "role": "role"})
 
 

@@ -13,6 +13,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyflow.functions.scalars import seeded_uuid4
 from keyflow.schemas import API_PAYLOAD
@@ -65,11 +66,12 @@ def flatten_results(payloads: DataFrame, seed: int = 42, now_ms: int | None = No
     )
 
 
-def explode_pages(df: DataFrame, value_col: str, result_schema,
+def explode_pages(df: DataFrame, value_col: str, result_schema: T.StructType,
                   fields: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Generic form: parse ``{"results": [...]}`` text and flatten dotted paths."""
-    from pyspark.sql import types as T
+    """Generic form: parse ``{"results": [...]}`` text and flatten dotted paths.
 
+    Only the named paths are kept, so Spark prunes the parse to them.
+    """
     schema = T.StructType([T.StructField("results", T.ArrayType(result_schema))])
     parsed = df.select(*keep, F.from_json(F.col(value_col), schema)["results"].alias("results"))
     ex = parsed.select(*keep, F.explode("results").alias("r"))
