@@ -123,3 +123,21 @@ def test_kafka_source_options():
     o = kafka_source_options("b:9092")
     assert o["subscribe"] == "users_created" and o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "10000"
+
+
+def test_cassandra_sink_values():
+    from keyflow.schemas import CREATED_USERS
+    from keyflow.streaming.sinks import CassandraSink, cassandra_session_conf, cassandra_table_ddl
+
+    conf = cassandra_session_conf(["c1", "c2", "c3"])
+    assert conf["spark.cassandra.connection.host"] == "c1,c2,c3"
+    assert conf["spark.cassandra.output.consistency.level"] == "QUORUM"
+    cols = [(f.name, "bigint" if f.dataType.simpleString() == "bigint" else
+             "double" if f.dataType.simpleString() == "double" else "text")
+            for f in CREATED_USERS.fields]
+    ddl = cassandra_table_ddl("spark_streams", "created_users", cols, "id",
+                              {"class": "NetworkTopologyStrategy", "datacenter1": "3"})
+    assert ddl[0].startswith("CREATE KEYSPACE IF NOT EXISTS spark_streams")
+    assert "'datacenter1': '3'" in ddl[0]
+    assert ddl[1].endswith("PRIMARY KEY (id))") and "latency_ms double" in ddl[1]
+    assert CassandraSink("ks", "t").write_options() == {"keyspace": "ks", "table": "t"}
