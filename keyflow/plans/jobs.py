@@ -145,6 +145,15 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
                                keep_counters=True)
 
 
+def file_bus_sender(path: str) -> Callable[[DataFrame], None]:
+    """Offline twin of the bus for ``publish``: each call appends the
+    ``key, value`` frame as new files under ``path``, which a file stream
+    picks up on its next trigger."""
+    def send(frame: DataFrame) -> None:
+        frame.write.mode("append").parquet(path)
+    return send
+
+
 def refresh_flat(layout: Layout) -> DataFrame:
     """K3: append fact ids missing from the flat table, codes inlined."""
     cols = ["id", F.col("gender_code").alias("gender"), "email", "username", "ingested_at"]
