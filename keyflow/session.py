@@ -29,13 +29,45 @@ BASE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
+                shuffle_bytes: int = 128 * MB) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``cores`` cores.
+
+    Scan splits of ``split_bytes`` and shuffle partitions of about
+    ``shuffle_bytes`` keep every task's working set well inside an executor
+    core's memory share, so sorts and aggregations spill rarely. The initial
+    shuffle width covers a shuffle as large as the input; AQE coalesces it to
+    the advisory size when the real shuffle is smaller, and splits partitions
+    over four times that size in skewed joins.
+    """
+    width = max(2 * cores, -(-input_bytes // shuffle_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "keyflow",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
+    """A session with the job's base configuration.
+
+    Give ``input_bytes`` and ``cores`` on a cluster to size partitions for
+    the data (``sizing_conf``); ``shuffle_partitions`` overrides the width.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if input_bytes and cores:
+        conf.update(sizing_conf(input_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -179,3 +179,13 @@ def test_upsert_global_order_survives_out_of_order_segments(spark, tmp):
     assert {r.id: r.v for r in sink.read().collect()} == {"a": "newer", "b": "b"}
     epoch_first = tables.KeyedUpsertTable(spark, f"{tmp}/s", "id", order_cols=["_offset"])
     assert {r.id: r.v for r in epoch_first.read().collect()}["a"] == "older"
+
+
+def test_sizing_for_100tb():
+    from keyflow.session import sizing_conf
+
+    conf = sizing_conf(100 * 10**12, cores=8000)
+    width = int(conf["spark.sql.shuffle.partitions"])
+    assert 700_000 < width < 800_000  # ~128 MB per shuffle partition
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(sizing_conf(10**6, cores=8)["spark.sql.shuffle.partitions"]) == 16
