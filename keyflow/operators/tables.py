@@ -14,9 +14,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -241,11 +242,13 @@ class RollupTable:
         return [F.col(self.alias).desc(), F.col(self.label).asc_nulls_last()]
 
     def refresh(self, rollup_df: DataFrame) -> None:
-        self.table.overwrite(rollup_df)
+        # the row count comes with the write (observed), not from another job
+        obs = Observation(f"rollup_{uuid.uuid4().hex}")
+        self.table.overwrite(rollup_df.observe(obs, F.count(F.lit(1)).alias("rows")))
         if self._snapshot is not None:
             self._snapshot.unpersist()
         snap = self.table.read()
-        if has_at_most(snap, self.small_rows):
+        if obs.get["rows"] <= self.small_rows:
             snap = snap.coalesce(1).sortWithinPartitions(*self._order())
         snap = snap.persist()
         snap.count()  # materialize the cache now, not on the first read
