@@ -141,3 +141,44 @@ def test_cassandra_sink_values():
     assert "'datacenter1': '3'" in ddl[0]
     assert ddl[1].endswith("PRIMARY KEY (id))") and "latency_ms double" in ddl[1]
     assert CassandraSink("ks", "t").write_options() == {"keyspace": "ks", "table": "t"}
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, tmp):
+    from keyflow.streaming.job import start_stream
+
+    src = f"{tmp}/in"
+    _write_batch(spark, src, "b0", [_rec(1, 900)])
+    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id")
+    proc = BatchProcessor(sink, None, clock_ms=lambda: 1000)
+    frame = file_stream(spark, f"{src}/*", spark.createDataFrame([], "value string").schema)
+    query = start_stream(build_stream(frame, USER_MESSAGE), proc, f"{tmp}/ckpt",
+                         trigger="500 milliseconds")
+    try:
+        query.processAllAvailable()
+        _write_batch(spark, src, "b1", [_rec(2, 950)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.id for r in sink.read().collect()) == ["id1", "id2"]
+
+
+def test_flaky_sink_inside_the_stream(spark, tmp):
+    class Flaky(KeyedUpsertTable):
+        calls = 0
+
+        def write_epoch(self, batch, epoch):
+            Flaky.calls += 1
+            if Flaky.calls <= 2:
+                raise OSError("temporarily down")
+            super().write_epoch(batch, epoch)
+
+    src = f"{tmp}/in"
+    _write_batch(spark, src, "b0", [_rec(1, 900), _rec(2, 800)])
+    waits = []
+    sink = Flaky(spark, f"{tmp}/sink", "id")
+    metrics = ParquetTable(spark, f"{tmp}/metrics")
+    proc = BatchProcessor(sink, metrics, clock_ms=lambda: 1000, sleep=waits.append)
+    _stream(spark, src, proc, f"{tmp}/ckpt")
+    assert waits == [1.0, 2.0] and sink.read().count() == 2
+    m = metrics.read().first()
+    assert (m.rows, m.measured, m.p_max) == (2, 2, 200.0)
