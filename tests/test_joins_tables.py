@@ -189,3 +189,20 @@ def test_sizing_for_100tb():
     assert 700_000 < width < 800_000  # ~128 MB per shuffle partition
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert int(sizing_conf(10**6, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_claim_skips_null_flag_and_ledgered_ids(spark):
+    from keyflow.operators import outbox
+
+    fact = spark.createDataFrame(
+        [("a", False, 1), ("b", None, 2), ("c", False, 3), ("d", False, 4), ("e", True, 5)],
+        "id string, kafka_sent boolean, seq int")
+    ledger = spark.createDataFrame([("c", "x")], "id string, claim_id string")
+    got = outbox.claim(fact, ledger, 10, ["seq"], [F.col("id")], key="id",
+                       unsent_condition=F.col("kafka_sent") == F.lit(False)).collect()
+    assert [r.id for r in got] == ["a", "d"]
+    top1 = outbox.claim(fact, ledger, 1, ["seq"], [F.col("id")], key="id",
+                        unsent_condition=F.col("kafka_sent") == F.lit(False)).collect()
+    assert [r.id for r in top1] == ["a"]
+    flagged = {r.id: r.sent for r in outbox.with_sent_flag(fact, ledger).collect()}
+    assert flagged == {"a": False, "b": False, "c": True, "d": False, "e": False}
