@@ -51,3 +51,20 @@ def test_end_to_end(spark, tmp):
     fact = layout.fact.read().select("id", "email")
     assert rows.join(fact, ["id", "email"], "left_anti").count() == 0
     assert rows.filter(F.col("spark_processed_at").isNull()).count() == 0
+
+
+def test_command_line_jobs(spark, tmp, capsys):
+    from keyflow.__main__ import main
+
+    root = f"{tmp}/app"
+    assert main(["ingest", "--root", root, "--n", "120"])["inserted"] == 120
+    assert main(["ingest", "--root", root, "--n", "120"])["inserted"] == 0
+    pub = main(["publish", "--root", root, "--bus", f"{root}/bus", "--batch-size", "100"])
+    assert pub["sent"] == 100 and pub["invalid"] == 0
+    out = main(["stream", "--root", root, "--bus", f"{root}/bus", "--available-now"])
+    assert out["last_batch"]["rows"] == 100
+    cmp_ = main(["compare", "--root", root])
+    assert cmp_["flat_count"] == cmp_["fact_count"] == [{"cnt": 120}]
+    assert sum(r["cnt"] for r in cmp_["rollup_read"]) == 120
+    # the dimension is seeded once: running again adds no second copy
+    assert spark.read.parquet(f"{root}/dim_gender").count() == 2
