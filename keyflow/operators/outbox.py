@@ -14,12 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.operators.joins import anti_join, dim_join
+from keyflow.operators.joins import dim_join
 
 
 def unsent(fact: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
-    """Fact rows whose id is not in the sent ledger."""
-    return anti_join(fact, ledger.select(key), key)
+    """Fact rows whose id is not in the sent ledger.
+
+    The ledger grows without bound, so it gets no broadcast: the join is a
+    sort-merge join (shuffle-free when fact and ledger are bucketed alike),
+    which AQE may still turn into a broadcast from the ledger's measured size.
+    """
+    return fact.join(ledger.select(key), key, "left_anti")
 
 
 def claim(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
@@ -56,5 +61,6 @@ def with_sent_flag(fact: DataFrame, ledger: DataFrame, key: str = "id",
     """
     fk = fact_key or key
     ids = ledger.select(F.col(key).alias("__sent_id")).distinct().withColumn("__hit", F.lit(True))
-    joined = dim_join(fact, ids, F.col(fk).cast("string") == F.col("__sent_id"), "left")
+    # unbounded ledger: planner's join (see ``unsent``)
+    joined = fact.join(ids, F.col(fk).cast("string") == F.col("__sent_id"), "left")
     return joined.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False))).drop("__sent_id", "__hit")

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from keyflow.operators.aggregates import order_by_count
@@ -26,27 +27,55 @@ from keyflow.operators.joins import MAX_BROADCAST_ROWS, anti_join, dim_join, has
 
 
 class ParquetTable:
-    """A Parquet folder on shared storage, read and written by Spark only."""
+    """A Parquet folder on shared storage, read and written by Spark only.
 
-    def __init__(self, spark: SparkSession, path: str):
+    The schema of what this object wrote is remembered, so later reads skip
+    Parquet schema inference (a footer-reading job per read).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType | None = None):
         self.spark = spark
         self.path = path
+        self.schema = schema
+
+    def _reader(self):
+        reader = self.spark.read
+        return reader.schema(self.schema) if self.schema is not None else reader
 
     def exists(self) -> bool:
+        return self.read_if_exists() is not None
+
+    def read(self) -> DataFrame:
+        df = self._reader().parquet(self.path)
+        if self.schema is None:
+            self.schema = df.schema
+        return df
+
+    def read_if_exists(self) -> DataFrame | None:
+        """The table, or None before its first write (one listing)."""
         try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018 - resolves the path
-            return True
+            df = self._reader().parquet(self.path)
+            if not df.inputFiles():  # a declared schema reads an absent folder as empty
+                return None
+            return df
         except AnalysisException:
-            return False
+            return None
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def _remember(self, df: DataFrame, partition_cols: Sequence[str] = ()) -> None:
+        if self.schema is None:
+            fields = [f for f in df.schema.fields if f.name not in partition_cols]
+            fields += [df.schema[c] for c in partition_cols]
+            self.schema = StructType(fields)
 
-    def append(self, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path)
+    def append(self, df: DataFrame, partition_cols: Sequence[str] = ()) -> None:
+        w = df.write.mode("append")
+        (w.partitionBy(*partition_cols) if partition_cols else w).parquet(self.path)
+        self._remember(df, partition_cols)
 
     def overwrite(self, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.path)
+        self.schema = None
+        self._remember(df)
 
 
 class BucketedTable:
@@ -82,6 +111,9 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def read_if_exists(self) -> DataFrame | None:
+        return self.read() if self.exists() else None
+
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str) -> DataFrame:
     """One row per key: the one with the smallest ``order_col`` (arrival order).

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.operators import aggregates as agg
@@ -95,8 +95,9 @@ def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = Non
     parts.append(synth.withColumn("__seq", F.monotonically_increasing_id()))
     users = union_sources(*parts).drop("event_ts_ms")
     rows = _fact_rows(users, layout.dim)
-    if layout.fact.exists():
-        new = tables.insert_if_absent(layout.fact.read(), rows, "id", "__seq")
+    existing = layout.fact.read_if_exists()
+    if existing is not None:
+        new = tables.insert_if_absent(existing, rows, "id", "__seq")
     else:
         new = tables.first_per_key(rows, "id", "__seq").drop("__seq")
     batch = scratch_dir(spark, "ingest_batch")
@@ -112,13 +113,18 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
     """O2 (F3, J1, P3) -> K7 -> F7 -> P4 -> K4 -> A8/A9.
 
     ``send`` receives the ``key, value`` frame (``messages.publish`` for the
-    bus, a Parquet write for the offline twin). The claimed batch is written
-    first, so marking, sending and counting all see the same rows. With
-    ``mark_before_send`` (the reference's order) a crash after marking loses
-    the batch (at most once); without it a crash re-sends it (at least once).
+    bus, a Parquet write for the offline twin). The claimed batch is stored
+    before anything is sent, so marking, sending and counting all see the
+    same rows. With ``mark_before_send`` (the reference's order) the claimed
+    rows are written straight into the ledger as partition
+    ``claim_id=<id>``: one durable write both records and marks the batch,
+    and a crash after it loses the batch (at most once). Without it the batch
+    goes to a scratch folder and the ledger is written after sending (at
+    least once: a crash re-sends it). Valid and invalid counts are observed
+    on that first write.
     """
     fact = layout.fact.read()
-    ledger = layout.ledger.read() if layout.ledger.exists() else None
+    ledger = layout.ledger.read_if_exists()
     projection = ([F.col("id"), F.col("first_name"), F.col("last_name"),
                    F.col("gender_code").alias("gender")]
                   + [F.col(c) for c in MESSAGE_TEXT_FIELDS[4:]])
@@ -126,23 +132,35 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
                            dim=layout.dim.select("gender_id", "gender_code"), dim_on="gender_id",
                            key="id", unsent_condition=F.col("kafka_sent") == F.lit(False))
     claim_id = uuid.uuid4().hex
-    path = scratch_dir(spark, "claim")
-    claimed.write.parquet(path)
-    batch = spark.read.parquet(path)
-    if mark_before_send:
-        layout.ledger.append(outbox.ledger_rows(batch, claim_id))
-    valid, invalid = messages.validity_split(batch)
+    obs = Observation(f"claim_{claim_id}")
+    valid_flag = messages.is_valid()
+    counted = claimed.observe(obs, F.count_if(valid_flag).alias("valid"),
+                              F.count_if(~valid_flag).alias("invalid"))
+    in_ledger = mark_before_send and isinstance(layout.ledger, tables.ParquetTable)
+    if in_ledger:
+        layout.ledger.append(counted.withColumn("claim_id", F.lit(claim_id)), ["claim_id"])
+        batch = spark.read.schema(claimed.schema).parquet(
+            f"{layout.ledger.path}/claim_id={claim_id}")
+    else:
+        path = scratch_dir(spark, "claim")
+        counted.write.parquet(path)
+        batch = spark.read.schema(claimed.schema).parquet(path)
+        if mark_before_send:
+            layout.ledger.append(outbox.ledger_rows(batch, claim_id))
+    valid, _ = messages.validity_split(batch)
     stamped = messages.stamp_send_time(valid, now_ms)
     started = time.monotonic()
     send(messages.to_message(stamped, "username"))
     elapsed_s = time.monotonic() - started
     if not mark_before_send:
         layout.ledger.append(outbox.ledger_rows(batch, claim_id))
-    # the bus write either lands the whole batch or raises: no partial failures
-    log = batch.select(F.col("id"), F.lit(0).alias("failures"),
-                       messages.is_valid().alias("valid"))
-    return agg.delivery_ratios(agg.delivery_counters(log), elapsed_s=elapsed_s,
-                               keep_counters=True)
+    # the bus write either lands the whole batch or raises: nothing sent
+    # needed a retry, nothing failed for good
+    n = obs.get
+    counters = spark.createDataFrame(
+        [(int(n["valid"]), 0, 0, 0, int(n["invalid"]))],
+        "sent long, failed long, retries long, retried long, invalid long")
+    return agg.delivery_ratios(counters, elapsed_s=elapsed_s, keep_counters=True)
 
 
 def file_bus_sender(path: str) -> Callable[[DataFrame], None]:
