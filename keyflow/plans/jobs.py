@@ -173,9 +173,13 @@ def file_bus_sender(path: str) -> Callable[[DataFrame], None]:
 
 
 def refresh_flat(layout: Layout) -> DataFrame:
-    """K3: append fact ids missing from the flat table, codes inlined."""
-    cols = ["id", F.col("gender_code").alias("gender"), "email", "username", "ingested_at"]
-    fact = layout.fact.read().select("id", "gender_id", "email", "username", "ingested_at")
+    """K3: append fact ids missing from the flat table, codes inlined.
+
+    ``ingested_at`` of a flat row is the time it entered the flat table.
+    """
+    cols = ["id", F.col("gender_code").alias("gender"), "email", "username",
+            F.current_timestamp().alias("ingested_at")]
+    fact = layout.fact.read().select("id", "gender_id", "email", "username")
     if layout.flat.exists():
         rows = tables.flat_refresh(layout.flat.read(), fact, layout.dim, "gender_id",
                                    "gender_id", cols)
