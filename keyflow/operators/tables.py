@@ -203,7 +203,9 @@ class KeyedUpsertTable:
         """Write rows carrying an ``_epoch`` column; each epoch's partition is
         replaced as a whole, so a backfill of many epochs is one job."""
         keys = [self.key, self.EPOCH]
-        if self.order_cols:
+        if self.global_order:
+            pass  # the read orders every version by the source's order: no shuffle here
+        elif self.order_cols:
             rows = last_per_key(rows, keys, self.order_cols)
         else:
             rows = rows.dropDuplicates(keys)

@@ -206,3 +206,14 @@ def test_claim_skips_null_flag_and_ledgered_ids(spark):
     assert [r.id for r in top1] == ["a"]
     flagged = {r.id: r.sent for r in outbox.with_sent_flag(fact, ledger).collect()}
     assert flagged == {"a": False, "b": False, "c": True, "d": False, "e": False}
+
+
+def test_global_order_batch_with_duplicates(spark, tmp):
+    sink = tables.KeyedUpsertTable(spark, f"{tmp}/g", "id", order_cols=["_offset"],
+                                   global_order=True)
+    sch = "id string, v string, _offset long"
+    batch = spark.createDataFrame([("a", "1", 1), ("a", "3", 3), ("a", "2", 2)], sch)
+    sink.write_epoch(batch, 0)
+    sink.write_epoch(batch, 0)  # replay: same partition replaced
+    assert [tuple(r) for r in sink.read().collect()] == [("a", "3", 3)]
+    assert sink.versions().count() == 3
