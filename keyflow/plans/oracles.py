@@ -46,6 +46,10 @@ ORACLE_SQL: dict[str, str] = {
                       "(select * from nation where n_regionkey<>0) n on c_nationkey=n_nationkey"),
     "flat_refresh": ("select c_custkey id, case when c_custkey%2=0 then 'old' "
                      "else c_mktsegment end seg from customer"),
+    "gen_expectations": ("select count(*) n, cast(0 as bigint) missing_field, "
+                         "cast(0 as bigint) bad_uuid, cast(0 as bigint) bad_gender, "
+                         "cast(0 as bigint) ts_out_of_range, cast(0 as bigint) dup_id "
+                         "from customer"),
     "gen_fact_series": ("select g, cast(g%2+1 as integer) dim_id, concat('u',g,'@x.com') email, "
                         "concat('user',g) username, "
                         "case when g%2=0 then 'male' else 'female' end gender "

@@ -25,10 +25,10 @@ from keyflow.plans.mapping import (
     publish_bus,
     truncate_payloads,
 )
-from keyflow.schemas import EVENT_MESSAGE, SENT_LEDGER
+from keyflow.schemas import EVENT_MESSAGE, SENT_LEDGER, USER_MESSAGE
 from keyflow.session import scratch_dir
 from keyflow.sources.api import explode_pages
-from keyflow.sources.generator import fact_series, generate_users
+from keyflow.sources.generator import GENDERS, fact_series, generate_users
 from keyflow.sources.stream import file_stream
 from keyflow.sources.tables import read_table
 from keyflow.streaming.job import BatchProcessor, build_stream, run_available_now
@@ -92,6 +92,19 @@ def gen_users(spark, sf):
     return users.select(F.col("key").alias("id"), F.col("id").alias("uuid"))
 
 
+def gen_expectations(spark, sf):
+    """S5 + D1: the generator's record rules checked over one user per
+    customer key (the reference's generator tests, as one distributed pass)."""
+    keys = _t(spark, sf, "customer", "c_custkey")
+    users = generate_users(keys, "c_custkey", seed=42, now_ms=BATCH_START_MS)
+    rules = checks.record_violations(
+        [f.name for f in USER_MESSAGE.fields], domain={"gender": GENDERS},
+        ts_col="event_ts_ms", ts_range=(BATCH_START_MS, BATCH_START_MS))
+    suite = checks.expectations(users, "id", rules)
+    return suite.select("n", "missing_field", "bad_uuid", "bad_gender", "ts_out_of_range",
+                        F.col("dup_id").alias("dup_id"))
+
+
 def gen_fact_series(spark, sf):
     """The benchmark's sequence rows, as many as lineitem has rows."""
     n = agg.count_all(_t(spark, sf, "lineitem")).first()["cnt"]
@@ -466,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "expectations": expectations,
     "fact_dim_left": fact_dim_left,
     "flat_refresh": flat_refresh,
+    "gen_expectations": gen_expectations,
     "gen_fact_series": gen_fact_series,
     "gen_users": gen_users,
     "insert_if_absent": insert_if_absent,
