@@ -44,6 +44,7 @@ class Layout:
     ledger: Table                    # sent ledger (id, claim_id)
     flat: Table                      # users_baseline
     rollup: tables.RollupTable       # mv_gender_counts
+    claims: tables.ParquetTable | None = None  # claim log: claim_id, hi_ts, hi_id, rows
 
 
 def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
@@ -53,6 +54,7 @@ def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
         ledger=tables.ParquetTable(spark, f"{root}/sent_ledger"),
         flat=tables.ParquetTable(spark, f"{root}/users_baseline"),
         rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts", label="gender_label"),
+        claims=tables.ParquetTable(spark, f"{root}/claims"),
     )
 
 
@@ -67,7 +69,8 @@ def new_bucketed_layout(spark: SparkSession, root: str, dim: DataFrame, buckets:
     return Layout(fact=bucketed("users_raw"), dim=dim, ledger=bucketed("sent_ledger"),
                   flat=bucketed("users_baseline"),
                   rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts",
-                                            label="gender_label"))
+                                            label="gender_label"),
+                  claims=tables.ParquetTable(spark, f"{root}/claims"))
 
 
 def _fact_rows(users: DataFrame, dim: DataFrame) -> DataFrame:
@@ -109,7 +112,7 @@ def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = Non
 
 def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], None],
             batch_size: int = CLAIM_BATCH, now_ms: int | None = None,
-            mark_before_send: bool = True) -> DataFrame:
+            mark_before_send: bool = True, use_watermark: bool = True) -> DataFrame:
     """O2 (F3, J1, P3) -> K7 -> F7 -> P4 -> K4 -> A8/A9.
 
     ``send`` receives the ``key, value`` frame (``messages.publish`` for the
@@ -122,20 +125,38 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
     goes to a scratch folder and the ledger is written after sending (at
     least once: a crash re-sends it). Valid and invalid counts are observed
     on that first write.
+
+    With ``use_watermark`` (and a claims log) only fact rows after the last
+    claim are read (``outbox.claim_after``); otherwise the whole fact table
+    is anti-joined with the ledger.
     """
     fact = layout.fact.read()
     ledger = layout.ledger.read_if_exists()
     projection = ([F.col("id"), F.col("first_name"), F.col("last_name"),
                    F.col("gender_code").alias("gender")]
-                  + [F.col(c) for c in MESSAGE_TEXT_FIELDS[4:]])
-    claimed = outbox.claim(fact, ledger, batch_size, ["ingested_at", "id"], projection,
-                           dim=layout.dim.select("gender_id", "gender_code"), dim_on="gender_id",
-                           key="id", unsent_condition=F.col("kafka_sent") == F.lit(False))
+                  + [F.col(c) for c in MESSAGE_TEXT_FIELDS[4:]] + [F.col("ingested_at")])
+    unsent_flag = F.col("kafka_sent") == F.lit(False)
+    dim = layout.dim.select("gender_id", "gender_code")
+    log = layout.claims.read_if_exists() if (use_watermark and layout.claims) else None
+    if use_watermark and layout.claims is not None:
+        mark = None
+        if log is not None:
+            # one row per claim: the newest watermark is a scalar
+            last = log.agg(F.max(F.struct("hi_ts", "hi_id")).alias("m")).first()["m"]
+            mark = (last.hi_ts, last.hi_id) if last is not None else None
+        claimed = outbox.claim_after(fact, ledger, batch_size, "ingested_at", "id", projection,
+                                     mark, dim=dim, dim_on="gender_id",
+                                     unsent_condition=unsent_flag)
+    else:
+        claimed = outbox.claim(fact, ledger, batch_size, ["ingested_at", "id"], projection,
+                               dim=dim, dim_on="gender_id", key="id",
+                               unsent_condition=unsent_flag)
     claim_id = uuid.uuid4().hex
     obs = Observation(f"claim_{claim_id}")
     valid_flag = messages.is_valid()
     counted = claimed.observe(obs, F.count_if(valid_flag).alias("valid"),
-                              F.count_if(~valid_flag).alias("invalid"))
+                              F.count_if(~valid_flag).alias("invalid"),
+                              F.max(F.struct("ingested_at", "id")).alias("hi"))
     in_ledger = mark_before_send and isinstance(layout.ledger, tables.ParquetTable)
     if in_ledger:
         layout.ledger.append(counted.withColumn("claim_id", F.lit(claim_id)), ["claim_id"])
@@ -147,16 +168,28 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
         batch = spark.read.schema(claimed.schema).parquet(path)
         if mark_before_send:
             layout.ledger.append(outbox.ledger_rows(batch, claim_id))
-    valid, _ = messages.validity_split(batch)
+    n = obs.get
+
+    def log_watermark() -> None:
+        # only after the ledger holds the claim: rows below the mark are claimed
+        if layout.claims is not None and n["hi"] is not None:
+            layout.claims.append(spark.createDataFrame(
+                [(claim_id, n["hi"]["ingested_at"], n["hi"]["id"],
+                  int(n["valid"] + n["invalid"]))],
+                "claim_id string, hi_ts timestamp, hi_id string, rows long"))
+
+    if mark_before_send:
+        log_watermark()
+    valid, _ = messages.validity_split(batch.drop("ingested_at"))
     stamped = messages.stamp_send_time(valid, now_ms)
     started = time.monotonic()
     send(messages.to_message(stamped, "username"))
     elapsed_s = time.monotonic() - started
     if not mark_before_send:
         layout.ledger.append(outbox.ledger_rows(batch, claim_id))
+        log_watermark()
     # the bus write either lands the whole batch or raises: nothing sent
     # needed a retry, nothing failed for good
-    n = obs.get
     counters = spark.createDataFrame(
         [(int(n["valid"]), 0, 0, 0, int(n["invalid"]))],
         "sent long, failed long, retries long, retried long, invalid long")

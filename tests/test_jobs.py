@@ -83,8 +83,27 @@ def test_publish_at_least_once_marks_after_send(spark, tmp):
     except OSError:
         pass
     assert not layout.ledger.exists()  # nothing marked: the next run sends them
+    assert not layout.claims.exists()  # and the watermark did not move past them
     try:
         jobs.publish(spark, layout, broken, batch_size=10, mark_before_send=True)
     except OSError:
         pass
     assert layout.ledger.read().count() == 10  # marked first: at most once
+
+
+def test_watermark_claims_match_full_scan(spark, tmp):
+    """Claims by watermark and claims by full anti join pick the same rows."""
+    dim = gender_dimension(spark)
+    ids = {}
+    for mode in (True, False):
+        layout = jobs.new_layout(spark, f"{tmp}/{mode}", dim)
+        jobs.ingest(spark, layout, None, n_synthetic=150, now_ms=1)
+        frames = []
+        jobs.publish(spark, layout, frames.append, batch_size=60, use_watermark=mode)
+        jobs.ingest(spark, layout, None, n_synthetic=100, now_ms=1, offset=1000)
+        for _ in range(4):
+            jobs.publish(spark, layout, frames.append, batch_size=60, use_watermark=mode)
+        ids[mode] = [sorted(r.id for r in parse_messages(f, USER_MESSAGE).collect())
+                     for f in frames]
+        assert sum(len(x) for x in ids[mode]) == 250
+    assert ids[True] == ids[False]
