@@ -45,6 +45,8 @@ class Layout:
     flat: Table                      # users_baseline
     rollup: tables.RollupTable       # mv_gender_counts
     claims: tables.ParquetTable | None = None  # claim log: claim_id, hi_ts, hi_id, rows
+    # the last watermark this process logged (the log is the durable copy)
+    last_mark: tuple | None = None
 
 
 def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
@@ -137,9 +139,9 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
                   + [F.col(c) for c in MESSAGE_TEXT_FIELDS[4:]] + [F.col("ingested_at")])
     unsent_flag = F.col("kafka_sent") == F.lit(False)
     dim = layout.dim.select("gender_id", "gender_code")
-    log = layout.claims.read_if_exists() if (use_watermark and layout.claims) else None
     if use_watermark and layout.claims is not None:
-        mark = None
+        mark = layout.last_mark
+        log = layout.claims.read_if_exists() if mark is None else None
         if log is not None:
             # one row per claim: the newest watermark is a scalar
             last = log.agg(F.max(F.struct("hi_ts", "hi_id")).alias("m")).first()["m"]
@@ -177,6 +179,7 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
                 [(claim_id, n["hi"]["ingested_at"], n["hi"]["id"],
                   int(n["valid"] + n["invalid"]))],
                 "claim_id string, hi_ts timestamp, hi_id string, rows long"))
+            layout.last_mark = (n["hi"]["ingested_at"], n["hi"]["id"])
 
     if mark_before_send:
         log_watermark()
