@@ -46,6 +46,9 @@ def claim(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
     return rows.orderBy(*order_by).limit(batch_size).select(*projection)
 
 
+SEEN = "__claimed_before"
+
+
 def after_watermark(fact: DataFrame, ts_col: str, key: str, watermark) -> DataFrame:
     """Fact rows ordered after ``watermark = (ts, key)`` in ``(ts_col, key)`` order.
 
@@ -63,7 +66,8 @@ def after_watermark(fact: DataFrame, ts_col: str, key: str, watermark) -> DataFr
 def claim_after(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
                 ts_col: str, key: str, projection: Sequence[Column], watermark,
                 dim: DataFrame | None = None, dim_on: str | list[str] | Column | None = None,
-                unsent_condition: Column | None = None) -> DataFrame:
+                unsent_condition: Column | None = None,
+                ledger_after: str | None = None) -> DataFrame:
     """Claim by watermark (O2 at scale): the oldest ``batch_size`` rows after
     the last claim's ``(ts, key)``, minus any already in the ledger.
 
@@ -75,18 +79,32 @@ def claim_after(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
     shuffle of the fact table or the ledger. A claim interrupted after its
     ledger write but before its watermark was logged only shrinks the next
     claim (those ids are dropped here); nothing is claimed twice.
+
+    Claim ids sort by time, so only claims after the last logged one
+    (``ledger_after``) can hold such ids: the ledger is read from those
+    partitions only (normally none).
+
+    Candidates found in the ledger are kept but flagged ``SEEN`` so that
+    the caller can still move the watermark past them; only unflagged rows
+    are claimed.
     """
     rows = after_watermark(fact, ts_col, key, watermark)
     if unsent_condition is not None:
         rows = rows.filter(unsent_condition)
     top = rows.orderBy(ts_col, key).limit(batch_size)
     if ledger is not None:
+        if ledger_after is not None:
+            ledger = ledger.filter(F.col("claim_id") > F.lit(ledger_after))
         keys = top.select(key)  # at most batch_size rows: a proven bound
-        seen = ledger.select(key).join(F.broadcast(keys), key, "left_semi")
-        top = top.join(F.broadcast(seen), key, "left_anti")
+        seen = (ledger.select(key).join(F.broadcast(keys), key, "left_semi")
+                .select(key, F.lit(True).alias(SEEN)))
+        top = top.join(F.broadcast(seen), key, "left")
+    else:
+        top = top.withColumn(SEEN, F.lit(None).cast("boolean"))
+    top = top.withColumn(SEEN, F.coalesce(F.col(SEEN), F.lit(False)))
     if dim is not None:
         top = dim_join(top, dim, dim_on, "left")
-    return top.select(*projection)
+    return top.select(*projection, SEEN)
 
 
 def ledger_rows(claimed: DataFrame, claim_id: str, key: str = "id") -> DataFrame:

@@ -144,53 +144,74 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
         log = layout.claims.read_if_exists() if mark is None else None
         if log is not None:
             # one row per claim: the newest watermark is a scalar
-            last = log.agg(F.max(F.struct("hi_ts", "hi_id")).alias("m")).first()["m"]
-            mark = (last.hi_ts, last.hi_id) if last is not None else None
+            last = log.agg(F.max(F.struct("hi_ts", "hi_id", "claim_id")).alias("m")).first()["m"]
+            mark = (last.hi_ts, last.hi_id, last.claim_id) if last is not None else None
         claimed = outbox.claim_after(fact, ledger, batch_size, "ingested_at", "id", projection,
-                                     mark, dim=dim, dim_on="gender_id",
-                                     unsent_condition=unsent_flag)
+                                     mark[:2] if mark else None, dim=dim, dim_on="gender_id",
+                                     unsent_condition=unsent_flag,
+                                     ledger_after=mark[2] if mark else None)
     else:
         claimed = outbox.claim(fact, ledger, batch_size, ["ingested_at", "id"], projection,
                                dim=dim, dim_on="gender_id", key="id",
                                unsent_condition=unsent_flag)
-    claim_id = uuid.uuid4().hex
+    # time first, so that claim ids sort in claim order
+    claim_id = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:12]}"
     obs = Observation(f"claim_{claim_id}")
+    fresh = ~F.col(outbox.SEEN) if outbox.SEEN in claimed.columns else F.lit(True)
     valid_flag = messages.is_valid()
-    counted = claimed.observe(obs, F.count_if(valid_flag).alias("valid"),
-                              F.count_if(~valid_flag).alias("invalid"),
+    # the watermark covers every candidate, also those an interrupted claim
+    # already took; the counts and the write cover the fresh rows only
+    counted = claimed.observe(obs, F.count_if(fresh & valid_flag).alias("valid"),
+                              F.count_if(fresh & ~valid_flag).alias("invalid"),
                               F.max(F.struct("ingested_at", "id")).alias("hi"))
-    in_ledger = mark_before_send and isinstance(layout.ledger, tables.ParquetTable)
-    if in_ledger:
-        layout.ledger.append(counted.withColumn("claim_id", F.lit(claim_id)), ["claim_id"])
-        batch = spark.read.schema(claimed.schema).parquet(
-            f"{layout.ledger.path}/claim_id={claim_id}")
+    rows = counted.filter(fresh).drop(outbox.SEEN)
+    schema = rows.schema
+    partitioned = isinstance(layout.ledger, tables.ParquetTable)
+
+    def mark(claimed_rows: DataFrame) -> None:
+        """Record the claim in the ledger (K7): a ``claim_id=<id>`` partition
+        of a Parquet ledger, or ``(id, claim_id)`` rows of a bucketed one."""
+        if partitioned:
+            layout.ledger.append(claimed_rows.withColumn("claim_id", F.lit(claim_id)),
+                                 ["claim_id"])
+        else:
+            layout.ledger.append(outbox.ledger_rows(claimed_rows, claim_id))
+
+    if mark_before_send and partitioned:
+        # one write both stores the batch and marks it
+        mark(rows)
+        part = f"{layout.ledger.path}/claim_id={claim_id}"
     else:
-        path = scratch_dir(spark, "claim")
-        counted.write.parquet(path)
-        batch = spark.read.schema(claimed.schema).parquet(path)
-        if mark_before_send:
-            layout.ledger.append(outbox.ledger_rows(batch, claim_id))
+        part = scratch_dir(spark, "claim")
+        rows.write.parquet(part)
     n = obs.get
+    claimed_rows = int(n["valid"] + n["invalid"])
+    batch = spark.read.schema(schema).parquet(part) if claimed_rows else None
 
     def log_watermark() -> None:
         # only after the ledger holds the claim: rows below the mark are claimed
         if layout.claims is not None and n["hi"] is not None:
             layout.claims.append(spark.createDataFrame(
-                [(claim_id, n["hi"]["ingested_at"], n["hi"]["id"],
-                  int(n["valid"] + n["invalid"]))],
+                [(claim_id, n["hi"]["ingested_at"], n["hi"]["id"], claimed_rows)],
                 "claim_id string, hi_ts timestamp, hi_id string, rows long"))
-            layout.last_mark = (n["hi"]["ingested_at"], n["hi"]["id"])
+            layout.last_mark = (n["hi"]["ingested_at"], n["hi"]["id"], claim_id)
 
-    if mark_before_send:
-        log_watermark()
-    valid, _ = messages.validity_split(batch.drop("ingested_at"))
-    stamped = messages.stamp_send_time(valid, now_ms)
-    started = time.monotonic()
-    send(messages.to_message(stamped, "username"))
-    elapsed_s = time.monotonic() - started
-    if not mark_before_send:
-        layout.ledger.append(outbox.ledger_rows(batch, claim_id))
+    if batch is None:
+        log_watermark()  # nothing new, but the mark moves past taken rows
+    elif mark_before_send:
+        if not partitioned:
+            mark(batch)
         log_watermark()
+    elapsed_s = 0.0
+    if batch is not None:
+        valid, _ = messages.validity_split(batch.drop("ingested_at"))
+        stamped = messages.stamp_send_time(valid, now_ms)
+        started = time.monotonic()
+        send(messages.to_message(stamped, "username"))
+        elapsed_s = time.monotonic() - started
+        if not mark_before_send:
+            mark(batch)
+            log_watermark()
     # the bus write either lands the whole batch or raises: nothing sent
     # needed a retry, nothing failed for good
     counters = spark.createDataFrame(
