@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from keyflow.operators.tables import ParquetTable, insert_if_absent
 from keyflow.plans import jobs
 from keyflow.schemas import DIM_GENDER, USER_MESSAGE
-from keyflow.session import build_session
+from keyflow.session import build_session, default_parallelism
 from keyflow.sources.api import read_payloads
 from keyflow.sources.generator import gender_dimension
 from keyflow.sources.stream import file_stream, kafka_stream
 from keyflow.streaming.job import BatchProcessor, build_stream, run_available_now, start_stream
-from keyflow.streaming.sinks import CassandraSink
+from keyflow.streaming.sinks import CassandraSink, cassandra_session_conf
 
 
 def ensure_dimension(spark: SparkSession, root: str) -> DataFrame:
@@ -82,14 +82,15 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.cmd == "stream":
         if args.kafka:
             source = kafka_stream(spark, args.kafka,
-                                  min_partitions=spark.sparkContext.defaultParallelism)
+                                  min_partitions=default_parallelism(spark))
         elif args.bus:
             source = file_stream(spark, args.bus, spark.createDataFrame(
                 [], "key binary, value binary").schema)
         else:
             ap.error("stream needs --bus or --kafka")
         if args.cassandra:
-            sink = CassandraSink(args.keyspace, args.table)
+            sink = CassandraSink(args.keyspace, args.table,
+                                 cassandra_session_conf(args.cassandra.split(",")))
         else:
             from keyflow.operators.tables import KeyedUpsertTable
             sink = KeyedUpsertTable(spark, f"{args.root}/tables/created_users", "id")

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyflow.session import default_parallelism
+
 DEFAULT_CHUNK = 1 << 16
 
 
@@ -46,7 +48,7 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     if df.isStreaming:  # micro-batches are spread by the source's own splits
         return df
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        want = min_partitions or default_parallelism(df.sparkSession)
         have = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: leave the plan as it is
         return df

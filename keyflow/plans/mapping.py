@@ -22,6 +22,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from keyflow.functions.scalars import epoch_ms
 from keyflow.operators.messages import to_message
 from keyflow.operators.partitioning import ensure_parallel
+from keyflow.session import default_parallelism
 
 # the fixed processing clock of the oracle-checked queries (2024-02-01T00:00:00Z)
 BATCH_START_MS = 1706745600000
@@ -75,7 +76,7 @@ def publish_bus(events: DataFrame, path: str, drop_ts_when: Column | None = None
     not with the six bus partitions.
     """
     spark = events.sparkSession
-    tasks = tasks or max(BUS_PARTITIONS, spark.sparkContext.defaultParallelism)
+    tasks = tasks or max(BUS_PARTITIONS, default_parallelism(spark))
     bus_part = F.pmod(F.col("user_id"), F.lit(BUS_PARTITIONS))
     ranged = events.repartitionByRange(tasks, bus_part, F.col("event_id"))
     frame = event_frame(ranged, drop_ts_when, spread=False)

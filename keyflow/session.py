@@ -84,18 +84,39 @@ def build_session(master: str | None = None, app: str = "keyflow",
                 spark.conf.set(k, v)
             except Exception:  # static conf of an already running session
                 pass
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (a remote client)
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (``spark.default.parallelism`` without a context)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    try:
+        return int(spark.conf.get("spark.default.parallelism"))
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``); set a private temporary
     one only where the session has none, as in local tests.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not root:
         try:
             root = spark.conf.get("spark.checkpoint.dir")
@@ -103,13 +124,15 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = None
     if root:
         return root.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
-        # setCheckpointDir appends a random child; use its parent-level folder
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="keyflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir().rstrip("/")
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
