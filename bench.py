@@ -79,9 +79,13 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times for later reading, written to a scratch folder
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = build_session(f"local[{cpus}]", app="keyflow-bench",
-                          shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.driver.memory": "16g"})
+                          shuffle_partitions=int(cpus) * 2, extra=extra)
     results: dict[str, float] = {}
     for name in [q for q in (only or HEADLINE) if q in QUERIES]:
         results[name] = round(_time(lambda n=name: _run(QUERIES[n](spark, sf_dir)), runs), 4)
