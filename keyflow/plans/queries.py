@@ -232,8 +232,10 @@ def flat_refresh(spark, sf):
 def upsert_latest(spark, sf):
     """K5: events applied as weekly epochs; the latest version per user wins."""
     events = _t(spark, sf, "events", "user_id", "event_type", "value", "ts", "event_id")
+    # (ts, event_id) is the source's own order: epochs are written as they
+    # come (no per-epoch shuffle) and the read keeps the latest per user
     sink = tables.KeyedUpsertTable(spark, scratch_dir(spark, "created_users"), "id",
-                                   order_cols=["ts", "event_id"])
+                                   order_cols=["ts", "event_id"], global_order=True)
     week = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(7 * 86400))
     sink.write_epochs(events.select(F.col("user_id").alias("id"), "event_type", "value",
                                     "ts", "event_id", week.alias(sink.EPOCH)))
