@@ -128,10 +128,15 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str) -> Da
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
-def last_per_key(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """One row per key: the one with the largest ``(order_cols...)``."""
+def last_per_key(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[str],
+                 value_cols: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the one with the largest ``(order_cols...)``.
+
+    ``value_cols`` limits the carried row to those columns (the rest never
+    enters the shuffle); by default every non-key column is kept.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
+    rest = list(value_cols) if value_cols is not None else [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*order_cols)).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
@@ -220,12 +225,13 @@ class KeyedUpsertTable:
         """Every written version of every key, with its epoch."""
         return self.spark.read.parquet(self.path)
 
-    def read(self) -> DataFrame:
-        """Current table: the latest version of each key."""
+    def read(self, columns: Sequence[str] | None = None) -> DataFrame:
+        """Current table: the latest version of each key (``columns`` only,
+        if given, besides the key)."""
         order = ([*self.order_cols, self.EPOCH] if self.global_order
                  else [self.EPOCH, *self.order_cols])
-        latest = last_per_key(self.versions(), self.key, order)
-        return latest.drop(self.EPOCH)
+        latest = last_per_key(self.versions(), self.key, order, columns)
+        return latest.drop(self.EPOCH) if columns is None else latest
 
     def compact_to(self, path: str) -> None:
         """Write the current table as one snapshot (epoch of the newest version)."""

@@ -239,7 +239,7 @@ def upsert_latest(spark, sf):
     week = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(7 * 86400))
     sink.write_epochs(events.select(F.col("user_id").alias("id"), "event_type", "value",
                                     "ts", "event_id", week.alias(sink.EPOCH)))
-    return sink.read().select("id", "event_type", "value")
+    return sink.read(["event_type", "value"])
 
 
 def _rollup_table(spark, sf) -> tables.RollupTable:
@@ -449,13 +449,13 @@ def _stream_into(spark, sf, epochs: int | None = None,
 def stream_enrich(spark, sf):
     """The streaming job over the published events."""
     sink, _ = _stream_into(spark, sf)
-    return sink.read().select("id", "latency_ms")
+    return sink.read(["latency_ms"])
 
 
 def stream_replay(spark, sf):
     """Three epochs, restart on the same checkpoint, epoch 0 applied again."""
     sink, _ = _stream_into(spark, sf, epochs=3, replay_epoch0=True, restart=True)
-    return sink.read().select("id", "latency_ms")
+    return sink.read(["latency_ms"])
 
 
 def batch_metrics(spark, sf):
