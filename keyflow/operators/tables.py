@@ -159,7 +159,8 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
         # a broadcast probe over the target's key column (a scan, no shuffle
         # of the target), then drop them from the load
         existing = target.select(key).join(F.broadcast(batch_keys), key, "left_semi")
-        return batch.join(existing, key, "left_anti")
+        # existing keys are a subset of the load's keys: the same proven bound
+        return batch.join(F.broadcast(existing), key, "left_anti")
     return anti_join(batch, target.select(key), key)
 
 

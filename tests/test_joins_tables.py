@@ -231,3 +231,19 @@ def test_upsert_compaction_keeps_current_rows(spark, tmp):
     # the snapshot continues as a table: later epochs still win
     snap.write_epoch(spark.createDataFrame([("b", "b2", 1)], sch), 2)
     assert {r.id: r.v for r in snap.read().collect()} == {"a": "a1", "b": "b2"}
+
+
+def test_small_load_never_shuffles_the_target(spark, tmp):
+    target = tables.ParquetTable(spark, f"{tmp}/big")
+    target.overwrite(spark.range(0, 5000).select(F.col("id").cast("string").alias("id"),
+                                                  F.lit("x").alias("v")))
+    load = spark.createDataFrame([("1", "new"), ("99999", "new")], "id string, v string")
+    rows = tables.insert_if_absent(target.read(), load, "id")
+    plan = _plan(rows)
+    # the target's key column is probed by a broadcast of the load's keys
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    # the only exchange is the load's own dedupe: the target is never shuffled
+    target_side = plan[plan.index("LeftSemi"):]
+    assert "Exchange hashpartitioning" not in target_side.split("BroadcastExchange")[0]
+    assert plan.count("Exchange hashpartitioning") <= 2  # load dedupe + load key set
+    assert sorted(r.id for r in rows.collect()) == ["99999"]
