@@ -58,15 +58,18 @@ FROM r
 
 _NEAR = rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'),
-    x -> x <> '') AS w FROM documents),
-s AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3),
-                                      i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
-n AS (SELECT doc_id, len(s) AS n FROM s),
-e AS (SELECT doc_id, unnest(s) AS e FROM s),
+  SELECT doc_id, unnest(list_filter(x, lambda y: y <> '')) AS w,
+         generate_subscripts(list_filter(x, lambda y: y <> ''), 1) AS pos
+  FROM (SELECT doc_id, regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+') AS x
+    FROM documents)),
+g AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id) AS words,
+         string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY pos
+                                  ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS e FROM w),
+e AS (SELECT DISTINCT doc_id, e FROM g WHERE pos <= greatest(words - 4, 1)),
+n AS (SELECT d.doc_id, count(e.e) AS n FROM documents d LEFT JOIN e ON e.doc_id = d.doc_id
+      GROUP BY d.doc_id),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.e = b.e AND a.doc_id <> b.doc_id
   JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
@@ -87,8 +90,8 @@ l AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 t AS (
   SELECT row, pos, line, list_transform(list_filter(
-    regexp_split_to_array(line, '[ \t\x0B\f\r]+'), x -> x <> ''),
-    x -> CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS tokens FROM l),
+    regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda x: x <> ''),
+    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS tokens FROM l),
 u AS (
   SELECT line, any_value(tokens) AS tokens, count(DISTINCT row) AS docs,
          len(any_value(tokens)) AS size,
