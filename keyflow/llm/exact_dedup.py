@@ -63,6 +63,8 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     groups = (rows.join(suspects, ["n_norm", "prefix"], "left_semi")
               .groupBy("sha").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
               .filter("n > 1"))
+    # written, so that the last join shuffles both sides itself and a hot group is split
+    groups = materialize(groups, "exact-groups")
 
     alone = F.col("n").isNull()
     return rows.join(groups, "sha", "left").select(
