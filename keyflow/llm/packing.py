@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,8 @@ TAIL = 128
 #: pieces that one worker packs
 PIECES_PER_BUCKET = 100_000
 MERGE = 64
-#: words whose ids a worker keeps
-WORDS_KEPT = 400_000
+#: words whose ids a worker keeps, at most twice as many
+WORDS_KEPT = 500_000
 
 
 def cut_points(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:
@@ -59,6 +60,30 @@ def cut_points(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:
     return [*out, rest] if rest else out
 
 
+class _Ids(dict):
+    """ids of words as little-endian 32-bit bytes; old words make room for new ones."""
+
+    def __init__(self, tokenize, kept: int = WORDS_KEPT):
+        super().__init__()
+        self.tokenize, self.kept, self.older = tokenize, kept, {}
+        # the byte-level alphabet: printable bytes stand for themselves, the others
+        # for the characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in set(plain)]
+        self.alphabet = {b: chr(256 + k) for k, b in enumerate(rest)}
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.older.get(word)
+        if out is None:
+            spelt = word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+            out = array("I", [t.id for t in self.tokenize(spelt)]).tobytes()
+        if len(self) >= self.kept:
+            self.older = dict(self)
+            self.clear()
+        self[word] = out
+        return out
+
+
 class WordTokens:
     """ids of a text as little-endian 32-bit bytes, by words where that is exact.
 
@@ -78,27 +103,18 @@ class WordTokens:
         inside = "".join(map(re.escape, letters))
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{inside}]+|[{re.escape(numbers)}]"
                                 f"|[^{re.escape(space + numbers)}{inside}]+").findall
-        self.strange = re.compile("[^\x00-\u012f\u0131-\u017f]|<\\|").search
-        self.kept: dict[str, bytes] = {}
+        self.strange = re.compile("[^\x00-\u012f\u0131-\u017f]").search
+        self.kept = _Ids(self.tokenizer.model.tokenize)
 
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if self.strange(text):
+        if "<|" in text or not text.isascii() and self.strange(text):
             return self.encode(text)
-        words, kept = self.words(text.lower()), self.kept
-        try:
-            return b"".join([kept[w] for w in words])
-        except KeyError:
-            if len(kept) > WORDS_KEPT:
-                kept.clear()
-            new = [w for w in dict.fromkeys(words) if w not in kept]
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False),
-                            strict=True):
-                kept[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-            return b"".join([kept[w] for w in words])
+        kept = self.kept
+        return b"".join([kept[w] for w in self.words(text.lower())])
 
 
 _TOKENS: dict[str, WordTokens] = {}
