@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.session import scratch_dir
+from keyflow.session import default_parallelism, scratch_dir
 
 GZIP_LEVEL = 6
 RANGE_BYTES = 4 << 20
 #: bytes inflated to tell whether a candidate is a record
 PROBE = 512
+#: compressed bytes inflated at a time
+STEP = 16 << 10
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -124,9 +126,10 @@ def _inflate(r: _Range, at: int, most: int = 0) -> tuple[bytes, int] | None:
         while not z.eof:
             if pos >= len(r.data) and not r.more():
                 return None
-            chunk = r.data[pos:]
-            out.append(z.decompress(chunk, most) if most else z.decompress(chunk))
-            pos = len(r.data)
+            # a small step at a time: what is left over of it is copied
+            chunk = r.data[pos:pos + (PROBE if most else STEP)]
+            out.append(z.decompress(chunk, most))
+            pos += len(chunk)
             if most:
                 break
     except zlib.error:
@@ -169,8 +172,10 @@ def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES,
     ranges = (files.select("path", "length",
                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step))
                            .alias("begin"))
-              .select("path", "begin", F.least(F.col("begin") + step, F.col("length")).alias("end"))
-              .repartition("path", "begin"))
+              .select("path", "begin", F.least(F.col("begin") + step, F.col("length")).alias("end")))
+    # a task for each range, up to some for each core: they are few rows, but much work
+    tasks = min(max(1, ranges.count()), 16 * default_parallelism(spark))
+    ranges = ranges.repartition(tasks)
     kinds = [("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()),
              ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
              ("record_type", pa.string()), ("refers_to", pa.int64())]
