@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, text_or_empty
@@ -162,11 +162,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             .groupBy("sig").agg(F.first("elements").alias("elements")))
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    ends = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig")))
-    wanted = nodes.join(ends.distinct(), "sig", "left_semi")
-    sets = materialize(full_sets(docs, wanted), "near-sets")
 
     def confirm(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -288,6 +285,7 @@ def remaining_links(members: DataFrame, sets: DataFrame, percent: int,
                        F.ceil(F.col("all") / block).cast("int").alias("blocks"),
                        F.ceil((F.col("all") - F.col("top.own")) / block).cast("int")
                        .alias("left_blocks")))
+    largest = materialize(largest, "near-largest")
     rows = (members.join(largest, in_bucket).join(sets, "sig")
             .withColumn("last", F.col("group") == F.col("top")))
     place = F.xxhash64("sig")
@@ -311,8 +309,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                              F.first("n").alias("n"), F.first("bands").alias("bands")),
                         "near-nodes")
     members = nodes.select("sig", F.posexplode("bands").alias("band", "key"))
-    sizes = (members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"))
-             .filter("size > 1"))
+    # small aggregates are written before they are joined: the join then shuffles
+    # both sides itself, and adaptive execution splits a hot bucket
+    sizes = materialize(members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"))
+                        .filter("size > 1"), "near-sizes")
     members = materialize(members.join(sizes, ["band", "key"]), "near-members")
     # the node that meets most others is nearest to the middle of its group
     met = members.groupBy("sig").agg(F.sum("size").alias("met"))
@@ -321,28 +321,30 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     stars = (members.join(hubs, ["band", "key"]).filter("sig <> hub")
              .select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct())
-    links = materialize(confirmed(plausible(stars, nodes, percent), nodes, docs, percent),
-                        "near-links")
+    # the texts are read again once, for the nodes that meet another
+    meeting = nodes.join(members.select("sig").distinct(), "sig", "left_semi")
+    sets = materialize(full_sets(docs, meeting), "near-sets")
+    links = materialize(confirmed(plausible(stars, nodes, percent), sets, percent), "near-links")
     groups = components(links)
 
     labelled = (members.filter("size > 2").join(hubs, ["band", "key"])
                 .join(groups.withColumnRenamed("node", "sig"), "sig", "left")
                 .withColumn("group", F.coalesce("component", "sig")).drop("component"))
     labelled = materialize(labelled, "near-buckets")
-    mixed_ = (labelled.groupBy("band", "key").agg(F.min("group").alias("lo"),
-                                                  F.max("group").alias("hi"))
-              .filter("lo <> hi").select("band", "key"))
+    mixed_ = materialize(labelled.groupBy("band", "key")
+                         .agg(F.min("group").alias("lo"), F.max("group").alias("hi"))
+                         .filter("lo <> hi").select("band", "key"), "near-open")
     left_over = materialize(labelled.join(mixed_, ["band", "key"], "left_semi")
                             .join(nodes.select("sig", "n", "bands"), "sig"), "near-mixed")
-    there = nodes.join(left_over.select("sig").distinct(), "sig", "left_semi")
-    more = materialize(remaining_links(left_over, full_sets(docs, there), percent), "near-more")
+    more = materialize(remaining_links(left_over, sets, percent), "near-more")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
 
     # smallest id of each component, by node; then by row
     named = nodes.join(groups, F.col("sig") == F.col("node"), "left").select(
         "sig", "id", F.coalesce("component", "sig").alias("component"))
-    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    least = materialize(named.groupBy("component").agg(F.min("id").alias("component_id")),
+                        "near-names")
     by_node = named.join(least, "component").select("sig", "component_id")
     return (rows.select("doc_id", "n", "sig").join(by_node, "sig", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
