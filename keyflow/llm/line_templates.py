@@ -8,10 +8,10 @@ Lines whose template recurs in ``MIN_DOCS`` documents, has ``MIN_TOKENS`` tokens
 and enough constants are dropped from the documents.
 
 All of it are aggregates over narrow hashes: the lines of a leaf never meet in
-one task. Line texts are read again only for leaves that recur, and texts are
-shuffled once more to meet their dropped line numbers. Equal lines of a document
-count once there; counts are partially aggregated, so a line that is in every
-document arrives as one row per task.
+one task. Lines are tokenised once; their texts are read again only for leaves
+that recur, and texts are shuffled once more to meet their dropped line numbers.
+Equal lines of a document count once there; counts are partially aggregated, so
+a line that is in every document arrives as one row per task.
 
 Defined results: lines are what newlines separate; a null text is empty and has
 one empty line; lines under ``MIN_TOKENS`` tokens stay; a document may end up
@@ -34,43 +34,53 @@ FIELD = "<*>"
 
 
 def tokens_of(line: Column) -> Column:
-    return F.filter(F.split(line, "[ \\t\\x0B\\f\\r]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
 
 
 def masked(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
 
 
-def lines_of(docs: DataFrame, lead: int, min_tokens: int, *keep: str) -> DataFrame:
-    """``keep`` columns with line, leaf and hash of the lines long enough to drop."""
-    return (docs.withColumn("tokens", tokens_of(F.col("line")))
+def numbered_lines(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
+    """row, k1, k2 (96 bits of the text), at, leaf and hash of the lines long enough to drop."""
+    text = text_or_empty()
+    return (docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64(text).alias("k1"),
+                        F.crc32(text).alias("k2"),
+                        F.posexplode(F.split(text, "\n")).alias("at", "line"))
+            .withColumn("tokens", tokens_of(F.col("line")))
             .filter(F.size("tokens") >= min_tokens)
-            .select(*keep, "line",
+            .select("row", "k1", "k2", "at",
                     F.xxhash64(F.size("tokens"), F.array_join(
                         masked(F.slice("tokens", 1, lead)), " ")).alias("leaf"),
                     F.xxhash64("line").alias("hash")))
 
 
-def templates(docs: DataFrame, lead: int = LEAD, min_docs: int = MIN_DOCS,
-              min_tokens: int = MIN_TOKENS, share: float = CONSTANT_SHARE) -> DataFrame:
-    """leaf, hash, docs, template and recurs of every line of a recurring leaf."""
-    own = docs.select(F.explode(F.array_distinct(F.split(text_or_empty(), "\n"))).alias("line"))
-    lines = lines_of(own, lead, min_tokens)
-    counts = materialize(lines.groupBy("leaf", "hash").agg(F.count(F.lit(1)).alias("docs")),
+def templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS,
+              share: float = CONSTANT_SHARE) -> DataFrame:
+    """leaf, hash, docs, template and recurs of every line of a recurring leaf.
+
+    Small aggregates are written before they are joined: the join then shuffles
+    both sides itself, and adaptive execution splits a hot leaf or line.
+    """
+    counts = materialize(lines.select("leaf", "hash", "row").distinct()
+                         .groupBy("leaf", "hash").agg(F.count(F.lit(1)).alias("docs")),
                          "line-counts")
-    leaves = (counts.groupBy("leaf").agg(F.sum("docs").alias("all"))
-              .filter(F.col("all") >= min_docs).select("leaf"))
-    wanted = counts.join(leaves, "leaf", "left_semi")
+    leaves = materialize(counts.groupBy("leaf").agg(F.sum("docs").alias("all"))
+                         .filter(F.col("all") >= min_docs).select("leaf"), "line-leaves")
+    wanted = materialize(counts.join(leaves, "leaf", "left_semi"), "line-wanted")
     # one text per line of these leaves
-    texts = (lines.join(leaves, "leaf", "left_semi")
-             .groupBy("leaf", "hash").agg(F.min("line").alias("line")))
-    words = (wanted.join(texts, ["leaf", "hash"])
+    texts = (docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line"))
+             .select("line", F.xxhash64("line").alias("hash"))
+             .join(wanted.select("hash"), "hash", "left_semi")
+             .groupBy("hash").agg(F.min("line").alias("line")))
+    words = (wanted.join(texts, "hash")
              .select("leaf", "hash", "docs",
                      F.posexplode(masked(tokens_of(F.col("line")))).alias("pos", "token")))
     words = materialize(words, "line-words")
-    constants = (words.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("seen"))
-                 .filter((F.col("seen") >= min_docs) & (F.col("token") != FIELD))
-                 .select("leaf", "pos", "token", F.lit(True).alias("constant")))
+    constants = materialize(
+        words.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("seen"))
+        .filter((F.col("seen") >= min_docs) & (F.col("token") != FIELD))
+        .select("leaf", "pos", "token", F.lit(True).alias("constant")), "line-constants")
     parts = F.array_sort(F.collect_list(F.struct(
         "pos", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("part"))))
     by_line = (words.join(constants, ["leaf", "pos", "token"], "left")
@@ -79,7 +89,8 @@ def templates(docs: DataFrame, lead: int = LEAD, min_docs: int = MIN_DOCS,
                    F.count(F.lit(1)).alias("size"), parts.alias("parts"))
                .withColumn("template", F.array_join(F.col("parts.part"), " ")))
     by_line = materialize(by_line.drop("parts"), "line-templates")
-    totals = by_line.groupBy("leaf", "template").agg(F.sum("docs").alias("all"))
+    totals = materialize(by_line.groupBy("leaf", "template").agg(F.sum("docs").alias("all")),
+                         "line-totals")
     return by_line.join(totals, ["leaf", "template"]).select(
         "leaf", "hash", "docs", "template",
         ((F.col("all") >= min_docs) & (F.col("constants") >= share * F.col("size")))
@@ -89,16 +100,14 @@ def templates(docs: DataFrame, lead: int = LEAD, min_docs: int = MIN_DOCS,
 def drop_template_lines(docs: DataFrame, lead: int = LEAD, min_docs: int = MIN_DOCS,
                         min_tokens: int = MIN_TOKENS, share: float = CONSTANT_SHARE) -> DataFrame:
     """doc_id, text without the lines of recurring templates, n_lines and n_dropped."""
-    recurring = (templates(docs, lead, min_docs, min_tokens, share)
-                 .filter("recurs").select("leaf", "hash"))
+    lines = materialize(numbered_lines(docs, lead, min_tokens), "line-numbers")
+    recurring = (templates(docs, lines, min_docs, share).filter("recurs").select("leaf", "hash"))
     text = text_or_empty()
-    keys = ["k1", "k2"]  # 96 bits of the text: equal texts lose the same lines
+    keys = ["k1", "k2"]  # equal texts lose the same lines
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("k1"),
                        F.crc32(text).alias("k2"))
-    numbered = rows.select(*keys, F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    dropped = (lines_of(numbered, lead, min_tokens, *keys, "at").drop("line")
-               .join(recurring, ["leaf", "hash"], "left_semi")
-               .groupBy(*keys).agg(F.collect_set("at").alias("gone")))
+    dropped = materialize(lines.join(recurring, ["leaf", "hash"], "left_semi")
+                          .groupBy(*keys).agg(F.collect_set("at").alias("gone")), "line-dropped")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(gone, i))
     return rows.join(dropped, keys, "left").select(
