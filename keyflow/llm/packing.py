@@ -40,7 +40,7 @@ END_ID = 1
 #: a remainder of at most so many ids is not cut further
 TAIL = 128
 #: pieces that one worker packs
-PIECES_PER_BUCKET = 100_000
+PIECES_PER_BUCKET = 8192
 MERGE = 64
 #: words whose ids a worker keeps, at most twice as many
 WORDS_KEPT = 500_000
