@@ -130,8 +130,8 @@ def _inflate(r: _Range, at: int, most: int = 0) -> tuple[bytes, int] | None:
             chunk = r.data[pos:pos + (PROBE if most else STEP)]
             out.append(z.decompress(chunk, most))
             pos += len(chunk)
-            if most:
-                break
+            if most and sum(map(len, out)) >= len(b"WARC/1."):
+                break  # else the range ends within the member's first bytes
     except zlib.error:
         return None
     return b"".join(out), pos - len(z.unused_data)
