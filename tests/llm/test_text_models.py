@@ -47,7 +47,7 @@ def test_items_are_found_through_edits():
 
 
 def test_decontaminate_reports_the_best_place(llm, odd_docs, no_docs):
-    item = prose(25, 77)
+    item = prose(25, 7777)
     bench = llm.createDataFrame([(1, item), (2, None), (3, ""), (4, "?!"), (1, item)],
                                 "item_id long, text string")
     host = prose(50, 78)
