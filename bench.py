@@ -130,7 +130,8 @@ def main() -> None:
         # like the reference's figure (enqueue + flush): the send step alone
         throughput["send_msgs_per_sec"] = round(
             statistics.median(r.throughput for r in reports), 1)
-        sink = tables.KeyedUpsertTable(spark, f"{root}/created_users", "id")
+        sink = tables.KeyedUpsertTable(spark, f"{root}/created_users", "id",
+                                       order_cols=["event_ts_ms"], global_order=True)
         schema = spark.createDataFrame([], "key binary, value binary").schema
         proc = BatchProcessor(sink, None)
         t0 = time.perf_counter()

@@ -67,6 +67,8 @@ def main(argv: list[str] | None = None) -> dict:
             p.add_argument("--keyspace", default="spark_streams")
             p.add_argument("--table", default="created_users")
             p.add_argument("--available-now", action="store_true")
+            p.add_argument("--max-files", type=int, default=1000,
+                           help="files that a micro-batch of --bus takes at most")
     args = ap.parse_args(argv)
 
     spark = build_session(app=f"keyflow-{args.cmd}")
@@ -85,7 +87,7 @@ def main(argv: list[str] | None = None) -> dict:
                                   min_partitions=default_parallelism(spark))
         elif args.bus:
             source = file_stream(spark, args.bus, spark.createDataFrame(
-                [], "key binary, value binary").schema)
+                [], "key binary, value binary").schema, max_files_per_trigger=args.max_files)
         else:
             ap.error("stream needs --bus or --kafka")
         if args.cassandra:
@@ -93,9 +95,15 @@ def main(argv: list[str] | None = None) -> dict:
                                  cassandra_session_conf(args.cassandra.split(",")))
         else:
             from keyflow.operators.tables import KeyedUpsertTable
-            sink = KeyedUpsertTable(spark, f"{args.root}/tables/created_users", "id")
+            # a key stays in one bus partition, so its offsets give its order; the
+            # file twin has none and is ordered by send time
+            sink = KeyedUpsertTable(spark, f"{args.root}/tables/created_users", "id",
+                                    order_cols=["_offset" if args.kafka else "event_ts_ms"],
+                                    global_order=True)
         proc = BatchProcessor(sink, ParquetTable(spark, f"{args.root}/tables/batch_metrics"))
-        records = build_stream(source, USER_MESSAGE)
+        # the wide-column sink takes the message's own columns only
+        offset = "offset" if args.kafka and not args.cassandra else None
+        records = build_stream(source, USER_MESSAGE, offset_col=offset)
         ckpt = f"{args.root}/checkpoints/stream"
         if args.available_now:
             run_available_now(spark, records, proc, ckpt)

@@ -18,7 +18,7 @@ from keyflow.operators.checks import (
     record_violations,
     table_diff,
 )
-from keyflow.operators.joins import anti_join, dim_join, has_at_most, resolve_key, semi_join
+from keyflow.operators.joins import anti_join, dim_join, resolve_key, semi_join
 from keyflow.operators.messages import (
     enrich,
     is_valid,
@@ -49,7 +49,7 @@ __all__ = [
     "KeyedUpsertTable", "ParquetTable", "RollupTable", "analyze", "anti_join", "claim",
     "count_all", "count_filtered", "delivery_counters", "delivery_ratios", "dim_join",
     "duplicate_keys", "enrich", "expectation_suite", "expectations", "expected_rates",
-    "first_per_key", "flat_refresh", "flat_rows", "group_count", "has_at_most",
+    "first_per_key", "flat_refresh", "flat_rows", "group_count",
     "insert_if_absent", "is_valid", "json_roundtrip", "kafka_sink_options", "key_partition",
     "last_per_key", "latency_stats", "ledger_rows", "loss_audit", "offset_totals",
     "order_violations", "parse_messages", "record_violations", "resolve_key", "rollup",

@@ -16,9 +16,6 @@ from keyflow.operators.joins import dim_join
 
 # Spark's default; rank error is n/accuracy and the sketch is O(accuracy) per group
 DEFAULT_ACCURACY = 10_000
-# a GK sketch of this accuracy keeps every value of a group with fewer than
-# EXACT_SKETCH / 2 values (no rank slack, no compression), so it is exact there
-EXACT_SKETCH = 1_000_000
 
 
 def count_all(df: DataFrame, alias: str = "cnt") -> DataFrame:
@@ -31,19 +28,13 @@ def count_filtered(df: DataFrame, condition: Column, alias: str = "cnt") -> Data
     return count_all(df.filter(condition), alias)
 
 
-def order_by_count(df: DataFrame, name: str, alias: str = "cnt",
-                   small: bool = False) -> DataFrame:
-    """``ORDER BY count DESC`` with ties broken by the key (O1).
-
-    A result proven small (``small``) is ordered inside one partition; any
-    other gets a distributed range-partitioned sort.
-    """
-    order = [F.col(alias).desc(), F.col(name).asc_nulls_last()]
-    return df.coalesce(1).sortWithinPartitions(*order) if small else df.orderBy(*order)
+def order_by_count(df: DataFrame, name: str, alias: str = "cnt") -> DataFrame:
+    """``ORDER BY count DESC`` with ties broken by the key (O1)."""
+    return df.orderBy(F.col(alias).desc(), F.col(name).asc_nulls_last())
 
 
 def group_count(df: DataFrame, key: str | Column, alias: str = "cnt",
-                label: str | None = None, small: bool = False) -> DataFrame:
+                label: str | None = None) -> DataFrame:
     """``GROUP BY key ORDER BY count DESC`` (A3/A4, O1).
 
     NULL keys form their own group. Ties are broken by the key so that the
@@ -52,7 +43,7 @@ def group_count(df: DataFrame, key: str | Column, alias: str = "cnt",
     k = F.col(key) if isinstance(key, str) else key
     name = label or (key if isinstance(key, str) else "label")
     counts = df.groupBy(k.alias(name)).agg(F.count(F.lit(1)).alias(alias))
-    return order_by_count(counts, name, alias, small)
+    return order_by_count(counts, name, alias)
 
 
 def _keys_equal(keys: Sequence[str], renamed: Sequence[str]) -> Column | None:
@@ -130,10 +121,7 @@ def latency_stats(df: DataFrame, latency_col: str = "latency_ms",
     come from ``percentile_approx`` in the same single aggregate (rank error
     n/accuracy; exact while a group has fewer values than ``accuracy``, which
     holds for a micro-batch bounded by the source's admission control). With
-    ``accuracy=None`` they are exact at any size: a sketch that provably keeps
-    every value when the largest group is small enough, else
-    ``exact_percentiles``. The stats of the fast path are small (one row per
-    group) and are recomputed from the stored values if read again.
+    ``accuracy=None`` they are exact at any size (``exact_percentiles``).
     """
     lat = F.col(latency_col)
     base = [F.count(F.lit(1)).alias("n"), F.count(lat).alias("measured")]
@@ -152,12 +140,6 @@ def latency_stats(df: DataFrame, latency_col: str = "latency_ms",
     # the input is computed once and stored: every pass below reads stored rows
     df.select(*keys, lat.alias("__lat")).write.parquet(path)
     stored = spark.read.parquet(path)
-    # fast path: one aggregate whose sketch provably holds every value
-    stats = latency_stats(stored, "__lat", keys, EXACT_SKETCH)
-    biggest = stats.agg(F.max("measured")).first()[0] or 0
-    if 2 * biggest < EXACT_SKETCH:
-        return stats
-    # a group too large for an exact sketch: sort-based exact percentiles
     if not keys:
         stored = stored.withColumn("__all", F.lit(0))
         keys = ["__all"]

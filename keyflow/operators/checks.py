@@ -103,23 +103,26 @@ def table_diff(left: DataFrame, right: DataFrame, key: str,
                value_cols: Sequence[str]) -> DataFrame:
     """Copy audit between two tables keyed by ``key``.
 
-    ``changed``: keys on both sides whose values differ (null-safe);
-    ``only_left`` / ``only_right``: keys on one side only.
+    ``changed``: keys on both sides whose rows differ as bags (a key may have
+    several rows; null equals null); ``only_left`` / ``only_right``: keys on one
+    side only. Rows are compared by their number and a sum of 64-bit digests,
+    both of fixed width, so everything is a hash aggregate.
     """
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(F.col(key).alias("k"), F.lit(tag).alias("side"),
-                         F.struct(*value_cols).alias("v"))
+    # the position keeps nulls of different columns apart
+    digest = F.xxhash64(*[x for i, c in enumerate(value_cols)
+                          for x in (F.col(c), F.col(c).isNull(), F.lit(i))])
 
-    both = side(left, "l").unionByName(side(right, "r"))
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(F.col(key).alias("k"), F.lit(sign).alias("s"),
+                         (digest.cast("decimal(20,0)") * sign).alias("d"))
+
+    both = side(left, 1).unionByName(side(right, -1))
     per_key = both.groupBy("k").agg(
-        F.max(F.when(F.col("side") == "l", F.col("v"))).alias("lv"),
-        F.max(F.when(F.col("side") == "r", F.col("v"))).alias("rv"),
-        F.count_if(F.col("side") == "l").alias("nl"),
-        F.count_if(F.col("side") == "r").alias("nr"),
-    )
+        F.sum("d").alias("d"), F.count_if(F.col("s") == 1).alias("nl"),
+        F.count_if(F.col("s") == -1).alias("nr"))
     on_both = (F.col("nl") > 0) & (F.col("nr") > 0)
     return per_key.agg(
-        F.count_if(on_both & ~F.col("lv").eqNullSafe(F.col("rv"))).alias("changed"),
+        F.count_if(on_both & ((F.col("nl") != F.col("nr")) | (F.col("d") != 0))).alias("changed"),
         F.count_if(F.col("nr") == 0).alias("only_left"),
         F.count_if(F.col("nl") == 0).alias("only_right"),
     )

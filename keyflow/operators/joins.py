@@ -1,69 +1,30 @@
 """Fact-to-dimension joins.
 
-A dimension is broadcast only after a bounded check proves it small:
-``limit(max_rows + 1).count()`` stops reading as soon as the bound is passed,
-so the check costs at most ``max_rows`` rows even on a huge table. Beyond the
-bound the join is left to the planner (sort-merge on the key, with AQE's
-skew-join split for hot keys).
+The planner chooses the strategy: it broadcasts a side whose statistics are
+under ``spark.sql.autoBroadcastJoinThreshold`` bytes, and adaptive execution one
+whose measured bytes are; everything else is a sort-merge join with hot keys
+split. No count is taken to decide.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# a narrow dimension of this many rows stays in the tens of MB
-MAX_BROADCAST_ROWS = 1_000_000
-
-_BROADCASTABLE = {"inner", "left", "left_outer", "left_semi", "leftsemi",
-                  "left_anti", "leftanti"}
-
-
-# proofs already made in this session: (plan hash, input files, bound) -> result
-_PROOFS: OrderedDict[tuple, bool] = OrderedDict()
-_PROOF_CACHE_SIZE = 512
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds no more than ``max_rows`` rows (reads at most max_rows+1).
-
-    The answer is remembered per (analyzed plan, input file list): any
-    rewrite of an input produces new file names, so a changed table is
-    checked again, while repeated queries over the same tables skip the job.
-    """
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # plans without a stable hash: always check
-        key = None
-    if key is not None and key in _PROOFS:
-        _PROOFS.move_to_end(key)
-        return _PROOFS[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _PROOFS[key] = ok
-        if len(_PROOFS) > _PROOF_CACHE_SIZE:
-            _PROOFS.popitem(last=False)
-    return ok
-
 
 def dim_join(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column,
-             how: str = "inner", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a fact table to a dimension; the dimension side is the build side.
+             how: str = "inner") -> DataFrame:
+    """Join a fact table to a dimension on its key.
 
     ``inner`` drops facts without a dimension row (J2), ``left`` keeps them
     with NULL attributes (J1), ``left_semi``/``left_anti`` are the EXISTS /
     NOT EXISTS forms (J5, J4).
     """
-    if how in _BROADCASTABLE and has_at_most(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 
 
 def resolve_key(fact: DataFrame, dim: DataFrame, code_col: str, dim_code_col: str,
-                dim_key_col: str, out_col: str,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                dim_key_col: str, out_col: str) -> DataFrame:
     """Replace a natural code by the dimension's surrogate key.
 
     Unknown codes get a NULL key, like a dictionary ``get``. The dimension is
@@ -72,18 +33,15 @@ def resolve_key(fact: DataFrame, dim: DataFrame, code_col: str, dim_code_col: st
     """
     lookup = (dim.groupBy(F.col(dim_code_col).alias("__code"))
               .agg(F.min(dim_key_col).alias(out_col)))
-    joined = dim_join(fact, lookup, F.col(code_col) == F.col("__code"), "left",
-                      max_broadcast_rows)
+    joined = dim_join(fact, lookup, F.col(code_col) == F.col("__code"), "left")
     return joined.drop("__code")
 
 
-def semi_join(df: DataFrame, keys: DataFrame, on: str | list[str],
-              max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def semi_join(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys`` (``= ANY(list)``, J5)."""
-    return dim_join(df, keys, on, "left_semi", max_broadcast_rows)
+    return dim_join(df, keys, on, "left_semi")
 
 
-def anti_join(df: DataFrame, keys: DataFrame, on: str | list[str],
-              max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def anti_join(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``."""
-    return dim_join(df, keys, on, "left_anti", max_broadcast_rows)
+    return dim_join(df, keys, on, "left_anti")

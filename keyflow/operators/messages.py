@@ -45,7 +45,9 @@ def to_message(df: DataFrame, key_col: str, value_cols: Sequence[str] | None = N
 
 def kafka_sink_options(bootstrap: str, topic: str = TOPIC, acks: str = "all",
                        compression: str = "gzip", batch_size: int = 65536,
-                       linger_ms: int = 20, **extra: str) -> dict[str, str]:
+                       linger_ms: int = 20, retries: int = 5, retry_backoff_ms: int = 300,
+                       max_block_ms: int = 5000, request_timeout_ms: int = 30000,
+                       **extra: str) -> dict[str, str]:
     """Producer settings of the publish step for ``write.format("kafka")``."""
     opts = {
         "kafka.bootstrap.servers": bootstrap,
@@ -54,6 +56,10 @@ def kafka_sink_options(bootstrap: str, topic: str = TOPIC, acks: str = "all",
         "kafka.compression.type": compression,
         "kafka.batch.size": str(batch_size),
         "kafka.linger.ms": str(linger_ms),
+        "kafka.retries": str(retries),
+        "kafka.retry.backoff.ms": str(retry_backoff_ms),
+        "kafka.max.block.ms": str(max_block_ms),
+        "kafka.request.timeout.ms": str(request_timeout_ms),
         "kafka.enable.idempotence": "true" if acks == "all" else "false",
     }
     opts.update(extra)

@@ -34,77 +34,18 @@ def claim(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
     """Up to ``batch_size`` unsent rows, joined to the dimension, projected (O2).
 
     The order makes the claim deterministic; Spark plans ``orderBy + limit``
-    as a per-task top-k plus one merge, so no full sort happens.
+    as a per-task top-k plus one merge, so no full sort happens. Only the
+    claimed rows meet the dimension.
     """
     rows = fact
     if unsent_condition is not None:
         rows = rows.filter(unsent_condition)
     if ledger is not None:
         rows = unsent(rows, ledger, key)
-    if dim is not None:
-        rows = dim_join(rows, dim, dim_on, "left")
-    return rows.orderBy(*order_by).limit(batch_size).select(*projection)
-
-
-SEEN = "__claimed_before"
-
-
-def after_watermark(fact: DataFrame, ts_col: str, key: str, watermark) -> DataFrame:
-    """Fact rows ordered after ``watermark = (ts, key)`` in ``(ts_col, key)`` order.
-
-    The ``ts_col >= ts`` part is pushed into the Parquet scan, so files and
-    row groups of older ingests are skipped by their statistics.
-    """
-    if watermark is None:
-        return fact
-    ts, last = watermark
-    t = F.col(ts_col)
-    return fact.filter((t >= F.lit(ts)) &
-                       ((t > F.lit(ts)) | (F.col(key) > F.lit(last))))
-
-
-def claim_after(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
-                ts_col: str, key: str, projection: Sequence[Column], watermark,
-                dim: DataFrame | None = None, dim_on: str | list[str] | Column | None = None,
-                unsent_condition: Column | None = None,
-                ledger_after: str | None = None) -> DataFrame:
-    """Claim by watermark (O2 at scale): the oldest ``batch_size`` rows after
-    the last claim's ``(ts, key)``, minus any already in the ledger.
-
-    Every claim takes the oldest unsent rows, so everything up to the last
-    claim's watermark is claimed, as long as ingests run one at a time (a
-    later ingest never stamps an older time). Only rows after the watermark
-    are read, and the ledger check is a scan of the ledger's key column
-    probed with a broadcast of the at most ``batch_size`` candidate keys: no
-    shuffle of the fact table or the ledger. A claim interrupted after its
-    ledger write but before its watermark was logged only shrinks the next
-    claim (those ids are dropped here); nothing is claimed twice.
-
-    Claim ids sort by time, so only claims after the last logged one
-    (``ledger_after``) can hold such ids: the ledger is read from those
-    partitions only (normally none).
-
-    Candidates found in the ledger are kept but flagged ``SEEN`` so that
-    the caller can still move the watermark past them; only unflagged rows
-    are claimed.
-    """
-    rows = after_watermark(fact, ts_col, key, watermark)
-    if unsent_condition is not None:
-        rows = rows.filter(unsent_condition)
-    top = rows.orderBy(ts_col, key).limit(batch_size)
-    if ledger is not None:
-        if ledger_after is not None:
-            ledger = ledger.filter(F.col("claim_id") > F.lit(ledger_after))
-        keys = top.select(key)  # at most batch_size rows: a proven bound
-        seen = (ledger.select(key).join(F.broadcast(keys), key, "left_semi")
-                .select(key, F.lit(True).alias(SEEN)))
-        top = top.join(F.broadcast(seen), key, "left")
-    else:
-        top = top.withColumn(SEEN, F.lit(None).cast("boolean"))
-    top = top.withColumn(SEEN, F.coalesce(F.col(SEEN), F.lit(False)))
+    top = rows.orderBy(*order_by).limit(batch_size)
     if dim is not None:
         top = dim_join(top, dim, dim_on, "left")
-    return top.select(*projection, SEEN)
+    return top.select(*projection)
 
 
 def ledger_rows(claimed: DataFrame, claim_id: str, key: str = "id") -> DataFrame:
@@ -118,10 +59,13 @@ def with_sent_flag(fact: DataFrame, ledger: DataFrame, key: str = "id",
     """The fact table with a boolean ``sent`` flag from the ledger.
 
     The ledger is reduced to distinct ids first, so a replayed claim cannot
-    duplicate fact rows.
+    duplicate fact rows; its ids are compared in the fact's own type, so a fact
+    bucketed by its key is not shuffled.
     """
     fk = fact_key or key
-    ids = ledger.select(F.col(key).alias("__sent_id")).distinct().withColumn("__hit", F.lit(True))
+    kind = fact.schema[fk].dataType
+    ids = (ledger.select(F.col(key).cast(kind).alias("__sent_id")).distinct()
+           .withColumn("__hit", F.lit(True)))
     # unbounded ledger: planner's join (see ``unsent``)
-    joined = fact.join(ids, F.col(fk).cast("string") == F.col("__sent_id"), "left")
+    joined = fact.join(ids, F.col(fk) == F.col("__sent_id"), "left")
     return joined.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False))).drop("__sent_id", "__hit")

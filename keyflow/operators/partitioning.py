@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.session import default_parallelism
-
 DEFAULT_CHUNK = 1 << 16
 
 
@@ -38,23 +36,6 @@ def spread(df: DataFrame, num_partitions: int) -> DataFrame:
     return df.repartition(num_partitions)
 
 
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows round-robin before CPU-heavy row work (JSON encode/parse)
-    when the input has fewer splits than the cluster has cores.
-
-    Large inputs already have thousands of splits and pass through untouched,
-    so the extra shuffle only ever happens on small inputs.
-    """
-    if df.isStreaming:  # micro-batches are spread by the source's own splits
-        return df
-    try:
-        want = min_partitions or default_parallelism(df.sparkSession)
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as it is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def order_violations(df: DataFrame, key: str, seq: str, ts: str,
                      chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Per key: ``n`` rows and ``out_of_order`` = rows whose ``ts`` is earlier

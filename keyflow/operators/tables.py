@@ -4,26 +4,27 @@
   anti join against the target's keys, append.
 * flat refresh: derive the flat layout from fact + dimension and append only
   ids it does not hold yet; old flat rows are never updated.
-* keyed upsert: each micro-batch is written into its own ``_epoch=N``
+* keyed upsert: each micro-batch is written into its own run and epoch
   partition with dynamic partition overwrite, so replaying an epoch replaces
   exactly that epoch's files. Readers take the last version per key
-  (``max_by`` over ``(_epoch, order...)``), a partial+final aggregate that
-  tolerates hot keys. Each epoch writes O(batch), never O(table).
+  (``max_by``), a partial+final aggregate that tolerates hot keys. Each epoch
+  writes O(batch), never O(table).
 * rollup: a snapshot table; readers see it unchanged until ``refresh``.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from keyflow.operators.aggregates import order_by_count
-from keyflow.operators.joins import MAX_BROADCAST_ROWS, anti_join, dim_join, has_at_most
+from keyflow.operators.joins import anti_join, dim_join
+from keyflow.session import child_folders, delete_path, path_exists
 
 
 class ParquetTable:
@@ -43,7 +44,7 @@ class ParquetTable:
         return reader.schema(self.schema) if self.schema is not None else reader
 
     def exists(self) -> bool:
-        return self.read_if_exists() is not None
+        return path_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
         df = self._reader().parquet(self.path)
@@ -52,14 +53,9 @@ class ParquetTable:
         return df
 
     def read_if_exists(self) -> DataFrame | None:
-        """The table, or None before its first write (one listing)."""
-        try:
-            df = self._reader().parquet(self.path)
-            if not df.inputFiles():  # a declared schema reads an absent folder as empty
-                return None
-            return df
-        except AnalysisException:
-            return None
+        """The table, or None before its first write. A table that is there but
+        cannot be read raises."""
+        return self.read() if self.exists() else None
 
     def _remember(self, df: DataFrame, partition_cols: Sequence[str] = ()) -> None:
         if self.schema is None:
@@ -143,8 +139,7 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[s
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
-                     order_col: str | None = None,
-                     max_batch_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                     order_col: str | None = None) -> DataFrame:
     """Rows of ``incoming`` to append so that existing keys stay untouched (K1, K2).
 
     ``INSERT ... ON CONFLICT (key) DO NOTHING``: the first row per key in the
@@ -153,15 +148,11 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
     batch = first_per_key(incoming, key, order_col) if order_col else incoming.dropDuplicates([key])
     if order_col and order_col not in target.columns:
         batch = batch.drop(order_col)
-    batch_keys = batch.select(key)
-    if has_at_most(batch_keys, max_batch_rows):
-        # small load, big table: find the load's keys that already exist with
-        # a broadcast probe over the target's key column (a scan, no shuffle
-        # of the target), then drop them from the load
-        existing = target.select(key).join(F.broadcast(batch_keys), key, "left_semi")
-        # existing keys are a subset of the load's keys: the same proven bound
-        return batch.join(F.broadcast(existing), key, "left_anti")
-    return anti_join(batch, target.select(key), key)
+    # the load's keys that already exist: the target's key column is probed with
+    # the load's keys, broadcast by the planner if their bytes allow; then the
+    # load is reduced by what was found, which is no larger than the load
+    existing = target.select(key).join(batch.select(key), key, "left_semi")
+    return anti_join(batch, existing, key)
 
 
 def key_join(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
@@ -184,62 +175,110 @@ def flat_refresh(flat: DataFrame, fact: DataFrame, dim: DataFrame, fact_fk: str,
 
 
 class KeyedUpsertTable:
-    """Last-write-wins table keyed by ``key``; replay of an epoch is harmless (K5)."""
+    """Last-write-wins table keyed by ``key``; replay of an epoch is harmless (K5).
+
+    ``versions/_run=<run>/_epoch=<n>`` holds what one micro-batch wrote: a run
+    is one checkpoint (a new checkpoint counts its epochs from 0 again), so
+    neither a replay nor a new checkpoint can replace other rows. ``base/<id>``
+    holds compacted rows with their run, epoch and order; the newest complete
+    base is read together with the epochs it does not cover.
+    """
 
     EPOCH = "_epoch"
+    RUN = "_run"
 
     def __init__(self, spark: SparkSession, path: str, key: str,
-                 order_cols: Sequence[str] = (), global_order: bool = False):
+                 order_cols: Sequence[str], global_order: bool = False, run: str = "0"):
         """``order_cols`` order versions inside one epoch (later wins). With
-        ``global_order`` they order versions across epochs too, before the
-        epoch: use it when they carry the source's own order (a message
+        ``global_order`` they order versions across epochs and runs too, before
+        the epoch: use it when they carry the source's own order (a message
         offset), so that last-write-wins holds even if input segments reach
-        the stream out of order."""
+        the stream out of order. Else later runs (by name) and epochs win."""
+        if not order_cols:
+            raise ValueError("the versions of a key need an order")
         self.spark = spark
         self.path = path
         self.key = key
         self.order_cols = list(order_cols)
         self.global_order = global_order
+        self.run = run
+
+    def use_run(self, query_id: str) -> None:
+        """Write into the run of a streaming query; its id lives as long as its
+        checkpoint, and its name starts with the time of its first write."""
+        names = [n.removeprefix(f"{self.RUN}=") for n in
+                 child_folders(self.spark, f"{self.path}/versions")]
+        mine = [n for n in names if n.endswith(query_id)]
+        self.run = mine[0] if mine else f"{int(time.time() * 1000):013d}-{query_id}"
 
     def write_epoch(self, batch: DataFrame, epoch: int) -> None:
-        """Write one micro-batch as partition ``_epoch=epoch`` (replaces a replay)."""
-        self.write_epochs(batch.withColumn(self.EPOCH, F.lit(int(epoch)).cast("long")))
+        """Write one micro-batch as its epoch's partition (replaces a replay)."""
+        self._write(batch.withColumn(self.EPOCH, F.lit(int(epoch)).cast("long")))
 
     def write_epochs(self, rows: DataFrame) -> None:
         """Write rows carrying an ``_epoch`` column; each epoch's partition is
-        replaced as a whole, so a backfill of many epochs is one job."""
-        keys = [self.key, self.EPOCH]
-        if self.global_order:
-            pass  # the read orders every version by the source's order: no shuffle here
-        elif self.order_cols:
-            rows = last_per_key(rows, keys, self.order_cols)
-        else:
-            rows = rows.dropDuplicates(keys)
-        rows = rows.withColumn(self.EPOCH, F.col(self.EPOCH).cast("long"))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.EPOCH).parquet(self.path))
+        replaced as a whole, so a backfill of many epochs is one job. Rows are
+        dealt by epoch (large ones over several tasks), so that an epoch gets
+        few files."""
+        self._write(rows.withColumn(self.EPOCH, F.col(self.EPOCH).cast("long"))
+                    .hint("rebalance", self.EPOCH))
+
+    def _write(self, rows: DataFrame) -> None:
+        if not self.global_order:  # else the read orders every version: no shuffle here
+            rows = last_per_key(rows, [self.key, self.EPOCH], self.order_cols)
+        (rows.withColumn(self.RUN, F.lit(self.run)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.RUN, self.EPOCH).parquet(f"{self.path}/versions"))
 
     def exists(self) -> bool:
-        return ParquetTable(self.spark, self.path).exists()
+        return (path_exists(self.spark, f"{self.path}/versions")
+                or bool(child_folders(self.spark, f"{self.path}/base", complete=True)))
 
     def versions(self) -> DataFrame:
-        """Every written version of every key, with its epoch."""
-        return self.spark.read.parquet(self.path)
+        """Every version that is read: the base and the epochs it does not cover."""
+        bases = child_folders(self.spark, f"{self.path}/base", complete=True)
+        parts = []
+        if path_exists(self.spark, f"{self.path}/versions"):
+            rows = self.spark.read.parquet(f"{self.path}/versions").withColumns(
+                {self.RUN: F.col(self.RUN).cast("string"),
+                 self.EPOCH: F.col(self.EPOCH).cast("long")})
+            for run, top in self._covered(bases[-1]) if bases else ():  # prunes partitions
+                rows = rows.filter((F.col(self.RUN) != run) | (F.col(self.EPOCH) > top))
+            parts.append(rows)
+        if bases:
+            parts.append(self.spark.read.parquet(f"{self.path}/base/{bases[-1]}"))
+        out = parts[0]
+        return out.unionByName(parts[1], allowMissingColumns=True) if len(parts) > 1 else out
+
+    def _covered(self, base: str) -> list[tuple[str, int]]:
+        """Last epoch of each run in a base: one row per checkpoint ever used."""
+        covers = self.spark.read.parquet(f"{self.path}/covers/{base}")
+        return [(r[self.RUN], r["top"]) for r in covers.toLocalIterator()]
 
     def read(self, columns: Sequence[str] | None = None) -> DataFrame:
         """Current table: the latest version of each key (``columns`` only,
         if given, besides the key)."""
-        order = ([*self.order_cols, self.EPOCH] if self.global_order
-                 else [self.EPOCH, *self.order_cols])
-        latest = last_per_key(self.versions(), self.key, order, columns)
-        return latest.drop(self.EPOCH) if columns is None else latest
+        latest = last_per_key(self.versions(), self.key, self._order(), columns)
+        return latest.drop(self.EPOCH, self.RUN) if columns is None else latest
+
+    def _order(self) -> list[str]:
+        place = [self.RUN, self.EPOCH]
+        return [*self.order_cols, *place] if self.global_order else [*place, *self.order_cols]
+
+    def compact(self) -> None:
+        """Write the current table as a new base; readers move to it when it is
+        complete. Rows keep their run, epoch and order, so replays, later epochs
+        and later runs compare with them as before."""
+        self.compact_to(self.path)
 
     def compact_to(self, path: str) -> None:
-        """Write the current table as one snapshot (epoch of the newest version)."""
-        v = self.versions()
-        top = v.agg(F.max(self.EPOCH)).first()[0]
-        self.read().withColumn(self.EPOCH, F.lit(top).cast("long")) \
-            .write.mode("overwrite").partitionBy(self.EPOCH).parquet(path)
+        """Write the current table as the base of the table at ``path``."""
+        name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
+        versions = self.versions()
+        # epochs of a run arrive in order: all up to the last one seen are covered
+        tops = versions.groupBy(self.RUN).agg(F.max(self.EPOCH).alias("top"))
+        tops.write.parquet(f"{path}/covers/{name}")
+        last_per_key(versions, self.key, self._order()).write.parquet(f"{path}/base/{name}")
 
 
 def rollup(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
@@ -249,58 +288,45 @@ def rollup(fact: DataFrame, dim: DataFrame, fact_fk: str, dim_pk: str,
     Aggregated before the join: the fact collapses to one count per FK
     (partial + final aggregate on the key), so the join probes one row per
     FK instead of one per fact row, and a hot FK is combined map-side. Facts
-    whose FK has no dimension row drop out in the inner join. The result
-    has at most one row per dimension row, so when the dimension is proven
-    small it is ordered inside one partition.
+    whose FK has no dimension row drop out in the inner join.
     """
     per_fk = fact.groupBy(fact_fk).agg(F.count(F.lit(1)).alias("__c"))
     labels = dim.select(dim_pk, label_col)
     joined = key_join(per_fk, labels, fact_fk, dim_pk, "inner")
     counts = joined.groupBy(F.col(label_col).alias(label)).agg(
         F.sum("__c").cast("long").alias(alias))
-    return order_by_count(counts, label, alias, small=has_at_most(labels, MAX_BROADCAST_ROWS))
+    return order_by_count(counts, label, alias)
 
 
 class RollupTable:
     """Materialized rollup: a stored snapshot, refreshed in full on demand.
 
-    ``refresh`` writes the snapshot and keeps it cached in executor memory,
-    so reads touch neither storage nor the fact table. A rollup proven to
-    have at most ``small_rows`` rows is cached as one partition already in
-    read order: the read's ``ORDER BY`` is then satisfied by the cached
-    plan and Spark drops the sort. A larger one gets a distributed sort.
+    Every refresh writes a folder of its own; the newest complete one is the
+    snapshot. A reader that opened an older one goes on reading it, and a
+    refresh that fails changes nothing. The last ``keep`` snapshots stay.
     """
 
     def __init__(self, spark: SparkSession, path: str, label: str = "label",
-                 alias: str = "cnt", small_rows: int = 100_000):
-        self.table = ParquetTable(spark, path)
+                 alias: str = "cnt", keep: int = 3):
+        self.spark = spark
+        self.path = path
         self.label = label
         self.alias = alias
-        self.small_rows = small_rows
-        self._snapshot: DataFrame | None = None
-
-    def _order(self) -> list:
-        return [F.col(self.alias).desc(), F.col(self.label).asc_nulls_last()]
+        self.keep = keep
 
     def refresh(self, rollup_df: DataFrame) -> None:
-        # the row count comes with the write (observed), not from another job
-        obs = Observation(f"rollup_{uuid.uuid4().hex}")
-        self.table.overwrite(rollup_df.observe(obs, F.count(F.lit(1)).alias("rows")))
-        if self._snapshot is not None:
-            self._snapshot.unpersist()
-        snap = self.table.read()
-        if obs.get["rows"] <= self.small_rows:
-            snap = snap.coalesce(1).sortWithinPartitions(*self._order())
-        snap = snap.persist()
-        snap.count()  # materialize the cache now, not on the first read
-        self._snapshot = snap
+        name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
+        rollup_df.write.parquet(f"{self.path}/{name}")
+        for old in child_folders(self.spark, self.path, complete=True)[:-self.keep]:
+            delete_path(self.spark, f"{self.path}/{old}")
 
     def snapshot(self) -> DataFrame:
-        return self._snapshot if self._snapshot is not None else self.table.read()
+        newest = child_folders(self.spark, self.path, complete=True)[-1]
+        return self.spark.read.parquet(f"{self.path}/{newest}")
 
     def read(self) -> DataFrame:
         """``SELECT * FROM mv ORDER BY cnt DESC`` (ties by label)."""
-        return self.snapshot().orderBy(*self._order())
+        return order_by_count(self.snapshot(), self.label, self.alias)
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "dup") -> DataFrame:

@@ -12,12 +12,13 @@ plain function over tables that Spark reads and writes.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.operators import aggregates as agg
@@ -27,8 +28,10 @@ from keyflow.schemas import MESSAGE_TEXT_FIELDS, USERS_RAW
 from keyflow.session import scratch_dir
 from keyflow.sources.api import flatten_results
 from keyflow.sources.generator import generate_user_batch
+from keyflow.streaming.job import write_with_retry
 
 CLAIM_BATCH = 5000
+SEND_ATTEMPTS = 3
 SYNTHETIC_BATCH = 5000
 
 
@@ -44,9 +47,7 @@ class Layout:
     ledger: Table                    # sent ledger (id, claim_id)
     flat: Table                      # users_baseline
     rollup: tables.RollupTable       # mv_gender_counts
-    claims: tables.ParquetTable | None = None  # claim log: claim_id, hi_ts, hi_id, rows
-    # the last watermark this process logged (the log is the durable copy)
-    last_mark: tuple | None = None
+    delivery: tables.ParquetTable    # delivery log (id, failures, valid, claim_id)
 
 
 def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
@@ -56,7 +57,7 @@ def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
         ledger=tables.ParquetTable(spark, f"{root}/sent_ledger"),
         flat=tables.ParquetTable(spark, f"{root}/users_baseline"),
         rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts", label="gender_label"),
-        claims=tables.ParquetTable(spark, f"{root}/claims"),
+        delivery=tables.ParquetTable(spark, f"{root}/delivery_log"),
     )
 
 
@@ -72,7 +73,7 @@ def new_bucketed_layout(spark: SparkSession, root: str, dim: DataFrame, buckets:
                   flat=bucketed("users_baseline"),
                   rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts",
                                             label="gender_label"),
-                  claims=tables.ParquetTable(spark, f"{root}/claims"))
+                  delivery=tables.ParquetTable(spark, f"{root}/delivery_log"))
 
 
 def _fact_rows(users: DataFrame, dim: DataFrame) -> DataFrame:
@@ -89,9 +90,16 @@ def _fact_rows(users: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = None,
-           n_synthetic: int = SYNTHETIC_BATCH, seed: int = 42, now_ms: int | None = None,
-           offset: int = 0) -> DataFrame:
-    """S4 U S5 -> J3 -> K1. Returns the rows that were inserted (read back)."""
+           n_synthetic: int = SYNTHETIC_BATCH, seed: int | None = None,
+           now_ms: int | None = None, offset: int = 0,
+           run_id: str | None = None) -> DataFrame:
+    """S4 U S5 -> J3 -> K1. Returns the rows that were inserted (read back).
+
+    Every run generates new users: the seed comes from ``run_id`` (a fresh one
+    by default). Give the ``run_id`` of a failed run, or a ``seed``, to repeat it.
+    """
+    if seed is None:
+        seed = int(hashlib.sha1((run_id or uuid.uuid4().hex).encode()).hexdigest()[:8], 16) >> 1
     parts = []
     if payloads is not None:
         api = flatten_results(payloads, seed=seed, now_ms=now_ms)
@@ -114,58 +122,36 @@ def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = Non
 
 def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], None],
             batch_size: int = CLAIM_BATCH, now_ms: int | None = None,
-            mark_before_send: bool = True, use_watermark: bool = True) -> DataFrame:
+            mark_before_send: bool = True, attempts: int = SEND_ATTEMPTS,
+            sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """O2 (F3, J1, P3) -> K7 -> F7 -> P4 -> K4 -> A8/A9.
 
     ``send`` receives the ``key, value`` frame (``messages.publish`` for the
-    bus, a Parquet write for the offline twin). The claimed batch is stored
-    before anything is sent, so marking, sending and counting all see the
-    same rows. With ``mark_before_send`` (the reference's order) the claimed
-    rows are written straight into the ledger as partition
-    ``claim_id=<id>``: one durable write both records and marks the batch,
-    and a crash after it loses the batch (at most once). Without it the batch
-    goes to a scratch folder and the ledger is written after sending (at
-    least once: a crash re-sends it). Valid and invalid counts are observed
-    on that first write.
-
-    With ``use_watermark`` (and a claims log) only fact rows after the last
-    claim are read (``outbox.claim_after``); otherwise the whole fact table
-    is anti-joined with the ledger.
+    bus, a Parquet write for the offline twin) and is tried ``attempts`` times.
+    The ledger is the only truth about what is claimed: the batch is what the
+    fact table holds and the ledger does not, whenever it landed. The claimed
+    batch is stored before anything is sent, so marking, sending and counting
+    all see the same rows. With ``mark_before_send`` (the reference's order) the
+    claimed rows are written straight into the ledger as partition
+    ``claim_id=<id>``: one durable write both records and marks the batch, and
+    a crash after it loses the batch (at most once). Without it the batch goes
+    to a scratch folder and the ledger is written after sending (at least once:
+    a crash re-sends it).
+
+    What happened to each record goes to the delivery log; the counters are
+    an aggregate of this batch's part of it. A send that fails for good raises
+    after its log is written.
     """
     fact = layout.fact.read()
     ledger = layout.ledger.read_if_exists()
     projection = ([F.col("id"), F.col("first_name"), F.col("last_name"),
                    F.col("gender_code").alias("gender")]
                   + [F.col(c) for c in MESSAGE_TEXT_FIELDS[4:]] + [F.col("ingested_at")])
-    unsent_flag = F.col("kafka_sent") == F.lit(False)
     dim = layout.dim.select("gender_id", "gender_code")
-    if use_watermark and layout.claims is not None:
-        mark = layout.last_mark
-        log = layout.claims.read_if_exists() if mark is None else None
-        if log is not None:
-            # one row per claim: the newest watermark is a scalar
-            last = log.agg(F.max(F.struct("hi_ts", "hi_id", "claim_id")).alias("m")).first()["m"]
-            mark = (last.hi_ts, last.hi_id, last.claim_id) if last is not None else None
-        claimed = outbox.claim_after(fact, ledger, batch_size, "ingested_at", "id", projection,
-                                     mark[:2] if mark else None, dim=dim, dim_on="gender_id",
-                                     unsent_condition=unsent_flag,
-                                     ledger_after=mark[2] if mark else None)
-    else:
-        claimed = outbox.claim(fact, ledger, batch_size, ["ingested_at", "id"], projection,
-                               dim=dim, dim_on="gender_id", key="id",
-                               unsent_condition=unsent_flag)
-    # time first, so that claim ids sort in claim order
+    rows = outbox.claim(fact, ledger, batch_size, ["ingested_at", "id"], projection,
+                        dim=dim, dim_on="gender_id", key="id",
+                        unsent_condition=F.col("kafka_sent") == F.lit(False))
     claim_id = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:12]}"
-    obs = Observation(f"claim_{claim_id}")
-    fresh = ~F.col(outbox.SEEN) if outbox.SEEN in claimed.columns else F.lit(True)
-    valid_flag = messages.is_valid()
-    # the watermark covers every candidate, also those an interrupted claim
-    # already took; the counts and the write cover the fresh rows only
-    counted = claimed.observe(obs, F.count_if(fresh & valid_flag).alias("valid"),
-                              F.count_if(fresh & ~valid_flag).alias("invalid"),
-                              F.max(F.struct("ingested_at", "id")).alias("hi"))
-    rows = counted.filter(fresh).drop(outbox.SEEN)
-    schema = rows.schema
     partitioned = isinstance(layout.ledger, tables.ParquetTable)
 
     def mark(claimed_rows: DataFrame) -> None:
@@ -177,47 +163,36 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
         else:
             layout.ledger.append(outbox.ledger_rows(claimed_rows, claim_id))
 
-    if mark_before_send and partitioned:
-        # one write both stores the batch and marks it
-        mark(rows)
-        part = f"{layout.ledger.path}/claim_id={claim_id}"
-    else:
-        part = scratch_dir(spark, "claim")
-        rows.write.parquet(part)
-    n = obs.get
-    claimed_rows = int(n["valid"] + n["invalid"])
-    batch = spark.read.schema(schema).parquet(part) if claimed_rows else None
-
-    def log_watermark() -> None:
-        # only after the ledger holds the claim: rows below the mark are claimed
-        if layout.claims is not None and n["hi"] is not None:
-            layout.claims.append(spark.createDataFrame(
-                [(claim_id, n["hi"]["ingested_at"], n["hi"]["id"], claimed_rows)],
-                "claim_id string, hi_ts timestamp, hi_id string, rows long"))
-            layout.last_mark = (n["hi"]["ingested_at"], n["hi"]["id"], claim_id)
-
-    if batch is None:
-        log_watermark()  # nothing new, but the mark moves past taken rows
-    elif mark_before_send:
-        if not partitioned:
+    part = scratch_dir(spark, "claim")
+    rows.write.parquet(part)  # fixes the batch
+    batch = spark.read.schema(rows.schema).parquet(part)
+    log_path = scratch_dir(spark, "delivery")
+    valid_flag = messages.is_valid()
+    elapsed_s, failures, error = 0.0, 0, None
+    if not batch.isEmpty():
+        if mark_before_send:
             mark(batch)
-        log_watermark()
-    elapsed_s = 0.0
-    if batch is not None:
         valid, _ = messages.validity_split(batch.drop("ingested_at"))
         stamped = messages.stamp_send_time(valid, now_ms)
         started = time.monotonic()
-        send(messages.to_message(stamped, "username"))
+        try:
+            failures = write_with_retry(lambda: send(messages.to_message(stamped, "username")),
+                                        attempts, sleep=sleep) - 1
+        except Exception as exc:  # noqa: BLE001  raised below, once it is logged
+            failures, error = attempts, exc
         elapsed_s = time.monotonic() - started
-        if not mark_before_send:
+        if not mark_before_send and error is None:
             mark(batch)
-            log_watermark()
-    # the bus write either lands the whole batch or raises: nothing sent
-    # needed a retry, nothing failed for good
-    counters = spark.createDataFrame(
-        [(int(n["valid"]), 0, 0, 0, int(n["invalid"]))],
-        "sent long, failed long, retries long, retried long, invalid long")
-    return agg.delivery_ratios(counters, elapsed_s=elapsed_s, keep_counters=True)
+    (batch.select("id", F.when(valid_flag, failures).otherwise(0).cast("int").alias("failures"),
+                  valid_flag.alias("valid"), F.lit(claim_id).alias("claim_id"))
+     .write.parquet(log_path))
+    log = spark.read.schema("id string, failures int, valid boolean, claim_id string") \
+        .parquet(log_path)
+    layout.delivery.append(log)
+    if error is not None:
+        raise error
+    return agg.delivery_ratios(agg.delivery_counters(log, max_attempts=attempts),
+                               elapsed_s=elapsed_s, keep_counters=True)
 
 
 def file_bus_sender(path: str) -> Callable[[DataFrame], None]:

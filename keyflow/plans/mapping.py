@@ -21,7 +21,6 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from keyflow.functions.scalars import epoch_ms
 from keyflow.operators.messages import to_message
-from keyflow.operators.partitioning import ensure_parallel
 from keyflow.session import default_parallelism
 
 # the fixed processing clock of the oracle-checked queries (2024-02-01T00:00:00Z)
@@ -47,14 +46,13 @@ def event_records(events: DataFrame, drop_ts_when: Column | None = None) -> Data
     )
 
 
-def event_frame(events: DataFrame, drop_ts_when: Column | None = None,
-                spread: bool = True) -> DataFrame:
+def event_frame(events: DataFrame, drop_ts_when: Column | None = None) -> DataFrame:
     """events -> bus frame ``key, value, partition, offset``.
 
     The key is the user, the partition ``user_id mod 6`` and the offset the
     event sequence.
     """
-    recs = event_records(ensure_parallel(events) if spread else events, drop_ts_when)
+    recs = event_records(events, drop_ts_when)
     return to_message(recs, "username", RECORD_FIELDS, keep=["partition", "offset"])
 
 
@@ -79,7 +77,7 @@ def publish_bus(events: DataFrame, path: str, drop_ts_when: Column | None = None
     tasks = tasks or max(BUS_PARTITIONS, default_parallelism(spark))
     bus_part = F.pmod(F.col("user_id"), F.lit(BUS_PARTITIONS))
     ranged = events.repartitionByRange(tasks, bus_part, F.col("event_id"))
-    frame = event_frame(ranged, drop_ts_when, spread=False)
+    frame = event_frame(ranged, drop_ts_when)
     (frame.sortWithinPartitions("partition", "offset")
           .write.partitionBy("partition").parquet(path))
 

@@ -16,9 +16,17 @@ _LATENCY = "cast(1706745600000-epoch_us(ts)//1000 as double)"
 _ROLLUP = ("select n_name label, count(*) cnt from customer join nation "
            "on c_nationkey=n_nationkey group by 1")
 
+_LATEST = ("select user_id id, arg_max(event_type,(ts,event_id)) event_type, "
+                      "arg_max(value,(ts,event_id)) value from events group by 1")
+
+_CLAIM = ("select id, c_name username, n_name gender from (select o_orderkey id, o_custkey "
+          "from orders where o_orderstatus='O' {} order by o_orderdate, o_orderkey limit 500) o "
+          "left join customer on o_custkey=c_custkey left join nation on c_nationkey=n_nationkey")
+
 ORACLE_SQL: dict[str, str] = {
-    "api_flatten": "select conv_id, turn, role from conversations",
-    "batch_metrics": ("select count(*) \"rows\", count(ts) measured, cast(3 as bigint) epochs from events"),
+    "api_flatten": "select conv_id, cast(turn as bigint) turn, role, text from conversations",
+    "batch_metrics": ("select count(*) \"rows\", count(ts) measured, "
+                      f"max({_LATENCY}) p_max from events"),
     "count_all": "select count(*) cnt from customer",
     "count_by_dim": ("select n_name label, count(*) cnt from customer join "
                      "(select * from nation where n_regionkey<>0) n on c_nationkey=n_nationkey "
@@ -53,7 +61,7 @@ ORACLE_SQL: dict[str, str] = {
     "gen_fact_series": ("select g, cast(g%2+1 as integer) dim_id, concat('u',g,'@x.com') email, "
                         "concat('user',g) username, "
                         "case when g%2=0 then 'male' else 'female' end gender "
-                        "from (select range g from range(1, (select count(*)+1 from lineitem))) s"),
+                        "from (select o_orderkey g from orders) s"),
     "gen_users": ("select c_custkey id, lower(concat(substr(h,1,8),'-',substr(h,9,4),'-4',"
                   "substr(h,14,3),'-',"
                   "substr('89ab',((instr('0123456789abcdef',substr(h,17,1))-1)%4)+1,1),"
@@ -68,45 +76,57 @@ ORACLE_SQL: dict[str, str] = {
     "key_partition_check": ("select user_id, count(*) n, "
                             "count(case when prev>ts then 1 end) out_of_order from "
                             "(select user_id, ts, lag(ts) over (partition by user_id "
-                            "order by event_id) prev from events) x group by 1"),
+                            "order by event_id) prev from (select user_id, event_id, case when "
+                            "event_id%7=0 then ts - interval 10 days else ts end ts "
+                            "from events) e) x group by 1"),
     "latency_enrich": f"select event_id id, {_LATENCY} latency_ms from events",
     "latency_stats": ("select event_type, count(*) n, count(l) measured, "
                       "quantile_disc(l,0.5) p50, quantile_disc(l,0.95) p95, max(l) p_max from "
                       f"(select event_type, case when event_id%7<>0 then {_LATENCY} end l "
                       "from events) x group by 1"),
     "loss_audit": ("select cast(sum(case when c.id is null then 1 else 0 end) as bigint) missing, "
-                   "cast(sum(case when p.id is null then 1 else 0 end) as bigint) extra "
+                   "cast(sum(case when p.id is null then 1 else 0 end) as bigint) extra, "
+                   "cast(sum(case when c.id%5=0 then 1 else 0 end) as bigint) duplicated "
                    "from (select event_id id from events where event_id%10<>3) p full join "
                    "(select event_id id from events where event_id%7<>2) c on p.id=c.id"),
-    "mark_sent": ("select o_orderkey id, o_orderkey in (select o_orderkey from orders "
-                  "where o_orderstatus='O' order by o_orderdate, o_orderkey limit 500) sent "
-                  "from orders"),
+    "mark_sent": ("select o_orderkey id, o_orderkey%10=0 or o_orderkey in (select o_orderkey "
+                  "from orders where o_orderstatus='O' and o_orderkey%10<>0 "
+                  "order by o_orderdate, o_orderkey limit 500) sent from orders"),
     "mv_build": _ROLLUP,
     "mv_read": _ROLLUP,
     "mv_unique_check": (f"select count(*) dup from (select label from ({_ROLLUP}) m "
                         "group by label having count(*)>1) z"),
     "offset_totals": ("select cast(sum(e) as bigint) total from "
                       "(select user_id%6 part, max(event_id)+1 e from events group by 1) x"),
-    "outbox_claim": ("select o_orderkey id, c_name username, n_name gender from orders "
-                     "join customer on o_custkey=c_custkey left join nation "
-                     "on c_nationkey=n_nationkey where o_orderstatus='O' "
-                     "order by o_orderdate, o_orderkey limit 500"),
+    "outbox_claim": _CLAIM.format(""),
+    "outbox_claim_ledger": _CLAIM.format("and o_orderkey%3<>0"),
     "point_lookup": "select o_orderkey id, o_orderstatus from orders where o_orderkey=1000",
     "resolve_dim_key": ("select c_custkey id, d.k dim_id from customer left join "
                         "(select min(c_custkey) k, c_mktsegment s from customer "
                         "where c_mktsegment<>'BUILDING' group by 2) d on s=c_mktsegment"),
     "scan_fact": "select c_custkey id, c_name username, c_nationkey dim_id from customer",
-    "stream_enrich": f"select cast(event_id as varchar) id, {_LATENCY} latency_ms from events",
-    "stream_replay": f"select cast(event_id as varchar) id, {_LATENCY} latency_ms from events",
-    "table_diff": ("select count(*) changed from (select o_orderkey k, o_totalprice v from orders) a "
-                   "join (select o_orderkey k, case when o_orderkey%100=0 then o_totalprice+1 "
-                   "else o_totalprice end v from orders) b on a.k=b.k "
-                   "where a.v is distinct from b.v"),
-    "to_message": "select cast(user_id as varchar) k, event_id id, event_type from events",
+    "stream_enrich": ("select cast(event_id as varchar) id, event_type, value, "
+                      f"epoch_us(ts)//1000 event_ts_ms, true spark_processed_at, {_LATENCY} latency_ms "
+                      "from events"),
+    "stream_replay": ("select cast(event_id as varchar) id, event_type, value, "
+                      f"epoch_us(ts)//1000 event_ts_ms, {_LATENCY} latency_ms from events"),
+    "table_diff": ("with a as (select o_orderkey k, o_totalprice v from orders), "
+                   "c as (select k, case when k%100=0 then v+1 else v end v from a where k%97<>0), "
+                   "b as (select * from c union all select -k-1, v from a where k%89=0 "
+                   "union all select * from c where k%83=0), "
+                   "x as (select k, list(v order by v) v from a group by k), "
+                   "y as (select k, list(v order by v) v from b group by k) "
+                   "select count(*) filter (where x.k is not null and y.k is not null "
+                   "and x.v is distinct from y.v) changed, "
+                   "count(*) filter (where y.k is null) only_left, "
+                   "count(*) filter (where x.k is null) only_right "
+                   "from x full join y on x.k=y.k"),
+    "to_message": ("select cast(user_id as varchar) k, event_id id, event_type, "
+                   "cast(1706745600000 as bigint) event_ts_ms from events"),
     "union_sources": ("select c_custkey id, c_name nm from customer "
                       "union all select s_suppkey, s_name from supplier"),
-    "upsert_latest": ("select user_id id, arg_max(event_type,(ts,event_id)) event_type, "
-                      "arg_max(value,(ts,event_id)) value from events group by 1"),
+    "upsert_compacted": _LATEST,
+    "upsert_latest": _LATEST,
     "validity_split": ("select id is not null and id<>'' valid, count(*) cnt from "
                        "(select case when event_id%5=0 then null when event_id%5=1 then '' "
                        "else event_type end id from events) x group by 1"),

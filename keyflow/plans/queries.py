@@ -13,35 +13,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keyflow.operators import aggregates as agg
 from keyflow.operators import checks, joins, messages, outbox, partitioning, tables
 from keyflow.plans.mapping import (
     BATCH_START_MS,
+    BUS_PARTITIONS,
     BUS_SCHEMA,
+    RECORD_FIELDS,
     delivery_log,
     event_frame,
+    event_records,
     publish_bus,
     truncate_payloads,
 )
-from keyflow.schemas import EVENT_MESSAGE, SENT_LEDGER, USER_MESSAGE
+from keyflow.schemas import EVENT_MESSAGE, USER_MESSAGE
 from keyflow.session import scratch_dir
-from keyflow.sources.api import explode_pages
-from keyflow.sources.generator import GENDERS, fact_series, generate_users
+from keyflow.sources.api import flatten_results, parse_payloads
+from keyflow.sources.generator import GENDERS, generate_users, layout_rows
 from keyflow.sources.stream import file_stream
 from keyflow.sources.tables import read_table
-from keyflow.streaming.job import BatchProcessor, build_stream, run_available_now
+from keyflow.streaming.job import (BatchProcessor, build_stream, forget_last_commit,
+                                   run_available_now)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# one result of a conversation page: nested like the API's user results
-CONVERSATION_RESULT = T.StructType([
-    T.StructField("conv", T.StructType([T.StructField("id", T.LongType())])),
-    T.StructField("turn", T.StructType([T.StructField("number", T.LongType())])),
-    T.StructField("role", T.StringType()),
-])
-
 CLAIM_SIZE = 500
 PAGE_SIZE = 10  # results per API payload page
 LOOKUP_KEY = 1000
@@ -72,17 +68,21 @@ def api_flatten(spark, sf):
     """Nested ``{"results": [...]}`` pages parsed and flattened back to rows.
 
     Pages hold at most ``PAGE_SIZE`` turns of one conversation, so a page is
-    bounded however long a conversation gets. The pages carry only the fields
-    the query returns; the long turn texts never enter the shuffle.
+    bounded however long a conversation gets; each turn takes the place of a
+    user, its text that of the e-mail.
     """
-    conv = _t(spark, sf, "conversations", "conv_id", "turn", "role")
-    result = F.struct(F.struct(F.col("conv_id").alias("id")).alias("conv"),
-                      F.struct(F.col("turn").alias("number")).alias("turn"),
-                      F.col("role"))
+    conv = _t(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    result = F.struct(
+        F.struct(F.col("role").alias("first")).alias("name"),
+        F.col("text").alias("email"),
+        F.struct(F.col("conv_id").cast("string").alias("username")).alias("login"),
+        F.col("turn").cast("string").alias("phone"))
     pages = (conv.groupBy("conv_id", F.floor(F.col("turn") / PAGE_SIZE).alias("page"))
              .agg(F.to_json(F.struct(F.collect_list(result).alias("results"))).alias("value")))
-    return explode_pages(pages, "value", CONVERSATION_RESULT,
-                         {"conv_id": "conv.id", "turn": "turn.number", "role": "role"})
+    users = flatten_results(parse_payloads(pages), now_ms=BATCH_START_MS)
+    return users.select(F.col("username").cast("long").alias("conv_id"),
+                        F.col("phone").cast("long").alias("turn"),
+                        F.col("first_name").alias("role"), F.col("email").alias("text"))
 
 
 def gen_users(spark, sf):
@@ -106,9 +106,8 @@ def gen_expectations(spark, sf):
 
 
 def gen_fact_series(spark, sf):
-    """The benchmark's sequence rows, as many as lineitem has rows."""
-    n = agg.count_all(_t(spark, sf, "lineitem")).first()["cnt"]
-    return fact_series(spark, n)
+    """The benchmark's columns for the key of every order."""
+    return layout_rows(_t(spark, sf, "orders", "o_orderkey"), "o_orderkey")
 
 
 # ---------------------------------------------------------------- counts (layouts)
@@ -242,6 +241,26 @@ def upsert_latest(spark, sf):
     return sink.read(["event_type", "value"])
 
 
+def upsert_compacted(spark, sf):
+    """The same events with a compaction half way, the last epoch before
+    it replayed, and the rest written under a new checkpoint."""
+    events = _t(spark, sf, "events", "user_id", "event_type", "value", "ts", "event_id")
+    path = scratch_dir(spark, "created_users")
+
+    def sink(run: str) -> tables.KeyedUpsertTable:
+        return tables.KeyedUpsertTable(spark, path, "id", order_cols=["ts", "event_id"],
+                                       global_order=True, run=run)
+
+    rows = events.select(F.col("user_id").alias("id"), "event_type", "value", "ts", "event_id",
+                         F.pmod(F.col("event_id"), F.lit(8)).alias("_epoch"))
+    first, second = sink("run-0"), sink("run-1")
+    first.write_epochs(rows.filter("_epoch < 4"))
+    first.compact()
+    first.write_epochs(rows.filter("_epoch = 3"))
+    second.write_epochs(rows.filter("_epoch >= 4").withColumn("_epoch", F.col("_epoch") - 4))
+    return second.read(["event_type", "value"])
+
+
 def _rollup_table(spark, sf) -> tables.RollupTable:
     fact = _t(spark, sf, "customer", "c_nationkey")
     dim = _t(spark, sf, "nation", "n_nationkey", "n_name")
@@ -267,36 +286,47 @@ def mv_unique_check(spark, sf):
 
 # ---------------------------------------------------------------- outbox
 
-def _orders_fact(spark, sf) -> DataFrame:
+def _claim_orders(spark, sf, ledger):
+    """The oldest unsent orders: a top-k over the orders, then its rows joined."""
     orders = _t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = _t(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey")
-    return joins.dim_join(orders, customer, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    nation = _t(spark, sf, "nation", "n_nationkey", "n_name")
+    claimed = outbox.claim(
+        orders.withColumnRenamed("o_orderkey", "id"), ledger, CLAIM_SIZE,
+        order_by=["o_orderdate", "id"], projection=["id", "c_name", "c_nationkey"], key="id",
+        dim=customer, dim_on=F.col("o_custkey") == F.col("c_custkey"),
+        unsent_condition=F.col("o_orderstatus") == "O")
+    return joins.dim_join(claimed, nation, F.col("c_nationkey") == F.col("n_nationkey"), "left") \
+        .select("id", F.col("c_name").alias("username"), F.col("n_name").alias("gender"))
 
 
 def outbox_claim(spark, sf):
-    """O2 (F3, J1, P3): the oldest unsent rows, gender label restored by a left join."""
-    nation = _t(spark, sf, "nation", "n_nationkey", "n_name")
-    return outbox.claim(
-        _orders_fact(spark, sf), None, CLAIM_SIZE,
-        order_by=["o_orderdate", "o_orderkey"],
-        projection=[F.col("o_orderkey").alias("id"), F.col("c_name").alias("username"),
-                    F.col("n_name").alias("gender")],
-        dim=nation, dim_on=F.col("c_nationkey") == F.col("n_nationkey"),
-        unsent_condition=F.col("o_orderstatus") == "O")
+    """O2 (J1, P3): the oldest unsent rows, gender label restored by a left join."""
+    return _claim_orders(spark, sf, None)
+
+
+def outbox_claim_ledger(spark, sf):
+    """The claim against a ledger that holds every third order."""
+    ledger = tables.ParquetTable(spark, scratch_dir(spark, "sent_ledger"))
+    sent = _t(spark, sf, "orders", "o_orderkey").filter(F.col("o_orderkey") % 3 == 0)
+    ledger.overwrite(outbox.ledger_rows(sent, "claim-0", key="o_orderkey"))
+    return _claim_orders(spark, sf, ledger.read().withColumn("id", F.col("id").cast("long")))
 
 
 def mark_sent(spark, sf):
-    """K7 + F6/J5: claimed ids go to the ledger; the flag is a join with it."""
+    """K7 + F6/J5: claimed ids go to the ledger; the flag is a join with it.
+
+    The ledger already holds an earlier claim: every tenth order.
+    """
     orders = _t(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderdate") \
-        .withColumn("id", F.col("o_orderkey").cast("string"))
+        .withColumnRenamed("o_orderkey", "id")
     ledger = tables.ParquetTable(spark, scratch_dir(spark, "sent_ledger"))
-    ledger.overwrite(spark.createDataFrame([], SENT_LEDGER))
-    claimed = outbox.claim(orders, ledger.read(), CLAIM_SIZE, ["o_orderdate", "o_orderkey"],
-                           [F.col("id")], key="id",
+    ledger.overwrite(outbox.ledger_rows(orders.filter(F.col("id") % 10 == 0), "claim-0"))
+    claimed = outbox.claim(orders, ledger.read().withColumn("id", F.col("id").cast("long")),
+                           CLAIM_SIZE, ["o_orderdate", "id"], [F.col("id")], key="id",
                            unsent_condition=F.col("o_orderstatus") == "O")
     ledger.append(outbox.ledger_rows(claimed, "claim-1"))
-    flagged = outbox.with_sent_flag(orders, ledger.read(), key="id")
-    return flagged.select(F.col("o_orderkey").alias("id"), "sent")
+    return outbox.with_sent_flag(orders, ledger.read(), key="id").select("id", "sent")
 
 
 def validity_split(spark, sf):
@@ -311,11 +341,12 @@ def validity_split(spark, sf):
 # ---------------------------------------------------------------- messages
 
 def to_message(spark, sf):
-    """Keyed JSON messages; the key is the user."""
-    frame = event_frame(_t(spark, sf, "events"))
+    """Keyed JSON messages stamped at a fixed send time; the key is the user."""
+    stamped = messages.stamp_send_time(event_records(_t(spark, sf, "events")), BATCH_START_MS)
+    frame = messages.to_message(stamped, "username", RECORD_FIELDS)
     parsed = messages.parse_messages(frame, EVENT_MESSAGE, keep=["key"])
     return parsed.select(F.col("key").cast("string").alias("k"),
-                         F.col("id").cast("long").alias("id"), "event_type")
+                         F.col("id").cast("long").alias("id"), "event_type", "event_ts_ms")
 
 
 def json_parse(spark, sf):
@@ -347,15 +378,22 @@ def latency_stats(spark, sf):
 
 
 def key_partition_check(spark, sf):
-    """Per user, messages whose stamp goes back in time."""
+    """Per user, messages whose stamp goes back in time, over rows dealt by
+    key as the bus does; every 7th message is stamped ten days early."""
     events = _t(spark, sf, "events", "user_id", "event_id", "ts")
-    return partitioning.order_violations(events, "user_id", "event_id", "ts")
+    late = events.withColumn("ts", F.when(F.col("event_id") % 7 == 0,
+                                          F.col("ts") - F.expr("interval 10 days"))
+                             .otherwise(F.col("ts")))
+    path = scratch_dir(spark, "dealt")
+    partitioning.key_partition(late, "user_id", BUS_PARTITIONS, "event_id").write.parquet(path)
+    # the check deals the written rows anew, by key and chunk
+    return partitioning.order_violations(spark.read.parquet(path), "user_id", "event_id", "ts")
 
 
 def offset_totals(spark, sf):
     """A10: sum of end offsets over the bus partitions."""
-    # only partition and offset are read: no payload is encoded, nothing to spread
-    return agg.offset_totals(event_frame(_t(spark, sf, "events"), spread=False))
+    # only partition and offset are read: no payload is encoded
+    return agg.offset_totals(event_frame(_t(spark, sf, "events")))
 
 
 # ---------------------------------------------------------------- delivery metrics
@@ -390,42 +428,45 @@ def expectations(spark, sf):
 
 
 def loss_audit(spark, sf):
-    """D3: produced vs consumed ids."""
+    """D3: produced vs consumed ids, every fifth consumed twice."""
     events = _t(spark, sf, "events", "event_id")
     produced = events.filter(F.col("event_id") % 10 != 3)
     consumed = events.filter(F.col("event_id") % 7 != 2)
-    return checks.loss_audit(produced, consumed, "event_id").select("missing", "extra")
+    again = consumed.filter(F.col("event_id") % 5 == 0)
+    return checks.loss_audit(produced, consumed.unionByName(again), "event_id")
 
 
 def table_diff(spark, sf):
-    """Primary vs copy, every 100th price changed on the copy."""
-    orders = _t(spark, sf, "orders", "o_orderkey", "o_totalprice")
-    a = orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
-    b = orders.select(F.col("o_orderkey").alias("k"),
-                      F.when(F.col("o_orderkey") % 100 == 0, F.col("o_totalprice") + 1)
-                       .otherwise(F.col("o_totalprice")).alias("v"))
-    return checks.table_diff(a, b, "k", ["v"]).select("changed")
+    """Primary vs copy; on the copy some prices changed, some keys are gone,
+    some are new and some rows are there twice."""
+    orders = _t(spark, sf, "orders", "o_orderkey", "o_totalprice").select(
+        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    k = F.col("k")
+    copy = orders.filter(k % 97 != 0).withColumn(
+        "v", F.when(k % 100 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    extra = orders.filter(k % 89 == 0).withColumn("k", -k - 1)
+    return checks.table_diff(orders, copy.unionByName(extra).unionByName(
+        copy.filter(k % 83 == 0)), "k", ["v"])
 
 
 # ---------------------------------------------------------------- streaming
 
-def _stream_into(spark, sf, epochs: int | None = None,
-                 replay_epoch0: bool = False, restart: bool = False):
+#: segment files that a micro-batch of the bus twin takes at most
+FILES_PER_TRIGGER = 4
+
+
+def _stream_into(spark, sf, lose_commit: bool = False):
     """Events published to the bus twin, then streamed: parse -> foreachBatch upsert.
 
-    With ``epochs`` the stream admits ``ceil(files / epochs)`` segment files
-    per trigger, which gives exactly that many micro-batches for any number
-    of segments >= 5 (there is at least one per bus partition).
+    With ``lose_commit`` the checkpoint loses its last commit, as in a crash
+    between the batch's writes and its commit, and the job starts again: the
+    engine replays that batch from the source.
     """
     bus = scratch_dir(spark, "bus")
     publish_bus(_t(spark, sf, "events"), bus)
-    max_files = None
-    if epochs:
-        n_files = len(spark.read.schema(BUS_SCHEMA).parquet(bus).inputFiles())
-        max_files = -(-n_files // epochs)
 
     def records():
-        src = file_stream(spark, bus, BUS_SCHEMA, max_files_per_trigger=max_files)
+        src = file_stream(spark, bus, BUS_SCHEMA, max_files_per_trigger=FILES_PER_TRIGGER)
         return build_stream(src, EVENT_MESSAGE, offset_col="offset")
 
     # versions are ordered by the message offset: segments may arrive in any order
@@ -435,35 +476,31 @@ def _stream_into(spark, sf, epochs: int | None = None,
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: BATCH_START_MS)
     ckpt = scratch_dir(spark, "stream_ckpt")
     run_available_now(spark, records(), proc, ckpt)
-    if restart:
-        # same checkpoint, no new input: no batch runs
+    if lose_commit:
+        forget_last_commit(spark, ckpt)
         run_available_now(spark, records(), proc, ckpt)
-    if replay_epoch0:
-        # the engine re-runs a batch whose commit was lost; apply epoch 0's input again
-        epoch0 = sink.versions().filter(F.col(sink.EPOCH) == 0) \
-            .drop(sink.EPOCH, "spark_processed_at", "latency_ms")
-        proc(epoch0, 0)
     return sink, metrics
 
 
 def stream_enrich(spark, sf):
     """The streaming job over the published events."""
     sink, _ = _stream_into(spark, sf)
-    return sink.read(["latency_ms"])
+    return sink.read(["event_type", "value", "event_ts_ms", "spark_processed_at", "latency_ms"]) \
+        .withColumn("spark_processed_at", F.col("spark_processed_at").isNotNull())
 
 
 def stream_replay(spark, sf):
-    """Three epochs, restart on the same checkpoint, epoch 0 applied again."""
-    sink, _ = _stream_into(spark, sf, epochs=3, replay_epoch0=True, restart=True)
-    return sink.read(["latency_ms"])
+    """The last commit is lost, the job restarts and replays that batch."""
+    sink, _ = _stream_into(spark, sf, lose_commit=True)
+    return sink.read(["event_type", "value", "event_ts_ms", "latency_ms"])
 
 
 def batch_metrics(spark, sf):
-    """Per-epoch metrics of the streaming job, summed over its three epochs."""
-    _, metrics = _stream_into(spark, sf, epochs=3)
+    """Per-epoch metrics of the streaming job, summed; a replay counts once."""
+    _, metrics = _stream_into(spark, sf, lose_commit=True)
     return metrics.read().agg(F.sum("rows").cast("long").alias("rows"),
                               F.sum("measured").cast("long").alias("measured"),
-                              F.count(F.lit(1)).alias("epochs"))
+                              F.max("p_max").alias("p_max"))
 
 
 QUERIES: dict[str, Query] = {
@@ -497,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "mv_unique_check": mv_unique_check,
     "offset_totals": offset_totals,
     "outbox_claim": outbox_claim,
+    "outbox_claim_ledger": outbox_claim_ledger,
     "point_lookup": point_lookup,
     "resolve_dim_key": resolve_dim_key,
     "scan_fact": scan_fact,
@@ -505,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "table_diff": table_diff,
     "to_message": to_message,
     "union_sources": union_sources,
+    "upsert_compacted": upsert_compacted,
     "upsert_latest": upsert_latest,
     "validity_split": validity_split,
 }

@@ -8,6 +8,7 @@ a fresh temporary folder ourselves.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,9 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # no broadcast from static size guesses (file sizes): a side is broadcast
-    # when proven small (``joins.has_at_most``) or when AQE has measured it
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # the planner broadcasts by its size statistics in bytes, AQE by measured bytes
+    "spark.sql.autoBroadcastJoinThreshold": str(16 << 20),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -127,6 +127,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not re.match(r"local($|\[)", master or ""):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="keyflow-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
@@ -138,3 +141,28 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/keyflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there, on any file system that Spark reaches."""
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def child_folders(spark: SparkSession, path: str, complete: bool = False) -> list[str]:
+    """Names of the folders in ``path``, sorted; ``complete``: of finished writes only."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    return [n for n in names if not complete or path_exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.delete(p, True)

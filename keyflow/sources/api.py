@@ -34,19 +34,21 @@ def flatten_results(payloads: DataFrame, seed: int = 42, now_ms: int | None = No
                     id_key: str | None = None) -> DataFrame:
     """Explode ``results`` and flatten each user into the 13-field message.
 
-    ``id`` is a UUIDv4 derived from ``id_key`` and the position in the page,
-    or else from the result's content, so that reruns are reproducible.
+    ``id`` is a UUIDv4 derived from ``id_key`` (or else the page's content) and
+    the position in the page, so that reruns are reproducible and two equal
+    results of a page stay two rows.
     """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     ex = payloads.select(*( [F.col(id_key)] if id_key else []),
+                         F.xxhash64("results").alias("page"),
                          F.posexplode("results").alias("pos", "r"))
     r = F.col("r")
     loc = r["location"]
     # namespaced so payload ids never coincide with generated ones; without a
-    # page key the result's own content decides, so re-ingesting the same
-    # page gives the same ids and different pages never collide
+    # page key the content of page and result decides, so re-ingesting the same
+    # page gives the same ids
     key = (F.concat_ws(":", F.lit("api"), F.col(id_key).cast("string"), F.col("pos").cast("string"))
-           if id_key else F.concat_ws(":", F.lit("api"), F.to_json(F.col("r"))))
+           if id_key else F.concat_ws(":", F.lit("api"), F.col("page"), F.col("pos"), F.to_json(F.col("r"))))
     return ex.select(
         seeded_uuid4(key, seed).alias("id"),
         r["name"]["first"].alias("first_name"),

@@ -93,13 +93,17 @@ def fact_series(spark: SparkSession, n: int, num_partitions: int | None = None)
     ``dim_id = g % 2 + 1`` is the fact layout's key; ``gender`` the flat
     layout's text (even g is male).
     """
-    g = F.col("g")
-    return (spark.range(1, n + 1, numPartitions=num_partitions).withColumnRenamed("id", "g")
-            .select(g,
-                    (g % 2 + 1).cast("int").alias("dim_id"),
-                    F.concat(F.lit("u"), g.cast("string"), F.lit("@x.com")).alias("email"),
-                    F.concat(F.lit("user"), g.cast("string")).alias("username"),
-                    F.when(g % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("gender")))
+    return layout_rows(spark.range(1, n + 1, numPartitions=num_partitions), "id")
+
+
+def layout_rows(keys: DataFrame, key: str) -> DataFrame:
+    """The columns of ``fact_series`` for the integer keys of any table."""
+    g = F.col(key)
+    return keys.select(
+        g.alias("g"), (g % 2 + 1).cast("int").alias("dim_id"),
+        F.concat(F.lit("u"), g.cast("string"), F.lit("@x.com")).alias("email"),
+        F.concat(F.lit("user"), g.cast("string")).alias("username"),
+        F.when(g % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("gender"))
 
 
 def gender_dimension(spark: SparkSession) -> DataFrame:

@@ -78,6 +78,9 @@ class BatchProcessor:
             log.info("[batch %d] empty micro-batch, skipped", epoch_id)
             return
         started = time.monotonic()
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query_id and hasattr(self.sink, "use_run"):
+            self.sink.use_run(query_id)
         batch_start_ms = self.clock_ms()
         enriched = enrich(batch, batch_start_ms, ts_col=self.ts_col)
         obs = Observation(f"batch_{epoch_id}_{int(started * 1e6)}")
@@ -149,12 +152,22 @@ def start_stream(records: DataFrame, processor: BatchProcessor, checkpoint: str,
 
 
 def run_available_now(spark: SparkSession, records: DataFrame, processor: BatchProcessor,
-                      checkpoint: str, timeout_s: float = 600) -> StreamingQuery:
+                      checkpoint: str) -> StreamingQuery:
+    """Process what is there, however long it takes, and stop."""
     query = start_stream(records, processor, checkpoint, available_now=True)
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream did not finish within {timeout_s}s")
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Remove the newest commit of a stopped query's checkpoint, as a crash just
+    before it would leave things: a restart replays that batch from the source."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    last = max((n for n in names if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, name), False)

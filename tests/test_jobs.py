@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from keyflow.operators import aggregates as agg
 from keyflow.plans import jobs
 from keyflow.schemas import USER_MESSAGE
 from keyflow.operators.messages import parse_messages
@@ -26,18 +28,15 @@ def _payloads(spark):
                                                 "value string"))
 
 
-import pytest
-
-
 @pytest.mark.parametrize("bucketed", [False, True])
 def test_ingest_publish_compare(spark, tmp, bucketed):
     dim = gender_dimension(spark)
     layout = (jobs.new_bucketed_layout(spark, tmp, dim, 4, prefix=f"kf{abs(hash(tmp))}")
               if bucketed else jobs.new_layout(spark, tmp, dim))
-    first = jobs.ingest(spark, layout, _payloads(spark), n_synthetic=300, now_ms=1)
+    first = jobs.ingest(spark, layout, _payloads(spark), n_synthetic=300, now_ms=1, run_id="one")
     assert first.count() == 302
     assert layout.fact.read().filter(F.col("gender_id").isNull()).count() == 1  # unknown code
-    again = jobs.ingest(spark, layout, _payloads(spark), n_synthetic=300, now_ms=1)
+    again = jobs.ingest(spark, layout, _payloads(spark), n_synthetic=300, now_ms=1, run_id="one")
     assert again.count() == 0 and layout.fact.read().count() == 302  # same ids: nothing new
 
     sent_frames = []
@@ -78,54 +77,61 @@ def test_publish_at_least_once_marks_after_send(spark, tmp):
     def broken(frame):
         raise OSError("bus down")
 
+    waits = []
     try:
-        jobs.publish(spark, layout, broken, batch_size=10, mark_before_send=False)
+        jobs.publish(spark, layout, broken, batch_size=10, mark_before_send=False,
+                     sleep=waits.append)
     except OSError:
         pass
     assert not layout.ledger.exists()  # nothing marked: the next run sends them
-    assert not layout.claims.exists()  # and the watermark did not move past them
+    assert waits == [1.0, 2.0]
+    failed = agg.delivery_counters(layout.delivery.read()).first()
+    assert (failed.sent, failed.failed, failed.retries) == (0, 10, 30)
     try:
-        jobs.publish(spark, layout, broken, batch_size=10, mark_before_send=True)
+        jobs.publish(spark, layout, broken, batch_size=10, mark_before_send=True,
+                     sleep=waits.append)
     except OSError:
         pass
     assert layout.ledger.read().count() == 10  # marked first: at most once
 
 
-def test_watermark_claims_match_full_scan(spark, tmp):
-    """Claims by watermark and claims by full anti join pick the same rows."""
-    dim = gender_dimension(spark)
-    ids = {}
-    for mode in (True, False):
-        layout = jobs.new_layout(spark, f"{tmp}/{mode}", dim)
-        jobs.ingest(spark, layout, None, n_synthetic=150, now_ms=1)
-        frames = []
-        jobs.publish(spark, layout, frames.append, batch_size=60, use_watermark=mode)
-        jobs.ingest(spark, layout, None, n_synthetic=100, now_ms=1, offset=1000)
-        for _ in range(4):
-            jobs.publish(spark, layout, frames.append, batch_size=60, use_watermark=mode)
-        ids[mode] = [sorted(r.id for r in parse_messages(f, USER_MESSAGE).collect())
-                     for f in frames]
-        assert sum(len(x) for x in ids[mode]) == 250
-    assert ids[True] == ids[False]
-
-
-def test_crash_between_ledger_and_log_does_not_resend(spark, tmp):
-    """A claim written to the ledger whose watermark was never logged: the
-    next claim must not take those rows again."""
+def test_late_rows_are_published(spark, tmp):
+    """Rows that land with an older time than what was already sent are sent too."""
     layout = jobs.new_layout(spark, tmp, gender_dimension(spark))
-    jobs.ingest(spark, layout, None, n_synthetic=50, now_ms=1)
+    jobs.ingest(spark, layout, None, n_synthetic=10, now_ms=1)
     frames = []
-    jobs.publish(spark, layout, frames.append, batch_size=20)
-    # simulate the crash: the second claim reaches the ledger, its log row is lost
-    real_append = layout.claims.append
-    layout.claims.append = lambda df, *a: None
-    jobs.publish(spark, layout, frames.append, batch_size=20)
-    layout.claims.append = real_append
-    layout.last_mark = None  # a new process reads the (stale) log
-    # the next claim's candidates are exactly the interrupted claim's rows:
-    # it shrinks to nothing but moves the watermark past them (no livelock)
-    third = jobs.publish(spark, layout, frames.append, batch_size=20).first()
-    assert third.sent + third.invalid == 0
-    jobs.publish(spark, layout, frames.append, batch_size=20)
+    assert jobs.publish(spark, layout, frames.append, batch_size=60).first().sent == 10
+    late = jobs.ingest(spark, jobs.new_layout(spark, f"{tmp}/late", layout.dim), None,
+                       n_synthetic=10, now_ms=1)
+    layout.fact.append(late.withColumn("ingested_at",
+                                       F.col("ingested_at") - F.expr("interval 1 hour")))
+    assert jobs.publish(spark, layout, frames.append, batch_size=60).first().sent == 10
+    assert jobs.publish(spark, layout, frames.append, batch_size=60).first().sent == 0
     sent = [r.id for f in frames for r in parse_messages(f, USER_MESSAGE).collect()]
-    assert len(sent) == len(set(sent)) == 50
+    assert len(sent) == len(set(sent)) == 20
+
+
+def test_every_run_adds_new_users(spark, tmp):
+    layout = jobs.new_layout(spark, tmp, gender_dimension(spark))
+    for _ in range(2):
+        assert jobs.ingest(spark, layout, None, n_synthetic=30, now_ms=1).count() == 30
+    assert layout.fact.read().select("id").distinct().count() == 60
+    # a run can be repeated by its id: nothing new
+    assert jobs.ingest(spark, layout, None, n_synthetic=30, now_ms=1, run_id="r").count() == 30
+    assert jobs.ingest(spark, layout, None, n_synthetic=30, now_ms=1, run_id="r").count() == 0
+
+
+def test_a_send_that_fails_twice(spark, tmp):
+    layout = jobs.new_layout(spark, tmp, gender_dimension(spark))
+    jobs.ingest(spark, layout, None, n_synthetic=5, now_ms=1)
+    calls = []
+
+    def flaky(frame):
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("bus down")
+
+    r = jobs.publish(spark, layout, flaky, batch_size=5, sleep=lambda s: None).first()
+    assert (r.sent, r.failed, r.retries, r.retried) == (5, 0, 10, 5)
+    row = r.asDict()
+    assert [v for k, v in row.items() if "recover" in k] == [100.0]

@@ -24,7 +24,7 @@ def test_end_to_end(spark, tmp):
     r1 = jobs.publish(spark, layout, send, batch_size=500, now_ms=2_000).first()
     assert r1.sent == 500
 
-    sink = KeyedUpsertTable(spark, f"{tmp}/created_users", "id")
+    sink = KeyedUpsertTable(spark, f"{tmp}/created_users", "id", order_cols=["event_ts_ms"])
     metrics = ParquetTable(spark, f"{tmp}/metrics")
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: 2_500, accuracy=1_000_000)
     schema = spark.createDataFrame([], FRAME).schema
@@ -57,8 +57,9 @@ def test_command_line_jobs(spark, tmp, capsys):
     from keyflow.__main__ import main
 
     root = f"{tmp}/app"
-    assert main(["ingest", "--root", root, "--n", "120"])["inserted"] == 120
-    assert main(["ingest", "--root", root, "--n", "120"])["inserted"] == 0
+    # every scheduled run adds new users
+    assert main(["ingest", "--root", root, "--n", "70"])["inserted"] == 70
+    assert main(["ingest", "--root", root, "--n", "50"])["inserted"] == 50
     pub = main(["publish", "--root", root, "--bus", f"{root}/bus", "--batch-size", "100"])
     assert pub["sent"] == 100 and pub["invalid"] == 0
     out = main(["stream", "--root", root, "--bus", f"{root}/bus", "--available-now"])

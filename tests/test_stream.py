@@ -38,7 +38,7 @@ def test_stream_upsert_metrics_restart(spark, tmp):
     src = f"{tmp}/in"
     _write_batch(spark, src, "b0", [_rec(1, 900), _rec(2, None), _rec(3, 800)])
     _write_batch(spark, src, "b1", [_rec(1, 950, first_name="changed"), "garbage-row"])
-    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id")
+    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"])
     metrics = ParquetTable(spark, f"{tmp}/metrics")
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: 1000, accuracy=1_000_000)
     _stream(spark, src, proc, f"{tmp}/ckpt")
@@ -61,7 +61,7 @@ def test_stream_upsert_metrics_restart(spark, tmp):
 
 
 def test_empty_batch_skipped_and_unmeasured_batch(spark, tmp):
-    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id")
+    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"])
     metrics = ParquetTable(spark, f"{tmp}/metrics")
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: 1000)
     empty = spark.createDataFrame([], USER_MESSAGE)
@@ -74,7 +74,7 @@ def test_empty_batch_skipped_and_unmeasured_batch(spark, tmp):
 
 
 def test_replay_same_epoch_keeps_table(spark, tmp):
-    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id")
+    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"])
     proc = BatchProcessor(sink, None, clock_ms=lambda: 1000)
     batch = spark.createDataFrame([tuple(_rec(i, 900).values()) for i in range(5)], USER_MESSAGE)
     proc(batch, 7)
@@ -114,7 +114,7 @@ def test_failing_sink_fails_the_stream(spark, tmp):
 
     src = f"{tmp}/in"
     _write_batch(spark, src, "b0", [_rec(1)])
-    proc = BatchProcessor(Broken(spark, f"{tmp}/sink", "id"), None, sleep=lambda s: None)
+    proc = BatchProcessor(Broken(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"]), None, sleep=lambda s: None)
     with pytest.raises(Exception, match="no sink"):
         _stream(spark, src, proc, f"{tmp}/ckpt")
 
@@ -148,7 +148,7 @@ def test_processing_time_trigger_picks_up_new_files(spark, tmp):
 
     src = f"{tmp}/in"
     _write_batch(spark, src, "b0", [_rec(1, 900)])
-    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id")
+    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"])
     proc = BatchProcessor(sink, None, clock_ms=lambda: 1000)
     frame = file_stream(spark, f"{src}/*", spark.createDataFrame([], "value string").schema)
     query = start_stream(build_stream(frame, USER_MESSAGE), proc, f"{tmp}/ckpt",
@@ -175,7 +175,7 @@ def test_flaky_sink_inside_the_stream(spark, tmp):
     src = f"{tmp}/in"
     _write_batch(spark, src, "b0", [_rec(1, 900), _rec(2, 800)])
     waits = []
-    sink = Flaky(spark, f"{tmp}/sink", "id")
+    sink = Flaky(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"])
     metrics = ParquetTable(spark, f"{tmp}/metrics")
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: 1000, sleep=waits.append)
     _stream(spark, src, proc, f"{tmp}/ckpt")
