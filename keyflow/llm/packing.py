@@ -43,7 +43,7 @@ TAIL = 128
 PIECES_PER_BUCKET = 8192
 MERGE = 64
 #: words whose ids a worker keeps, at most twice as many
-WORDS_KEPT = 500_000
+WORDS_KEPT = 250_000
 
 
 def cut_points(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:

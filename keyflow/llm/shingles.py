@@ -11,7 +11,7 @@ import xxhash
 
 SHINGLE = 5
 #: words whose hashes a worker keeps
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
 _RNG = np.random.default_rng(5)
 _FACTORS = _RNG.integers(1, 1 << 63, size=SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LENGTHS = _RNG.integers(1, 1 << 63, size=SHINGLE + 1, dtype=np.uint64)

@@ -43,7 +43,7 @@ K = 15
 BLOCK = 64
 #: weight of the base rate in a vote
 PRIOR = 0.5
-WORDS_KEPT = 500_000
+WORDS_KEPT = 250_000
 
 
 def terms_of(word: str) -> tuple[str, ...]:
