@@ -10,11 +10,13 @@ their own unit, and those over ``split_over`` of a shard are dealt over several
 units, because no whole placement of them could be even. At most
 ``shards * FINE * 3`` groups can be over that share, which bounds this list too.
 
-Slots come from counts: a unit's place in its shard is the sum of the units
-before it, and rows are numbered inside units only, so no task sees a shard.
+Slots come from counts: a cell's place in its shard is the sum of the cells
+before it, and each cell is dealt over strips of about ``STRIP`` rows by a hash
+of the row. Rows are numbered inside strips only, so what one task orders does
+not grow with the input, and no task sees a shard or a cell.
 
 Defined results: a null text has no bytes and no tokens; rows repeated with
-one id are separate rows, numbered next to each other; an empty table gives an
+one id are separate rows with slots of their own; an empty table gives an
 empty result. Only doc_id and text are read.
 """
 
@@ -32,19 +34,21 @@ CELLS = 16384
 FINE = 32
 #: groups over this share of a shard are dealt over several units
 SPLIT_OVER = 0.5
+#: rows that are numbered together, about
+STRIP = 1 << 16
 #: weight of bytes, tokens and rows in the dot product: bytes are the law
 WEIGHTS = (32.0, 1.0, 1.0)
 
 
 def measured(docs: DataFrame, cells: int) -> DataFrame:
-    """doc_id, size, text_crc32, tokens, grp and cell of every row."""
+    """doc_id, size, text_crc32, tokens, grp, row and cell of every row."""
     text = text_or_empty()
     words = F.size(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "))
     return docs.select(
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.when(text == "", F.lit(0)).otherwise(words).cast("long").alias("tokens"),
-        F.xxhash64(text).alias("grp"),
+        F.xxhash64(text).alias("grp"), F.monotonically_increasing_id().alias("row"),
     ).withColumn("cell", F.pmod("grp", F.lit(cells)).cast("int"))
 
 
@@ -63,7 +67,7 @@ def place(vectors: np.ndarray, shards: int, weights: tuple[float, ...] = WEIGHTS
 
 
 def vector_shards(docs: DataFrame, shards: int = 24, cells: int = CELLS,
-                  split_over: float = SPLIT_OVER) -> DataFrame:
+                  split_over: float = SPLIT_OVER, strip: int = STRIP) -> DataFrame:
     """doc_id, size, text_crc32, tokens, shard and slot (gapless from 0) per row."""
     spark: SparkSession = docs.sparkSession
     rows = materialize(measured(docs, cells), "shard-sizes")
@@ -109,12 +113,19 @@ def vector_shards(docs: DataFrame, shards: int = 24, cells: int = CELLS,
     offset, used = [], [0] * shards
     for r in parts:
         s = shard_of[unit_of.get(r["chunk"], r["chunk"])]
-        offset.append((r["chunk"], int(s), used[s]))
+        offset.append((r["chunk"], int(s), used[s], max(1, -(-r["rows"] // strip))))
         used[s] += r["rows"]
-    where = spark.createDataFrame(offset, "chunk int, shard int, before long")
-
-    inside = Window.partitionBy("chunk").orderBy("doc_id", "text_crc32", "size")
-    return (rows.withColumn("rank", F.row_number().over(inside))
-            .join(F.broadcast(where), "chunk")
+    where = spark.createDataFrame(offset, "chunk int, shard int, before long, strips long")
+
+    strip_of = F.pmod(F.xxhash64("row"), F.col("strips"))
+    placed = rows.join(F.broadcast(where), "chunk").withColumn("strip", strip_of)
+    earlier = (Window.partitionBy("chunk").orderBy("strip")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    starts = (placed.groupBy("chunk", "strip").agg(F.count(F.lit(1)).alias("n"))
+              .select("chunk", "strip", F.coalesce(F.sum("n").over(earlier), F.lit(0))
+                      .alias("start")))
+    inside = Window.partitionBy("chunk", "strip").orderBy("doc_id", "text_crc32", "size", "row")
+    return (placed.withColumn("rank", F.row_number().over(inside))
+            .join(starts, ["chunk", "strip"])
             .select("doc_id", "size", "text_crc32", "tokens", "shard",
-                    (F.col("before") + F.col("rank") - 1).alias("slot")))
+                    (F.col("before") + F.col("start") + F.col("rank") - 1).alias("slot")))

@@ -33,6 +33,9 @@ def check_shards(rows, docs, shards):
 def test_shards_of_odd_documents(odd_docs, no_docs):
     check_shards(sharding.vector_shards(odd_docs, 4, split_over=2).collect(), odd_docs.collect(), 4)
     assert sharding.vector_shards(no_docs, 4).count() == 0
+    # cells dealt over many strips: slots stay gapless, repeated ids stay rows
+    strips = sharding.vector_shards(odd_docs, 3, cells=2, split_over=2, strip=2)
+    check_shards(strips.collect(), odd_docs.collect(), 3)
 
 
 def test_shards_are_even_and_split_only_hot_groups(llm):
