@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 from keyflow.session import default_parallelism, scratch_dir
 
+from .common import materialize
+
 GZIP_LEVEL = 6
 RANGE_BYTES = 4 << 20
 #: bytes inflated to tell whether a candidate is a record
@@ -76,6 +78,8 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = 0,
     keepers = (rows.filter(F.octet_length("payload") >= min_revisit).groupBy("sha")
                .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
                .filter("n > 1").select("sha", "keeper"))
+    # written, so that the join shuffles both sides itself and a hot payload is split
+    keepers = materialize(keepers, "warc-keepers")
     rows = (rows.join(keepers.withColumn("shared", F.lit(True)), "sha", "left")
             .select("page_id", "url", "payload", "sha", "keeper",
                     (F.col("shared").isNull() | F.col("page_id").eqNullSafe(F.col("keeper")))
