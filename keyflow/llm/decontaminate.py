@@ -9,15 +9,24 @@ independent walks and samples are drawn, and a window is a candidate for an
 item if one signature agrees. Candidates are verified with the exact edit
 distance (Myers' bit vectors) between the item and its best place in the text.
 
-Items are put into classes of similar length; a window starts at every word of
-a document and has the length of the class. Windows in which too many words
-occur in no item of the class cannot be within the distance and are not walked
-(a lossless count over the window). Words that occur in no item at all are one
-symbol, which no item contains.
+A walk drifts out of step with every edit, so items of more than
+``SEGMENT_WORDS`` words are embedded in even segments of at most that many, and
+a candidate for any segment is one for its item, which is verified as a whole.
+If an item is within the share, so is one of its segments at least. A walk's
+bits are hashes of (repeat, symbol), not a table, and items of over
+``CHUNK_WORDS`` words are verified in chunks, so an index takes memory in
+proportion to the words of its items.
+
+Segments are put into classes of similar length; a window starts at every word
+of a document and has the length of the class. Windows in which too many words
+occur in no segment of the class cannot be within the distance and are not
+walked (a lossless count over the window). Words that occur in no item at all
+are one symbol, which no item contains.
 
 The benchmark side is small by nature but not assumed to be: items are dealt
-over blocks of at most ``BLOCK_ITEMS`` and ``BLOCK_BYTES``; one pass over the
-documents per block, each with its own broadcast index.
+over blocks of about ``BLOCK_ITEMS`` and ``BLOCK_BYTES`` (a larger item is a
+block's only excess); one pass over the documents per block, each with its own
+broadcast index.
 
 Defined results: an item is found if some stretch of the text is within
 ``share`` of its number of words; items without words match nothing; null and
@@ -42,7 +51,13 @@ from .common import materialize, text_or_empty
 SHARE = 0.2
 REPEATS = 24
 BITS = 3
-#: ratio between the longest and shortest item of a class
+#: longest piece of an item that is walked at once, and steps of a walk at most
+SEGMENT_WORDS = 60
+STEPS = 64
+#: words of an item that are verified at once, and size of the masks that are kept
+CHUNK_WORDS = 8192
+MASK_BYTES = 32 << 20
+#: ratio between the longest and shortest segment of a class
 CLASS_RATIO = 1.2
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
@@ -53,46 +68,63 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
 
 
+def walk_bits(symbols: np.ndarray, r: int) -> np.ndarray:
+    """The moves of walk ``r`` at each symbol: bit j says whether step j moves on."""
+    x = symbols.astype(np.uint64) + np.uint64(((r + 1) * 0x9E3779B97F4A7C15) % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+def segments_of(words: int) -> list[tuple[int, int]]:
+    """Even pieces (first, end) of at most ``SEGMENT_WORDS`` words."""
+    n = -(-words // SEGMENT_WORDS)
+    return [(k * words // n, (k + 1) * words // n) for k in range(n)]
+
+
 class _Class:
-    """Signature index of the items of one length class."""
+    """Signature index of the segments (item, first, end) of one length class."""
 
-    def __init__(self, items: list[int], tokens: list[np.ndarray], symbols: int, share: float,
-                 seed: int):
+    def __init__(self, segments: list[tuple[int, int, int]], tokens: list[np.ndarray],
+                 symbols: int, share: float, seed: int):
         rng = np.random.default_rng([17, seed])
-        self.items, lengths = np.array(items), [len(tokens[i]) for i in items]
+        self.items = np.array([i for i, _, _ in segments])
+        self.offsets = np.array([first for _, first, _ in segments])
+        lengths = [end - first for _, first, end in segments]
         self.low = min(lengths)
         self.slack = int(share * max(lengths))
         self.need = self.low - self.slack
-        inside = np.zeros(symbols, dtype=np.int32)
-        for i in items:
-            inside[tokens[i]] = 1
-        self.inside = inside
-        # steps that the walk of the shortest item can take inside it, on average
-        self.steps = max(1, int(1.6 * self.low))
-        self.moves = rng.integers(0, 2, size=(REPEATS, symbols, self.steps), dtype=np.int8)
+        self.inside = np.zeros(symbols, dtype=bool)
+        for i, first, end in segments:
+            self.inside[tokens[i][first:end]] = True
+        # steps that the walk of the shortest segment can take inside it, on average
+        self.steps = max(1, min(STEPS, int(1.6 * self.low)))
         self.samples = np.sort(rng.integers(0, self.steps, size=(REPEATS, BITS)), axis=1)
         self.factors = rng.integers(1, 1 << 62, size=BITS, dtype=np.int64) * 2 + 1
-        flat = np.concatenate([np.r_[tokens[i], np.zeros(2 * self.steps, dtype=np.int64)]
-                               for i in items])
-        starts = np.cumsum([0, *(n + 2 * self.steps for n in lengths)])[:-1]
+        pad = 2 * self.steps
+        flat = np.concatenate([part for i, first, end in segments
+                               for part in (tokens[i][first:end], np.zeros(pad, dtype=np.int64))])
+        starts = np.cumsum([0, *(n + pad for n in lengths)])[:-1]
         self.tables = []
         for r in range(REPEATS):
-            sig, _ = self.signatures(flat, starts, r)
+            sig, _ = self.signatures(flat, walk_bits(flat, r), starts, r)
             order = np.argsort(sig, kind="stable")
-            self.tables.append((sig[order], self.items[order]))
+            self.tables.append((sig[order], order))
 
-    def signatures(self, flat: np.ndarray, at: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+    def signatures(self, flat: np.ndarray, bits: np.ndarray, at: np.ndarray, r: int
+                   ) -> tuple[np.ndarray, np.ndarray]:
         """Signature of the walk from each place, and whether it saw only known words."""
         place, sig = at.copy(), np.zeros(len(at), dtype=np.int64)
         known = np.ones(len(at), dtype=bool)
-        moves, samples = self.moves[r], self.samples[r].tolist()
+        samples = self.samples[r].tolist()
         for j in range(samples[-1] + 1):
-            symbol = flat[place]
-            for b, s in enumerate(samples):
-                if s == j:
-                    sig += (symbol + 1) * self.factors[b]
-                    known &= symbol > 0
-            place += moves[symbol, j]
+            if j in samples:
+                symbol = flat[place]
+                known &= symbol > 0
+                for b, s in enumerate(samples):
+                    if s == j:
+                        sig += (symbol + 1) * self.factors[b]
+            place += (bits[place] >> j) & 1
         return sig, known
 
 
@@ -107,15 +139,18 @@ class Index:
         self.symbol = {w: k + 1 for k, w in enumerate(dict.fromkeys(w for x in words for w in x))}
         self.tokens = [np.array([self.symbol[w] for w in x], dtype=np.int64) for x in words]
         self.limit = [int(share * len(x)) for x in words]
-        self.masks = [self._masks(t) for t in self.tokens]
-        by_length = sorted((i for i in range(len(rows)) if words[i]),
-                           key=lambda i: len(words[i]))
-        groups: list[list[int]] = []
-        for i in by_length:
-            if groups and len(words[i]) <= CLASS_RATIO * len(words[groups[-1][0]]):
-                groups[-1].append(i)
+        self.masks: dict[int, dict[int, int]] = {}
+        self.masked = 0
+        segments = sorted(((i, first, end) for i, x in enumerate(words) if x
+                           for first, end in segments_of(len(x))), key=lambda s: s[2] - s[1])
+        groups: list[list[tuple[int, int, int]]] = []
+        shortest = 0
+        for s in segments:
+            if groups and s[2] - s[1] <= CLASS_RATIO * shortest:
+                groups[-1].append(s)
             else:
-                groups.append([i])
+                groups.append([s])
+                shortest = s[2] - s[1]
         self.classes = [_Class(g, self.tokens, len(self.symbol) + 1, share, k)
                         for k, g in enumerate(groups)]
 
@@ -130,13 +165,31 @@ class Index:
         """Least edit distance of the item to a stretch of ``text``, and its end.
 
         Bit k of the vertical vectors belongs to the item's word k."""
-        return best_end(self.masks[item], len(self.tokens[item]), text)
-
-    def candidates(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, item) pairs that agree in a signature. ``flat`` ends in zeros."""
-        places, items = [], []
+        tokens = self.tokens[item]
+        if len(tokens) > CHUNK_WORDS:
+            return best_end_in_chunks(tokens, text)
+        if item not in self.masks:
+            if self.masked > MASK_BYTES:
+                self.masks.clear()
+                self.masked = 0
+            self.masks[item] = self._masks(tokens)
+            self.masked += len(tokens) * (100 + len(tokens) // 8)
+        return best_end(self.masks[item], len(tokens), text)
+
+    def start(self, item: int, stretch: list[int]) -> int:
+        """Words from the item's best start to the end of ``stretch``, where it ends."""
+        back, text = self.tokens[item][::-1], stretch[::-1]
+        if len(back) > CHUNK_WORDS:
+            return best_end_in_chunks(back, text, True)[1]
+        return best_end(self._masks(back), len(back), text, True)[1]
+
+    def candidates(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start of the item, item, place) of windows that agree in a signature.
+        ``flat`` ends in zeros."""
+        places, items, firsts = [], [], []
+        bits = [walk_bits(flat, r) for r in range(REPEATS)]
         for c in self.classes:
-            run = np.cumsum(np.r_[0, c.inside[flat]])
+            run = np.cumsum(np.r_[0, c.inside[flat]], dtype=np.int64)
             if len(run) <= c.low:
                 continue
             at = np.flatnonzero(run[c.low:] - run[:-c.low] >= c.need)
@@ -144,18 +197,20 @@ class Index:
             if not len(at):
                 continue
             for r, (keys, own) in enumerate(c.tables):
-                sig, known = c.signatures(flat, at, r)
+                sig, known = c.signatures(flat, bits[r], at, r)
                 lo, hi = np.searchsorted(keys, sig, "left"), np.searchsorted(keys, sig, "right")
                 n = np.where(known, hi - lo, 0)
                 if n.any():
                     hit = np.repeat(np.arange(len(at)), n)
                     within = np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
+                    segment = own[lo[hit] + within]
                     places.append(at[hit])
-                    items.append(own[lo[hit] + within])
+                    items.append(c.items[segment])
+                    firsts.append(at[hit] - c.offsets[segment])
         if not places:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        pairs = np.unique(np.stack([np.concatenate(items), np.concatenate(places)]), axis=1)
-        return pairs[1], pairs[0]
+            return (np.zeros(0, dtype=np.int64),) * 3
+        found = np.unique(np.stack([np.concatenate(x) for x in (items, firsts, places)]), axis=1)
+        return found[1], found[0], found[2]
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, first word, end word, distance) of every item in every text."""
@@ -171,21 +226,25 @@ class Index:
         if not self.classes or not parts:
             return
         flat = np.concatenate(parts)
-        place, item = self.candidates(flat)
+        first, item, place = self.candidates(flat)
         source = np.searchsorted(starts, place, "right") - 1
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: dict[tuple[int, int], int] = {}
-        for d, i, p in zip(source.tolist(), item.tolist(), place.tolist(), strict=True):
+        for d, i, p in zip(source.tolist(), item.tolist(), first.tolist(), strict=True):
             k, m = self.limit[i], len(self.tokens[i])
-            if p < done.get((d, i), -1):
+            if (d, i) in done and p < done[(d, i)]:
                 continue  # inside the stretch looked at last
             lo = max(starts[d], p - k - m // 2)
             hi = min(starts[d] + len(parts[2 * d]), p + m + 2 * k + m // 2)
-            distance, end = self.distance(i, flat[lo:hi].tolist())
             done[(d, i)] = p + max(1, m // 2 - k)
+            # too few words, or too few of the item's, for its distance
+            if hi - lo < m - k or (m > CHUNK_WORDS and np.isin(
+                    flat[lo:hi], self.tokens[i]).sum() < m - k):
+                continue
+            distance, end = self.distance(i, flat[lo:hi].tolist())
             if distance <= k and ((d, i) not in best or distance < best[(d, i)][2]):
                 stretch = flat[max(lo, lo + end - m - k):lo + end].tolist()
-                back = best_end(self._masks(self.tokens[i][::-1]), m, stretch[::-1], True)[1]
+                back = self.start(i, stretch)
                 best[(d, i)] = (lo + end - back - starts[d], lo + end - starts[d], distance)
         for (d, i), (first, end, distance) in sorted(best.items()):
             yield d, i, first, end, distance
@@ -216,6 +275,38 @@ def best_end(masks: dict[int, int], m: int, text: list[int], anchored: bool = Fa
     return best, end
 
 
+def best_end_in_chunks(pattern: np.ndarray, text: list[int], anchored: bool = False,
+                       chunk: int = CHUNK_WORDS) -> tuple[int, int]:
+    """``best_end`` for a long pattern: one chunk of it after the other over the
+    text, with the steps along a chunk's last row handed on to the next."""
+    m = len(pattern)
+    steps = [int(anchored)] * len(text)
+    for at in range(0, m, chunk):
+        part = pattern[at:at + chunk]
+        masks = Index._masks(part)
+        ones, top = (1 << len(part)) - 1, 1 << (len(part) - 1)
+        up, down = ones, 0
+        for j, symbol in enumerate(text):
+            step = steps[j]
+            eq = masks.get(symbol, 0)
+            x = eq | down
+            if step < 0:
+                x |= 1
+            d0 = (((x & up) + up) ^ up) | x
+            plus, minus = down | ~(d0 | up), up & d0
+            steps[j] = 1 if plus & top else -1 if minus & top else 0
+            plus, minus = (plus << 1) | (step > 0), (minus << 1) | (step < 0)
+            up = (minus | ~(d0 | plus)) & ones
+            down = plus & d0 & ones
+    score = best = m
+    end = 0
+    for j, step in enumerate(steps):
+        score += step
+        if score < best:
+            best, end = score, j + 1
+    return best, end
+
+
 def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
     """The benchmark as lists of (item_id, text) of bounded number and size.
 
