@@ -41,3 +41,25 @@ def test_recall_does_not_fall_with_length(n):
     for k in range(0, 30, 10):
         if (k, k) in found:
             assert found[k, k] == least_distance(items[k][1].split(), texts[k])
+
+
+def test_chunks_give_the_same_place():
+    rng = random.Random(6)
+    for _ in range(200):
+        p = np.array([rng.randrange(1, 5) for _ in range(rng.randrange(1, 30))])
+        t = [rng.randrange(0, 5) for _ in range(rng.randrange(0, 60))]
+        for anchored in (False, True):
+            assert (best_end_in_chunks(p, t, anchored, rng.randrange(1, 9))
+                    == best_end(Index._masks(p), len(p), t, anchored))
+
+
+def test_an_item_of_100000_words():
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(100_000)]
+    short = prose(20, 3)
+    index = Index([(1, " ".join(words)), (2, short)])
+    copy = " ".join(["x"] * 50 + edited(words, 500, rng))
+    got = {(d, i): (first, distance) for d, i, first, _, distance
+           in index.search([copy, " ".join(words[:50_000]), short])}
+    assert set(got) == {(0, 0), (2, 1)} and got[2, 1] == (0, 0)
+    assert abs(got[0, 0][0] - 50) <= 2 and 0 < got[0, 0][1] <= 500
