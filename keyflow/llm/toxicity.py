@@ -1,17 +1,19 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine, block-max index.
 
 Terms are lower-cased words and their four- and five-letter beginnings (for
-inflected forms). The vocabulary is what separates the labels of the training
-sample: terms whose chi-square with the label passes ``CHI2``, at most
-``TERMS``. Document frequencies are counted over all documents.
+inflected forms). The vocabulary is every term of the labelled examples; a term
+of none of them adds to no cosine's numerator and would scale all cosines of a
+document alike, so it is left out of its norm. Document frequencies are counted
+over all documents. A term that leans toxic weighs more, by ``SIGNAL`` times the
+root of its chi-square with the label; no term is dropped.
 
 The labelled examples are ordered so that similar ones share a block of
 ``BLOCK``; the inverted index keeps each term's postings by block and the
-largest weight per block. A query takes blocks by falling upper bound and stops
-when no block can reach its k-th best cosine, so the k nearest are exact (ties:
-smallest example id). Votes are weighted by cosine and smoothed with the base
-rate; a document without any term of the vocabulary has no neighbour and gets
-the rate of the examples that have none either.
+largest weight per block. A query scores the ``FIRST`` blocks of the highest
+upper bounds, then all blocks that can still reach its k-th best cosine, so the
+k nearest are exact (ties: smallest example id). Votes are weighted by cosine
+and smoothed with the base rate; a document without any term of the vocabulary
+has no neighbour and gets the rate of the examples that have none either.
 
 Defined results: null and empty texts have no terms; without any usable label
 every score is 0; repeated rows get equal scores; an empty table gives an empty
@@ -21,26 +23,26 @@ result. Only doc_id and text are read for a score.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, in_fold, labelled_sample, materialize, text_or_empty
+from .common import LETTERS, in_fold, labelled_sample, text_or_empty
 from .shingles import shingle_set
 
 #: labelled rows that make the index, at most
 SAMPLE = 8000
-#: terms of the vocabulary, at most
-TERMS = 1024
-CHI2 = 40.0
-LEAST_DOCS = 5
+#: weight of the root of a term's chi-square with the label
+SIGNAL = 2.0
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 K = 15
 BLOCK = 64
+#: blocks that a query scores before it compares bounds
+FIRST = 4
 #: weight of the base rate in a vote
 PRIOR = 0.5
 WORDS_KEPT = 250_000
@@ -51,16 +53,8 @@ def terms_of(word: str) -> tuple[str, ...]:
     return (word, *(word[:n] + "*" for n in (4, 5) if len(word) >= n))
 
 
-def count_terms(text: str | None) -> Counter:
-    out: Counter = Counter()
-    for word, n in Counter(LETTERS.findall((text or "").lower())).items():
-        for t in terms_of(word):
-            out[t] += n
-    return out
-
-
-def choose_terms(texts: list[str], labels: list[int], most: int = TERMS) -> list[str]:
-    """Terms with the highest chi-square between presence and label.
+def toxic_lean(texts: list[str], labels: list[int]) -> dict[str, float]:
+    """Chi-square between presence and label of the terms that lean toxic.
 
     Copies and near copies count once (texts that share one of their three
     smallest shingles with an earlier one), else a copied text's every word
@@ -75,22 +69,20 @@ def choose_terms(texts: list[str], labels: list[int], most: int = TERMS) -> list
         seen_shingles.update(own)
     n, pos = len(once), sum(y for _, y in once)
     if not 0 < pos < n:
-        return []
+        return {}
     seen, toxic = Counter(), Counter()
     for text, y in once:
         here = {t for w in set(LETTERS.findall(text.lower())) for t in terms_of(w)}
         seen.update(here)
         if y:
             toxic.update(here)
-    scored = []
-    for t, df in seen.items():
-        if LEAST_DOCS <= df < n:
-            a = toxic[t]
-            diff = a - df * pos / n  # over what chance would give
-            chi2 = diff * diff * n ** 3 / (df * (n - df) * pos * (n - pos))
-            if diff > 0 and chi2 >= CHI2:
-                scored.append((-chi2, t))
-    return [t for _, t in sorted(scored)[:most]]
+    lean = {}
+    for t, a in toxic.items():
+        df = seen[t]
+        diff = a - df * pos / n  # over what chance would give
+        if df < n and diff > 0:
+            lean[t] = diff * diff * n ** 3 / (df * (n - df) * pos * (n - pos))
+    return lean
 
 
 def weights(ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -109,36 +101,55 @@ class BlockMaxIndex:
         self.block, self.n = block, len(examples)
         self.ids = np.array([e[0] for e in examples], dtype=np.int64)
         self.labels = np.array([e[3] for e in examples], dtype=float)
-        blocks = -(-self.n // block)
-        self.top = np.zeros((terms, blocks))
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for row, (_, ids, w, _) in enumerate(examples):
-            for t, x in zip(ids.tolist(), w.tolist(), strict=True):
-                lists[t].append((row, x))
-                self.top[t, row // block] = max(self.top[t, row // block], x)
-        self.rows = [np.array([p[0] for p in own], dtype=np.int64) for own in lists]
-        self.weights = [np.array([p[1] for p in own]) for own in lists]
-        edges = np.arange(blocks + 1) * block
-        self.cuts = [np.searchsorted(r, edges) for r in self.rows]
+        self.blocks = -(-self.n // block)
+        sizes = [len(e[1]) for e in examples]
+        term = np.concatenate([e[1] for e in examples])
+        order = np.argsort(term, kind="stable")  # by term, then row
+        term = term[order]
+        self.rows = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
+        self.weights = np.concatenate([e[2] for e in examples])[order]
+        # runs of equal (term, block): place of the postings, block, largest weight
+        part = term * self.blocks + self.rows // block
+        self.run = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
+        starts = self.run[:-1]
+        self.run_block = (self.rows[starts] // block).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weights, starts)
+        self.term_runs = np.searchsorted(term[starts], np.arange(terms + 1))
+
+    def _scores(self, runs: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows with a posting in ``runs`` and their sums; ``w`` is the query's by run."""
+        at, own = ranges(self.run[runs], self.run[runs + 1])
+        sums = np.bincount(self.rows[at], weights=w[own] * self.weights[at], minlength=self.n)
+        rows = np.flatnonzero(sums)
+        return rows, sums[rows]
 
     def nearest(self, ids: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k best examples with a positive cosine."""
-        bound = w @ self.top[ids]
-        rows, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(rows) >= k and bound[b] < scores[k - 1] - 1e-12):
-                break
-            own = np.zeros(self.block)
-            for t, x in zip(ids.tolist(), w.tolist(), strict=True):
-                lo, hi = self.cuts[t][b], self.cuts[t][b + 1]
-                if hi > lo:
-                    own[self.rows[t][lo:hi] - b * self.block] += x * self.weights[t][lo:hi]
-            hit = np.flatnonzero(own)
-            rows = np.r_[rows, hit + b * self.block]
-            scores = np.r_[scores, own[hit]]
-            order = np.lexsort((self.ids[rows], -np.round(scores, 12)))[:k]
-            rows, scores = rows[order], scores[order]
-        return rows, scores
+        runs, own = ranges(self.term_runs[ids], self.term_runs[ids + 1])
+        w, blocks = w[own], self.run_block[runs]
+        bound = np.bincount(blocks, weights=w * self.top[runs], minlength=self.blocks)
+        first = np.zeros(self.blocks, dtype=bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        now = first[blocks]
+        rows, scores = self._scores(runs[now], w[now])
+        least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        now = (~first & (bound >= least - 1e-9))[blocks]
+        if now.any():
+            more, sums = self._scores(runs[now], w[now])
+            rows, scores = np.r_[rows, more], np.r_[scores, sums]
+        if len(scores) > k:
+            near = scores >= np.partition(scores, -k)[-k] - 1e-9
+            rows, scores = rows[near], scores[near]
+        order = np.lexsort((self.ids[rows], -np.round(scores, 12)))[:k]
+        return rows[order], scores[order]
+
+
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges one after the other, and the range of each."""
+    sizes = ends - starts
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    before = np.cumsum(sizes) - sizes
+    return np.arange(len(own)) + (starts - before)[own], own
 
 
 class Neighbours:
@@ -147,99 +158,102 @@ class Neighbours:
     def __init__(self, index: BlockMaxIndex | None, idf: np.ndarray, base: float, none: float):
         self.index, self.idf, self.base, self.none = index, idf, base, none
 
-    def score(self, ids: list[int], counts: list[int], k: int = K
+    def score(self, ids: np.ndarray, counts: np.ndarray, k: int = K
               ) -> tuple[float, list[int], list[float]]:
-        if not ids or self.index is None:
+        if not len(ids) or self.index is None:
             return self.none, [], []
-        at = np.asarray(ids, dtype=np.int64)
-        rows, cos = self.index.nearest(at, weights(at, np.asarray(counts, float), self.idf), k)
+        rows, cos = self.index.nearest(ids, weights(ids, counts, self.idf), k)
         if not len(rows):
             return self.none, [], []
         vote = (cos @ self.index.labels[rows] + PRIOR * self.base) / (cos.sum() + PRIOR)
         return float(vote), self.index.ids[rows].tolist(), np.round(cos, 6).tolist()
 
 
-def sparse_rows(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, ids and counts: the vocabulary's terms in every document."""
-    place = {t: k for k, t in enumerate(terms)}
-    shared = docs.sparkSession.sparkContext.broadcast(place)
+def term_counter(place: dict[str, int]) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """Gives the ids and counts of a text's terms in the vocabulary."""
+    # of each word that was seen, the terms it has in the vocabulary
+    known: dict[str, tuple[int, ...]] = {}
+
+    def count(text: str) -> tuple[np.ndarray, np.ndarray]:
+        found: list[int] = []
+        for word in LETTERS.findall(text.lower()):
+            hits = known.get(word)
+            if hits is None:
+                if len(known) > WORDS_KEPT:
+                    known.clear()
+                hits = known[word] = tuple(place[t] for t in terms_of(word) if t in place)
+            found += hits
+        return np.unique(np.array(found, dtype=np.int64), return_counts=True)
+
+    return count
+
+
+def document_frequencies(docs: DataFrame, shared, terms: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those with each term of the vocabulary."""
 
-    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = shared.value
-        # of each word that was seen, the terms it has in the vocabulary
-        known: dict[str, tuple[int, ...]] = {}
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the last place counts all documents
+        terms_in, df = term_counter(shared.value), np.zeros(terms + 1, dtype=np.int64)
         for batch in it:
+            df[-1] += batch.num_rows
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids, counts = [], []
-                for text in part.column(1).to_pylist():
-                    own: dict[int, int] = {}
-                    for word in LETTERS.findall(text.lower()):
-                        hits = known.get(word)
-                        if hits is None:
-                            if len(known) > WORDS_KEPT:
-                                known.clear()
-                            hits = known[word] = tuple(place[t] for t in terms_of(word)
-                                                       if t in place)
-                        for t in hits:
-                            own[t] = own.get(t, 0) + 1
-                    order = sorted(own)
-                    ids.append(order)
-                    counts.append([own[t] for t in order])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "ids", "counts"])
+                for text in batch.slice(at, 256).column(0).to_pylist():
+                    df[terms_in(text)[0]] += 1
+        own = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(df[own])], names=["t", "n"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        rows, f"doc_id {kind}, ids array<int>, counts array<int>")
+    found = (docs.select(text_or_empty().alias("text")).mapInArrow(count, "t long, n long")
+             .groupBy("t").agg(F.sum("n").alias("n")).toArrow())  # a row per term at most
+    df = np.zeros(terms + 1, dtype=np.int64)
+    df[found["t"].to_numpy()] = found["n"].to_numpy()
+    return int(df[-1]), df[:-1]
 
 
-def build_index(examples: list[tuple[int, str, int]], terms: list[str], idf: np.ndarray
+def build_index(examples: list[tuple[int, str, int]], place: dict[str, int], idf: np.ndarray
                 ) -> Neighbours:
     """The index over labelled (id, text, label) rows."""
-    place = {t: k for k, t in enumerate(terms)}
     inside, without = [], []
+    terms_in = term_counter(place)
     for doc_id, text, y in examples:
-        own = {place[t]: n for t, n in count_terms(text).items() if t in place}
-        if own:
-            ids = np.array(sorted(own), dtype=np.int64)
-            counts = np.array([own[i] for i in ids.tolist()], dtype=float)
+        ids, counts = terms_in(text)
+        if len(ids):
             inside.append((doc_id, ids, weights(ids, counts, idf), y))
         else:
             without.append(y)
     base = sum(e[2] for e in examples) / len(examples) if examples else 0.0
     none = (sum(without) + PRIOR * base) / (len(without) + PRIOR) if examples else 0.0
-    return Neighbours(BlockMaxIndex(inside, len(terms)) if inside else None, idf, base, none)
+    return Neighbours(BlockMaxIndex(inside, len(place)) if inside else None, idf, base, none)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours and similarities of every row."""
     rows = labelled_sample(docs, labels, "toxic", FOLDS, HELD, sample)
     examples = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows.toLocalIterator()})
-    terms = choose_terms([e[1] for e in examples], [e[2] for e in examples])
-    vectors = materialize(sparse_rows(docs, terms), "toxic-terms")
-    total = vectors.count()
-    df = np.zeros(len(terms))
-    for r in (vectors.select(F.explode("ids").alias("t")).groupBy("t").count()
-              .collect()):  # one row per term of the vocabulary
-        df[r["t"]] = r["count"]
+    vocabulary = sorted({t for e in examples for w in set(LETTERS.findall(e[1].lower()))
+                         for t in terms_of(w)})
+    place = {t: k for k, t in enumerate(vocabulary)}
+    spark = docs.sparkSession.sparkContext
+    places = spark.broadcast(place)
+    total, df = document_frequencies(docs, places, len(place))
+    lean = toxic_lean([e[1] for e in examples], [e[2] for e in examples])
     idf = np.log((1 + total) / (1 + df)) + 1
-    shared = docs.sparkSession.sparkContext.broadcast(build_index(examples, terms, idf))
+    idf *= 1 + SIGNAL * np.sqrt([lean.get(t, 0.0) for t in vocabulary])
+    shared = spark.broadcast(build_index(examples, place, idf))
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, terms_in = shared.value, term_counter(places.value)
         for batch in it:
-            out = [model.score(i, c) for i, c in
-                   zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([o[0] for o in out], pa.float64()),
-                 pa.array([o[1] for o in out], pa.list_(pa.int64())),
-                 pa.array([o[2] for o in out], pa.list_(pa.float64()))],
-                names=["doc_id", "score", "neighbours", "similarities"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out = [model.score(*terms_in(text)) for text in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([o[0] for o in out], pa.float64()),
+                     pa.array([o[1] for o in out], pa.list_(pa.int64())),
+                     pa.array([o[2] for o in out], pa.list_(pa.float64()))],
+                    names=["doc_id", "score", "neighbours", "similarities"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    scored = vectors.mapInArrow(
+    scored = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
         score, f"doc_id {kind}, score double, neighbours array<long>, similarities array<double>")
     return scored.select("doc_id", in_fold("doc_id", FOLDS, HELD).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
