@@ -22,6 +22,9 @@ result. Only doc_id and text are read for a score.
 
 from __future__ import annotations
 
+import pickle
+import uuid
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -209,20 +212,43 @@ def document_frequencies(docs: DataFrame, shared, terms: int) -> tuple[int, np.n
     return int(df[-1]), df[:-1]
 
 
-def build_index(examples: list[tuple[int, str, int]], place: dict[str, int], idf: np.ndarray
-                ) -> Neighbours:
-    """The index over labelled (id, text, label) rows."""
-    inside, without = [], []
+def packed_examples(examples: list[tuple[int, str, int]], place: dict[str, int],
+                    idf: np.ndarray) -> bytes:
+    """Labelled (id, text, label) rows as term counts, and the weights: a worker
+    builds the index from them, which is several times their size."""
     terms_in = term_counter(place)
-    for doc_id, text, y in examples:
-        ids, counts = terms_in(text)
-        if len(ids):
-            inside.append((doc_id, ids, weights(ids, counts, idf), y))
+    rows = [(doc_id, y, *terms_in(text)) for doc_id, text, y in examples]
+    return zlib.compress(pickle.dumps(
+        ([(r[0], r[1], len(r[2])) for r in rows],
+         *(np.concatenate([np.zeros(0, np.int32), *(r[k] for r in rows)]).astype(np.int32)
+           for k in (2, 3)), idf)), 1)
+
+
+def build_index(packed: bytes) -> Neighbours:
+    """The index over labelled rows."""
+    rows, all_ids, all_counts, idf = pickle.loads(zlib.decompress(packed))
+    inside, without, at = [], [], 0
+    for doc_id, y, n in rows:
+        if n:
+            ids = all_ids[at:at + n].astype(np.int64)
+            inside.append((doc_id, ids, weights(ids, all_counts[at:at + n], idf), y))
         else:
             without.append(y)
-    base = sum(e[2] for e in examples) / len(examples) if examples else 0.0
-    none = (sum(without) + PRIOR * base) / (len(without) + PRIOR) if examples else 0.0
-    return Neighbours(BlockMaxIndex(inside, len(place)) if inside else None, idf, base, none)
+        at += n
+    base = sum(r[1] for r in rows) / len(rows) if rows else 0.0
+    none = (sum(without) + PRIOR * base) / (len(without) + PRIOR) if rows else 0.0
+    return Neighbours(BlockMaxIndex(inside, len(idf)) if inside else None, idf, base, none)
+
+
+_MODEL: dict[str, Neighbours] = {}
+
+
+def model_of(name: str, shared) -> Neighbours:
+    """The index of the broadcast rows, kept by the worker for its next task."""
+    if name not in _MODEL:
+        _MODEL.clear()
+        _MODEL[name] = build_index(shared.value)
+    return _MODEL[name]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -238,10 +264,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     lean = toxic_lean([e[1] for e in examples], [e[2] for e in examples])
     idf = np.log((1 + total) / (1 + df)) + 1
     idf *= 1 + SIGNAL * np.sqrt([lean.get(t, 0.0) for t in vocabulary])
-    shared = spark.broadcast(build_index(examples, place, idf))
+    shared = spark.broadcast(packed_examples(examples, place, idf))
+    name = uuid.uuid4().hex
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms_in = shared.value, term_counter(places.value)
+        model, terms_in = model_of(name, shared), term_counter(places.value)
         for batch in it:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
