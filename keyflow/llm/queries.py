@@ -6,12 +6,12 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, exact_dedup, line_templates, near_dedup, packing, quality, sharding,
-               toxicity, url_filter, warc)
-from .common import table
+from . import (decontaminate, exact_dedup, line_templates, near_dedup, packing, periodic_runs,
+               quality, sharding, toxicity, url_filter, warc)
+from .common import table, text_or_empty
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -79,6 +79,47 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def with_repeats(doc_id: Column, text: Column) -> Column:
+    """The text that the run query looks at: where h = crc32(id) is divisible by
+    10, the words from a = g % n on (g = h div 10) repeat the p = 1 + (n - a) div
+    (3 + g % 8) words that start there. Texts of rows without an id stay."""
+    h = F.crc32(doc_id.cast("string"))
+    g = (h / 10).cast("long")
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        unit = F.slice(words, a + 1, p)
+        tail = F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int")))
+        return F.when(n > 0, F.concat_ws(
+            " ", F.slice(words, F.lit(1), a), F.slice(tail, F.lit(1), n - a))).otherwise("")
+
+    words = F.regexp_extract_all(text, F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    # bound once by the lambda, or every use of the words would extract them again
+    changed = F.transform(F.array(words), repeat)[0]
+    return F.when(h % 10 == 0, changed).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(
+        docs, text=with_repeats(F.col("doc_id"), text_or_empty()))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (found.withColumn("__longest", longest)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"),
+                    (-F.col("__longest.start")).alias("start"),
+                    F.col("__longest.length").alias("length"),
+                    (-F.col("__longest.period")).alias("period"),
+                    F.expr("(1000 * __longest.length) div -__longest.period")
+                    .alias("exponent_milli"),
+                    F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""),
+                           256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words"))
+
+
 def _ready(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         importable(spark)
@@ -92,4 +133,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (
         op1_decontaminate, op2_quality_crf, op3_vector_shards, op4_harmonic_packing,
         op5_exact_dedup, op6_toxicity_knn, op7_line_templates, op8_url_vocabulary, op9_warc,
-        op10_near_dedup)}
+        op10_near_dedup, op13_periodic_runs)}
