@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, exact_dedup, line_templates, near_dedup, packing, periodic_runs,
-               quality, sharding, toxicity, url_filter, warc, whitening)
+from . import (decontaminate, exact_dedup, line_templates, maxent_lm, near_dedup, packing,
+               periodic_runs, quality, sharding, toxicity, url_filter, warc, whitening)
 from .common import table, text_or_empty
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -83,6 +83,10 @@ def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def with_repeats(doc_id: Column, text: Column) -> Column:
     """The text that the run query looks at: where h = crc32(id) is divisible by
     10, the words from a = g % n on (g = h div 10) repeat the p = 1 + (n - a) div
@@ -137,4 +141,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (
         op1_decontaminate, op2_quality_crf, op3_vector_shards, op4_harmonic_packing,
         op5_exact_dedup, op6_toxicity_knn, op7_line_templates, op8_url_vocabulary, op9_warc,
-        op10_near_dedup, op11_qdwh_whitening, op13_periodic_runs)}
+        op10_near_dedup, op11_qdwh_whitening, op12_maxent_lm, op13_periodic_runs)}
