@@ -8,8 +8,8 @@ The model factors as
     P(token | context) = P(class | context) * P(token | class, context).
 
 Both factors are softmaxes over a bias (log frequency) plus one weight row for
-each feature of the context: the word before, the two words before (n-grams) and
-the word two back (a skip). Features are hashed into ``BUCKETS`` rows, inside a
+each feature of the context: the word before, the two words before (n-grams) and,
+for the class, the word two back (a skip). Features are hashed into ``BUCKETS`` rows, inside a
 class together with the class. Within a tail class the token's probability is
 its smoothed share of the class, with one place for words never seen, so the
 probabilities of all words sum to 1.
@@ -42,19 +42,23 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_fold, materialize, text_or_empty
 
 FOLDS, HELD = 7, 2
-HEAD_CLASSES, TAIL_CLASSES, SLOTS = 32, 32, 64
+HEAD_CLASSES, TAIL_CLASSES, SLOTS = 32, 16, 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 HEAD = HEAD_CLASSES * SLOTS
 BUCKETS = 1 << 12
+#: features of a context for the class, and inside a class (the n-grams)
+FEATURES = (3, 2)
 ROUNDS = 4
 #: step of each round, as a share of the step of iterative scaling
 STEPS = (2.0, 1.5, 1.0, 0.8)
@@ -64,10 +68,13 @@ KNOWN_BYTES = 64
 #: a mark that no word can be
 END = b" "
 #: bytes of one piece of a text, tokens of one call, distinct words a task holds
-PIECE, CALL, DISTINCT = 1 << 21, 1 << 18, 400_000
-CHUNK = 1 << 15
+PIECE, CALL, DISTINCT = 1 << 20, 1 << 17, 200_000
+#: tokens whose softmaxes are held at once: they should stay in a core's cache
+CHUNK = 1 << 13
 #: weights of one shuffled row
 BLOCK = 256
+#: tokens of a bucket that are added up side by side with other buckets'
+TOGETHER = 12
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -204,16 +211,28 @@ def token_ids(text: str, v: Vocabulary, others: Counter[bytes] | None = None) ->
     what is not known is counted in ``others``."""
     parts = []
     for words in _with_end(word_pieces(text)):
-        ids = np.array([v.words.get(w, -1) for w in words], dtype=np.int32)
-        for i in np.flatnonzero(ids < 0).tolist():
-            w = words[i]
-            ids[i] = KNOWN + tail_class(w) - HEAD_CLASSES
+        ids = np.fromiter(map(v.words.get, words, repeat(-1)), np.int32, len(words))
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):
+            rest = [words[i] for i in unknown.tolist()]
+            ids[unknown] = [_TAIL[w[-2:]] for w in rest]
             if others is not None:
-                others[w] += 1
+                others.update(rest)
         parts.append(ids)
     return np.concatenate(parts)
 
 
+class _Tail(dict):
+    """Token number of an unknown word by its last two bytes."""
+
+    def __missing__(self, ending: bytes) -> int:
+        out = self[ending] = KNOWN + tail_class(ending) - HEAD_CLASSES
+        return out
+
+
+_TAIL = _Tail()
+
+
 def _with_end(pieces: Iterator[list[bytes]]) -> Iterator[list[bytes]]:
     yield from pieces
     yield [END]
@@ -256,37 +275,38 @@ class Model:
         out = np.empty(len(ids))
         kinds, hashes = self.classes_of(ids), features(ids, starts)
         mask = np.uint64(BUCKETS - 1)
+        of_class = [(h & mask).astype(np.uint16) for h in hashes]
+        head = np.flatnonzero(kinds < HEAD_CLASSES)
+        own, slot = kinds[head], ids[head] % SLOTS
+        salt = own.astype(np.uint64) * _M[1]
+        in_class = [(_mixed(h[head] + salt) & mask).astype(np.uint16) for h in hashes[:FEATURES[1]]]
         for at in range(0, len(ids), CHUNK):
             part = slice(at, at + CHUNK)
-            k = kinds[part]
-            rows = [(h[part] & mask).astype(np.uint16) for h in hashes]
-            p = _softmax(self.class_bias, self.w.of_class, rows)
-            out[part] = np.log(np.maximum(p[np.arange(len(k)), k], 1e-30))
-            if sums:
-                sums.add(0, rows, k, p)
-            inside = np.flatnonzero(k < HEAD_CLASSES)
-            if len(inside):
-                own = k[inside]
-                salt = own.astype(np.uint64) * _M[1]
-                rows = [(_mixed(h[part][inside] + salt) & mask).astype(np.uint16) for h in hashes]
-                slot = ids[part][inside] % SLOTS
-                p = _softmax(self.word_bias[own], self.w.in_class, rows)
-                out[at + inside] += np.log(np.maximum(p[np.arange(len(own)), slot], 1e-30))
-                if sums:
-                    sums.add(1, rows, slot, p)
+            out[part] = _softmax(self.class_bias, self.w.of_class, [r[part] for r in of_class],
+                                 kinds[part], sums, 0)
+        for at in range(0, len(head), CHUNK):
+            part = slice(at, at + CHUNK)
+            out[head[part]] += _softmax(self.word_bias[own[part]], self.w.in_class,
+                                        [r[part] for r in in_class], slot[part], sums, 1)
         tail = np.flatnonzero((ids < KNOWN) & (kinds >= HEAD_CLASSES))
         out[tail] += np.log((self.v.counts[ids[tail]] + 1) / self.v.mass[kinds[tail]])
         return out
 
 
-def _softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    z = weights[rows[0]]
+def _softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray], target: np.ndarray,
+             sums: Sums | None, table: int) -> np.ndarray:
+    """Log-probability of each target; with ``sums``, adds up the uses of the weights."""
+    z = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        z += weights[r]
+        z += weights.take(r, axis=0)
     z += bias
+    chosen = z[np.arange(len(z)), target]
     np.exp(z, out=z)  # weights are kept small enough for float32
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+    total = z.sum(axis=1)
+    if sums:
+        z /= total[:, None]
+        sums.add(table, rows, target, z)
+    return chosen - np.log(total)
 
 
 class Sums:
@@ -298,16 +318,26 @@ class Sums:
 
     def add(self, table: int, rows: list[np.ndarray], target: np.ndarray, p: np.ndarray) -> None:
         n = p.shape[1]
-        ones = np.ones(len(p), np.float32)
         observed, expected = self.observed[table].reshape(-1), self.expected[table]
+        ones = np.ones(len(p), np.float32)
         for r in rows:
             np.add.at(observed, r.astype(np.int64) * n + target, 1.0)
+            # tokens by bucket; buckets of equally many tokens are added up together
             order = np.argsort(r, kind="stable")
             by = r[order]
             first = np.flatnonzero(np.r_[True, by[1:] != by[:-1]])
-            sorted_p = p[order]
-            for row, a, b in zip(by[first].tolist(), first.tolist(), [*first[1:].tolist(), len(by)]):
-                expected[row] += ones[a:b] @ sorted_p[a:b] if b - a > 1 else sorted_p[a]
+            sizes = np.diff(np.r_[first, len(by)])
+            bucket = by[first].astype(np.int64)
+            for size in range(1, TOGETHER + 1):
+                k = np.flatnonzero(sizes == size)
+                if len(k):
+                    own = p.take(order[first[k]], axis=0)
+                    for j in range(1, size):
+                        own += p.take(order[first[k] + j], axis=0)
+                    expected[bucket[k]] += own
+            k = np.flatnonzero(sizes > TOGETHER)
+            for b, a, size in zip(bucket[k].tolist(), first[k].tolist(), sizes[k].tolist()):
+                expected[b] += ones[:size] @ p.take(order[a:a + size], axis=0)
 
     def blocks(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(block number, observed, expected) of the blocks that were used."""
@@ -329,12 +359,13 @@ def _block_batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
          pa.array([r[2] for r in rows], pa.binary())], names=["block", "observed", "expected"])
 
 
-def gradient_sums(rows: DataFrame, model: Model) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def gradient_sums(rows: DataFrame, words: Broadcast, weights: Weights
+                  ) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """Observed and expected sums over all tokens of ``rows``, by block."""
-    shared = rows.sparkSession.sparkContext.broadcast((model.v, model.w))
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def local(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sums, some = Model(*shared.value), Sums(), False
+        own, sums, some = Model(words.value, shared.value), Sums(), False
         for batch in it:
             for ids, starts, _, _ in _calls(batch.column(0), own.v, None):
                 own.log_probabilities(ids, starts, sums)
@@ -378,17 +409,17 @@ def _calls(texts: pa.Array, v: Vocabulary, others: list[Counter[bytes]] | None
             parts, held, first = [], 0, k + 1
 
 
-def updated(weights: Weights, sums: list[tuple[int, np.ndarray, np.ndarray]], step: float,
-            n_features: int = 3) -> Weights:
+def updated(weights: Weights, sums: list[tuple[int, np.ndarray, np.ndarray]],
+            step: float) -> Weights:
     """Weights moved along the gradient (observed minus expected), each scaled as
     in iterative scaling: a step of log(observed / expected) / features."""
     tables = [weights.of_class.copy(), weights.in_class.copy()]
     per = BUCKETS // BLOCK
     for block, seen, expected in sums:
-        t = tables[block // per]
+        t, n = tables[block // per], FEATURES[block // per]
         rows = slice(block % per * BLOCK, (block % per + 1) * BLOCK)
         move = np.log((seen + PRIOR) / (expected + PRIOR)).reshape(BLOCK, -1)
-        t[rows] = np.clip(t[rows] + step / n_features * move, -8, 8)
+        t[rows] = np.clip(t[rows] + step / n * move, -8, 8)
     return Weights(*tables)
 
 
@@ -397,12 +428,13 @@ def fit_model(rows: DataFrame, rounds: int = ROUNDS,
     """The model of all texts of ``rows`` (doc_id, text), and the counts of the
     words that are not among its known ones."""
     vocabulary, others = fit_vocabulary(materialize(count_words(rows), "lm-counts"), most)
-    model = Model(vocabulary, Weights.zero())
+    words, weights = rows.sparkSession.sparkContext.broadcast(vocabulary), Weights.zero()
     for r in range(rounds):
         part = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == r)
         step = STEPS[min(r, len(STEPS) - 1)]
-        model = Model(vocabulary, updated(model.w, gradient_sums(part, model), step))
-    return model, others
+        weights = updated(weights, gradient_sums(part, words, weights), step)
+    words.destroy()
+    return Model(vocabulary, weights), others
 
 
 PARTIAL = ("row long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, "
