@@ -56,13 +56,13 @@ FOLDS, HELD = 7, 2
 HEAD_CLASSES, TAIL_CLASSES, SLOTS = 32, 16, 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 HEAD = HEAD_CLASSES * SLOTS
-BUCKETS = 1 << 12
+BUCKETS = 1 << 13
 #: features of a context for the class, and inside a class (the n-grams)
 FEATURES = (3, 2)
-ROUNDS = 4
-#: step of each round, as a share of the step of iterative scaling
-STEPS = (2.0, 1.5, 1.0, 0.8)
-PRIOR = 2.0
+ROUNDS = 3
+#: step of each round, as a multiple of the step of iterative scaling
+STEPS = (1.5, 1.2, 1.0)
+PRIOR = 4.0
 KNOWN = 1 << 18
 KNOWN_BYTES = 64
 #: a mark that no word can be
@@ -269,9 +269,11 @@ class Model:
         return out
 
     def log_probabilities(self, ids: np.ndarray, starts: np.ndarray,
-                          sums: Sums | None = None) -> np.ndarray:
+                          sums: Sums | None = None, only_sums: bool = False) -> np.ndarray:
         """Natural log of P(class) of every token, times that of the word inside a
-        head class or of a known word inside a tail class (other words: class only)."""
+        head class or of a known word inside a tail class (other words: class only).
+        With ``sums``, adds up the uses of the weights; ``only_sums``: nothing else,
+        by the short way that weights of zero allow."""
         out = np.empty(len(ids))
         kinds, hashes = self.classes_of(ids), features(ids, starts)
         mask = np.uint64(BUCKETS - 1)
@@ -280,6 +282,9 @@ class Model:
         own, slot = kinds[head], ids[head] % SLOTS
         salt = own.astype(np.uint64) * _M[1]
         in_class = [(_mixed(h[head] + salt) & mask).astype(np.uint16) for h in hashes[:FEATURES[1]]]
+        if only_sums:
+            sums.add_unweighted(of_class, kinds, in_class, own, slot)
+            return out
         for at in range(0, len(ids), CHUNK):
             part = slice(at, at + CHUNK)
             out[part] = _softmax(self.class_bias, self.w.of_class, [r[part] for r in of_class],
@@ -315,6 +320,25 @@ class Sums:
     def __init__(self) -> None:
         self.observed = [np.zeros((BUCKETS, n)) for n in (CLASSES, SLOTS)]
         self.expected = [np.zeros((BUCKETS, n)) for n in (CLASSES, SLOTS)]
+        self.inside = np.zeros((BUCKETS, HEAD_CLASSES))  # tokens by bucket and class
+
+    def add_unweighted(self, of_class: list[np.ndarray], kinds: np.ndarray,
+                       in_class: list[np.ndarray], own: np.ndarray, slot: np.ndarray) -> None:
+        """Counts alone: while all weights are zero, a bucket's expectation is its
+        number of tokens (of a class) times the bias distribution (of that class)."""
+        for table, rows, target in ((0, of_class, kinds), (1, in_class, slot)):
+            observed = self.observed[table].reshape(-1)
+            for r in rows:
+                np.add.at(observed, r.astype(np.int64) * self.observed[table].shape[1] + target, 1.0)
+        for r in in_class:
+            np.add.at(self.inside.reshape(-1), r.astype(np.int64) * HEAD_CLASSES + own, 1.0)
+
+    def expect_bias(self, model: Model) -> None:
+        """The expectations of what ``add_unweighted`` has counted."""
+        for table, tokens, bias in ((0, self.observed[0].sum(axis=1, keepdims=True),
+                                     model.class_bias[None, :]), (1, self.inside, model.word_bias)):
+            p = np.exp(bias.astype(float))
+            self.expected[table] += tokens @ (p / p.sum(axis=1, keepdims=True))
 
     def add(self, table: int, rows: list[np.ndarray], target: np.ndarray, p: np.ndarray) -> None:
         n = p.shape[1]
@@ -365,12 +389,16 @@ def gradient_sums(rows: DataFrame, words: Broadcast, weights: Weights
     shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def local(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sums, some = Model(words.value, shared.value), Sums(), False
+        own, sums = Model(words.value, shared.value), Sums()
+        zero = not (own.w.of_class.any() or own.w.in_class.any())
+        some = False
         for batch in it:
             for ids, starts, _, _ in _calls(batch.column(0), own.v, None):
-                own.log_probabilities(ids, starts, sums)
+                own.log_probabilities(ids, starts, sums, zero)
                 some = True
         if some:
+            if zero:
+                sums.expect_bias(own)
             for block in sums.blocks():
                 yield _block_batch([block])
 
@@ -439,10 +467,18 @@ def fit_model(rows: DataFrame, rounds: int = ROUNDS,
 
 PARTIAL = ("row long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, "
            "others array<struct<word:binary,n:long>>")
-_OTHERS = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 _LOG10 = float(np.log(10))
 
 
+def _lists(counters: list[Counter[bytes]]) -> pa.Array:
+    """Words and their numbers, a list for each counter."""
+    words = pa.array([w for c in counters for w in c], pa.binary())
+    numbers = pa.array([k for c in counters for k in c.values()], pa.int64())
+    ends = np.cumsum([0, *map(len, counters)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+        [words, numbers], names=["word", "n"]))
+
+
 def score_texts(rows: DataFrame, model: Model, others: DataFrame) -> DataFrame:
     """n_tokens, n_known, base_score and score of every (doc_id, text) row."""
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -465,8 +501,7 @@ def score_texts(rows: DataFrame, model: Model, others: DataFrame) -> DataFrame:
                     pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                     pa.array(np.add.reduceat(b, starts) / _LOG10),
                     pa.array(np.add.reduceat(p, starts) / _LOG10),
-                    pa.array([[{"word": w, "n": k} for w, k in sorted(c.items())]
-                              for c in left[first:first + n]], _OTHERS)],
+                    _lists(left[first:first + n])],
                     names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "others"])
 
     # the row numbers are written with the rows, so later reads agree on them

@@ -119,3 +119,18 @@ def test_pieces_of_a_very_long_text(monkeypatch):
     monkeypatch.setattr(lm, "PIECE", 37)
     assert [w for p in lm.word_pieces(text) for w in p] == whole
     assert [w for p in lm.word_pieces("x" * 500) for w in p] == [b"x" * 500]
+
+
+def test_first_sums_equal_the_softmax_at_zero_weights(llm):
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    v, _ = lm.fit_vocabulary(lm.count_words(docs))
+    model = lm.Model(v, lm.Weights.zero())
+    parts = [lm.token_ids(r.text, v) for r in docs.limit(40).collect()]
+    flat, starts = np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
+    short, full = lm.Sums(), lm.Sums()
+    model.log_probabilities(flat, starts, short, True)
+    short.expect_bias(model)
+    model.log_probabilities(flat, starts, full)
+    for table in (0, 1):
+        assert (short.observed[table] == full.observed[table]).all()
+        assert np.abs(short.expected[table] - full.expected[table]).max() < 1e-2
