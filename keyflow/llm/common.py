@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,30 +42,34 @@ def in_fold(doc_id: str, folds: int, fold: int) -> Column:
     return F.pmod(F.crc32(key), F.lit(folds)) == fold
 
 
-def batches_of(cols: int, fn: Callable[..., dict], schema: pa.Schema,
-               rows: int = 512) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` body: ``fn`` gets the first ``cols`` columns of at most
-    ``rows`` rows as Python lists and returns the output columns by name."""
+def by_bytes(batch: pa.RecordBatch, text: int, rows: int, size: int = 2 << 20
+             ) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows whose texts (column number ``text``) have
+    ``size`` bytes together; a longer text is a slice of its own."""
+    lengths = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at] - lengths[at]
+        end = int(np.searchsorted(ends, before + size, "right"))
+        end = min(max(end, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
 
-    def body(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                out = fn(*(part.column(i).to_pylist() for i in range(cols)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
 
-    return body
+#: bytes of a labelled text that is learned from, and of all of them, at most
+EXAMPLE_BYTES, SAMPLE_BYTES = 4 << 20, 64 << 20
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int,
-                    bound: int) -> DataFrame:
-    """At most ``bound`` labelled (text, y) rows outside the held-out fold, in
-    the order of a hash of their id.
+                    bound: int) -> list[tuple]:
+    """At most ``bound`` labelled (doc_id, text, y) rows outside the held-out fold,
+    in the order of a hash of their id, as long as their texts fit ``SAMPLE_BYTES``.
 
     The ids are drawn first from the narrow label table and sent to the scan
-    of the documents: ``bound`` longs, so the broadcast has a known size.
-    Labels that are null, not 0/1, or contradictory for one id are no labels.
+    of the documents: ``bound`` ids, so the broadcast has a known size. Labels that
+    are null, not 0/1, or contradictory for one id are no labels; labelled texts of
+    over ``EXAMPLE_BYTES`` are not learned from.
     """
     ids = (labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__y"))
            .filter(F.col("__y").isin(0, 1) & F.col("__id").isNotNull())
@@ -71,7 +77,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
            .groupBy("__id").agg(F.min("__y").alias("__y"), F.max("__y").alias("__z"))
            .filter("__y = __z")
            .orderBy(F.xxhash64("__id"), "__id").limit(bound).select("__id", "__y"))
-    return (docs.select("doc_id", text_or_empty().alias("__text"))
+    rows = (docs.select("doc_id", text_or_empty().alias("__text"))
+            .filter(F.octet_length("__text") <= EXAMPLE_BYTES)
             .join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
-            .select(F.col("__id").alias("doc_id"), F.col("__text").alias("text"),
-                    F.col("__y").alias("y")))
+            .select(F.xxhash64("__id").alias("__h"), "__id", "__text", "__y")
+            .orderBy("__h", "__id", "__text").limit(bound))
+    out, size = [], 0
+    for r in rows.toLocalIterator():
+        size += len(r["__text"].encode("utf-8", "surrogatepass"))
+        if size > SAMPLE_BYTES:
+            break
+        out.append((r["__id"], r["__text"], r["__y"]))
+    return out

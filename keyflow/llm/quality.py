@@ -189,8 +189,7 @@ class LineCrf:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineCrf | None:
     """The field fitted on at most ``sample`` labelled rows outside the held-out fold."""
-    rows = labelled_sample(docs, labels, "quality", FOLDS, HELD, sample)
-    rows = sorted((r["doc_id"], r["text"], r["y"]) for r in rows.toLocalIterator())
+    rows = sorted(labelled_sample(docs, labels, "quality", FOLDS, HELD, sample))
     return LineCrf.fit([r[1] for r in rows], [r[2] for r in rows])
 
 

@@ -7,22 +7,32 @@ document alike, so it is left out of its norm. Document frequencies are counted
 over all documents. A term that leans toxic weighs more, by ``SIGNAL`` times the
 root of its chi-square with the label; no term is dropped.
 
-The labelled examples are ordered so that similar ones share a block of
-``BLOCK``; the inverted index keeps each term's postings by block and the
-largest weight per block. A query scores the ``FIRST`` blocks of the highest
-upper bounds, then all blocks that can still reach its k-th best cosine, so the
-k nearest are exact (ties: smallest example id). Votes are weighted by cosine
-and smoothed with the base rate; a document without any term of the vocabulary
-has no neighbour and gets the rate of the examples that have none either.
+The index holds the labelled examples in blocks of ``BLOCK`` similar ones. The
+postings of the ``COMMON`` most frequent terms, which most texts share, are
+kept block by block as small dense tables with the largest weight of each term in
+the block; the postings of all other terms are lists. A batch of queries first
+adds up the lists (they are short), which gives every example's exact rest; the
+block maxima (and the block's largest norm, by Cauchy-Schwarz) bound what the
+common terms can add. The ``FIRST`` blocks of the highest bounds are scored, then
+all blocks that can still reach the k-th best cosine. That filter is in single
+precision with a margin; what passes is scored again in double precision, so the k
+nearest are exact (ties: smallest example id) and do not depend on the batch.
+Votes are weighted by cosine and smoothed with the base rate; a document without
+any term of the vocabulary has no neighbour and gets the rate of the examples
+that have none either.
 
 Defined results: null and empty texts have no terms; without any usable label
 every score is 0; repeated rows get equal scores; an empty table gives an empty
-result. Only doc_id and text are read for a score.
+result; ids may be of any type. Very long texts are scored whole, in calls of
+bounded bytes; as examples serve labelled texts of bounded size
+(``labelled_sample``). Only doc_id and text are read for a score.
 """
 
 from __future__ import annotations
 
 import pickle
+import re
+import struct
 import uuid
 import zlib
 from collections import Counter
@@ -33,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, in_fold, labelled_sample, text_or_empty
+from .common import LETTERS, by_bytes, in_fold, labelled_sample, text_or_empty
 from .shingles import shingle_set
 
 #: labelled rows that make the index, at most
@@ -43,9 +53,15 @@ SIGNAL = 2.0
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 K = 15
-BLOCK = 64
+BLOCK = 16
+#: terms whose postings are kept as tables
+COMMON = 2048
 #: blocks that a query scores before it compares bounds
 FIRST = 4
+#: more than single precision can err in a cosine
+MARGIN = 1e-5
+#: queries that are looked up together
+QUERIES = 256
 #: weight of the base rate in a vote
 PRIOR = 0.5
 WORDS_KEPT = 250_000
@@ -94,57 +110,135 @@ def weights(ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return w / np.sqrt((w * w).sum())
 
 
+def similar_order(rows: np.ndarray, block: int) -> np.ndarray:
+    """An order in which rows that point the same way stand side by side: halves
+    along the leading directions of all rows, and of each half again."""
+    rng = np.random.default_rng(6)
+    lead = rng.standard_normal((rows.shape[1], 8)).astype(rows.dtype)
+    for _ in range(4):
+        lead = np.linalg.qr(rows.T @ (rows @ lead))[0]
+    key = rows @ lead
+    out, open_ = [], [np.arange(len(rows))]
+    while open_:
+        own = open_.pop()
+        if len(own) <= block:
+            out.append(own)
+            continue
+        own = own[np.argsort(key[own, np.argmax(key[own].var(axis=0))], kind="stable")]
+        half = -(-len(own) // (2 * block)) * block  # all blocks but the last are full
+        open_ += [own[half:], own[:half]]
+    return np.concatenate(out)
+
+
 class BlockMaxIndex:
     """Inverted index over labelled examples with block maxima."""
 
-    def __init__(self, examples: list[tuple[int, np.ndarray, np.ndarray, int]], terms: int,
-                 block: int = BLOCK):
-        # (id, term ids, weights, label); similar examples side by side
-        examples = sorted(examples, key=lambda e: (int(e[1][np.argmax(e[2])]), e[0]))
-        self.block, self.n = block, len(examples)
-        self.ids = np.array([e[0] for e in examples], dtype=np.int64)
+    def __init__(self, examples: list[tuple[object, np.ndarray, np.ndarray, int]], terms: int,
+                 block: int = BLOCK, common: int = COMMON):
+        # (id, term ids, weights, label); ids in order, so that rows break ties by id
+        examples = sorted(examples, key=lambda e: e[0])
+        self.block, self.n, self.terms = block, len(examples), terms
+        self.ids = [e[0] for e in examples]
         self.labels = np.array([e[3] for e in examples], dtype=float)
+        self.ends = np.cumsum([0, *(len(e[1]) for e in examples)])
+        self.term = np.concatenate([e[1] for e in examples])
+        self.weight = np.concatenate([e[2] for e in examples])
+        row = np.repeat(np.arange(self.n), np.diff(self.ends))
+        often = np.argsort(-np.bincount(self.term, minlength=terms), kind="stable")[:common]
+        self.common = len(often)
+        self.column = np.full(terms, -1)
+        self.column[often] = np.arange(len(often))
+        column = self.column[self.term]
+        inside = column >= 0
+        table = np.zeros((self.n, len(often)), np.float32)
+        table[row[inside], column[inside]] = self.weight[inside]
+        # slots: rows in blocks of similar ones, the last block filled up with nothing
+        self.row = similar_order(table, block)
+        slot = np.empty(self.n, dtype=np.int64)
+        slot[self.row] = np.arange(self.n)
         self.blocks = -(-self.n // block)
-        sizes = [len(e[1]) for e in examples]
-        term = np.concatenate([e[1] for e in examples])
-        order = np.argsort(term, kind="stable")  # by term, then row
-        term = term[order]
-        self.rows = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
-        self.weights = np.concatenate([e[2] for e in examples])[order]
-        # runs of equal (term, block): place of the postings, block, largest weight
-        part = term * self.blocks + self.rows // block
-        self.run = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
-        starts = self.run[:-1]
-        self.run_block = (self.rows[starts] // block).astype(np.int32)
-        self.top = np.maximum.reduceat(self.weights, starts)
-        self.term_runs = np.searchsorted(term[starts], np.arange(terms + 1))
-
-    def _scores(self, runs: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows with a posting in ``runs`` and their sums; ``w`` is the query's by run."""
-        at, own = ranges(self.run[runs], self.run[runs + 1])
-        sums = np.bincount(self.rows[at], weights=w[own] * self.weights[at], minlength=self.n)
-        rows = np.flatnonzero(sums)
-        return rows, sums[rows]
+        self.slots = self.blocks * block
+        full = np.zeros((self.slots, len(often)), np.float32)
+        full[:self.n] = table[self.row]
+        self.tables = full.reshape(self.blocks, block, len(often))
+        self.top = self.tables.max(axis=1)
+        self.norm = np.sqrt((self.tables ** 2).sum(axis=2)).max(axis=1)
+        # lists of the other terms
+        order = np.flatnonzero(~inside)
+        order = order[np.argsort(self.term[order], kind="stable")]
+        self.lists = np.searchsorted(self.term[order], np.arange(terms + 1))
+        self.list_slot = slot[row[order]].astype(np.int32)
+        self.list_weight = self.weight[order].astype(np.float32)
+        self.query = np.zeros(terms)  # the query at hand, term by term
+        self.asked = self.scored = 0  # (query, block) pairs
 
     def nearest(self, ids: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k best examples with a positive cosine."""
-        runs, own = ranges(self.term_runs[ids], self.term_runs[ids + 1])
-        w, blocks = w[own], self.run_block[runs]
-        bound = np.bincount(blocks, weights=w * self.top[runs], minlength=self.blocks)
-        first = np.zeros(self.blocks, dtype=bool)
-        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        now = first[blocks]
-        rows, scores = self._scores(runs[now], w[now])
-        least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        now = (~first & (bound >= least - 1e-9))[blocks]
-        if now.any():
-            more, sums = self._scores(runs[now], w[now])
-            rows, scores = np.r_[rows, more], np.r_[scores, sums]
-        if len(scores) > k:
-            near = scores >= np.partition(scores, -k)[-k] - 1e-9
-            rows, scores = rows[near], scores[near]
-        order = np.lexsort((self.ids[rows], -np.round(scores, 12)))[:k]
-        return rows[order], scores[order]
+        return self.nearest_of([(ids, w)], k)[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int
+                   ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Rows and cosines of the k best examples of each query."""
+        n = len(queries)
+        self.asked += n * self.blocks
+        q = np.zeros((n, self.common), np.float32)
+        rest = np.zeros((n, self.slots), np.float32)
+        for i, (ids, w) in enumerate(queries):
+            column = self.column[ids]
+            inside = column >= 0
+            q[i, column[inside]] = w[inside]
+            others, w = ids[~inside], w[~inside].astype(np.float32)
+            at, own = ranges(self.lists[others], self.lists[others + 1])
+            if len(at):
+                rest[i] = np.bincount(self.list_slot[at], weights=w[own] * self.list_weight[at],
+                                      minlength=self.slots)
+        bound = np.minimum(q @ self.top.T, np.sqrt((q * q).sum(axis=1))[:, None] * self.norm)
+        bound += rest.reshape(n, self.blocks, self.block).max(axis=2)
+        scores = np.full((n, self.slots), -1, np.float32)
+        some = min(FIRST, self.blocks)
+        first = np.zeros((n, self.blocks), dtype=bool)
+        best = np.argpartition(-bound, some - 1, axis=1)[:, :some]
+        np.put_along_axis(first, best, True, axis=1)
+        self._score(scores, rest, q, first)
+        by_block = scores.reshape(n, self.blocks, self.block)
+        least = kth_best(by_block[np.arange(n)[:, None], best].reshape(n, -1), k)
+        self._score(scores, rest, q, ~first & (bound >= least[:, None] - MARGIN) & (bound > 0))
+        least = np.maximum(kth_best(scores, k), 0) - MARGIN
+        query, slot = np.nonzero((scores >= least[:, None]) & (scores > -1))
+        ends = np.searchsorted(query, np.arange(n + 1))
+        return [self._exact(*queries[i], self.row[s[s < self.n]], k)
+                for i in range(n) for s in [slot[ends[i]:ends[i + 1]]]]
+
+    def _score(self, scores: np.ndarray, rest: np.ndarray, q: np.ndarray, wanted: np.ndarray
+               ) -> None:
+        """Fill in the scores of the wanted (query, block) pairs, block by block."""
+        self.scored += int(wanted.sum())
+        block, query = np.nonzero(wanted.T)
+        ends = np.searchsorted(block, np.arange(self.blocks + 1))
+        for b in np.unique(block).tolist():
+            own = query[ends[b]:ends[b + 1]]
+            part = slice(b * self.block, (b + 1) * self.block)
+            scores[own, part] = rest[own, part] + q[own] @ self.tables[b].T
+
+    def _exact(self, ids: np.ndarray, w: np.ndarray, rows: np.ndarray, k: int
+               ) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of ``rows`` by their cosine in double precision."""
+        rows = np.sort(rows)
+        at, own = ranges(self.ends[rows], self.ends[rows + 1])
+        self.query[ids] = w
+        cos = np.bincount(own, weights=self.query[self.term[at]] * self.weight[at],
+                          minlength=len(rows))
+        self.query[ids] = 0
+        rows, cos = rows[cos > 0], cos[cos > 0]
+        order = np.lexsort((rows, -np.round(cos, 12)))[:k]
+        return rows[order], cos[order]
+
+
+def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Of each row the k-th largest number, or 0 with fewer positive ones."""
+    if scores.shape[1] < k:
+        return np.zeros(len(scores), scores.dtype)
+    return np.maximum(np.partition(scores, -k, axis=1)[:, -k], 0)
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,47 +255,89 @@ class Neighbours:
     def __init__(self, index: BlockMaxIndex | None, idf: np.ndarray, base: float, none: float):
         self.index, self.idf, self.base, self.none = index, idf, base, none
 
-    def score(self, ids: np.ndarray, counts: np.ndarray, k: int = K
-              ) -> tuple[float, list[int], list[float]]:
-        if not len(ids) or self.index is None:
-            return self.none, [], []
-        rows, cos = self.index.nearest(ids, weights(ids, counts, self.idf), k)
-        if not len(rows):
-            return self.none, [], []
-        vote = (cos @ self.index.labels[rows] + PRIOR * self.base) / (cos.sum() + PRIOR)
-        return float(vote), self.index.ids[rows].tolist(), np.round(cos, 6).tolist()
+    def scores(self, rows: list[tuple[np.ndarray, np.ndarray]], k: int = K
+               ) -> list[tuple[float, list, list[float]]]:
+        """Vote, example ids and cosines of each row of term ids and counts."""
+        out = [(self.none, [], [])] * len(rows)
+        if self.index is None:
+            return out
+        some = [i for i, (ids, _) in enumerate(rows) if len(ids)]
+        queries = [(rows[i][0], weights(*rows[i], self.idf)) for i in some]
+        for i, (near, cos) in zip(some, self.index.nearest_of(queries, k) if queries else []):
+            if len(near):
+                vote = (cos @ self.index.labels[near] + PRIOR * self.base) / (cos.sum() + PRIOR)
+                out[i] = (float(vote), [self.index.ids[r] for r in near.tolist()],
+                          np.round(cos, 6).tolist())
+        return out
+
+
+#: a character beyond ASCII that is no letter
+ODD = re.compile(r"[^\x00-\x7f](?<![^\W\d_])")
+#: ASCII characters but letters as spaces
+SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
+
+
+def words_of(text: str) -> list[bytes]:
+    """The lower-cased words (``LETTERS``) of a text."""
+    low = text.lower()
+    if ODD.search(low):
+        return [w.encode("utf-8", "surrogatepass") for w in LETTERS.findall(low)]
+    return low.encode("utf-8", "surrogatepass").translate(SPACED).split()
+
+
+class _Hits(dict):
+    """Of each word that was seen, its terms in the vocabulary, packed."""
+
+    def __init__(self, place: dict[str, int]):
+        super().__init__()
+        self.place = place
 
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        find = self.place.get
+        hits = [find(t) for t in terms_of(word.decode("utf-8", "surrogatepass"))]
+        out = self[word] = b"".join(_pack(h) for h in hits if h is not None)
+        return out
 
-def term_counter(place: dict[str, int]) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+
+_pack = struct.Struct("=i").pack
+
+
+def term_counter(hits: _Hits) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
     """Gives the ids and counts of a text's terms in the vocabulary."""
-    # of each word that was seen, the terms it has in the vocabulary
-    known: dict[str, tuple[int, ...]] = {}
 
     def count(text: str) -> tuple[np.ndarray, np.ndarray]:
-        found: list[int] = []
-        for word in LETTERS.findall(text.lower()):
-            hits = known.get(word)
-            if hits is None:
-                if len(known) > WORDS_KEPT:
-                    known.clear()
-                hits = known[word] = tuple(place[t] for t in terms_of(word) if t in place)
-            found += hits
-        return np.unique(np.array(found, dtype=np.int64), return_counts=True)
+        ids = np.frombuffer(b"".join(map(hits.__getitem__, words_of(text))), np.int32).copy()
+        ids.sort()
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else ids
+        return ids[first].astype(np.int64), np.diff(np.r_[first, len(ids)])
 
     return count
 
 
-def document_frequencies(docs: DataFrame, shared, terms: int) -> tuple[int, np.ndarray]:
+_HITS: dict[str, _Hits] = {}
+
+
+def hits_of(name: str, shared) -> _Hits:
+    """The words seen so far, kept by the worker for its next task."""
+    if name not in _HITS:
+        _HITS.clear()
+        _HITS[name] = _Hits(shared.value)
+    return _HITS[name]
+
+
+def document_frequencies(docs: DataFrame, name: str, shared, terms: int
+                         ) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term of the vocabulary."""
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the last place counts all documents
-        terms_in, df = term_counter(shared.value), np.zeros(terms + 1, dtype=np.int64)
+        terms_in, df = term_counter(hits_of(name, shared)), np.zeros(terms + 1, dtype=np.int64)
         for batch in it:
             df[-1] += batch.num_rows
-            for at in range(0, batch.num_rows, 256):
-                for text in batch.slice(at, 256).column(0).to_pylist():
-                    df[terms_in(text)[0]] += 1
+            for text in batch.column(0):
+                df[terms_in(text.as_py())[0]] += 1
         own = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(df[own])], names=["t", "n"])
 
@@ -216,7 +352,7 @@ def packed_examples(examples: list[tuple[int, str, int]], place: dict[str, int],
                     idf: np.ndarray) -> bytes:
     """Labelled (id, text, label) rows as term counts, and the weights: a worker
     builds the index from them, which is several times their size."""
-    terms_in = term_counter(place)
+    terms_in = term_counter(_Hits(place))
     rows = [(doc_id, y, *terms_in(text)) for doc_id, text, y in examples]
     return zlib.compress(pickle.dumps(
         ([(r[0], r[1], len(r[2])) for r in rows],
@@ -253,35 +389,34 @@ def model_of(name: str, shared) -> Neighbours:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours and similarities of every row."""
-    rows = labelled_sample(docs, labels, "toxic", FOLDS, HELD, sample)
-    examples = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows.toLocalIterator()})
+    examples = sorted(set(labelled_sample(docs, labels, "toxic", FOLDS, HELD, sample)))
     vocabulary = sorted({t for e in examples for w in set(LETTERS.findall(e[1].lower()))
                          for t in terms_of(w)})
     place = {t: k for k, t in enumerate(vocabulary)}
     spark = docs.sparkSession.sparkContext
     places = spark.broadcast(place)
-    total, df = document_frequencies(docs, places, len(place))
+    name = uuid.uuid4().hex
+    total, df = document_frequencies(docs, name, places, len(place))
     lean = toxic_lean([e[1] for e in examples], [e[2] for e in examples])
     idf = np.log((1 + total) / (1 + df)) + 1
     idf *= 1 + SIGNAL * np.sqrt([lean.get(t, 0.0) for t in vocabulary])
     shared = spark.broadcast(packed_examples(examples, place, idf))
-    name = uuid.uuid4().hex
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms_in = model_of(name, shared), term_counter(places.value)
+        model, terms_in = model_of(name, shared), term_counter(hits_of(name, places))
         for batch in it:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out = [model.score(*terms_in(text)) for text in part.column(1).to_pylist()]
+            ids = pa.list_(batch.column(0).type)
+            for part in by_bytes(batch, 1, QUERIES):
+                out = model.scores([terms_in(text.as_py()) for text in part.column(1)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([o[0] for o in out], pa.float64()),
-                     pa.array([o[1] for o in out], pa.list_(pa.int64())),
+                     pa.array([o[1] for o in out], ids),
                      pa.array([o[2] for o in out], pa.list_(pa.float64()))],
                     names=["doc_id", "score", "neighbours", "similarities"])
 
     kind = dict(docs.dtypes)["doc_id"]
     scored = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        score, f"doc_id {kind}, score double, neighbours array<long>, similarities array<double>")
+        score, f"doc_id {kind}, score double, neighbours array<{kind}>, similarities array<double>")
     return scored.select("doc_id", in_fold("doc_id", FOLDS, HELD).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
                          "neighbours", "similarities")
