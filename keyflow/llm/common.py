@@ -57,6 +57,19 @@ def by_bytes(batch: pa.RecordBatch, text: int, rows: int, size: int = 2 << 20
         at = end
 
 
+def pieces(text: str, size: int, cut: re.Pattern) -> Iterator[str]:
+    """The text in pieces of about ``size`` characters that begin where ``cut`` matches."""
+    at = 0
+    while len(text) - at > size:
+        found = cut.search(text, at + size)
+        if not found:
+            break
+        yield text[at:found.start()]
+        at = found.start()
+    if at < len(text):
+        yield text[at:] if at else text
+
+
 #: bytes of a labelled text that is learned from, and of all of them, at most
 EXAMPLE_BYTES, SAMPLE_BYTES = 4 << 20, 64 << 20
 

@@ -21,7 +21,10 @@ Segments are put into classes of similar length; a window starts at every word
 of a document and has the length of the class. Windows in which too many words
 occur in no segment of the class cannot be within the distance and are not
 walked (a lossless count over the window). Words that occur in no item at all
-are one symbol, which no item contains.
+are one symbol, which no item contains. Texts are looked at in calls of about
+``CALL_BYTES``, short ones together, a longer one alone; its words are numbered
+piece by piece and its windows filtered ``STRETCH`` places at a time, so a worker
+holds some bytes for each of its words.
 
 The benchmark side is small by nature but not assumed to be: items are dealt
 over blocks of about ``BLOCK_ITEMS`` and ``BLOCK_BYTES`` (a larger item is a
@@ -39,13 +42,14 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import by_bytes, materialize, pieces, text_or_empty
 
 #: an item is found at an edit distance of at most this share of its words
 SHARE = 0.2
@@ -61,13 +65,30 @@ MASK_BYTES = 32 << 20
 CLASS_RATIO = 1.2
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
+#: bytes of texts that are looked at together, and places that are filtered at once
+CALL_BYTES = 1 << 20
+STRETCH = 1 << 20
+#: symbols whose moves are kept in tables
+TABLED_SYMBOLS = 1 << 16
 WORDS = re.compile(r"\w+")
+NO_WORD = re.compile(r"\W")
+#: a character beyond ASCII that belongs to no word; and ASCII ones of no word as spaces
+ODD = re.compile(r"[^\x00-\x7f](?<!\w)")
+SPACED = bytes(b if b >= 128 or chr(b).isalnum() or chr(b) == "_" else 32 for b in range(256))
 
 
 def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
 
 
+def encoded_words(text: str) -> list[bytes]:
+    """``words_of`` in UTF-8."""
+    low = text.lower()
+    if ODD.search(low):
+        return [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(low)]
+    return low.encode("utf-8", "surrogatepass").translate(SPACED).split()
+
+
 def walk_bits(symbols: np.ndarray, r: int) -> np.ndarray:
     """The moves of walk ``r`` at each symbol: bit j says whether step j moves on."""
     x = symbols.astype(np.uint64) + np.uint64(((r + 1) * 0x9E3779B97F4A7C15) % (1 << 64))
@@ -107,27 +128,45 @@ class _Class:
         starts = np.cumsum([0, *(n + pad for n in lengths)])[:-1]
         self.tables = []
         for r in range(REPEATS):
-            sig, _ = self.signatures(flat, walk_bits(flat, r), starts, r)
+            sig, _ = self.signatures(flat, Moves(symbols, r), starts, r)
             order = np.argsort(sig, kind="stable")
             self.tables.append((sig[order], order))
 
-    def signatures(self, flat: np.ndarray, bits: np.ndarray, at: np.ndarray, r: int
+    def windows(self, flat: np.ndarray, lo: int) -> np.ndarray:
+        """Places from ``lo`` on, within a stretch, whose window can be close enough."""
+        run = np.cumsum(np.r_[0, self.inside[flat[lo:lo + STRETCH + self.low - 1]]], dtype=np.int32)
+        if len(run) <= self.low:
+            return np.zeros(0, dtype=np.int64)
+        return np.flatnonzero(run[self.low:] - run[:-self.low] >= self.need) + lo
+
+    def signatures(self, flat: np.ndarray, moves: Moves, at: np.ndarray, r: int
                    ) -> tuple[np.ndarray, np.ndarray]:
         """Signature of the walk from each place, and whether it saw only known words."""
         place, sig = at.copy(), np.zeros(len(at), dtype=np.int64)
         known = np.ones(len(at), dtype=bool)
         samples = self.samples[r].tolist()
         for j in range(samples[-1] + 1):
+            symbol = flat[place]
             if j in samples:
-                symbol = flat[place]
                 known &= symbol > 0
                 for b, s in enumerate(samples):
                     if s == j:
-                        sig += (symbol + 1) * self.factors[b]
-            place += (bits[place] >> j) & 1
+                        sig += (symbol + np.int64(1)) * self.factors[b]
+            place += (moves.of(symbol) >> j) & 1
         return sig, known
 
 
+class Moves:
+    """The moves of one walk at each symbol, looked up where the symbols are few."""
+
+    def __init__(self, symbols: int, r: int):
+        self.r = r
+        self.table = walk_bits(np.arange(symbols), r) if symbols <= TABLED_SYMBOLS else None
+
+    def of(self, symbols: np.ndarray) -> np.ndarray:
+        return walk_bits(symbols, self.r) if self.table is None else self.table[symbols]
+
+
 class Index:
     """The index of one block of items: vocabulary, classes, word sequences."""
 
@@ -137,6 +176,8 @@ class Index:
         words = [words_of(r[1]) for r in rows]
         # symbol 0 stands for every word of no item and for the end
         self.symbol = {w: k + 1 for k, w in enumerate(dict.fromkeys(w for x in words for w in x))}
+        self.encoded = {w.encode("utf-8", "surrogatepass"): k for w, k in self.symbol.items()}
+        self.moves = [Moves(len(self.symbol) + 1, r) for r in range(REPEATS)]
         self.tokens = [np.array([self.symbol[w] for w in x], dtype=np.int64) for x in words]
         self.limit = [int(share * len(x)) for x in words]
         self.masks: dict[int, dict[int, int]] = {}
@@ -154,6 +195,14 @@ class Index:
         self.classes = [_Class(g, self.tokens, len(self.symbol) + 1, share, k)
                         for k, g in enumerate(groups)]
 
+    def symbols_of(self, text: str | None) -> np.ndarray:
+        """The symbols of a text's words; a piece's words are there at a time."""
+        out = []
+        for piece in pieces(text or "", CALL_BYTES, NO_WORD):
+            words = encoded_words(piece)
+            out.append(np.fromiter(map(self.encoded.get, words, repeat(0)), np.int32, len(words)))
+        return np.concatenate(out) if out else np.zeros(0, np.int32)
+
     @staticmethod
     def _masks(tokens: np.ndarray) -> dict[int, int]:
         out: dict[int, int] = {}
@@ -187,17 +236,13 @@ class Index:
         """(start of the item, item, place) of windows that agree in a signature.
         ``flat`` ends in zeros."""
         places, items, firsts = [], [], []
-        bits = [walk_bits(flat, r) for r in range(REPEATS)]
         for c in self.classes:
-            run = np.cumsum(np.r_[0, c.inside[flat]], dtype=np.int64)
-            if len(run) <= c.low:
-                continue
-            at = np.flatnonzero(run[c.low:] - run[:-c.low] >= c.need)
+            at = np.concatenate([c.windows(flat, lo) for lo in range(0, len(flat), STRETCH)])
             at = at[at + 2 * c.steps < len(flat)]
             if not len(at):
                 continue
             for r, (keys, own) in enumerate(c.tables):
-                sig, known = c.signatures(flat, bits[r], at, r)
+                sig, known = c.signatures(flat, self.moves[r], at, r)
                 lo, hi = np.searchsorted(keys, sig, "left"), np.searchsorted(keys, sig, "right")
                 n = np.where(known, hi - lo, 0)
                 if n.any():
@@ -214,13 +259,11 @@ class Index:
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, first word, end word, distance) of every item in every text."""
-        get = self.symbol.get
         pad = 2 * max((c.steps for c in self.classes), default=0) + 1
         parts, starts, n = [], [], 0
         for text in texts:
-            found = words_of(text)
-            part = np.fromiter([get(w, 0) for w in found], dtype=np.int64, count=len(found))
-            parts += [part, np.zeros(pad, dtype=np.int64)]
+            part = self.symbols_of(text)
+            parts += [part, np.zeros(pad, dtype=np.int32)]
             starts.append(n)
             n += len(part) + pad
         if not self.classes or not parts:
@@ -341,8 +384,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
                    name: str = uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
             index = index_of(name, shared, share)
             for batch in it:
-                for at in range(0, batch.num_rows, 64):
-                    part = batch.slice(at, 64)
+                for part in by_bytes(batch, 1, 4096, CALL_BYTES):
                     hits = list(index.search(part.column(1).to_pylist()))
                     if hits:
                         d, i, first, end, distance = zip(*hits, strict=True)
