@@ -99,6 +99,13 @@ def loss_audit(produced: DataFrame, consumed: DataFrame, key: str) -> DataFrame:
     )
 
 
+def row_digest(cols: Sequence[str]) -> Column:
+    """A 64-bit digest of a row's columns; null is a value of its own."""
+    # the position keeps nulls of different columns apart
+    return F.xxhash64(*[x for i, c in enumerate(cols)
+                        for x in (F.col(c), F.col(c).isNull(), F.lit(i))])
+
+
 def table_diff(left: DataFrame, right: DataFrame, key: str,
                value_cols: Sequence[str]) -> DataFrame:
     """Copy audit between two tables keyed by ``key``.
@@ -108,9 +115,7 @@ def table_diff(left: DataFrame, right: DataFrame, key: str,
     side only. Rows are compared by their number and a sum of 64-bit digests,
     both of fixed width, so everything is a hash aggregate.
     """
-    # the position keeps nulls of different columns apart
-    digest = F.xxhash64(*[x for i, c in enumerate(value_cols)
-                          for x in (F.col(c), F.col(c).isNull(), F.lit(i))])
+    digest = row_digest(value_cols)
 
     def side(df: DataFrame, sign: int) -> DataFrame:
         return df.select(F.col(key).alias("k"), F.lit(sign).alias("s"),

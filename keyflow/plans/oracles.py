@@ -23,6 +23,23 @@ _CLAIM = ("select id, c_name username, n_name gender from (select o_orderkey id,
           "from orders where o_orderstatus='O' {} order by o_orderdate, o_orderkey limit 500) o "
           "left join customer on o_custkey=c_custkey left join nation on c_nationkey=n_nationkey")
 
+_COPIES = ("with a as (select o_orderkey k, o_totalprice v from orders), "
+           "c as (select k, case when k//100%31=7 and k%5=0 then v+1 else v end v from a "
+           "where not (k//100%31=7 and k%7=0)), "
+           "b as (select * from c union all select -k-1, v from a where k//100%31=7 and k%11=0 "
+           "union all select * from c where k//100%31=7 and k%13=0), "
+           "x as (select k, list(v order by v) v from a group by k), "
+           "y as (select k, list(v order by v) v from b group by k), "
+           "d as (select coalesce(x.k,y.k) k, x.k is not null l, y.k is not null r "
+           "from x full join y on x.k=y.k where x.v is distinct from y.v), "
+           "m as (select min(k) low, greatest(1,(max(k)-min(k)+1+255)//256) w from a) ")
+_OFFSETS = ("with p as (select user_id%6 part, event_id o, case when event_id%11=4 then 2 else 1 end n "
+            "from events where event_id%10<>3), "
+            "c as (select user_id%6 part, event_id o, 1+case when event_id%5=0 then 1 else 0 end"
+            "+case when event_id%55=15 then 1 else 0 end n from events where event_id%7<>2), "
+            "j as (select coalesce(p.part,c.part) part, coalesce(p.o,c.o) o, p.n np, c.n nc "
+            "from p full join c on p.o=c.o and p.part=c.part) ")
+
 ORACLE_SQL: dict[str, str] = {
     "api_flatten": "select conv_id, cast(turn as bigint) turn, role, text from conversations",
     "batch_metrics": ("select count(*) \"rows\", count(ts) measured, "
@@ -44,6 +61,8 @@ ORACLE_SQL: dict[str, str] = {
                         "100*cast(retried-failed as double)/retried recovery_pct, "
                         "cast(retries as double)/retried avg_retries "
                         f"from ({_COUNTERS}) y"),
+    "diff_ranges": (_COPIES + "select distinct case when k<low then 0 "
+                    "else least((k-low)//w,255) end \"range\" from d, m"),
     "dim_seed": ("select distinct c_mktsegment code, case when c_mktsegment<>'BUILDING' "
                  "then 'old' else 'new' end label from customer"),
     "expectations": ("select count(*) n, count(case when event_id is null then 1 end) null_id, "
@@ -89,6 +108,13 @@ ORACLE_SQL: dict[str, str] = {
                    "cast(sum(case when c.id%5=0 then 1 else 0 end) as bigint) duplicated "
                    "from (select event_id id from events where event_id%10<>3) p full join "
                    "(select event_id id from events where event_id%7<>2) c on p.id=c.id"),
+    "loss_audit_bitmaps": (_OFFSETS + "select cast(part as integer) \"partition\", "
+                           "count(*) filter (where nc is null) missing, "
+                           "count(*) filter (where np is null) extra, "
+                           "cast(sum(greatest(coalesce(nc,0)-greatest(coalesce(np,0),1),0)) as bigint) "
+                           "duplicated from j group by 1"),
+    "lost_offsets": (_OFFSETS + "select cast(part as integer) \"partition\", o \"offset\" from j "
+                     "where nc is null"),
     "mark_sent": ("select o_orderkey id, o_orderkey%10=0 or o_orderkey in (select o_orderkey "
                   "from orders where o_orderstatus='O' and o_orderkey%10<>0 "
                   "order by o_orderdate, o_orderkey limit 500) sent from orders"),
@@ -121,6 +147,9 @@ ORACLE_SQL: dict[str, str] = {
                    "count(*) filter (where y.k is null) only_left, "
                    "count(*) filter (where x.k is null) only_right "
                    "from x full join y on x.k=y.k"),
+    "table_diff_tree": (_COPIES + "select count(*) filter (where l and r) changed, "
+                        "count(*) filter (where not r) only_left, "
+                        "count(*) filter (where not l) only_right from d"),
     "to_message": ("select cast(user_id as varchar) k, event_id id, event_type, "
                    "cast(1706745600000 as bigint) event_ts_ms from events"),
     "union_sources": ("select c_custkey id, c_name nm from customer "

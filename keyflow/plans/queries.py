@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.operators import aggregates as agg
-from keyflow.operators import checks, joins, messages, outbox, partitioning, tables
+from keyflow.operators import audits, checks, joins, messages, outbox, partitioning, tables
 from keyflow.plans.mapping import (
     BATCH_START_MS,
     BUS_PARTITIONS,
@@ -449,6 +449,73 @@ def table_diff(spark, sf):
         copy.filter(k % 83 == 0)), "k", ["v"])
 
 
+#: key ranges that two copies of a table are compared in
+DIFF_RANGES = 256
+
+
+def _copies(spark, sf):
+    """Orders and a copy that went wrong in two stretches of keys: prices changed,
+    keys gone, keys new, rows there twice."""
+    orders = _t(spark, sf, "orders", "o_orderkey", "o_totalprice").select(
+        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    k = F.col("k")
+    bad = F.floor(k / 100) % 31 == 7
+    copy = orders.filter(~bad | (k % 7 != 0)).withColumn(
+        "v", F.when(bad & (k % 5 == 0), F.col("v") + 1).otherwise(F.col("v")))
+    extra = orders.filter(bad & (k % 11 == 0)).withColumn("k", -k - 1)
+    return orders, copy.unionByName(extra).unionByName(copy.filter(bad & (k % 13 == 0)))
+
+
+def _compared(spark, sf):
+    """The two copies, their range expression and the ranges that differ."""
+    left, right = _copies(spark, sf)
+    low, high = left.agg(F.min("k"), F.max("k")).first()
+    leaf = audits.key_range("k", low or 0, high or 0, DIFF_RANGES)
+    trees = []
+    for rows in (left, right):
+        tree = audits.DigestTree(spark, scratch_dir(spark, "digests"))
+        tree.build(rows, "k", ["v"], leaf)
+        trees.append(tree)
+    return left, right, leaf, trees[0].differing(trees[1])
+
+
+def table_diff_tree(spark, sf):
+    """D4 by a digest tree: the copies' ranges are compared from wide to narrow,
+    rows are compared only in the ranges that differ."""
+    left, right, leaf, ranges = _compared(spark, sf)
+    return audits.table_diff_in_ranges(left, right, "k", ["v"], leaf, ranges)
+
+
+def diff_ranges(spark, sf):
+    """The key ranges in which the two copies differ."""
+    return _compared(spark, sf)[3]
+
+
+def _produced_consumed(spark, sf):
+    """Events as (bus partition, offset): some never consumed, some never
+    produced, some on both sides more than once."""
+    log = _t(spark, sf, "events", "event_id", "user_id").select(
+        F.pmod(F.col("user_id"), F.lit(BUS_PARTITIONS)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"))
+    o = F.col("offset")
+    produced = log.filter(o % 10 != 3)
+    consumed = log.filter(o % 7 != 2)
+    return (produced.unionByName(produced.filter(o % 11 == 4)),
+            consumed.unionByName(consumed.filter(o % 5 == 0))
+            .unionByName(consumed.filter(o % 55 == 15)))
+
+
+def loss_audit_bitmaps(spark, sf):
+    """D3 by bitmaps of offsets, per bus partition."""
+    out = audits.loss_audit_bitmaps(*_produced_consumed(spark, sf))
+    return out.withColumnRenamed("part", "partition")
+
+
+def lost_offsets(spark, sf):
+    """D3: every offset that was produced and never consumed, read off the bitmaps."""
+    return audits.lost_offsets(*_produced_consumed(spark, sf)).withColumnRenamed("part", "partition")
+
+
 # ---------------------------------------------------------------- streaming
 
 #: segment files that a micro-batch of the bus twin takes at most
@@ -514,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "delivery_counters": delivery_counters,
     "delivery_expected": delivery_expected,
     "delivery_ratios": delivery_ratios,
+    "diff_ranges": diff_ranges,
     "dim_seed": dim_seed,
     "expectations": expectations,
     "fact_dim_left": fact_dim_left,
@@ -528,6 +596,8 @@ QUERIES: dict[str, Query] = {
     "latency_enrich": latency_enrich,
     "latency_stats": latency_stats,
     "loss_audit": loss_audit,
+    "loss_audit_bitmaps": loss_audit_bitmaps,
+    "lost_offsets": lost_offsets,
     "mark_sent": mark_sent,
     "mv_build": mv_build,
     "mv_read": mv_read,
@@ -541,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "stream_enrich": stream_enrich,
     "stream_replay": stream_replay,
     "table_diff": table_diff,
+    "table_diff_tree": table_diff_tree,
     "to_message": to_message,
     "union_sources": union_sources,
     "upsert_compacted": upsert_compacted,
