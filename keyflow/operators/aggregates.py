@@ -55,43 +55,37 @@ def _keys_equal(keys: Sequence[str], renamed: Sequence[str]) -> Column | None:
     return cond
 
 
-def exact_percentiles(df: DataFrame, value_col: str, percentiles: Mapping[str, float],
-                      group_cols: Sequence[str] = (),
-                      num_partitions: int | None = None) -> DataFrame:
-    """Exact discrete percentiles: per group, the value at 1-based rank
-    ``ceil(p * n)`` among the non-null values (SQL ``percentile_disc``).
+def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str],
+                 num_partitions: int | None = None) -> DataFrame:
+    """``group, __v, __c, __pid``: rows per group and distinct value, range
+    partitioned and sorted by (group, value), stored below the checkpoint folder.
 
-    Distributed without collecting a group anywhere: values are range
-    partitioned by ``(group, value)`` and sorted inside each task, so a group
-    holding a third of all rows is spread over many tasks by value range.
-    Each task's run of a group is a block; a small aggregate over blocks
-    (tasks x groups rows) gives every block's starting rank, and the wanted
-    ranks are picked from the blocks that hold them. The sorted values and
-    the small rank table are written below the checkpoint folder, which cuts
-    the lineage: every later pass reads stored rows, none recomputes the sort.
+    A value held by a third of all rows is one row here (counted inside each task
+    first), and a group of many distinct values is spread over tasks by value.
     """
     from keyflow.session import scratch_dir
 
-    if not group_cols:
-        one = df.withColumn("__all", F.lit(0))
-        return exact_percentiles(one, value_col, percentiles, ["__all"], num_partitions) \
-            .drop("__all")
     keys = list(group_cols)
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # ``__t`` breaks ties so that one value held by a third of all rows is
-    # still split over several tasks; equal values are interchangeable
-    vals = (df.select(*keys, F.col(value_col).alias("__v")).filter(F.col("__v").isNotNull())
-              .withColumn("__t", F.xxhash64(F.monotonically_increasing_id())))
-    sorted_path = scratch_dir(spark, "percentile_sorted")
-    (vals.repartitionByRange(parts, *keys, "__v", "__t")
-         .sortWithinPartitions(*keys, "__v", "__t")
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id())
-         .write.parquet(sorted_path))
-    ordered = spark.read.parquet(sorted_path)
-    blocks = ordered.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__bn"),
-                                                  F.min("__mid").alias("__b0"))
+    path = scratch_dir(spark, "value_counts")
+    (df.groupBy(*keys, F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+       .repartitionByRange(parts, *keys, "__v").sortWithinPartitions(*keys, "__v")
+       .withColumn("__pid", F.spark_partition_id()).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def percentiles_of_counts(counts: DataFrame, percentiles: Mapping[str, float],
+                          group_cols: Sequence[str]) -> DataFrame:
+    """Exact discrete percentiles from ``value_counts``.
+
+    A task's run of a group is a block; a small aggregate over blocks (tasks x
+    groups rows) gives every block's starting rank, and a running count is taken
+    only in the blocks that hold a wanted rank.
+    """
+    keys = list(group_cols)
+    ordered = counts.filter(F.col("__v").isNotNull())
+    blocks = ordered.groupBy("__pid", *keys).agg(F.sum("__c").alias("__bn"))
     before = Window.partitionBy(*keys).orderBy("__pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__before", F.coalesce(F.sum("__bn").over(before), F.lit(0)))
@@ -100,18 +94,81 @@ def exact_percentiles(df: DataFrame, value_col: str, percentiles: Mapping[str, f
     ranks = [F.struct(F.lit(name).alias("__name"),
                       F.greatest(F.lit(1), n - F.floor(n - F.lit(p) * n)).cast("long").alias("__rank"))
              for name, p in percentiles.items()]
+    renamed = [f"__k{i}" for i in range(len(keys))]
     located = (blocks.select("*", F.explode(F.array(*ranks)).alias("__w")).select("*", "__w.*")
                .filter((F.col("__rank") > F.col("__before"))
                        & (F.col("__rank") <= F.col("__before") + F.col("__bn")))
-               .select("__name", "__pid",
-                       (F.col("__b0") + F.col("__rank") - F.col("__before") - 1).alias("__mid")))
-    located_path = scratch_dir(spark, "percentile_ranks")
-    located.write.parquet(located_path)
-    picked = dim_join(ordered, spark.read.parquet(located_path), ["__pid", "__mid"], "inner")
+               .select("__name", (F.col("__rank") - F.col("__before")).alias("__at"),
+                       F.col("__pid").alias("__block"),
+                       *[F.col(k).alias(r) for k, r in zip(keys, renamed)]))
+    on = (F.col("__pid") == F.col("__block")) & _keys_equal(keys, renamed)
+    upto = Window.partitionBy("__name", *keys).orderBy("__v")
+    picked = (dim_join(ordered, located, on, "inner")
+              .withColumn("__upto", F.sum("__c").over(upto))
+              .filter((F.col("__upto") >= F.col("__at"))
+                      & (F.col("__upto") - F.col("__c") < F.col("__at"))))
     aggs = [F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in percentiles]
     return picked.groupBy(*keys).agg(*aggs)
 
 
+def exact_percentiles(df: DataFrame, value_col: str, percentiles: Mapping[str, float],
+                      group_cols: Sequence[str] = (),
+                      num_partitions: int | None = None) -> DataFrame:
+    """Exact discrete percentiles: per group, the value at 1-based rank
+    ``ceil(p * n)`` among the non-null values (SQL ``percentile_disc``).
+
+    Distributed without collecting a group anywhere: only distinct values are
+    ordered, each with its count (``value_counts``), and their one written table
+    cuts the lineage: every later pass reads stored rows.
+    """
+    if not group_cols:
+        one = df.withColumn("__all", F.lit(0))
+        return exact_percentiles(one, value_col, percentiles, ["__all"], num_partitions) \
+            .drop("__all")
+    counts = value_counts(df, value_col, group_cols, num_partitions)
+    return percentiles_of_counts(counts, percentiles, group_cols)
+
+
+#: size of a stored quantile sketch
+SKETCH_K = 1024
+
+
+def sketch_rank_error(k: int = SKETCH_K) -> float:
+    """Share of the rows by which a percentile of a KLL sketch of size ``k`` may
+    miss its rank (at 99 % confidence); merging sketches does not widen it."""
+    # fixed values of the published error model
+    return 2.296 / k ** 0.9021
+
+
+def latency_sketches(df: DataFrame, value_col: str, group_cols: Sequence[str],
+                     k: int = SKETCH_K) -> DataFrame:
+    """Per group a mergeable summary of its values: ``n, measured, p_max, sketch``.
+
+    Rows of any number of groups, epochs or days are merged later without the
+    values (``merged_latency``); a sketch holds O(k) values however many it saw.
+    """
+    v = F.col(value_col).cast("double")
+    return df.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("n"), F.count(v).alias("measured"), F.max(v).alias("p_max"),
+        F.kll_sketch_agg_double(v, k).alias("sketch"))
+
+
+def merged_latency(sketches: DataFrame, group_cols: Sequence[str] = (),
+                   percentiles: Mapping[str, float] | None = None,
+                   rows: str = "n") -> DataFrame:
+    """``latency_stats`` of any stored sketches: counts add up, sketches merge;
+    percentiles are null where nothing was measured."""
+    wanted = percentiles or {"p50": 0.5, "p95": 0.95}
+    merged = sketches.groupBy(*group_cols) if group_cols else sketches.groupBy()
+    merged = merged.agg(
+        F.sum(rows).cast("long").alias("n"), F.sum("measured").cast("long").alias("measured"),
+        F.max("p_max").alias("p_max"), F.kll_merge_agg_double("sketch").alias("__sketch"))
+    some = F.col("measured") > 0
+    return merged.select(*group_cols, "n", "measured", *[
+        F.when(some, F.kll_sketch_get_quantile_double("__sketch", F.lit(p))).alias(name)
+        for name, p in wanted.items()], "p_max")
+
+
 def latency_stats(df: DataFrame, latency_col: str = "latency_ms",
                   group_cols: Sequence[str] = (), accuracy: int | None = DEFAULT_ACCURACY) -> DataFrame:
     """Row count, measured count, p50, p95 and max of latency.
@@ -132,21 +189,15 @@ def latency_stats(df: DataFrame, latency_col: str = "latency_ms",
             F.max(lat).alias("p_max"),
         ]
         return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-    from keyflow.session import scratch_dir
-
-    keys = list(group_cols)
-    spark = df.sparkSession
-    path = scratch_dir(spark, "latency_values")
-    # the input is computed once and stored: every pass below reads stored rows
-    df.select(*keys, lat.alias("__lat")).write.parquet(path)
-    stored = spark.read.parquet(path)
-    if not keys:
-        stored = stored.withColumn("__all", F.lit(0))
-        keys = ["__all"]
-    main = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                     F.count("__lat").alias("measured"),
-                                     F.max("__lat").alias("p_max"))
-    pct = exact_percentiles(stored, "__lat", {"p50": 0.5, "p95": 0.95}, keys)
+    keys = list(group_cols) or ["__all"]
+    rows = df if group_cols else df.withColumn("__all", F.lit(0))
+    # counted by distinct value and stored once: every pass below reads that table
+    counts = value_counts(rows.withColumn("__lat", lat), "__lat", keys)
+    main = counts.groupBy(*keys).agg(
+        F.sum("__c").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("__c"))), F.lit(0)).alias("measured"),
+        F.max("__v").alias("p_max"))
+    pct = percentiles_of_counts(counts, {"p50": 0.5, "p95": 0.95}, keys)
     pk = [f"__pk{i}" for i in range(len(keys))]
     pct = pct.select(*[F.col(k).alias(r) for k, r in zip(keys, pk)], "p50", "p95")
     # one row per group on each side: a shuffle join, turned into a

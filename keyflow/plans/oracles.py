@@ -103,6 +103,9 @@ ORACLE_SQL: dict[str, str] = {
                       "quantile_disc(l,0.5) p50, quantile_disc(l,0.95) p95, max(l) p_max from "
                       f"(select event_type, case when event_id%7<>0 then {_LATENCY} end l "
                       "from events) x group by 1"),
+    "latency_sketch": ("select event_type, count(*) n, count(l) measured, max(l) p_max, "
+                       "true p50_near, true p95_near from (select event_type, case when "
+                       f"event_id%7<>0 then {_LATENCY} end l from events) x group by 1"),
     "loss_audit": ("select cast(sum(case when c.id is null then 1 else 0 end) as bigint) missing, "
                    "cast(sum(case when p.id is null then 1 else 0 end) as bigint) extra, "
                    "cast(sum(case when c.id%5=0 then 1 else 0 end) as bigint) duplicated "

@@ -377,6 +377,34 @@ def latency_stats(spark, sf):
     return agg.latency_stats(enriched, "latency_ms", ["event_type"], accuracy=None)
 
 
+#: epochs whose sketches are stored one by one and merged
+SKETCH_EPOCHS = 16
+
+
+def latency_sketch(spark, sf):
+    """A5/A7 by stored sketches: one per event type and epoch, merged over the
+    epochs; the exact rank of each merged percentile is held against the bound."""
+    frame = event_frame(_t(spark, sf, "events"), drop_ts_when=F.col("event_id") % 7 == 0)
+    parsed = messages.parse_messages(frame, EVENT_MESSAGE, keep=["offset"])
+    rows = messages.enrich(parsed, BATCH_START_MS).select(
+        "event_type", "latency_ms", F.pmod("offset", F.lit(SKETCH_EPOCHS)).alias("epoch"))
+    path = scratch_dir(spark, "latency_sketches")
+    agg.latency_sketches(rows, "latency_ms", ["event_type", "epoch"]).write.parquet(path)
+    merged = agg.merged_latency(spark.read.parquet(path), ["event_type"])
+    lat, bound = F.col("latency_ms"), F.lit(agg.sketch_rank_error())
+    # share of the measured rows below, and up to, each percentile
+    ranked = (rows.join(merged.select(F.col("event_type").alias("t"), "p50", "p95"),
+                        F.col("event_type") == F.col("t"))
+              .groupBy("event_type").agg(*(
+                  f(lat, F.col(p)).alias(f"{p}_{side}") for p in ("p50", "p95")
+                  for side, f in (("low", lambda v, q: F.count_if(v < q) / F.count(v)),
+                                  ("high", lambda v, q: F.count_if(v <= q) / F.count(v))))))
+    near = [((F.col(f"{p}_low") - bound <= w) & (F.col(f"{p}_high") + bound >= w)).alias(f"{p}_near")
+            for p, w in (("p50", 0.5), ("p95", 0.95))]
+    return (merged.select("event_type", "n", "measured", "p_max")
+            .join(ranked.select("event_type", *near), "event_type"))
+
+
 def key_partition_check(spark, sf):
     """Per user, messages whose stamp goes back in time, over rows dealt by
     key as the bus does; every 7th message is stamped ten days early."""
@@ -594,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "key_partition_check": key_partition_check,
     "latency_enrich": latency_enrich,
+    "latency_sketch": latency_sketch,
     "latency_stats": latency_stats,
     "loss_audit": loss_audit,
     "loss_audit_bitmaps": loss_audit_bitmaps,

@@ -103,6 +103,7 @@ BATCH_METRICS = T.StructType([
     T.StructField("p50", T.DoubleType(), True),
     T.StructField("p95", T.DoubleType(), True),
     T.StructField("p_max", T.DoubleType(), True),
+    T.StructField("sketch", T.BinaryType(), True),
 ])
 
 # the event message used with the driver's ``events`` table: same envelope as

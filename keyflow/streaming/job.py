@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from keyflow.operators.aggregates import DEFAULT_ACCURACY
+from keyflow.operators.aggregates import DEFAULT_ACCURACY, SKETCH_K
 from keyflow.operators.messages import enrich, parse_messages
 from keyflow.operators.tables import KeyedUpsertTable, ParquetTable
 from keyflow.schemas import BATCH_METRICS
@@ -92,6 +92,8 @@ class BatchProcessor:
             F.percentile_approx(lat, 0.5, self.accuracy).alias("p50"),
             F.percentile_approx(lat, 0.95, self.accuracy).alias("p95"),
             F.max(lat).alias("p_max"),
+            # kept with the epoch: percentiles over any epochs merge these
+            F.kll_sketch_agg_double(lat, SKETCH_K).alias("sketch"),
         )
         write_with_retry(lambda: self.sink.write_epoch(observed, epoch_id),
                          self.attempts, sleep=self.sleep)
@@ -103,7 +105,7 @@ class BatchProcessor:
             "elapsed_ms": elapsed_ms,
             "rows_per_sec": rows / (elapsed_ms / 1000) if elapsed_ms > 0 else 0.0,
             "p50": _opt_float(m["p50"]), "p95": _opt_float(m["p95"]),
-            "p_max": _opt_float(m["p_max"]),
+            "p_max": _opt_float(m["p_max"]), "sketch": bytes(m["sketch"]),
         }
         self.last_metrics = row
         log.info("[batch %d] rows=%d measured=%d elapsed=%dms p50=%s p95=%s max=%s",
