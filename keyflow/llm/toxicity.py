@@ -53,7 +53,7 @@ SIGNAL = 2.0
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 K = 15
-BLOCK = 16
+BLOCK = 32
 #: terms whose postings are kept as tables
 COMMON = 2048
 #: blocks that a query scores before it compares bounds
@@ -153,22 +153,24 @@ class BlockMaxIndex:
         table = np.zeros((self.n, len(often)), np.float32)
         table[row[inside], column[inside]] = self.weight[inside]
         # slots: rows in blocks of similar ones, the last block filled up with nothing
-        self.row = similar_order(table, block)
-        slot = np.empty(self.n, dtype=np.int64)
-        slot[self.row] = np.arange(self.n)
         self.blocks = -(-self.n // block)
         self.slots = self.blocks * block
-        full = np.zeros((self.slots, len(often)), np.float32)
-        full[:self.n] = table[self.row]
-        self.tables = full.reshape(self.blocks, block, len(often))
+        order = similar_order(table, block)
+        self.row = np.full(self.slots, -1)
+        self.row[:self.n] = order
+        slot = np.empty(self.n, dtype=np.int64)
+        slot[order] = np.arange(self.n)
+        full = np.zeros((self.slots, self.common), np.float32)
+        full[:self.n] = table[order]
+        self.tables = full.reshape(self.blocks, block, self.common)
         self.top = self.tables.max(axis=1)
         self.norm = np.sqrt((self.tables ** 2).sum(axis=2)).max(axis=1)
         # lists of the other terms
         order = np.flatnonzero(~inside)
         order = order[np.argsort(self.term[order], kind="stable")]
         self.lists = np.searchsorted(self.term[order], np.arange(terms + 1))
-        self.list_slot = slot[row[order]].astype(np.int32)
-        self.list_weight = self.weight[order].astype(np.float32)
+        self.list_slot = slot[row[order]]
+        self.list_weight = self.weight[order]
         self.query = np.zeros(terms)  # the query at hand, term by term
         self.asked = self.scored = 0  # (query, block) pairs
 
@@ -187,11 +189,13 @@ class BlockMaxIndex:
             column = self.column[ids]
             inside = column >= 0
             q[i, column[inside]] = w[inside]
-            others, w = ids[~inside], w[~inside].astype(np.float32)
-            at, own = ranges(self.lists[others], self.lists[others + 1])
+            others = ids[~inside]
+            begin, sizes = self.lists[others], self.lists[others + 1] - self.lists[others]
+            at = ranges(begin, sizes)
             if len(at):
-                rest[i] = np.bincount(self.list_slot[at], weights=w[own] * self.list_weight[at],
-                                      minlength=self.slots)
+                parts = self.list_weight[at]
+                parts *= np.repeat(w[~inside], sizes)
+                rest[i] = np.bincount(self.list_slot[at], weights=parts, minlength=self.slots)
         bound = np.minimum(q @ self.top.T, np.sqrt((q * q).sum(axis=1))[:, None] * self.norm)
         bound += rest.reshape(n, self.blocks, self.block).max(axis=2)
         scores = np.full((n, self.slots), -1, np.float32)
@@ -201,13 +205,21 @@ class BlockMaxIndex:
         np.put_along_axis(first, best, True, axis=1)
         self._score(scores, rest, q, first)
         by_block = scores.reshape(n, self.blocks, self.block)
-        least = kth_best(by_block[np.arange(n)[:, None], best].reshape(n, -1), k)
-        self._score(scores, rest, q, ~first & (bound >= least[:, None] - MARGIN) & (bound > 0))
-        least = np.maximum(kth_best(scores, k), 0) - MARGIN
-        query, slot = np.nonzero((scores >= least[:, None]) & (scores > -1))
+        seen = np.take_along_axis(by_block, best[:, :, None], axis=1).reshape(n, -1)
+        # at least k examples are as near as this, so farther ones are out
+        least = kth_best(seen, k)[:, None] - MARGIN
+        self._score(scores, rest, q, ~first & (bound >= least) & (bound > 0))
+        query, slot = np.nonzero(scores >= np.maximum(least, -MARGIN))
         ends = np.searchsorted(query, np.arange(n + 1))
-        return [self._exact(*queries[i], self.row[s[s < self.n]], k)
-                for i in range(n) for s in [slot[ends[i]:ends[i + 1]]]]
+        out = []
+        for i, (ids, w) in enumerate(queries):
+            own = slot[ends[i]:ends[i + 1]]
+            if len(own) > k:
+                near = scores[i, own]
+                own = own[near >= np.partition(near, -k)[-k] - MARGIN]
+            own = self.row[own]
+            out.append(self._exact(ids, w, own[own >= 0], k))
+        return out
 
     def _score(self, scores: np.ndarray, rest: np.ndarray, q: np.ndarray, wanted: np.ndarray
                ) -> None:
@@ -215,7 +227,7 @@ class BlockMaxIndex:
         self.scored += int(wanted.sum())
         block, query = np.nonzero(wanted.T)
         ends = np.searchsorted(block, np.arange(self.blocks + 1))
-        for b in np.unique(block).tolist():
+        for b in np.flatnonzero(np.diff(ends)).tolist():
             own = query[ends[b]:ends[b + 1]]
             part = slice(b * self.block, (b + 1) * self.block)
             scores[own, part] = rest[own, part] + q[own] @ self.tables[b].T
@@ -223,12 +235,16 @@ class BlockMaxIndex:
     def _exact(self, ids: np.ndarray, w: np.ndarray, rows: np.ndarray, k: int
                ) -> tuple[np.ndarray, np.ndarray]:
         """The k best of ``rows`` by their cosine in double precision."""
+        if not len(rows):
+            return rows, np.zeros(0)
         rows = np.sort(rows)
-        at, own = ranges(self.ends[rows], self.ends[rows + 1])
+        sizes = self.ends[rows + 1] - self.ends[rows]
+        at = ranges(self.ends[rows], sizes)
         self.query[ids] = w
-        cos = np.bincount(own, weights=self.query[self.term[at]] * self.weight[at],
-                          minlength=len(rows))
+        parts = self.query[self.term[at]]
         self.query[ids] = 0
+        parts *= self.weight[at]
+        cos = np.add.reduceat(parts, np.cumsum(sizes) - sizes)
         rows, cos = rows[cos > 0], cos[cos > 0]
         order = np.lexsort((rows, -np.round(cos, 12)))[:k]
         return rows[order], cos[order]
@@ -241,12 +257,11 @@ def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.maximum(np.partition(scores, -k, axis=1)[:, -k], 0)
 
 
-def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All places of the ranges one after the other, and the range of each."""
-    sizes = ends - starts
-    own = np.repeat(np.arange(len(sizes)), sizes)
-    before = np.cumsum(sizes) - sizes
-    return np.arange(len(own)) + (starts - before)[own], own
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    out += np.arange(len(out))
+    return out
 
 
 class Neighbours:
