@@ -18,6 +18,14 @@ from keyflow.operators.checks import (
     record_violations,
     table_diff,
 )
+from keyflow.operators.audits import (
+    DigestTree,
+    loss_audit_bitmaps,
+    lost_offsets,
+    offset_bitmaps,
+    table_diff_in_ranges,
+)
+from keyflow.operators.indexed import footer_reader, lookup, write_indexed
 from keyflow.operators.joins import anti_join, dim_join, resolve_key, semi_join
 from keyflow.operators.messages import (
     enrich,
@@ -31,6 +39,7 @@ from keyflow.operators.messages import (
 )
 from keyflow.operators.outbox import claim, ledger_rows, unsent, with_sent_flag
 from keyflow.operators.partitioning import key_partition, order_violations, spread, union_sources
+from keyflow.operators.rollups import IncrementalRollup
 from keyflow.operators.tables import (
     KeyedUpsertTable,
     ParquetTable,
@@ -46,13 +55,15 @@ from keyflow.operators.tables import (
 )
 
 __all__ = [
-    "KeyedUpsertTable", "ParquetTable", "RollupTable", "analyze", "anti_join", "claim",
+    "DigestTree", "IncrementalRollup", "KeyedUpsertTable", "ParquetTable", "RollupTable", "analyze", "anti_join", "claim",
     "count_all", "count_filtered", "delivery_counters", "delivery_ratios", "dim_join",
     "duplicate_keys", "enrich", "expectation_suite", "expectations", "expected_rates",
-    "first_per_key", "flat_refresh", "flat_rows", "group_count",
+    "first_per_key", "flat_refresh", "flat_rows", "footer_reader", "group_count",
     "insert_if_absent", "is_valid", "json_roundtrip", "kafka_sink_options", "key_partition",
-    "last_per_key", "latency_stats", "ledger_rows", "loss_audit", "offset_totals",
+    "last_per_key", "latency_stats", "ledger_rows", "lookup", "loss_audit", "loss_audit_bitmaps", "lost_offsets",
+    "offset_bitmaps", "offset_totals",
     "order_violations", "parse_messages", "record_violations", "resolve_key", "rollup",
-    "semi_join", "spread", "stamp_send_time", "table_diff", "to_message", "union_sources",
+    "semi_join", "spread", "stamp_send_time", "table_diff", "table_diff_in_ranges", "to_message", "union_sources",
     "unsent", "validity_counts", "validity_split", "with_sent_flag",
+    "write_indexed",
 ]

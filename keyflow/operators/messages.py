@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from keyflow.functions.scalars import iso_utc
 
@@ -88,6 +88,48 @@ def parse_messages(frame: DataFrame, schema: StructType, key_field: str = "id",
     return rows.filter(F.col(key_field).isNotNull())
 
 
+#: why a message is refused, in the order in which the reasons are looked at
+REASONS = ("no payload", "malformed", "no key", "empty key", "no user")
+_BROKEN = "__broken"
+
+
+def parse_with_reasons(frame: DataFrame, schema: StructType, key_field: str = "id",
+                       user_field: str = "username", keep: Sequence[str] = ()) -> DataFrame:
+    """Parsed records with ``reason`` (null: accepted) and, of refused ones, the
+    payload as it came (F1 and F7 in one parse).
+
+    ``parse_messages`` drops what has no key and ``validity_split`` refuses empty
+    keys and users; here every message gives one row. A payload that is broken in
+    a field but still has its key is accepted with that field null, as there.
+    """
+    wanted = StructType([*schema.fields, StructField(_BROKEN, StringType())])
+    text = F.col("value").cast("string")
+    parsed = F.from_json(F.coalesce(text, F.lit("{}")), wanted, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+    rows = frame.select(*keep, text.alias("__text"), F.inline(F.array(parsed)))
+    key, user = F.col(key_field), F.col(user_field)
+    conditions = (F.col("__text").isNull(), key.isNull() & F.col(_BROKEN).isNotNull(), key.isNull(),
+                  key.cast("string") == "", F.coalesce(user.cast("string"), F.lit("")) == "")
+    reason = F.lit(None).cast("string")
+    for name, condition in reversed(list(zip(REASONS, conditions))):
+        reason = F.when(condition, F.lit(name)).otherwise(reason)
+    rows = rows.withColumn("reason", reason)
+    return rows.withColumn("payload", F.when(F.col("reason").isNotNull(), F.col("__text"))) \
+        .drop("__text", _BROKEN)
+
+
+def write_split(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write ``parse_with_reasons`` once, accepted and refused rows in folders of
+    their own; returns reads of both (accepted records, refused ones with reasons)."""
+    spark = checked.sparkSession
+    (checked.withColumn("refused", F.col("reason").isNotNull())
+     .write.partitionBy("refused").parquet(path))
+    kinds = StructType([*checked.schema.fields, StructField("refused", BooleanType())])
+    rows = spark.read.schema(kinds).parquet(path)
+    return (rows.filter(~F.col("refused")).drop("refused", "reason", "payload"),
+            rows.filter("refused").drop("refused"))
+
+
 def enrich(df: DataFrame, batch_start_ms: int, processed_at: str | None = None,
            ts_col: str = "event_ts_ms") -> DataFrame:
     """Processing stamp and latency.

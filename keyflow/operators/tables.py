@@ -1,4 +1,4 @@
-"""Table maintenance on plain Parquet.
+"""Table maintenance on plain Parquet.
 
 * insert-if-absent: dedupe the batch to one row per key (first by arrival),
   anti join against the target's keys, append.
@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from keyflow.operators.aggregates import order_by_count
 from keyflow.operators.joins import anti_join, dim_join
+from keyflow.operators.keyfilter import key_filter, may_hold
 from keyflow.session import child_folders, delete_path, path_exists
 
 
@@ -139,11 +140,14 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[s
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
-                     order_col: str | None = None) -> DataFrame:
+                     order_col: str | None = None, filter_blocks: int | None = None) -> DataFrame:
     """Rows of ``incoming`` to append so that existing keys stay untouched (K1, K2).
 
     ``INSERT ... ON CONFLICT (key) DO NOTHING``: the first row per key in the
-    batch wins (by ``order_col``), a key already in the target is skipped.
+    batch wins (by ``order_col``), a key already in the target is skipped. With
+    ``filter_blocks`` a Bloom filter of the load's keys (``keyfilter``) stands
+    above the target's scan: whatever the load's size, only target keys that may
+    be in it go on to the join. The load is then read several times: store it.
     """
     batch = first_per_key(incoming, key, order_col) if order_col else incoming.dropDuplicates([key])
     if order_col and order_col not in target.columns:
@@ -151,7 +155,10 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
     # the load's keys that already exist: the target's key column is probed with
     # the load's keys, broadcast by the planner if their bytes allow; then the
     # load is reduced by what was found, which is no larger than the load
-    existing = target.select(key).join(batch.select(key), key, "left_semi")
+    held = target.select(key)
+    if filter_blocks:
+        held = may_hold(held, key, key_filter(incoming, key, filter_blocks), filter_blocks)
+    existing = held.join(batch.select(key), key, "left_semi")
     return anti_join(batch, existing, key)
 
 
@@ -338,7 +345,5 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "dup")
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> None:
     """Collect table and column statistics for the cost-based planner."""
-    if columns:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
-    else:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    what = f"FOR COLUMNS {', '.join(columns)}" if columns else "FOR ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {what}")

@@ -45,6 +45,7 @@ ORACLE_SQL: dict[str, str] = {
     "batch_metrics": ("select count(*) \"rows\", count(ts) measured, "
                       f"max({_LATENCY}) p_max from events"),
     "count_all": "select count(*) cnt from customer",
+    "count_footer": "select count(*) cnt from customer",
     "count_by_dim": ("select n_name label, count(*) cnt from customer join "
                      "(select * from nation where n_regionkey<>0) n on c_nationkey=n_nationkey "
                      "group by 1"),
@@ -87,6 +88,13 @@ ORACLE_SQL: dict[str, str] = {
                   "substr(h,18,3),'-',substr(h,21,12))) uuid "
                   "from (select c_custkey, md5(concat('42:',cast(c_custkey as varchar))) h "
                   "from customer) x"),
+    "insert_filtered": ("select -c_custkey id, cast(-1 as bigint) event_id from customer union all "
+                        "select user_id, case when user_id%3=0 then -1 else e end from "
+                        "(select user_id, min(event_id) filter (where event_id%4=1) e "
+                        "from events group by 1) x where user_id%3=0 or e is not null"),
+    "join_by_statistics": ("select c_nationkey nation, count(*) orders, max(o_totalprice) largest "
+                           "from orders join customer on o_custkey=c_custkey "
+                           "where c_acctbal>9000 group by 1"),
     "insert_if_absent": ("select user_id id, case when user_id%2=0 then -1 "
                          "else min(event_id) end event_id from events group by user_id"),
     "json_parse": ("select event_id id, cast(json_extract(props,'$.k') as bigint) k "
@@ -122,14 +130,23 @@ ORACLE_SQL: dict[str, str] = {
                   "from orders where o_orderstatus='O' and o_orderkey%10<>0 "
                   "order by o_orderdate, o_orderkey limit 500) sent from orders"),
     "mv_build": _ROLLUP,
+    "mv_incremental": _ROLLUP,
     "mv_read": _ROLLUP,
     "mv_unique_check": (f"select count(*) dup from (select label from ({_ROLLUP}) m "
                         "group by label having count(*)>1) z"),
     "offset_totals": ("select cast(sum(e) as bigint) total from "
                       "(select user_id%6 part, max(event_id)+1 e from events group by 1) x"),
+    "offset_totals_footer": ("select cast(sum(e) as bigint) total from "
+                             "(select user_id%6 part, max(event_id)+1 e from events group by 1) x"),
     "outbox_claim": _CLAIM.format(""),
     "outbox_claim_ledger": _CLAIM.format("and o_orderkey%3<>0"),
     "point_lookup": "select o_orderkey id, o_orderstatus from orders where o_orderkey=1000",
+    "point_lookup_indexed": ("select o_orderkey id, o_orderstatus, o_totalprice from orders "
+                             "where o_orderkey in (1,1000,-7)"),
+    "rejected_records": ("select case when o%20=11 then 'no payload' when o%10=3 then 'malformed' "
+                         "when o%10=5 then 'no key' when o%10=7 then 'empty key' "
+                         "when o%20=9 then 'no user' else 'accepted' end reason, count(*) cnt "
+                         "from (select event_id o from events) x group by 1"),
     "resolve_dim_key": ("select c_custkey id, d.k dim_id from customer left join "
                         "(select min(c_custkey) k, c_mktsegment s from customer "
                         "where c_mktsegment<>'BUILDING' group by 2) d on s=c_mktsegment"),

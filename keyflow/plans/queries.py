@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.operators import aggregates as agg
-from keyflow.operators import audits, checks, joins, messages, outbox, partitioning, tables
+from keyflow.operators import (audits, checks, indexed, joins, keyfilter, messages, outbox,
+                               partitioning, rollups, tables)
 from keyflow.plans.mapping import (
     BATCH_START_MS,
     BUS_PARTITIONS,
@@ -284,6 +285,81 @@ def mv_unique_check(spark, sf):
     return tables.duplicate_keys(_rollup_table(spark, sf).snapshot(), "label")
 
 
+def mv_incremental(spark, sf):
+    """K9, S7 without a rescan: counts of eight ingest batches; the snapshot is
+    folded half way, one folded batch is replayed, and a late one comes after it."""
+    fact = _t(spark, sf, "customer", "c_custkey", "c_nationkey")
+    mv = rollups.IncrementalRollup(spark, scratch_dir(spark, "mv_deltas"), "c_nationkey")
+
+    def ingest(*batches: int) -> None:
+        for b in batches:
+            mv.add(f"batch-{b}", fact.filter(F.col("c_custkey") % 8 == b))
+
+    ingest(0, 1, 2, 4)
+    mv.fold()
+    ingest(2, 3, 5)
+    mv.fold()
+    ingest(6, 7)
+    return mv.read(_t(spark, sf, "nation", "n_nationkey", "n_name"), "n_nationkey", "n_name")
+
+
+def insert_filtered(spark, sf):
+    """K1/J4 behind a Bloom filter: users of the newest events inserted into a
+    table of all customers and earlier users; the filter stands above its scan."""
+    events = _t(spark, sf, "events", "user_id", "event_id")
+    target = tables.ParquetTable(spark, scratch_dir(spark, "users_raw"))
+    known = _t(spark, sf, "customer", "c_custkey").select((-F.col("c_custkey")).alias("id"))
+    target.overwrite(known.unionByName(events.filter(F.col("user_id") % 3 == 0)
+                                       .select(F.col("user_id").alias("id")).distinct())
+                     .withColumn("event_id", F.lit(-1).cast("long")))
+    load = tables.ParquetTable(spark, scratch_dir(spark, "load"))  # it is read three times
+    load.overwrite(events.filter(F.col("event_id") % 4 == 1)
+                   .select(F.col("user_id").alias("id"), "event_id"))
+    target.append(tables.insert_if_absent(target.read(), load.read(), "id", "event_id",
+                                          filter_blocks=keyfilter.MOST_BLOCKS))
+    return target.read()
+
+
+def point_lookup_indexed(spark, sf):
+    """F8 on a table sorted by its key with Bloom filters: three keys' rows."""
+    orders = _t(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    path = scratch_dir(spark, "orders_indexed")
+    indexed.write_indexed(orders, path, "o_orderkey")
+    found = indexed.lookup(spark, path, "o_orderkey", [1, LOOKUP_KEY, -7],
+                           ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    return found.withColumnRenamed("o_orderkey", "id")
+
+
+def count_footer(spark, sf):
+    """A1 from Parquet footers: no row group is read."""
+    reader = indexed.footer_reader(spark)
+    return agg.count_all(reader.read.parquet(f"{sf}/customer.parquet"))
+
+
+def offset_totals_footer(spark, sf):
+    """A10 from Parquet footers of the bus twin: per partition folder the largest
+    offset, without a row."""
+    bus = scratch_dir(spark, "bus")
+    publish_bus(_t(spark, sf, "events"), bus)
+    return agg.offset_totals(indexed.footer_reader(spark).read.parquet(bus))
+
+
+def join_by_statistics(spark, sf):
+    """A join over analyzed catalog tables, planned by their histograms."""
+    own = indexed.statistics_session(spark)
+    name = scratch_dir(spark, "stat").rsplit("-", 1)[1]
+    for table, cols in (("orders", ["o_orderkey", "o_custkey", "o_totalprice"]),
+                        ("customer", ["c_custkey", "c_nationkey", "c_acctbal"])):
+        (own.read.parquet(f"{sf}/{table}.parquet").select(*cols)
+         .write.option("path", scratch_dir(spark, table)).saveAsTable(f"{table}_{name}"))
+        tables.analyze(own, f"{table}_{name}", cols)
+    rich = own.table(f"customer_{name}").filter(F.col("c_acctbal") > 9000)
+    return (own.table(f"orders_{name}")
+            .join(rich, F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy(F.col("c_nationkey").alias("nation")).agg(
+                F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("largest")))
+
+
 # ---------------------------------------------------------------- outbox
 
 def _claim_orders(spark, sf, ledger):
@@ -338,6 +414,24 @@ def validity_split(spark, sf):
     return messages.validity_counts(recs)
 
 
+def rejected_records(spark, sf):
+    """one pass parses and validates; what is refused is written with its
+    reason beside what is accepted, and counted by reason."""
+    i = F.col("offset")
+    records = event_records(_t(spark, sf, "events"))
+    records = records.withColumn("id", F.when(i % 10 == 5, F.lit(None).cast("string"))
+                                 .when(i % 10 == 7, F.lit("")).otherwise(F.col("id")))
+    records = records.withColumn("username", F.when(i % 20 == 9, F.lit("")).otherwise(F.col("username")))
+    frame = messages.to_message(records, "username", RECORD_FIELDS, keep=["partition", "offset"])
+    frame = truncate_payloads(frame, i % 10 == 3)
+    frame = frame.withColumn("value", F.when(i % 20 != 11, F.col("value")))
+    checked = messages.parse_with_reasons(frame, EVENT_MESSAGE, keep=["partition", "offset"])
+    accepted, rejected = messages.write_split(checked, scratch_dir(spark, "checked"))
+    return (rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("cnt"))
+            .unionByName(accepted.select(F.lit("accepted").alias("reason")).groupBy("reason")
+                         .agg(F.count(F.lit(1)).alias("cnt"))))
+
+
 # ---------------------------------------------------------------- messages
 
 def to_message(spark, sf):
@@ -602,6 +696,7 @@ QUERIES: dict[str, Query] = {
     "api_flatten": api_flatten,
     "batch_metrics": batch_metrics,
     "count_all": count_all,
+    "count_footer": count_footer,
     "count_by_dim": count_by_dim,
     "count_by_flat": count_by_flat,
     "count_filtered_dim": count_filtered_dim,
@@ -617,7 +712,9 @@ QUERIES: dict[str, Query] = {
     "gen_expectations": gen_expectations,
     "gen_fact_series": gen_fact_series,
     "gen_users": gen_users,
+    "insert_filtered": insert_filtered,
     "insert_if_absent": insert_if_absent,
+    "join_by_statistics": join_by_statistics,
     "json_parse": json_parse,
     "json_roundtrip": json_roundtrip,
     "key_partition_check": key_partition_check,
@@ -629,12 +726,16 @@ QUERIES: dict[str, Query] = {
     "lost_offsets": lost_offsets,
     "mark_sent": mark_sent,
     "mv_build": mv_build,
+    "mv_incremental": mv_incremental,
     "mv_read": mv_read,
     "mv_unique_check": mv_unique_check,
     "offset_totals": offset_totals,
+    "offset_totals_footer": offset_totals_footer,
     "outbox_claim": outbox_claim,
     "outbox_claim_ledger": outbox_claim_ledger,
     "point_lookup": point_lookup,
+    "point_lookup_indexed": point_lookup_indexed,
+    "rejected_records": rejected_records,
     "resolve_dim_key": resolve_dim_key,
     "scan_fact": scan_fact,
     "stream_enrich": stream_enrich,
