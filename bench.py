@@ -122,7 +122,7 @@ def main() -> None:
         # handed to the bus per run (here the file twin of the bus), then the
         # streaming job draining them into the keyed sink
         root = scratch_dir(spark, "bench_pipeline")
-        layout = jobs.new_layout(spark, f"{root}/tables", gender_dimension(spark))
+        layout = jobs.declared_layout(spark, f"{root}/tables", gender_dimension(spark), int(cpus))
         jobs.ingest(spark, layout, None, n_synthetic=PUBLISH_BATCH * (runs + 2), now_ms=1)
         bus = f"{root}/bus"
         send = jobs.file_bus_sender(bus)

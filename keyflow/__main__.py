@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> dict:
     for name in ("ingest", "publish", "stream", "compare"):
         p = sub.add_parser(name)
         p.add_argument("--root", required=True)
+        p.add_argument("--buckets", type=int, default=8,
+                       help="buckets of the tables keyed by id, when the root is new")
         if name == "ingest":
             p.add_argument("--payloads")
             p.add_argument("--n", type=int, default=jobs.SYNTHETIC_BATCH)
@@ -72,7 +74,8 @@ def main(argv: list[str] | None = None) -> dict:
     args = ap.parse_args(argv)
 
     spark = build_session(app=f"keyflow-{args.cmd}")
-    layout = jobs.new_layout(spark, f"{args.root}/tables", ensure_dimension(spark, args.root))
+    layout = jobs.declared_layout(spark, f"{args.root}/tables", ensure_dimension(spark, args.root),
+                                  args.buckets)
     out: dict = {"cmd": args.cmd}
     if args.cmd == "ingest":
         payloads = read_payloads(spark, args.payloads) if args.payloads else None

@@ -49,8 +49,9 @@ def claim(fact: DataFrame, ledger: DataFrame | None, batch_size: int,
 
 
 def ledger_rows(claimed: DataFrame, claim_id: str, key: str = "id") -> DataFrame:
-    """Rows to append to the sent ledger for one claim (K7)."""
-    return claimed.select(F.col(key).cast("string").alias("id"),
+    """Rows to append to the sent ledger for one claim (K7); ids keep their type,
+    so that a ledger bucketed like its fact table meets it without a cast."""
+    return claimed.select(F.col(key).alias("id"),
                           F.lit(claim_id).alias("claim_id"))
 
 

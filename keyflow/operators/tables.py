@@ -238,14 +238,14 @@ class KeyedUpsertTable:
              .partitionBy(self.RUN, self.EPOCH).parquet(f"{self.path}/versions"))
 
     def exists(self) -> bool:
-        return (path_exists(self.spark, f"{self.path}/versions")
+        return (bool(child_folders(self.spark, f"{self.path}/versions"))
                 or bool(child_folders(self.spark, f"{self.path}/base", complete=True)))
 
     def versions(self) -> DataFrame:
         """Every version that is read: the base and the epochs it does not cover."""
         bases = child_folders(self.spark, f"{self.path}/base", complete=True)
         parts = []
-        if path_exists(self.spark, f"{self.path}/versions"):
+        if child_folders(self.spark, f"{self.path}/versions"):
             rows = self.spark.read.parquet(f"{self.path}/versions").withColumns(
                 {self.RUN: F.col(self.RUN).cast("string"),
                  self.EPOCH: F.col(self.EPOCH).cast("long")})
@@ -275,15 +275,18 @@ class KeyedUpsertTable:
     def compact(self) -> None:
         """Write the current table as a new base; readers move to it when it is
         complete. Rows keep their run, epoch and order, so replays, later epochs
-        and later runs compare with them as before."""
+        and later runs compare with them as before. It may run beside the stream:
+        a run's newest epoch may be half written or be replayed, so it is not
+        covered and stays to be read beside the base (its rows in the base are
+        versions like others)."""
         self.compact_to(self.path)
 
     def compact_to(self, path: str) -> None:
         """Write the current table as the base of the table at ``path``."""
         name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         versions = self.versions()
-        # epochs of a run arrive in order: all up to the last one seen are covered
-        tops = versions.groupBy(self.RUN).agg(F.max(self.EPOCH).alias("top"))
+        # epochs of a run arrive in order: all below the last one seen are whole
+        tops = versions.groupBy(self.RUN).agg((F.max(self.EPOCH) - 1).alias("top"))
         tops.write.parquet(f"{path}/covers/{name}")
         last_per_key(versions, self.key, self._order()).write.parquet(f"{path}/base/{name}")
 

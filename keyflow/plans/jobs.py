@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import time
 import uuid
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from keyflow.operators import aggregates as agg
 from keyflow.operators import joins, messages, outbox, tables
-from keyflow.operators.partitioning import union_sources
-from keyflow.schemas import MESSAGE_TEXT_FIELDS, USERS_RAW
-from keyflow.session import scratch_dir
+from keyflow.operators.keyfilter import MOST_BLOCKS
+from keyflow.operators.partitioning import spread, union_sources
+from keyflow.operators.rollups import IncrementalRollup
+from keyflow.schemas import MESSAGE_TEXT_FIELDS, USERS_RAW, create_tables
+from keyflow.session import child_folders, path_exists, scratch_dir
 from keyflow.sources.api import flatten_results
 from keyflow.sources.generator import generate_user_batch
 from keyflow.streaming.job import write_with_retry
@@ -48,6 +51,7 @@ class Layout:
     flat: Table                      # users_baseline
     rollup: tables.RollupTable       # mv_gender_counts
     delivery: tables.ParquetTable    # delivery log (id, failures, valid, claim_id)
+    counts: IncrementalRollup        # rows per gender_id, by ingest batch
 
 
 def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
@@ -58,6 +62,7 @@ def new_layout(spark: SparkSession, root: str, dim: DataFrame) -> Layout:
         flat=tables.ParquetTable(spark, f"{root}/users_baseline"),
         rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts", label="gender_label"),
         delivery=tables.ParquetTable(spark, f"{root}/delivery_log"),
+        counts=IncrementalRollup(spark, f"{root}/mv_deltas", "gender_id"),
     )
 
 
@@ -73,7 +78,34 @@ def new_bucketed_layout(spark: SparkSession, root: str, dim: DataFrame, buckets:
                   flat=bucketed("users_baseline"),
                   rollup=tables.RollupTable(spark, f"{root}/mv_gender_counts",
                                             label="gender_label"),
-                  delivery=tables.ParquetTable(spark, f"{root}/delivery_log"))
+                  delivery=tables.ParquetTable(spark, f"{root}/delivery_log"),
+                  counts=IncrementalRollup(spark, f"{root}/mv_deltas", "gender_id"))
+
+
+def declared_layout(spark: SparkSession, root: str, dim: DataFrame, buckets: int = 8) -> Layout:
+    """The deployed layout: every table declared at job start (K8), those that
+    are looked up by id bucketed by it, so that a claim, the sent flag and the
+    flat refresh shuffle none of them.
+
+    The files lie below ``root/buckets=<n>``; a root that has files keeps its
+    number of buckets, whatever is asked for.
+    """
+    there = [int(n.removeprefix("buckets=")) for n in child_folders(spark, root)
+             if n.startswith("buckets=")]
+    n = there[0] if there else buckets
+    place = f"{root}/buckets={n}"
+    database = f"keyflow_{zlib.crc32(root.encode()):08x}"
+    create_tables(spark, database, place, n)
+
+    def by_id(name: str) -> tables.BucketedTable:
+        return tables.BucketedTable(spark, f"{database}.{name}", f"{place}/{name}", "id", n)
+
+    return Layout(fact=by_id("users_raw"), dim=dim, ledger=by_id("sent_ledger"),
+                  flat=by_id("users_baseline"),
+                  rollup=tables.RollupTable(spark, f"{place}/mv_gender_counts",
+                                            label="gender_label"),
+                  delivery=tables.ParquetTable(spark, f"{place}/delivery_log"),
+                  counts=IncrementalRollup(spark, f"{place}/mv_deltas", "gender_id"))
 
 
 def _fact_rows(users: DataFrame, dim: DataFrame) -> DataFrame:
@@ -98,24 +130,34 @@ def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = Non
     Every run generates new users: the seed comes from ``run_id`` (a fresh one
     by default). Give the ``run_id`` of a failed run, or a ``seed``, to repeat it.
     """
+    run_id = run_id or uuid.uuid4().hex
     if seed is None:
-        seed = int(hashlib.sha1((run_id or uuid.uuid4().hex).encode()).hexdigest()[:8], 16) >> 1
-    parts = []
-    if payloads is not None:
-        api = flatten_results(payloads, seed=seed, now_ms=now_ms)
-        parts.append(api.withColumn("__seq", F.monotonically_increasing_id() - F.lit(2**62)))
-    synth = generate_user_batch(spark, n_synthetic, seed=seed, now_ms=now_ms, offset=offset)
-    parts.append(synth.withColumn("__seq", F.monotonically_increasing_id()))
-    users = union_sources(*parts).drop("event_ts_ms")
-    rows = _fact_rows(users, layout.dim)
+        seed = int(hashlib.sha1(run_id.encode()).hexdigest()[:8], 16) >> 1
+    # the run's batch, stored under its name: a repeated run goes on from it
+    batch = f"{layout.counts.path}_batches/{run_id}"
     existing = layout.fact.read_if_exists()
-    if existing is not None:
-        new = tables.insert_if_absent(existing, rows, "id", "__seq")
-    else:
-        new = tables.first_per_key(rows, "id", "__seq").drop("__seq")
-    batch = scratch_dir(spark, "ingest_batch")
-    new.write.parquet(batch)  # fixes the batch: the append and the return agree
-    inserted = spark.read.parquet(batch)
+    if not path_exists(spark, f"{batch}/_SUCCESS"):
+        parts = []
+        if payloads is not None:
+            api = flatten_results(payloads, seed=seed, now_ms=now_ms)
+            parts.append(api.withColumn("__seq", F.monotonically_increasing_id() - F.lit(2**62)))
+        synth = generate_user_batch(spark, n_synthetic, seed=seed, now_ms=now_ms, offset=offset)
+        parts.append(synth.withColumn("__seq", F.monotonically_increasing_id()))
+        users = union_sources(*parts).drop("event_ts_ms")
+        loaded = scratch_dir(spark, "load")
+        tables.first_per_key(_fact_rows(users, layout.dim), "id", "__seq").drop("__seq") \
+            .write.parquet(loaded)
+        rows = spark.read.parquet(loaded)
+        if existing is not None:  # the load is stored: its keys filter the table's scan
+            rows = tables.insert_if_absent(existing, rows, "id", filter_blocks=MOST_BLOCKS)
+        rows.write.mode("overwrite").parquet(batch)
+    fixed = spark.read.parquet(batch)
+    layout.counts.add(run_id, fixed)
+    # what a run that broke off has appended already is not appended again
+    new = fixed if existing is None else tables.insert_if_absent(existing, fixed, "id")
+    part = scratch_dir(spark, "ingest_batch")
+    new.write.parquet(part)  # the append and the return agree
+    inserted = spark.read.parquet(part)
     layout.fact.append(inserted)
     return inserted
 
@@ -166,7 +208,6 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
     part = scratch_dir(spark, "claim")
     rows.write.parquet(part)  # fixes the batch
     batch = spark.read.schema(rows.schema).parquet(part)
-    log_path = scratch_dir(spark, "delivery")
     valid_flag = messages.is_valid()
     elapsed_s, failures, error = 0.0, 0, None
     if not batch.isEmpty():
@@ -183,12 +224,10 @@ def publish(spark: SparkSession, layout: Layout, send: Callable[[DataFrame], Non
         elapsed_s = time.monotonic() - started
         if not mark_before_send and error is None:
             mark(batch)
-    (batch.select("id", F.when(valid_flag, failures).otherwise(0).cast("int").alias("failures"),
-                  valid_flag.alias("valid"), F.lit(claim_id).alias("claim_id"))
-     .write.parquet(log_path))
-    log = spark.read.schema("id string, failures int, valid boolean, claim_id string") \
-        .parquet(log_path)
-    layout.delivery.append(log)
+    layout.delivery.append(batch.select(
+        "id", F.when(valid_flag, failures).otherwise(0).cast("int").alias("failures"),
+        valid_flag.alias("valid"), F.lit(claim_id).alias("claim_id")), ["claim_id"])
+    log = layout.delivery.read().filter(F.col("claim_id") == claim_id)  # one folder
     if error is not None:
         raise error
     return agg.delivery_ratios(agg.delivery_counters(log, max_attempts=attempts),
@@ -239,7 +278,13 @@ def layout_compare(layout: Layout, code: str = "female") -> dict[str, DataFrame]
     }
 
 
-def refresh_rollup(layout: Layout) -> None:
-    """K9: rebuild the rollup from the fact table."""
-    layout.rollup.refresh(tables.rollup(layout.fact.read(), layout.dim, "gender_id",
-                                        "gender_id", "gender_label", label="gender_label"))
+def refresh_rollup(layout: Layout, rescan: bool = False) -> None:
+    """K9: renew the rollup from the counts that the ingest batches left, or with
+    ``rescan`` from the whole fact table."""
+    if rescan:
+        rows = tables.rollup(layout.fact.read(), layout.dim, "gender_id", "gender_id",
+                             "gender_label", label="gender_label")
+    else:
+        layout.counts.fold()
+        rows = layout.counts.read(layout.dim, "gender_id", "gender_label", label="gender_label")
+    layout.rollup.refresh(rows)

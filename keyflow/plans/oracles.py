@@ -154,6 +154,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_enrich": ("select cast(event_id as varchar) id, event_type, value, "
                       f"epoch_us(ts)//1000 event_ts_ms, true spark_processed_at, {_LATENCY} latency_ms "
                       "from events"),
+    "stream_progress": "select count(*) \"rows\", true timed from events",
     "stream_replay": ("select cast(event_id as varchar) id, event_type, value, "
                       f"epoch_us(ts)//1000 event_ts_ms, {_LATENCY} latency_ms from events"),
     "table_diff": ("with a as (select o_orderkey k, o_totalprice v from orders), "

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from keyflow.operators import aggregates as agg
 from keyflow.operators import (audits, checks, indexed, joins, keyfilter, messages, outbox,
                                partitioning, rollups, tables)
+from keyflow.plans.crash import forget_last_commit
 from keyflow.plans.mapping import (
     BATCH_START_MS,
     BUS_PARTITIONS,
@@ -34,8 +35,8 @@ from keyflow.sources.api import flatten_results, parse_payloads
 from keyflow.sources.generator import GENDERS, generate_users, layout_rows
 from keyflow.sources.stream import file_stream
 from keyflow.sources.tables import read_table
-from keyflow.streaming.job import (BatchProcessor, build_stream, forget_last_commit,
-                                   run_available_now)
+from keyflow.streaming.job import BatchProcessor, build_stream, run_available_now
+from keyflow.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,7 +387,7 @@ def outbox_claim_ledger(spark, sf):
     ledger = tables.ParquetTable(spark, scratch_dir(spark, "sent_ledger"))
     sent = _t(spark, sf, "orders", "o_orderkey").filter(F.col("o_orderkey") % 3 == 0)
     ledger.overwrite(outbox.ledger_rows(sent, "claim-0", key="o_orderkey"))
-    return _claim_orders(spark, sf, ledger.read().withColumn("id", F.col("id").cast("long")))
+    return _claim_orders(spark, sf, ledger.read())
 
 
 def mark_sent(spark, sf):
@@ -398,8 +399,7 @@ def mark_sent(spark, sf):
         .withColumnRenamed("o_orderkey", "id")
     ledger = tables.ParquetTable(spark, scratch_dir(spark, "sent_ledger"))
     ledger.overwrite(outbox.ledger_rows(orders.filter(F.col("id") % 10 == 0), "claim-0"))
-    claimed = outbox.claim(orders, ledger.read().withColumn("id", F.col("id").cast("long")),
-                           CLAIM_SIZE, ["o_orderdate", "id"], [F.col("id")], key="id",
+    claimed = outbox.claim(orders, ledger.read(), CLAIM_SIZE, ["o_orderdate", "id"], [F.col("id")], key="id",
                            unsent_condition=F.col("o_orderstatus") == "O")
     ledger.append(outbox.ledger_rows(claimed, "claim-1"))
     return outbox.with_sent_flag(orders, ledger.read(), key="id").select("id", "sent")
@@ -644,7 +644,7 @@ def lost_offsets(spark, sf):
 FILES_PER_TRIGGER = 4
 
 
-def _stream_into(spark, sf, lose_commit: bool = False):
+def _stream_into(spark, sf, lose_commit: bool = False, progress: ProgressLog | None = None):
     """Events published to the bus twin, then streamed: parse -> foreachBatch upsert.
 
     With ``lose_commit`` the checkpoint loses its last commit, as in a crash
@@ -664,7 +664,7 @@ def _stream_into(spark, sf, lose_commit: bool = False):
     metrics = tables.ParquetTable(spark, scratch_dir(spark, "batch_metrics"))
     proc = BatchProcessor(sink, metrics, clock_ms=lambda: BATCH_START_MS)
     ckpt = scratch_dir(spark, "stream_ckpt")
-    run_available_now(spark, records(), proc, ckpt)
+    run_available_now(spark, records(), proc, ckpt, progress)
     if lose_commit:
         forget_last_commit(spark, ckpt)
         run_available_now(spark, records(), proc, ckpt)
@@ -692,6 +692,16 @@ def batch_metrics(spark, sf):
                               F.max("p_max").alias("p_max"))
 
 
+def stream_progress(spark, sf):
+    """The listener's table of the streaming job: rows and triggers."""
+    progress = ProgressLog(spark, scratch_dir(spark, "progress"))
+    _stream_into(spark, sf, progress=progress)
+    timed = (F.col("trigger_ms") > 0) & (F.col("write_ms") <= F.col("trigger_ms")) \
+        & (F.col("rows_per_sec") > 0)
+    return progress.read().agg(F.sum("rows").alias("rows"),
+                               (F.count_if(timed) == F.count(F.lit(1))).alias("timed"))
+
+
 QUERIES: dict[str, Query] = {
     "api_flatten": api_flatten,
     "batch_metrics": batch_metrics,
@@ -739,6 +749,7 @@ QUERIES: dict[str, Query] = {
     "resolve_dim_key": resolve_dim_key,
     "scan_fact": scan_fact,
     "stream_enrich": stream_enrich,
+    "stream_progress": stream_progress,
     "stream_replay": stream_replay,
     "table_diff": table_diff,
     "table_diff_tree": table_diff_tree,

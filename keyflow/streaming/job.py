@@ -1,8 +1,9 @@
 """The streaming job: parse -> enrich -> keyed upsert, with metrics.
 
 Per micro-batch the reference ran four actions (count, count, percentiles,
-write), each re-reading the source. Here the batch is written once and the
-metrics ride along on that single pass through ``DataFrame.observe``.
+write), each re-reading the source. Here the batch is read and written once; the
+metrics, and whether it was empty, ride along on that single pass through
+``DataFrame.observe``.
 
 Delivery is at-least-once from the source (offsets are committed after the
 batch returns) and the sink is idempotent per epoch (``KeyedUpsertTable``
@@ -26,6 +27,7 @@ from keyflow.operators.aggregates import DEFAULT_ACCURACY, SKETCH_K
 from keyflow.operators.messages import enrich, parse_messages
 from keyflow.operators.tables import KeyedUpsertTable, ParquetTable
 from keyflow.schemas import BATCH_METRICS
+from keyflow.streaming.progress import ProgressLog
 
 log = logging.getLogger("keyflow.stream")
 
@@ -74,9 +76,6 @@ class BatchProcessor:
     last_metrics: dict = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            log.info("[batch %d] empty micro-batch, skipped", epoch_id)
-            return
         started = time.monotonic()
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if query_id and hasattr(self.sink, "use_run"):
@@ -100,6 +99,9 @@ class BatchProcessor:
         m = obs.get
         elapsed_ms = int((time.monotonic() - started) * 1000)
         rows = int(m["rows"])
+        if not rows:
+            log.info("[batch %d] empty micro-batch", epoch_id)
+            return
         row = {
             "epoch_id": int(epoch_id), "rows": rows, "measured": int(m["measured"]),
             "elapsed_ms": elapsed_ms,
@@ -137,12 +139,15 @@ def build_stream(frame: DataFrame, schema: StructType, key_field: str = "id",
 
 def start_stream(records: DataFrame, processor: BatchProcessor, checkpoint: str,
                  trigger: str | None = TRIGGER_INTERVAL, available_now: bool = False,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, progress: ProgressLog | None = None) -> StreamingQuery:
     """Start the ``foreachBatch`` query.
 
     ``available_now`` processes what is there in bounded batches and stops;
-    otherwise a processing-time trigger runs forever.
+    otherwise a processing-time trigger runs forever. ``progress`` listens to the
+    session's queries from before the first batch.
     """
+    if progress:
+        records.sparkSession.streams.addListener(progress)
     writer = records.writeStream.foreachBatch(processor).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -154,22 +159,13 @@ def start_stream(records: DataFrame, processor: BatchProcessor, checkpoint: str,
 
 
 def run_available_now(spark: SparkSession, records: DataFrame, processor: BatchProcessor,
-                      checkpoint: str) -> StreamingQuery:
+                      checkpoint: str, progress: ProgressLog | None = None) -> StreamingQuery:
     """Process what is there, however long it takes, and stop."""
-    query = start_stream(records, processor, checkpoint, available_now=True)
+    query = start_stream(records, processor, checkpoint, available_now=True, progress=progress)
     query.awaitTermination()
+    if progress:
+        progress.wait_for(query)
+        spark.streams.removeListener(progress)
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
-
-
-def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
-    """Remove the newest commit of a stopped query's checkpoint, as a crash just
-    before it would leave things: a restart replays that batch from the source."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    last = max((n for n in names if n.isdigit()), key=int)
-    for name in (last, f".{last}.crc"):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, name), False)

@@ -135,3 +135,58 @@ def test_a_send_that_fails_twice(spark, tmp):
     assert (r.sent, r.failed, r.retries, r.retried) == (5, 0, 10, 5)
     row = r.asDict()
     assert [v for k, v in row.items() if "recover" in k] == [100.0]
+
+
+def test_the_deployed_layout_shuffles_no_big_table(spark, tmp):
+    """What the command line declares: the claim, the sent flag and the flat refresh."""
+    from keyflow.operators import outbox, tables
+
+    from .test_plans import _plan
+
+    layout = jobs.declared_layout(spark, f"{tmp}/t", gender_dimension(spark), buckets=4)
+    assert layout.fact.read().count() == 0  # declared, not yet written
+    jobs.ingest(spark, layout, None, n_synthetic=60, now_ms=1)
+    jobs.publish(spark, layout, lambda frame: frame.count(), batch_size=20)
+    jobs.refresh_flat(layout)
+    jobs.ingest(spark, layout, None, n_synthetic=30, now_ms=1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, ledger = layout.fact.read(), layout.ledger.read()
+        cols = ["id", F.col("gender_id").alias("g")]
+        refresh = tables.anti_join(fact.select(*cols), layout.flat.read().select("id"), "id")
+        claim = outbox.claim(fact, ledger, 10, ["ingested_at", "id"], [F.col("id")], key="id")
+        for df in (outbox.unsent(fact, ledger), refresh, claim):
+            assert "Exchange hashpartitioning" not in _plan(df)
+        flagged = outbox.with_sent_flag(fact, ledger)
+        assert "Exchange hashpartitioning" not in _plan(flagged)
+        assert flagged.filter("sent").count() == 20 and refresh.count() == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # another session declares the same tables over the same files
+    again = jobs.declared_layout(spark, f"{tmp}/t", layout.dim, buckets=16)
+    assert again.fact.buckets == 4 and again.fact.read().count() == 90
+
+
+@pytest.mark.parametrize("crash", ["before", "during", "after"])
+def test_a_repeated_run_is_counted_once(spark, tmp, crash, monkeypatch):
+    """An ingest that breaks off around its append is run again under its name."""
+    layout = jobs.declared_layout(spark, f"{tmp}/t", gender_dimension(spark), buckets=2)
+    jobs.ingest(spark, layout, None, n_synthetic=20, now_ms=1)
+    append = layout.fact.append
+
+    def broken(rows):
+        if crash != "before":
+            append(rows if crash == "after" else rows.limit(7))
+        raise OSError("lost")
+
+    monkeypatch.setattr(layout.fact, "append", broken)
+    with pytest.raises(OSError):
+        jobs.ingest(spark, layout, None, n_synthetic=30, now_ms=1, run_id="run")
+    monkeypatch.setattr(layout.fact, "append", append)
+    left = {"before": 30, "during": 23, "after": 0}[crash]
+    assert jobs.ingest(spark, layout, None, n_synthetic=30, now_ms=1, run_id="run").count() == left
+    assert layout.fact.read().count() == layout.fact.read().select("id").distinct().count() == 50
+    jobs.refresh_rollup(layout)
+    quick = layout.rollup.read().collect()
+    jobs.refresh_rollup(layout, rescan=True)
+    assert layout.rollup.read().collect() == quick and sum(r.cnt for r in quick) == 50

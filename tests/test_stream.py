@@ -182,3 +182,66 @@ def test_flaky_sink_inside_the_stream(spark, tmp):
     assert waits == [1.0, 2.0] and sink.read().count() == 2
     m = metrics.read().first()
     assert (m.rows, m.measured, m.p_max) == (2, 2, 200.0)
+
+
+def test_compaction_beside_a_running_stream(spark, tmp):
+    """Compacted between and during batches, even while an epoch is half written."""
+    from keyflow.plans.crash import forget_last_commit
+
+    want = KeyedUpsertTable(spark, f"{tmp}/plain", "id", order_cols=["event_ts_ms"])
+    sink = KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"])
+
+    class Compacting(KeyedUpsertTable):
+        def write_epoch(self, batch, epoch):
+            if epoch == 1:  # a part of the epoch is visible when the table is compacted
+                super().write_epoch(batch.limit(1), epoch)
+                self.compact()
+            super().write_epoch(batch, epoch)
+            want.run = self.run
+            want.write_epoch(batch, epoch)
+
+    src = f"{tmp}/in"
+    for b in range(4):
+        _write_batch(spark, src, f"b{b}", [_rec(i, 900 + b, first_name=f"n{b}")
+                                           for i in range(b, b + 4)])
+    proc = BatchProcessor(Compacting(spark, sink.path, "id", order_cols=["event_ts_ms"]), None,
+                          clock_ms=lambda: 1000)
+    _stream(spark, src, proc, f"{tmp}/ckpt")
+    rows = lambda t: sorted(map(str, t.read().collect()))
+    assert rows(sink) == rows(want) and len(rows(sink)) == 7
+    sink.compact()
+    assert rows(sink) == rows(want)
+    forget_last_commit(spark, f"{tmp}/ckpt")
+    _stream(spark, src, proc, f"{tmp}/ckpt")  # the newest epoch once more
+    assert rows(sink) == rows(want)
+
+
+def test_progress_is_logged_without_a_job(spark, tmp):
+    from keyflow.plans.crash import forget_last_commit
+    from keyflow.streaming.progress import ProgressLog
+
+    src = f"{tmp}/in"
+    for b in range(3):
+        _write_batch(spark, src, f"b{b}", [_rec(i) for i in range(5 + b)])
+    metrics = ParquetTable(spark, f"{tmp}/metrics")
+    proc = BatchProcessor(KeyedUpsertTable(spark, f"{tmp}/sink", "id", order_cols=["event_ts_ms"]),
+                          metrics, clock_ms=lambda: 2000)
+    progress = ProgressLog(spark, f"{tmp}/progress")
+
+    def run():
+        frame = file_stream(spark, f"{src}/*", spark.createDataFrame([], "value string").schema,
+                            max_files_per_trigger=1)
+        run_available_now(spark, build_stream(frame, USER_MESSAGE), proc, f"{tmp}/ckpt", progress)
+
+    run()
+    forget_last_commit(spark, f"{tmp}/ckpt")
+    run()  # the last batch again: its report is replaced
+    got = progress.read().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.rows) for r in got] == [(0, 5), (1, 6), (2, 7)]
+    assert all(r.trigger_ms > 0 and r.write_ms <= r.trigger_ms and r.rows_per_sec > 0 for r in got)
+    assert len({r.query_id for r in got}) == 1
+
+    # the epochs' sketches merge to the percentiles over all of them
+    from keyflow.operators.aggregates import merged_latency
+    merged = merged_latency(metrics.read(), rows="rows").first()
+    assert (merged.n, merged.measured, merged.p50, merged.p95) == (18, 18, 1000.0, 1000.0)
