@@ -1,16 +1,20 @@
 """WARC archives: a writer with payload revisits and a splittable reader.
 
-Writer: every page is one WARC record in a gzip member of its own. Members are
-written through Spark's text writer (rows are the raw bytes, the separator is a
-zero byte, which gzip readers skip as padding), so any file system that Spark
-writes to will do, and the commit protocol drops the files of lost tasks.
+Writer: every page is one WARC record in a gzip member of its own, and a file is
+its members one after the other, as archive tools expect. They are written through
+Spark's text writer, so any file system that Spark writes to will do, and the
+commit protocol drops the files of lost tasks. That writer puts a separator behind
+every row: a zero byte, which is each member's own last byte (the top byte of its
+length; a longer record than 16 MB is followed by an empty member), so the rows
+come without it and no byte stands between members.
 
 Reader: files are cut into byte ranges. A task looks for the gzip magic in its
 range, accepts a member only if its first bytes inflate to a WARC header, reads
 the record even where it runs past the range, and goes on behind it. It owns
 the records that start inside its range, so each is read exactly once.
 
-Defined results: a null html is an empty payload; a null url is written as
+Defined results: a null html is an empty payload; a payload of any length is one
+record, which a task holds whole while it writes or reads it; a null url is written as
 ``about:blank``. Of equal payloads of at least ``min_revisit`` bytes the largest
 page_id is the response (null ids last); rows repeated with that id are
 responses too. An empty table gives no records. Only page_id, url and html are
@@ -69,6 +73,15 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str,
     return z.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + z.flush()
 
 
+#: a gzip member of nothing
+EMPTY = zlib.compressobj(9, zlib.DEFLATED, 31).flush()
+
+
+def as_row(data: bytes) -> bytes:
+    """A member without its last byte, zero, which the row separator adds again."""
+    return data[:-1] if data.endswith(b"\0") else data + EMPTY[:-1]
+
+
 def write_warc(pages: DataFrame, path: str, min_revisit: int = 0,
                level: int = GZIP_LEVEL) -> None:
     """Write every page of ``pages`` as a record below ``path``."""
@@ -88,8 +101,8 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = 0,
     def members(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for at in range(0, batch.num_rows, 64):
-                out = [member(i, url, data, base64.b32encode(bytes.fromhex(sha)).decode(),
-                              keeper, response, level)
+                out = [as_row(member(i, url, data, base64.b32encode(bytes.fromhex(sha)).decode(),
+                                     keeper, response, level))
                        for i, url, data, sha, keeper, response in
                        zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
@@ -113,7 +126,7 @@ class _Range:
     def __init__(self, file, start: int, n: int, step: int = 1 << 20):
         self.file, self.start, self.step = file, start, step
         file.seek(start)
-        self.data = file.read(n)
+        self.data = bytearray(file.read(n))  # grows in place
 
     def more(self) -> bool:
         self.file.seek(self.start + len(self.data))
@@ -131,7 +144,7 @@ def _inflate(r: _Range, at: int, most: int = 0) -> tuple[bytes, int] | None:
             if pos >= len(r.data) and not r.more():
                 return None
             # a small step at a time: what is left over of it is copied
-            chunk = r.data[pos:pos + (PROBE if most else STEP)]
+            chunk = bytes(r.data[pos:pos + (PROBE if most else STEP)])
             out.append(z.decompress(chunk, most))
             pos += len(chunk)
             if most and sum(map(len, out)) >= len(b"WARC/1."):
