@@ -7,7 +7,7 @@ token sequences (ids of a tokenizer) and the WARC round trip.
 
 from __future__ import annotations
 
-from .line_templates import CONSTANT_SHARE, FIELD, LEAD, MIN_DOCS, MIN_TOKENS
+from .line_templates import CONSTANT_ONE_IN, CONSTANT_SHARE, FIELD, LEAD, MIN_DOCS, UNSPACED
 from .url_filter import MIN_SOFT, SOFT_TERMS, STRICT_TERMS
 
 _EXACT = r"""
@@ -27,13 +27,25 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def _count(terms: tuple[str, ...]) -> str:
     return " + ".join(
-        f"regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::INT" for t in terms)
+        rf"regexp_matches(u, '(^|[^\p{{L}}\p{{N}}]){t}([^\p{{L}}\p{{N}}]|$)')::INT" for t in terms)
+
+
+def _decoded(url: str) -> str:
+    """ASCII escapes as their character, others as a letter."""
+    out = f"regexp_replace({url}, '%[89A-Fa-f][0-9A-Fa-f]', 'é', 'g')"
+    for i in range(128):
+        out = f"regexp_replace({out}, '(?i)%{i:02x}', {_character(i)}, 'g')" if i != 37 else out
+    return f"regexp_replace({out}, '%25', '%', 'g')"
+
+
+def _character(i: int) -> str:
+    return "chr(92) || chr(92)" if i == 92 else f"chr({i})" if i else "' '"
 
 
 _URLS = rf"""
 WITH p AS (
   SELECT page_id, coalesce(url, '') AS url,
-         translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS u FROM pages),
+         translate({_decoded("coalesce(url, '')")}, '{_UPPER}', '{_LOWER}') AS u FROM pages),
 h AS (
   SELECT page_id, u,
          translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
@@ -83,6 +95,7 @@ SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.other) AS component_id,
 FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
 """
 
+_SCRIPTS = "".join(rf"\p{{{s}}}" for s in UNSPACED)
 _LINES = rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
 l AS (
@@ -90,26 +103,32 @@ l AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 t AS (
   SELECT row, pos, line, list_transform(list_filter(
-    regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda x: x <> ''),
+    regexp_split_to_array(regexp_replace(line, '([{_SCRIPTS}])', ' \1 ', 'g'), '[ \t\x0B\f\r]+'),
+    lambda x: x <> ''),
     lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS tokens FROM l),
 u AS (
   SELECT line, any_value(tokens) AS tokens, count(DISTINCT row) AS docs,
          len(any_value(tokens)) AS size,
          array_to_string(any_value(tokens)[1:{LEAD}], ' ') AS lead
-  FROM t WHERE len(tokens) >= {MIN_TOKENS} GROUP BY line),
+  FROM t WHERE len(tokens) > 0 GROUP BY line),
 p AS (
   SELECT size, lead, line, docs, unnest(tokens) AS token,
          generate_subscripts(tokens, 1) AS pos FROM u),
+f AS (SELECT size, lead, sum(docs) AS leaf FROM u GROUP BY ALL),
 c AS (
-  SELECT size, lead, pos, token FROM p GROUP BY ALL
-  HAVING sum(docs) >= {MIN_DOCS} AND token <> '{FIELD}'),
+  SELECT size, lead, pos, token FROM p JOIN f USING (size, lead) GROUP BY ALL
+  HAVING sum(docs) >= {MIN_DOCS} AND sum(docs) * {CONSTANT_ONE_IN} >= max(leaf)
+    AND token <> '{FIELD}'),
 m AS (
   SELECT p.size, p.lead, p.line, min(p.docs) AS docs, count(c.token) AS constants,
+         count(c.token) FILTER (p.pos > {LEAD}) AS behind,
          string_agg(coalesce(c.token, '{FIELD}'), ' ' ORDER BY p.pos) AS template
   FROM p LEFT JOIN c ON p.size = c.size AND p.lead = c.lead AND p.pos = c.pos
     AND p.token = c.token GROUP BY p.size, p.lead, p.line),
 r AS (SELECT *, sum(docs) OVER (PARTITION BY size, lead, template) AS total FROM m),
-x AS (SELECT line FROM r WHERE total >= {MIN_DOCS} AND constants >= {CONSTANT_SHARE} * size),
+x AS (SELECT line FROM r WHERE docs >= {MIN_DOCS}
+      OR (total >= {MIN_DOCS} AND constants >= {CONSTANT_SHARE} * size
+          AND behind >= {CONSTANT_SHARE} * (size - {LEAD}))),
 k AS (SELECT l.row, l.pos, l.line, x.line IS NOT NULL AS gone FROM l LEFT JOIN x ON l.line = x.line)
 SELECT any_value(d.doc_id) AS doc_id,
        coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (NOT k.gone), '') AS text,
