@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[list[str]] = []
+
+
+@contextmanager
+def noting_written() -> Iterator[list[str]]:
+    """The folders that ``materialize`` writes meanwhile, in order: whoever knows
+    when they are read no more may delete them."""
+    _written.append([])
+    try:
+        yield _written[-1]
+    finally:
+        _written.pop()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: the
     lineage ends there, later steps survive lost executors and nothing is
     computed twice."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
+    for paths in _written:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

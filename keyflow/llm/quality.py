@@ -6,9 +6,14 @@ weights per pair of neighbouring labels make the chain. Training lines carry the
 label of their document. Forward-backward gives each line's probability of being
 good; the document's score is their mean, weighted by line length.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE``, drawn by a
-hash of the id outside the held-out fold); scoring is one pass over whole texts
-in Arrow batches, with the chains of a batch run side by side.
+The model is fitted on a bounded sample of labelled rows (``SAMPLE`` rows and
+``SAMPLE_LINES`` lines, drawn by a hash of the id outside the held-out fold);
+scoring is one pass over whole texts in Arrow batches, cut by bytes. The chains of a
+call run side by side, and long ones in blocks of ``BLOCK_LINES`` lines: what a
+block does to either label before it is worked out for all blocks at once, so a
+text of a million lines takes some thousand steps. Features are made for
+``PIECE`` characters of lines at a time and only their three products with the
+weights are kept, so a worker holds some bytes for each line of a long text.
 
 Defined results: null and empty texts are one empty line and get that line's
 score; without any usable label every score is 0.5; repeated rows get equal
@@ -25,13 +30,19 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, labelled_sample, text_or_empty
+from .common import by_bytes, in_fold, labelled_sample, text_or_empty
 
 #: labelled rows that the model is fitted on, at most
 SAMPLE = 3000
+#: lines of these rows, at most
+SAMPLE_LINES = 400_000
+BLOCK_LINES = 512
+#: bytes of texts that are scored together, characters whose features are made at once
+CALL_BYTES, PIECE = 1 << 20, 1 << 20
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
 STEPS = 300
@@ -67,80 +78,171 @@ def kinds() -> np.ndarray:
     return _KINDS[0]
 
 
-def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, line lengths, lines per text) of all lines of ``texts``."""
-    lines: list[str] = []
-    counts = np.empty(len(texts), dtype=np.int64)
-    extra: list[tuple[int, int, int, int]] = []
-    for k, text in enumerate(texts):
-        own = (text or "").split("\n")
-        counts[k] = len(own)
+def line_pieces(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
+    """The lines of all texts in order, some ``PIECE`` characters at a time, and
+    whether each stands earlier in its text already."""
+    held: list[str] = []
+    again: list[bool] = []
+    size = 0
+    for text in texts:
         seen: set[str] = set()
-        for line in own:
-            words = line.split()
-            extra.append((len(words), len(set(words)), sum(map(eq, words, words[1:])),
-                          line in seen))
-            seen.add(line)
-        lines += own
+        known = np.zeros(0, dtype=np.uint64)  # hashes of the pieces before
+        for part in _pieces_of_lines(text or ""):
+            lines = part.split("\n")
+            if len(part) < PIECE // 2 and not len(known):
+                for line in lines:
+                    again.append(line in seen)
+                    seen.add(line)
+            else:
+                h = np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))
+                                 for x in lines), np.uint64, len(lines))
+                _, first = np.unique(h, return_index=True)
+                twice = np.ones(len(h), dtype=bool)
+                twice[first] = False
+                again += (twice | np.isin(h, known)).tolist()
+                known = np.union1d(known, h)
+            held += lines
+            size += len(part)
+            if size >= PIECE:
+                yield held, np.array(again)
+                held, again, size = [], [], 0
+    if held:
+        yield held, np.array(again)
+
+
+def _pieces_of_lines(text: str) -> Iterator[str]:
+    """A text cut behind newlines into pieces of about ``PIECE`` characters."""
+    at = 0
+    while True:
+        cut = text.find("\n", at + PIECE) if len(text) - at > PIECE else -1
+        if cut < 0:
+            yield text[at:] if at else text
+            return
+        yield text[at:cut]
+        at = cut + 1
+
+
+def base_features(lines: list[str], again: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(own features, lengths) of lines."""
+    extra: list[tuple[int, int, int]] = []
+    for line in lines:
+        words = line.split()
+        extra.append((len(words), len(set(words)), sum(map(eq, words, words[1:]))))
     size = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     order = "utf-32-le" if sys.byteorder == "little" else "utf-32-be"
     codes = np.frombuffer("".join(lines).encode(order, "surrogatepass"), dtype=np.uint32)
     kind = kinds()[np.minimum(codes, 0x3000)]
     at = np.repeat(np.arange(len(lines)) * 8, size) + kind
     by_kind = np.bincount(at, minlength=8 * len(lines)).reshape(-1, 8).astype(float)
-    words, distinct, twice, again = np.array(extra, dtype=float).reshape(-1, 4).T
+    words, distinct, twice = np.array(extra, dtype=float).reshape(-1, 3).T
     chars = np.maximum(size, 1)
     letters = by_kind[:, LOWER] + by_kind[:, UPPER]
     share = by_kind / chars[:, None]
     many = np.maximum(words, 1)
-    base = np.stack([
+    return np.stack([
         by_kind[:, UPPER] / np.maximum(letters, 1), share[:, DIGIT], share[:, SPACE],
         share[:, POINT], share[:, MARK], share[:, SYMBOL], share[:, OTHER],
         (share[:, SYMBOL] > 0.02).astype(float), (share[:, MARK] > 0.02).astype(float),
         np.minimum(letters / many, 30) / 10, distinct / many, twice / many,
-        np.sqrt(twice / many), again, np.log1p(words) / 5, np.log1p(size) / 8,
-        (size == 0).astype(float), (words <= 2).astype(float)], axis=1)
-    # neighbours inside the same text
-    first = np.r_[0, np.cumsum(counts)[:-1]].astype(np.int64)
-    before, after = np.roll(base, 1, axis=0), np.roll(base, -1, axis=0)
-    before[first[counts > 0]] = 0
-    after[(np.cumsum(counts) - 1)[counts > 0]] = 0
-    return (np.concatenate([np.ones((len(base), 1)), base, before, after], axis=1),
-            size, counts)
+        np.sqrt(twice / many), again.astype(float), np.log1p(words) / 5, np.log1p(size) / 8,
+        (size == 0).astype(float), (words <= 2).astype(float)], axis=1), size
 
 
-class Chains:
-    """Texts of different numbers of lines, run step by step side by side."""
+def line_counts(texts: list[str | None]) -> np.ndarray:
+    return np.array([(t or "").count("\n") + 1 for t in texts], dtype=np.int64)
 
-    def __init__(self, counts: np.ndarray):
-        self.order = np.argsort(-counts, kind="stable")
-        self.starts = np.r_[0, np.cumsum(counts)[:-1]][self.order].astype(np.int64)
-        self.counts = counts[self.order]
-        self.longest = int(counts.max()) if len(counts) else 0
-        self.active = [int(np.searchsorted(-self.counts, -t, "left")) for t in range(self.longest)]
 
-    def marginals(self, unary: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(good) of every line, and the expected number of each label pair."""
-        n = len(unary)
-        scores = np.stack([np.zeros(n), unary], axis=1)
-        a, b = np.zeros((n, 2)), np.zeros((n, 2))
+def beside(own: np.ndarray, counts: np.ndarray, step: int) -> np.ndarray:
+    """Each line's neighbour's row, ``step`` lines on in the same text; else zeros."""
+    out = np.roll(own, -step, axis=0)
+    ends = np.cumsum(counts)
+    out[(ends - 1 if step > 0 else ends - counts)[counts > 0]] = 0
+    return out
+
+
+def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, line lengths, lines per text) of all lines of ``texts``."""
+    parts = [base_features(*piece) for piece in line_pieces(texts)]
+    base, size = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    counts = line_counts(texts)
+    return (np.concatenate([np.ones((len(base), 1)), base, beside(base, counts, -1),
+                            beside(base, counts, 1)], axis=1), size, counts)
+
+
+class Chains:
+    """Texts of different numbers of lines, run side by side in blocks of lines."""
+
+    def __init__(self, counts: np.ndarray, block: int = BLOCK_LINES):
+        self.counts, self.block = counts, block
+        ends = np.cumsum(counts)
+        n = -(-counts // block)
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first = np.repeat(ends - counts, n) + place * block
+        size = np.minimum(block, np.repeat(ends, n) - first)
+        # longest blocks first, so that those with a step t are the first ones
+        order = np.argsort(-size, kind="stable")
+        self.first, self.size = first[order], size[order]
+        self.place, self.last = place[order], (np.repeat(n, n) - 1)[order]
+        self.longest = int(size.max()) if len(size) else 0
+        self.active = [int(np.searchsorted(-self.size, -t, "left")) for t in range(self.longest)]
+        # blocks of texts that have several, by place: aligned from text to text
+        text = np.repeat(np.arange(len(counts)), n)[order]
+        self.chained = []
+        for k in range(int(n.max()) if len(n) else 0):
+            own = np.flatnonzero((self.place == k) & (self.last > 0))
+            self.chained.append(own[np.argsort(text[own], kind="stable")])
+        self.text = text
+
+    def scan(self, scores: np.ndarray, pair: np.ndarray, back: bool) -> np.ndarray:
+        """Log-weight of each line's labels with all lines before it (``back``: after)."""
+        pair = pair.T if back else pair
+        start = self.first + self.size - 1 if back else self.first
+        step = -1 if back else 1
+        nth = self.last - self.place if back else self.place
+        out = np.zeros_like(scores)
+
+        def passed(x: np.ndarray) -> np.ndarray:
+            return np.logaddexp(x[..., 0, None] + pair[0], x[..., 1, None] + pair[1])
+
+        enter = np.zeros((len(start), 2))  # weights of the labels of the line before a block
+        if len(self.chained) > 1:
+            # what a block makes of either label before it; a text's end is not passed on
+            own = np.flatnonzero((self.last > 0) & (nth < self.last))
+            x = np.where((nth[own] > 0)[:, None, None], pair, 0.0) + scores[start[own]][:, None, :]
+            size = self.size[own]
+            for t in range(1, int(size.max())):
+                on = size > t
+                x[on] = passed(x[on]) + scores[start[own[on]] + step * t][:, None, :]
+            made = np.zeros((len(start), 2, 2))
+            made[own] = x
+            chain = self.chained[::-1] if back else self.chained
+            by_nth = [np.flatnonzero((nth == k) & (self.last > 0)) for k in range(len(chain))]
+            by_nth = [o[np.argsort(self.text[o], kind="stable")] for o in by_nth]
+            for before, after in zip(by_nth, by_nth[1:]):
+                source = before[np.isin(self.text[before], self.text[after])]
+                y = enter[source][:, :, None] + made[source]
+                enter[after] = np.where((nth[source] > 0)[:, None],
+                                        np.logaddexp(y[:, 0], y[:, 1]), made[source][:, 0])
         for t in range(self.longest):
-            at = self.starts[:self.active[t]] + t
+            at = start[:self.active[t]] + step * t
             if t == 0:
-                a[at] = scores[at]
+                out[at] = scores[at] + np.where((nth > 0)[:, None], passed(enter), 0.0)
             else:
-                x = a[at - 1][:, :, None] + pair
-                a[at] = np.logaddexp(x[:, 0], x[:, 1]) + scores[at]
-        pairs = np.zeros((2, 2))
-        for t in range(self.longest - 2, -1, -1):
-            at = self.starts[:self.active[t + 1]] + t
-            x = pair + (scores[at + 1] + b[at + 1])[:, None, :]
-            b[at] = np.logaddexp(x[:, :, 0], x[:, :, 1])
-            joint = a[at][:, :, None] + x
-            joint -= joint.max(axis=(1, 2), keepdims=True)
-            joint = np.exp(joint)
-            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        z = a + b
+                out[at] = passed(out[at - step]) + scores[at]
+        return out
+
+    def marginals(self, unary: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """P(good) of every line, and the expected number of each label pair."""
+        scores = np.stack([np.zeros(len(unary)), unary], axis=1)
+        a, c = self.scan(scores, pair, False), self.scan(scores, pair, True)
+        z = a + c - scores
+        inner = np.ones(len(unary), dtype=bool)  # lines with a next one
+        inner[(np.cumsum(self.counts) - 1)[self.counts > 0]] = False
+        at = np.flatnonzero(inner)
+        joint = a[at][:, :, None] + pair + c[at + 1][:, None, :]
+        joint -= joint.max(axis=(1, 2), keepdims=True)
+        joint = np.exp(joint)
+        pairs = (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         return 1 / (1 + np.exp(np.clip(z[:, 0] - z[:, 1], -500, 500))), pairs
 
 
@@ -173,10 +275,20 @@ class LineCrf:
 
     def lines(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """P(good) and length of every line, and the lines per text."""
-        x, size, counts = line_features(texts)
         mean, spread = self.scale
-        p, _ = Chains(counts).marginals(((x - mean) / spread) @ self.weights, self.pair)
-        return p, size, counts
+        w = self.weights / spread
+        # of a line's own features only the products with the three parts of the weights
+        parts = w[1:].reshape(3, -1).T
+        made = [(base @ parts, size) for base, size in
+                (base_features(*piece) for piece in line_pieces(texts))]
+        own, size = (np.concatenate([m[k] for m in made]) for k in (0, 1))
+        counts = line_counts(texts)
+        unary = (w[0] - mean @ w + own[:, 0] + beside(own[:, 1], counts, -1)
+                 + beside(own[:, 2], counts, 1))
+        scores = np.stack([np.zeros(len(unary)), unary], axis=1)
+        chains = Chains(counts)
+        z = (chains.scan(scores, self.pair, False) + chains.scan(scores, self.pair, True) - scores)
+        return 1 / (1 + np.exp(np.clip(z[:, 0] - z[:, 1], -500, 500))), size, counts
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Length-weighted mean of the line probabilities of each text."""
@@ -189,7 +301,13 @@ class LineCrf:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineCrf | None:
     """The field fitted on at most ``sample`` labelled rows outside the held-out fold."""
-    rows = sorted(labelled_sample(docs, labels, "quality", FOLDS, HELD, sample))
+    rows, lines = [], 0
+    for row in labelled_sample(docs, labels, "quality", FOLDS, HELD, sample):
+        lines += row[1].count("\n") + 1
+        if lines > SAMPLE_LINES:
+            break
+        rows.append(row)
+    rows.sort()
     return LineCrf.fit([r[1] for r in rows], [r[2] for r in rows])
 
 
@@ -200,8 +318,7 @@ def score_quality(docs: DataFrame, model: LineCrf | None) -> DataFrame:
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = shared.value
         for batch in it:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in by_bytes(batch, 1, 4096, CALL_BYTES):
                 texts = part.column(1).to_pylist()
                 s = crf.score(texts) if crf else np.full(len(texts), 0.5)
                 yield pa.RecordBatch.from_arrays(
@@ -225,10 +342,13 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(texts):
         import pandas as pd
 
-        crf, out = shared.value, []
-        for at in range(0, len(texts), 256):
-            part = texts.iloc[at:at + 256].tolist()
-            out.append(crf.score(part) if crf else np.full(len(part), 0.5))
+        crf, out, part, held = shared.value, [], [], 0
+        for k, text in enumerate(texts):
+            part.append(text)
+            held += len(text)
+            if held >= CALL_BYTES or k == len(texts) - 1:
+                out.append(crf.score(part) if crf else np.full(len(part), 0.5))
+                part, held = [], 0
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return docs.filter(score(text_or_empty()) >= THRESHOLD)

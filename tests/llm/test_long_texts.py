@@ -37,3 +37,53 @@ print(json.dumps([peak() - before, time.time() - t, [h[1] for h in hits], len(te
 """)
     assert got[2] == [0] and got[3] >= 49
     assert got[0] < 500, got
+
+
+def test_quality_of_a_text_of_50_mb():
+    got = alone(GROWTH + """
+import numpy as np
+from keyflow.llm import quality
+good, bad = "A good line of plain words, as ever.", "BUY!!! $$$ 99 %%% NOW NOW NOW !!!"
+crf = quality.LineCrf.fit(["\\n".join([good] * 5), "\\n".join([bad] * 5)] * 20, [1, 0] * 20, 60)
+n = (50 << 20) // 37
+text = "\\n".join(f"{good[:30]} {i % 90001}" for i in range(n))
+before, t = peak(), time.time()
+score = float(crf.score([text])[0])
+print(json.dumps([peak() - before, time.time() - t, score, len(text) >> 20]))
+""")
+    assert got[0] < 500 and got[1] < 120 and 0 <= got[2] <= 1 and got[3] >= 47, got
+
+
+def test_blocks_of_lines_change_no_marginal():
+    import numpy as np
+
+    from keyflow.llm import quality
+
+    rng = np.random.default_rng(2)
+    counts = np.array([1, 2, 17, 40, 3, 39, 1, 8])
+    unary, pair = rng.normal(size=counts.sum()) * 3, rng.normal(size=(2, 2))
+    whole = quality.Chains(counts).marginals(unary, pair)
+    for block in (1, 2, 3, 8, 13):
+        got = quality.Chains(counts, block).marginals(unary, pair)
+        assert max(np.abs(a - b).max() for a, b in zip(whole, got)) < 1e-11
+
+
+def test_pieces_of_lines_change_no_score(monkeypatch):
+    import numpy as np
+
+    from keyflow.llm import quality
+
+    texts = ["\n".join(f"line {i % 7} of {k}" for i in range(50 * k)) for k in range(1, 6)] + ["", None]
+    crf = quality.LineCrf.fit(texts[:4], [0, 1, 0, 1], 30)
+    want = crf.score(texts)
+    monkeypatch.setattr(quality, "PIECE", 64)
+    assert np.abs(crf.score(texts) - want).max() <= 1e-9
+    again = np.concatenate([a for _, a in quality.line_pieces(texts)])
+    lines = [x for piece, _ in quality.line_pieces(texts) for x in piece]
+    assert lines == [x for t in texts for x in (t or "").split("\n")]
+    seen, want = set(), []
+    for k, t in enumerate(texts):
+        for x in (t or "").split("\n"):
+            want.append((k, x) in seen)
+            seen.add((k, x))
+    assert again.tolist() == want

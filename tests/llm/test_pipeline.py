@@ -45,6 +45,18 @@ def test_pipeline_matches_brute_force(llm):
     assert sum(r["length"] for r in got) == sum(want.values())
 
 
+def test_a_run_leaves_no_scratch_but_its_last_input(llm):
+    from keyflow.session import checkpoint_root, child_folders
+
+    place = f"{checkpoint_root(llm)}/keyflow"
+    before = set(child_folders(llm, place))
+    out = corpus_pipeline.run(llm, "/root/testdata/sf0.001")
+    assert out.count() > 0
+    left = {n.rsplit("-", 1)[0] for n in set(child_folders(llm, place)) - before}
+    assert "pipeline-decontaminate" in left
+    assert not left & {"pipeline-quality", "pipeline-exact_dedup", "pipeline-near_dedup", "benchmark"}
+
+
 def test_stages_keep_the_columns(llm):
     docs = llm.read.parquet(f"{SF}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
