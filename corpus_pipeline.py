@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from keyflow.llm import decontaminate, exact_dedup, near_dedup, packing, quality
-from keyflow.llm.common import materialize, table
+from keyflow.llm.common import materialize, noting_written, table
 from keyflow.llm.queries import importable, tokenizer_path
+from keyflow.session import delete_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -33,7 +34,10 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; documents without words stay."""
+    """One document of each group of near copies; documents without words stay.
+
+    Copies share 85 of 100 shingles, as in the operator's own query: at that bar
+    the bands lose a pair in some millions, and clean texts stay apart."""
     importable(spark)
     return near_dedup.drop_near_copies(docs)
 
@@ -60,10 +64,18 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's result is written and reread."""
+    """All stages over the documents; each stage's result is written and reread.
+
+    What a stage wrote on its way, and its input, go once its result stands."""
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with noting_written() as written:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        *own, result = written
+        for path in before + own:
+            delete_path(spark, path)
+        before = [result]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
