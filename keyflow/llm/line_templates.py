@@ -41,10 +41,14 @@ FIELD = "<*>"
 UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 
 
-def tokens_of(line: Column) -> Column:
+#: where their characters stand, with others: one look tells most texts have none
+BEYOND = r"[\u0E00-\uFFFF\x{10000}-\x{10FFFF}]"
+
+
+def tokens_of(line: Column, may_be_unspaced: Column) -> Column:
     unspaced = "".join(rf"\p{{Is{s}}}" for s in UNSPACED)
     apart = F.regexp_replace(line, f"([{unspaced}])", " $1 ")
-    spaced = F.when(line.rlike(f"[{unspaced}]"), apart).otherwise(line)
+    spaced = F.when(may_be_unspaced, apart).otherwise(line)
     return F.array_remove(F.split(F.translate(spaced, "\t\x0b\x0c\r", "    "), " "), "")
 
 
@@ -57,9 +61,10 @@ def numbered_lines(docs: DataFrame, lead: int) -> DataFrame:
     text = text_or_empty()
     # numbered before the lines part: a generator's row would number the lines
     return (docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64(text).alias("k1"),
-                        F.crc32(text).alias("k2"), F.split(text, "\n").alias("lines"))
-            .select("row", "k1", "k2", F.posexplode("lines").alias("at", "line"))
-            .withColumn("tokens", tokens_of(F.col("line")))
+                        F.crc32(text).alias("k2"), text.rlike(BEYOND).alias("beyond"),
+                        F.split(text, "\n").alias("lines"))
+            .select("row", "k1", "k2", "beyond", F.posexplode("lines").alias("at", "line"))
+            .withColumn("tokens", tokens_of(F.col("line"), F.col("beyond")))
             .filter(F.size("tokens") > 0)
             .select("row", "k1", "k2", "at",
                     F.xxhash64(F.size("tokens"), F.array_join(
@@ -88,7 +93,7 @@ def templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS,
              .groupBy("hash").agg(F.min("line").alias("line")))
     words = (wanted.join(texts, "hash")
              .select("leaf", "hash", "docs", "all",
-                     F.posexplode(masked(tokens_of(F.col("line")))).alias("pos", "token")))
+                     F.posexplode(masked(tokens_of(F.col("line"), F.col("line").rlike(BEYOND)))).alias("pos", "token")))
     words = materialize(words, "line-words")
     constants = materialize(
         words.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("seen"),
