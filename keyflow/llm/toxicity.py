@@ -21,6 +21,10 @@ Votes are weighted by cosine and smoothed with the base rate; a document without
 any term of the vocabulary has no neighbour and gets the rate of the examples
 that have none either.
 
+Texts are read once: a row's terms of the vocabulary and their counts are written
+in packed form (less than the text), the document frequencies come from them, and
+so do the scores; equal rows of a call are looked up once.
+
 Defined results: null and empty texts have no terms; without any usable label
 every score is 0; repeated rows get equal scores; an empty table gives an empty
 result; ids may be of any type. Very long texts are scored whole, in calls of
@@ -43,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, by_bytes, in_fold, labelled_sample, text_or_empty
+from .common import LETTERS, by_bytes, in_fold, labelled_sample, materialize, text_or_empty
 from .shingles import shingle_set
 
 #: labelled rows that make the index, at most
@@ -141,7 +145,7 @@ class BlockMaxIndex:
         self.ids = [e[0] for e in examples]
         self.labels = np.array([e[3] for e in examples], dtype=float)
         self.ends = np.cumsum([0, *(len(e[1]) for e in examples)])
-        self.term = np.concatenate([e[1] for e in examples])
+        self.term = np.concatenate([e[1] for e in examples]).astype(np.int32)
         self.weight = np.concatenate([e[2] for e in examples])
         row = np.repeat(np.arange(self.n), np.diff(self.ends))
         often = np.argsort(-np.bincount(self.term, minlength=terms), kind="stable")[:common]
@@ -169,8 +173,8 @@ class BlockMaxIndex:
         order = np.flatnonzero(~inside)
         order = order[np.argsort(self.term[order], kind="stable")]
         self.lists = np.searchsorted(self.term[order], np.arange(terms + 1))
-        self.list_slot = slot[row[order]]
-        self.list_weight = self.weight[order]
+        # slot and weight side by side, so that a list is one stretch of memory
+        self.postings = np.stack([slot[row[order]], self.weight[order]], axis=1).astype(np.float32)
         self.query = np.zeros(terms)  # the query at hand, term by term
         self.asked = self.scored = 0  # (query, block) pairs
 
@@ -190,12 +194,13 @@ class BlockMaxIndex:
             inside = column >= 0
             q[i, column[inside]] = w[inside]
             others = ids[~inside]
-            begin, sizes = self.lists[others], self.lists[others + 1] - self.lists[others]
-            at = ranges(begin, sizes)
-            if len(at):
-                parts = self.list_weight[at]
-                parts *= np.repeat(w[~inside], sizes)
-                rest[i] = np.bincount(self.list_slot[at], weights=parts, minlength=self.slots)
+            begin, end = self.lists[others], self.lists[others + 1]
+            if len(others):
+                found = np.concatenate([self.postings[a:b] for a, b in
+                                        zip(begin.tolist(), end.tolist())])
+                parts = found[:, 1] * np.repeat(w[~inside].astype(np.float32), end - begin)
+                rest[i] = np.bincount(found[:, 0].astype(np.intp), weights=parts,
+                                      minlength=self.slots)
         bound = np.minimum(q @ self.top.T, np.sqrt((q * q).sum(axis=1))[:, None] * self.norm)
         bound += rest.reshape(n, self.blocks, self.block).max(axis=2)
         scores = np.full((n, self.slots), -1, np.float32)
@@ -238,13 +243,12 @@ class BlockMaxIndex:
         if not len(rows):
             return rows, np.zeros(0)
         rows = np.sort(rows)
-        sizes = self.ends[rows + 1] - self.ends[rows]
-        at = ranges(self.ends[rows], sizes)
+        stretches = list(zip(self.ends[rows].tolist(), self.ends[rows + 1].tolist()))
         self.query[ids] = w
-        parts = self.query[self.term[at]]
+        parts = self.query[np.concatenate([self.term[a:b] for a, b in stretches])]
         self.query[ids] = 0
-        parts *= self.weight[at]
-        cos = np.add.reduceat(parts, np.cumsum(sizes) - sizes)
+        parts *= np.concatenate([self.weight[a:b] for a, b in stretches])
+        cos = np.add.reduceat(parts, np.cumsum([0, *(b - a for a, b in stretches[:-1])]))
         rows, cos = rows[cos > 0], cos[cos > 0]
         order = np.lexsort((rows, -np.round(cos, 12)))[:k]
         return rows[order], cos[order]
@@ -257,13 +261,6 @@ def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.maximum(np.partition(scores, -k, axis=1)[:, -k], 0)
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All places of the ranges, one range after the other."""
-    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    out += np.arange(len(out))
-    return out
-
-
 class Neighbours:
     """The index with its vocabulary, rates and vote."""
 
@@ -273,17 +270,21 @@ class Neighbours:
     def scores(self, rows: list[tuple[np.ndarray, np.ndarray]], k: int = K
                ) -> list[tuple[float, list, list[float]]]:
         """Vote, example ids and cosines of each row of term ids and counts."""
-        out = [(self.none, [], [])] * len(rows)
         if self.index is None:
-            return out
-        some = [i for i, (ids, _) in enumerate(rows) if len(ids)]
-        queries = [(rows[i][0], weights(*rows[i], self.idf)) for i in some]
+            return [(self.none, [], [])] * len(rows)
+        place: dict[tuple[bytes, bytes], int] = {}
+        which = [place.setdefault((ids.tobytes(), n.tobytes()), len(place)) for ids, n in rows]
+        own = {w: i for i, w in reversed(list(enumerate(which)))}
+        once = [rows[own[w]] for w in range(len(place))]
+        out: list[tuple[float, list, list[float]]] = [(self.none, [], [])] * len(once)
+        some = [i for i, (ids, _) in enumerate(once) if len(ids)]
+        queries = [(once[i][0], weights(*once[i], self.idf)) for i in some]
         for i, (near, cos) in zip(some, self.index.nearest_of(queries, k) if queries else []):
             if len(near):
                 vote = (cos @ self.index.labels[near] + PRIOR * self.base) / (cos.sum() + PRIOR)
                 out[i] = (float(vote), [self.index.ids[r] for r in near.tolist()],
                           np.round(cos, 6).tolist())
-        return out
+        return [out[w] for w in which]
 
 
 #: a character beyond ASCII that is no letter
@@ -342,21 +343,49 @@ def hits_of(name: str, shared) -> _Hits:
     return _HITS[name]
 
 
-def document_frequencies(docs: DataFrame, name: str, shared, terms: int
-                         ) -> tuple[int, np.ndarray]:
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    kind = next(k for k in ("<u1", "<u2", "<u4") if numbers.max(initial=0) < 1 << (8 * int(k[2])))
+    return kind[2].encode() + numbers.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
+
+
+def counted_terms(docs: DataFrame, name: str, places) -> DataFrame:
+    """doc_id, and the terms (as steps from one to the next) and counts, packed."""
+
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms_in = term_counter(hits_of(name, places))
+        for batch in it:
+            for part in by_bytes(batch, 1, 4096):
+                rows = [terms_in(text.as_py()) for text in part.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0),
+                     pa.array([packed(np.diff(ids, prepend=0)) for ids, _ in rows], pa.binary()),
+                     pa.array([packed(n) for _, n in rows], pa.binary())],
+                    names=["doc_id", "terms", "counts"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        count, f"doc_id {kind}, terms binary, counts binary")
+
+
+def document_frequencies(counted: DataFrame, terms: int) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term of the vocabulary."""
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the last place counts all documents
-        terms_in, df = term_counter(hits_of(name, shared)), np.zeros(terms + 1, dtype=np.int64)
+        df = np.zeros(terms + 1, dtype=np.int64)
         for batch in it:
             df[-1] += batch.num_rows
-            for text in batch.column(0):
-                df[terms_in(text.as_py())[0]] += 1
+            for data in batch.column(0):
+                df[np.cumsum(unpacked(data.as_py()))] += 1
         own = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(df[own])], names=["t", "n"])
 
-    found = (docs.select(text_or_empty().alias("text")).mapInArrow(count, "t long, n long")
+    found = (counted.select("terms").mapInArrow(count, "t long, n long")
              .groupBy("t").agg(F.sum("n").alias("n")).toArrow())  # a row per term at most
     df = np.zeros(terms + 1, dtype=np.int64)
     df[found["t"].to_numpy()] = found["n"].to_numpy()
@@ -411,18 +440,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     spark = docs.sparkSession.sparkContext
     places = spark.broadcast(place)
     name = uuid.uuid4().hex
-    total, df = document_frequencies(docs, name, places, len(place))
+    counted = materialize(counted_terms(docs, name, places), "toxicity-terms")
+    total, df = document_frequencies(counted, len(place))
     lean = toxic_lean([e[1] for e in examples], [e[2] for e in examples])
     idf = np.log((1 + total) / (1 + df)) + 1
     idf *= 1 + SIGNAL * np.sqrt([lean.get(t, 0.0) for t in vocabulary])
     shared = spark.broadcast(packed_examples(examples, place, idf))
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms_in = model_of(name, shared), term_counter(hits_of(name, places))
+        model = model_of(name, shared)
         for batch in it:
             ids = pa.list_(batch.column(0).type)
             for part in by_bytes(batch, 1, QUERIES):
-                out = model.scores([terms_in(text.as_py()) for text in part.column(1)])
+                out = model.scores([(np.cumsum(unpacked(t.as_py())), unpacked(n.as_py()))
+                                    for t, n in zip(part.column(1), part.column(2))])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([o[0] for o in out], pa.float64()),
                      pa.array([o[1] for o in out], ids),
@@ -430,7 +461,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
                     names=["doc_id", "score", "neighbours", "similarities"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    scored = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+    scored = counted.mapInArrow(
         score, f"doc_id {kind}, score double, neighbours array<{kind}>, similarities array<double>")
     return scored.select("doc_id", in_fold("doc_id", FOLDS, HELD).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
