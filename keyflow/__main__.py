@@ -1,10 +1,11 @@
 """Command line for the pipeline's jobs (each one a Spark application).
 
     python -m keyflow ingest  --root DIR [--payloads PATH] [--n 5000]
+                              [--jdbc URL --jdbc-table T [--jdbc-split COLUMN LOW HIGH TASKS]]
     python -m keyflow publish --root DIR (--bus DIR | --kafka HOST:PORT) [--batch-size 5000]
     python -m keyflow stream  --root DIR (--bus DIR | --kafka HOST:PORT)
                               [--cassandra HOSTS --keyspace KS --table T] [--available-now]
-    python -m keyflow compare --root DIR
+    python -m keyflow compare --root DIR [--jdbc URL --jdbc-table T]
 
 ``--root`` is a folder on shared storage holding the tables. A scheduler
 runs ``ingest`` then ``publish`` then ``compare``; ``stream`` runs
@@ -19,6 +20,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keyflow.operators.partitioning import spread
 from keyflow.operators.tables import ParquetTable, insert_if_absent
 from keyflow.plans import jobs
 from keyflow.schemas import DIM_GENDER, USER_MESSAGE
@@ -26,6 +28,7 @@ from keyflow.session import build_session, default_parallelism
 from keyflow.sources.api import read_payloads
 from keyflow.sources.generator import gender_dimension
 from keyflow.sources.stream import file_stream, kafka_stream
+from keyflow.sources.tables import read_jdbc
 from keyflow.streaming.job import BatchProcessor, build_stream, run_available_now, start_stream
 from keyflow.streaming.sinks import CassandraSink, cassandra_session_conf
 
@@ -44,10 +47,23 @@ def ensure_dimension(spark: SparkSession, root: str) -> DataFrame:
 def _send(args) -> object:
     if args.kafka:
         from keyflow.operators.messages import publish as kafka_publish
-        return lambda frame: kafka_publish(frame, args.kafka)
+        # a claim is one file: its messages are dealt over all cores to be sent
+        return lambda frame: kafka_publish(
+            spread(frame, default_parallelism(frame.sparkSession)), args.kafka)
     return jobs.file_bus_sender(args.bus)
 
 
+def _relational(spark: SparkSession, args) -> DataFrame | None:
+    if not args.jdbc:
+        return None
+    split = {}
+    if args.jdbc_split:
+        column, low, high, tasks = args.jdbc_split
+        split = {"partition_column": column, "lower": int(low), "upper": int(high),
+                 "num_partitions": int(tasks)}
+    return read_jdbc(spark, url=args.jdbc, table=args.jdbc_table or "users_raw", **split)
+
+
 def main(argv: list[str] | None = None) -> dict:
     ap = argparse.ArgumentParser(prog="keyflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -56,7 +72,11 @@ def main(argv: list[str] | None = None) -> dict:
         p.add_argument("--root", required=True)
         p.add_argument("--buckets", type=int, default=8,
                        help="buckets of the tables keyed by id, when the root is new")
+        if name in ("ingest", "compare"):
+            p.add_argument("--jdbc", help="relational source of users; mirror of the flat table")
+            p.add_argument("--jdbc-table")
         if name == "ingest":
+            p.add_argument("--jdbc-split", nargs=4, metavar=("COLUMN", "LOW", "HIGH", "TASKS"))
             p.add_argument("--payloads")
             p.add_argument("--n", type=int, default=jobs.SYNTHETIC_BATCH)
         if name in ("publish", "stream"):
@@ -69,8 +89,10 @@ def main(argv: list[str] | None = None) -> dict:
             p.add_argument("--keyspace", default="spark_streams")
             p.add_argument("--table", default="created_users")
             p.add_argument("--available-now", action="store_true")
-            p.add_argument("--max-files", type=int, default=1000,
+            p.add_argument("--max-files", type=int,
                            help="files that a micro-batch of --bus takes at most")
+            p.add_argument("--max-bytes", type=int, default=1 << 30,
+                           help="bytes that it takes at most, where no --max-files is given")
     args = ap.parse_args(argv)
 
     spark = build_session(app=f"keyflow-{args.cmd}")
@@ -79,7 +101,8 @@ def main(argv: list[str] | None = None) -> dict:
     out: dict = {"cmd": args.cmd}
     if args.cmd == "ingest":
         payloads = read_payloads(spark, args.payloads) if args.payloads else None
-        out["inserted"] = jobs.ingest(spark, layout, payloads, n_synthetic=args.n).count()
+        out["inserted"] = jobs.ingest(spark, layout, payloads, n_synthetic=args.n,
+                                      records=_relational(spark, args)).count()
     elif args.cmd == "publish":
         if not (args.bus or args.kafka):
             ap.error("publish needs --bus or --kafka")
@@ -90,7 +113,8 @@ def main(argv: list[str] | None = None) -> dict:
                                   min_partitions=default_parallelism(spark))
         elif args.bus:
             source = file_stream(spark, args.bus, spark.createDataFrame(
-                [], "key binary, value binary").schema, max_files_per_trigger=args.max_files)
+                [], "key binary, value binary").schema, max_files_per_trigger=args.max_files,
+                max_bytes_per_trigger=None if args.max_files else args.max_bytes)
         else:
             ap.error("stream needs --bus or --kafka")
         if args.cassandra:
@@ -116,6 +140,9 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.cmd == "compare":
         jobs.refresh_flat(layout)
         jobs.refresh_rollup(layout)
+        if args.jdbc:
+            jobs.mirror_flat(layout, args.jdbc, args.jdbc_table or "users_baseline",
+                             default_parallelism(spark))
         out.update({k: [r.asDict() for r in v.collect()]
                     for k, v in jobs.layout_compare(layout).items()})
     print(json.dumps(out, default=str))

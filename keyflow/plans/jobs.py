@@ -31,6 +31,7 @@ from keyflow.schemas import MESSAGE_TEXT_FIELDS, USERS_RAW, create_tables
 from keyflow.session import child_folders, path_exists, scratch_dir
 from keyflow.sources.api import flatten_results
 from keyflow.sources.generator import generate_user_batch
+from keyflow.sources.tables import write_jdbc
 from keyflow.streaming.job import write_with_retry
 
 CLAIM_BATCH = 5000
@@ -124,9 +125,12 @@ def _fact_rows(users: DataFrame, dim: DataFrame) -> DataFrame:
 def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = None,
            n_synthetic: int = SYNTHETIC_BATCH, seed: int | None = None,
            now_ms: int | None = None, offset: int = 0,
-           run_id: str | None = None) -> DataFrame:
+           run_id: str | None = None, records: DataFrame | None = None) -> DataFrame:
     """S4 U S5 -> J3 -> K1. Returns the rows that were inserted (read back).
 
+    ``records`` are users from elsewhere (a relational table, S2) with the
+    generator's columns; columns they lack are null.
+
     Every run generates new users: the seed comes from ``run_id`` (a fresh one
     by default). Give the ``run_id`` of a failed run, or a ``seed``, to repeat it.
     """
@@ -142,7 +146,14 @@ def ingest(spark: SparkSession, layout: Layout, payloads: DataFrame | None = Non
             api = flatten_results(payloads, seed=seed, now_ms=now_ms)
             parts.append(api.withColumn("__seq", F.monotonically_increasing_id() - F.lit(2**62)))
         synth = generate_user_batch(spark, n_synthetic, seed=seed, now_ms=now_ms, offset=offset)
-        parts.append(synth.withColumn("__seq", F.monotonically_increasing_id()))
+        synth = synth.withColumn("__seq", F.monotonically_increasing_id())
+        parts.append(synth)
+        if records is not None:
+            known = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in records.columns
+                     else F.lit(None).cast(f.dataType).alias(f.name)
+                     for f in synth.schema if f.name != "__seq"]
+            parts.append(records.select(*known).withColumn(
+                "__seq", F.monotonically_increasing_id() + F.lit(2**61)))
         users = union_sources(*parts).drop("event_ts_ms")
         loaded = scratch_dir(spark, "load")
         tables.first_per_key(_fact_rows(users, layout.dim), "id", "__seq").drop("__seq") \
@@ -243,6 +254,12 @@ def file_bus_sender(path: str) -> Callable[[DataFrame], None]:
     return send
 
 
+def mirror_flat(layout: Layout, url: str, table: str, tasks: int) -> None:
+    """Copy the flat table into a relational one in pages (K3's target there);
+    as many connections as ``tasks``."""
+    write_jdbc(spread(layout.flat.read(), tasks), url, table, mode="overwrite", truncate="true")
+
+
 def refresh_flat(layout: Layout) -> DataFrame:
     """K3: append fact ids missing from the flat table, codes inlined.
 

@@ -99,7 +99,8 @@ ORACLE_SQL: dict[str, str] = {
                          "else min(event_id) end event_id from events group by user_id"),
     "json_parse": ("select event_id id, cast(json_extract(props,'$.k') as bigint) k "
                    "from events where event_id%10<>3"),
-    "json_roundtrip": "select event_id, user_id, event_type from events",
+    "json_roundtrip": ("select event_id, user_id, event_type, value, ts, props, true same "
+                       "from events"),
     "key_partition_check": ("select user_id, count(*) n, "
                             "count(case when prev>ts then 1 end) out_of_order from "
                             "(select user_id, ts, lag(ts) over (partition by user_id "

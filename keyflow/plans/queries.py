@@ -451,9 +451,10 @@ def json_parse(spark, sf):
 
 
 def json_roundtrip(spark, sf):
-    """to_json -> from_json keeps the key columns."""
-    out = checks.json_roundtrip(_t(spark, sf, "events", "event_id", "user_id", "event_type"))
-    return out.drop("__same")
+    """to_json -> from_json keeps every column of the events."""
+    out = checks.json_roundtrip(_t(spark, sf, "events", "event_id", "user_id", "event_type",
+                                   "value", "ts", "props"))
+    return out.withColumnRenamed("__same", "same")
 
 
 def latency_enrich(spark, sf):

@@ -43,9 +43,15 @@ def kafka_stream(spark: SparkSession, bootstrap: str, **kwargs) -> DataFrame:
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """File twin of the bus: new files under ``path`` become micro-batches."""
+                max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """File twin of the bus: new files under ``path`` become micro-batches of at
+    most so many files, or of about so many bytes (at least one file)."""
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("a trigger is bounded by files or by bytes")
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.load(path)

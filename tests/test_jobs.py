@@ -190,3 +190,40 @@ def test_a_repeated_run_is_counted_once(spark, tmp, crash, monkeypatch):
     quick = layout.rollup.read().collect()
     jobs.refresh_rollup(layout, rescan=True)
     assert layout.rollup.read().collect() == quick and sum(r.cnt for r in quick) == 50
+
+
+def test_relational_users_and_mirror(spark, tmp, monkeypatch):
+    """The command line's relational source and mirror; no database here, so the
+    options and the rows that would cross are looked at."""
+    from keyflow import __main__ as cli
+
+    asked, written = [], []
+    users = spark.createDataFrame([("r1", "Ana", "Lima", "female", "a@x"), ("r2", "Bo", "Li", "male", None)],
+                                  "id string, first_name string, last_name string, gender string, email string")
+    monkeypatch.setattr(cli, "read_jdbc", lambda s, **kw: asked.append(kw) or users)
+    monkeypatch.setattr(jobs, "write_jdbc", lambda df, url, table, **kw: written.append(
+        (sorted(r.id for r in df.collect()), url, table, kw)))
+    monkeypatch.setattr(cli, "build_session", lambda **kw: spark)
+    split = ["--jdbc-split", "n", "0", "99", "4"]
+    out = cli.main(["ingest", "--root", tmp, "--n", "3", "--jdbc", "jdbc:x", "--jdbc-table", "u", *split])
+    assert out["inserted"] == 5
+    assert asked == [{"url": "jdbc:x", "table": "u", "partition_column": "n", "lower": 0, "upper": 99,
+                      "num_partitions": 4}]
+    cli.main(["compare", "--root", tmp, "--jdbc", "jdbc:x"])
+    ids, url, table, kw = written[0]
+    assert len(ids) == 5 and {"r1", "r2"} <= set(ids) and (url, table) == ("jdbc:x", "users_baseline")
+
+
+def test_file_stream_takes_files_or_bytes(spark, tmp):
+    from keyflow.sources.stream import file_stream
+
+    schema = spark.createDataFrame([], "v long").schema
+    spark.range(10).toDF("v").repartition(5).write.parquet(f"{tmp}/in")
+    with pytest.raises(ValueError):
+        file_stream(spark, f"{tmp}/in", schema, max_files_per_trigger=1, max_bytes_per_trigger=1000)
+    sizes = []
+    q = (file_stream(spark, f"{tmp}/in", schema, max_bytes_per_trigger=1).writeStream
+         .foreachBatch(lambda df, e: sizes.append(df.count())).trigger(availableNow=True)
+         .option("checkpointLocation", f"{tmp}/c").start())
+    q.awaitTermination()
+    assert len(sizes) >= 3 and sum(sizes) == 10  # a file at a time, not all at once
