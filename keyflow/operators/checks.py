@@ -68,6 +68,11 @@ def expectations(df: DataFrame, key: str, violations: Mapping[str, Column]) -> D
     return df.agg(*aggs)
 
 
+#: JSON's own time formats stop at milliseconds
+FULL_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+              "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def json_roundtrip(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Encode each row to JSON text and parse it back with the same schema.
 
@@ -75,8 +80,8 @@ def json_roundtrip(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """
     cols = list(columns) if columns else df.columns
     schema = StructType([df.schema[c] for c in cols])
-    text = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    back = df.select(*cols, F.from_json(text, schema).alias("__back"))
+    text = F.to_json(F.struct(*cols), {"ignoreNullFields": "false", **FULL_TIMES})
+    back = df.select(*cols, F.from_json(text, schema, FULL_TIMES).alias("__back"))
     same = None
     for c in cols:
         eq = F.col(c).eqNullSafe(F.col("__back")[c])
