@@ -26,6 +26,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import by_bytes, materialize, text_or_empty
 
 CAPACITY = 2048
 END_ID = 1
@@ -92,10 +93,11 @@ class WordTokens:
     pattern are known here; other texts are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, data: str | None = None):
+        """From the tokenizer's file, or from what it holds."""
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path) if data is None else Tokenizer.from_str(data)
         chars = [chr(i) for i in range(0x180)]
         letters = "".join(c for c in chars if unicodedata.category(c)[0] == "L")
         numbers = "".join(c for c in chars if unicodedata.category(c)[0] == "N")
@@ -120,9 +122,10 @@ class WordTokens:
 _TOKENS: dict[str, WordTokens] = {}
 
 
-def tokens_of(path: str) -> WordTokens:
+def tokens_of(path: str, shared) -> WordTokens:
+    """The tokenizer of a worker, from the broadcast file: its path is the driver's."""
     if path not in _TOKENS:
-        _TOKENS[path] = WordTokens(path)
+        _TOKENS[path] = WordTokens(path, shared.value)
     return _TOKENS[path]
 
 
@@ -132,12 +135,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, with_ids: bool = False,
     fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
               ("doc_tokens", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
     end = np.asarray([END_ID], dtype="<u4").tobytes()
+    # a vocabulary file: a few MB, whatever the documents
+    shared = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text("utf-8"))
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens_of(tokenizer)
+        encode = tokens_of(tokenizer, shared)
         for batch in it:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in by_bytes(batch, 1, 256):
                 cols: dict[str, list] = {name: [] for name, _ in fields}
                 source = []
                 for i, text in enumerate(part.column(1).to_pylist()):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import shutil
+import tempfile
 from collections.abc import Callable
 from pathlib import Path
 
@@ -16,12 +17,17 @@ from .common import table, text_or_empty
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+_SHIPPED: set[str] = set()
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed."""
-    env = spark.sparkContext.environment
-    path = env.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in path:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, path)])
+    """Let Python workers import this package where it is not installed: it goes to
+    every executor as a zip, once an application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        place = tempfile.mkdtemp(prefix="keyflow-package-")  # the driver's; Spark sends the file
+        sc.addPyFile(shutil.make_archive(f"{place}/keyflow", "zip", ROOT, "keyflow"))
 
 
 def tokenizer_path() -> str:
