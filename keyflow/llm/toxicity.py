@@ -13,8 +13,8 @@ kept block by block as small dense tables with the largest weight of each term i
 the block; the postings of all other terms are lists. A batch of queries first
 adds up the lists (they are short), which gives every example's exact rest; the
 block maxima (and the block's largest norm, by Cauchy-Schwarz) bound what the
-common terms can add. The ``FIRST`` blocks of the highest bounds are scored, then
-all blocks that can still reach the k-th best cosine. That filter is in single
+common terms can add. The ``FIRST`` blocks that are likeliest by their means are scored,
+then all blocks that can still reach the k-th best cosine. That filter is in single
 precision with a margin; what passes is scored again in double precision, so the k
 nearest are exact (ties: smallest example id) and do not depend on the batch.
 Votes are weighted by cosine and smoothed with the base rate; a document without
@@ -61,7 +61,7 @@ BLOCK = 32
 #: terms whose postings are kept as tables
 COMMON = 2048
 #: blocks that a query scores before it compares bounds
-FIRST = 4
+FIRST = 8
 #: more than single precision can err in a cosine
 MARGIN = 1e-5
 #: queries that are looked up together
@@ -167,7 +167,7 @@ class BlockMaxIndex:
         full = np.zeros((self.slots, self.common), np.float32)
         full[:self.n] = table[order]
         self.tables = full.reshape(self.blocks, block, self.common)
-        self.top = self.tables.max(axis=1)
+        self.top, self.mean = self.tables.max(axis=1), self.tables.mean(axis=1)
         self.norm = np.sqrt((self.tables ** 2).sum(axis=2)).max(axis=1)
         # lists of the other terms
         order = np.flatnonzero(~inside)
@@ -188,11 +188,17 @@ class BlockMaxIndex:
         n = len(queries)
         self.asked += n * self.blocks
         q = np.zeros((n, self.common), np.float32)
-        rest = np.zeros((n, self.slots), np.float32)
         for i, (ids, w) in enumerate(queries):
             column = self.column[ids]
             inside = column >= 0
             q[i, column[inside]] = w[inside]
+        bound = np.minimum(q @ self.top.T, np.sqrt((q * q).sum(axis=1))[:, None] * self.norm)
+        # queries that lean to the same blocks side by side: they want the same tables
+        order = np.argsort(bound.argmax(axis=1), kind="stable")
+        queries, q, bound = [queries[i] for i in order.tolist()], q[order], bound[order]
+        rest = np.zeros((n, self.slots), np.float32)
+        for i, (ids, w) in enumerate(queries):
+            inside = self.column[ids] >= 0
             others = ids[~inside]
             begin, end = self.lists[others], self.lists[others + 1]
             if len(others):
@@ -201,12 +207,14 @@ class BlockMaxIndex:
                 parts = found[:, 1] * np.repeat(w[~inside].astype(np.float32), end - begin)
                 rest[i] = np.bincount(found[:, 0].astype(np.intp), weights=parts,
                                       minlength=self.slots)
-        bound = np.minimum(q @ self.top.T, np.sqrt((q * q).sum(axis=1))[:, None] * self.norm)
-        bound += rest.reshape(n, self.blocks, self.block).max(axis=2)
+        # a block's best rest, with the most and with the mean that its common terms add
+        most = rest.reshape(n, self.blocks, self.block).max(axis=2)
+        likely = most + q @ self.mean.T
+        bound += most
         scores = np.full((n, self.slots), -1, np.float32)
         some = min(FIRST, self.blocks)
         first = np.zeros((n, self.blocks), dtype=bool)
-        best = np.argpartition(-bound, some - 1, axis=1)[:, :some]
+        best = np.argpartition(-likely, some - 1, axis=1)[:, :some]
         np.put_along_axis(first, best, True, axis=1)
         self._score(scores, rest, q, first)
         by_block = scores.reshape(n, self.blocks, self.block)
@@ -224,7 +232,7 @@ class BlockMaxIndex:
                 own = own[near >= np.partition(near, -k)[-k] - MARGIN]
             own = self.row[own]
             out.append(self._exact(ids, w, own[own >= 0], k))
-        return out
+        return [out[i] for i in np.argsort(order).tolist()]
 
     def _score(self, scores: np.ndarray, rest: np.ndarray, q: np.ndarray, wanted: np.ndarray
                ) -> None:
@@ -235,6 +243,8 @@ class BlockMaxIndex:
         for b in np.flatnonzero(np.diff(ends)).tolist():
             own = query[ends[b]:ends[b + 1]]
             part = slice(b * self.block, (b + 1) * self.block)
+            if 2 * len(own) > own[-1] - own[0]:  # mostly wanted: a stretch needs no copy
+                own = slice(own[0], own[-1] + 1)
             scores[own, part] = rest[own, part] + q[own] @ self.tables[b].T
 
     def _exact(self, ids: np.ndarray, w: np.ndarray, rows: np.ndarray, k: int
