@@ -6,10 +6,13 @@
     python -m keyflow stream  --root DIR (--bus DIR | --kafka HOST:PORT)
                               [--cassandra HOSTS --keyspace KS --table T] [--available-now]
     python -m keyflow compare --root DIR [--jdbc URL --jdbc-table T]
+    python -m keyflow audit-copy LEFT RIGHT --key COLUMN [--columns A,B]
+    python -m keyflow audit-loss PRODUCED CONSUMED [--partition C] [--offset C] [--lost DIR]
 
 ``--root`` is a folder on shared storage holding the tables. A scheduler
 runs ``ingest`` then ``publish`` then ``compare``; ``stream`` runs
-continuously (or drains what is there with ``--available-now``).
+continuously (or drains what is there with ``--available-now``). The audits take
+Parquet folders: two copies of a table, or what was produced and consumed.
 """
 
 from __future__ import annotations
@@ -64,6 +67,16 @@ def _relational(spark: SparkSession, args) -> DataFrame | None:
     return read_jdbc(spark, url=args.jdbc, table=args.jdbc_table or "users_raw", **split)
 
 
+def _audit(spark: SparkSession, args) -> dict:
+    if args.cmd == "audit-copy":
+        columns = args.columns.split(",") if args.columns else None
+        return jobs.audit_copy(spark.read.parquet(args.left), spark.read.parquet(args.right),
+                               args.key, columns)
+    rows = jobs.audit_loss(spark.read.parquet(args.produced), spark.read.parquet(args.consumed),
+                           args.partition, args.offset, args.lost)
+    return {"partitions": rows}
+
+
 def main(argv: list[str] | None = None) -> dict:
     ap = argparse.ArgumentParser(prog="keyflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -93,9 +106,22 @@ def main(argv: list[str] | None = None) -> dict:
                            help="files that a micro-batch of --bus takes at most")
             p.add_argument("--max-bytes", type=int, default=1 << 30,
                            help="bytes that it takes at most, where no --max-files is given")
+    for name, sides in (("audit-copy", ("left", "right")), ("audit-loss", ("produced", "consumed"))):
+        p = sub.add_parser(name)
+        for side in sides:
+            p.add_argument(side)
+    sub.choices["audit-copy"].add_argument("--key", required=True)
+    sub.choices["audit-copy"].add_argument("--columns")
+    for option in ("partition", "offset"):
+        sub.choices["audit-loss"].add_argument(f"--{option}", default=option)
+    sub.choices["audit-loss"].add_argument("--lost", help="folder for the lost offsets")
     args = ap.parse_args(argv)
 
     spark = build_session(app=f"keyflow-{args.cmd}")
+    if args.cmd.startswith("audit-"):
+        out = {"cmd": args.cmd, **_audit(spark, args)}
+        print(json.dumps(out, default=str))
+        return out
     layout = jobs.declared_layout(spark, f"{args.root}/tables", ensure_dimension(spark, args.root),
                                   args.buckets)
     out: dict = {"cmd": args.cmd}

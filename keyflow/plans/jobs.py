@@ -16,14 +16,14 @@ import hashlib
 import time
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.operators import aggregates as agg
-from keyflow.operators import joins, messages, outbox, tables
+from keyflow.operators import audits, joins, messages, outbox, tables
 from keyflow.operators.keyfilter import MOST_BLOCKS
 from keyflow.operators.partitioning import spread, union_sources
 from keyflow.operators.rollups import IncrementalRollup
@@ -260,6 +260,43 @@ def mirror_flat(layout: Layout, url: str, table: str, tasks: int) -> None:
     write_jdbc(spread(layout.flat.read(), tasks), url, table, mode="overwrite", truncate="true")
 
 
+#: ranges that a copy audit compares, the bound of what it broadcasts
+AUDIT_RANGES = 4096
+
+
+def audit_copy(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str] | None = None,
+               ranges: int = AUDIT_RANGES) -> dict[str, int]:
+    """Are two tables copies of each other? One digest pass over each, then
+    rows only of the key ranges that differ. Columns: those both have, but the key."""
+    spark = left.sparkSession
+    cols = list(columns or [c for c in left.columns if c in right.columns and c != key])
+    kind = left.schema[key].dataType
+    right = right.withColumn(key, F.col(key).cast(kind))
+    leaf = audits.token_range(key, ranges)
+    trees = []
+    for rows in (left, right):
+        tree = audits.DigestTree(spark, scratch_dir(spark, "audit"))
+        tree.build(rows, key, cols, leaf)
+        trees.append(tree)
+    found = scratch_dir(spark, "audit-ranges")
+    trees[0].differing(trees[1]).write.parquet(found)
+    wanted = spark.read.parquet(found)
+    n = wanted.count()
+    if not n:  # equal digests everywhere: no row has to be looked at again
+        return {"changed": 0, "only_left": 0, "only_right": 0, "ranges": 0}
+    row = audits.table_diff_in_ranges(left, right, key, cols, leaf, wanted).first()
+    return {**row.asDict(), "ranges": n}
+
+
+def audit_loss(produced: DataFrame, consumed: DataFrame, partition: str = "partition",
+               offset: str = "offset", lost_path: str | None = None) -> list[dict[str, int]]:
+    """D3 per bus partition; with ``lost_path`` every lost offset is written there."""
+    rows = audits.loss_audit_bitmaps(produced, consumed, partition, offset)
+    if lost_path:
+        audits.lost_offsets(produced, consumed, partition, offset).write.parquet(lost_path)
+    return sorted((r.asDict() for r in rows.collect()), key=lambda r: str(r["part"]))
+
+
 def refresh_flat(layout: Layout) -> DataFrame:
     """K3: append fact ids missing from the flat table, codes inlined.
 

@@ -126,3 +126,24 @@ def test_only_blocks_are_shuffled(spark, tmp):
     plan = _plan(audits.lost_offsets(log, log.filter("offset % 9 <> 1")))
     assert "hashpartitioning(offset" not in plan
     assert audits.lost_offsets(log, log.filter("offset % 9 <> 1")).count() == 11_111
+
+
+def test_audits_from_the_command_line(spark, tmp, monkeypatch):
+    from keyflow import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda **kw: spark)
+    left, right = _tables(spark, 4)
+    left.write.parquet(f"{tmp}/l")
+    right.withColumn("k", F.col("k").cast("int")).withColumn("own", F.lit(1)).write.parquet(f"{tmp}/r")
+    out = cli.main(["audit-copy", f"{tmp}/l", f"{tmp}/r", "--key", "k"])
+    ranges = out.pop("ranges")
+    assert out == {"cmd": "audit-copy", "changed": 3, "only_left": 1, "only_right": 2}
+    assert 0 < ranges <= 6
+    same = cli.main(["audit-copy", f"{tmp}/l", f"{tmp}/l", "--key", "k", "--columns", "v"])
+    assert same == {"cmd": "audit-copy", "changed": 0, "only_left": 0, "only_right": 0, "ranges": 0}
+    _log(spark, [(0, i) for i in range(50)] + [(1, 5)]).write.parquet(f"{tmp}/p")
+    _log(spark, [(0, i) for i in range(0, 50, 2)] * 2 + [(1, 6)]).write.parquet(f"{tmp}/c")
+    out = cli.main(["audit-loss", f"{tmp}/p", f"{tmp}/c", "--lost", f"{tmp}/lost"])
+    assert out["partitions"] == [{"part": 0, "missing": 25, "extra": 0, "duplicated": 25},
+                                 {"part": 1, "missing": 1, "extra": 1, "duplicated": 0}]
+    assert spark.read.parquet(f"{tmp}/lost").count() == 26
