@@ -158,6 +158,10 @@ ORACLE_SQL: dict[str, str] = {
     "stream_progress": "select count(*) \"rows\", true timed from events",
     "stream_replay": ("select cast(event_id as varchar) id, event_type, value, "
                       f"epoch_us(ts)//1000 event_ts_ms, {_LATENCY} latency_ms from events"),
+    "spread_chunks": ("select cast(8 as bigint) tasks, count(*) n, count(event_id) ids, true even "
+                      "from events"),
+    "stream_retry": ("select cast(event_id as varchar) id, event_type, value, "
+                     "(select count(*) from events) counted from events"),
     "table_diff": ("with a as (select o_orderkey k, o_totalprice v from orders), "
                    "c as (select k, case when k%100=0 then v+1 else v end v from a where k%97<>0), "
                    "b as (select * from c union all select -k-1, v from a where k%89=0 "

@@ -513,6 +513,21 @@ def key_partition_check(spark, sf):
     return partitioning.order_violations(spark.read.parquet(path), "user_id", "event_id", "ts")
 
 
+#: tasks that a batch is dealt over to be sent
+SEND_TASKS = 8
+
+
+def spread_chunks(spark, sf):
+    """The events dealt evenly over the sending tasks, whatever their files."""
+    dealt = partitioning.spread(_t(spark, sf, "events", "event_id"), SEND_TASKS)
+    sizes = dealt.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("d"))
+    # the deal starts anew in every split of the scan
+    even = F.max("n") - F.min("n") <= F.greatest(F.lit(SEND_TASKS), F.avg("n") / 100)
+    return sizes.agg(F.count(F.lit(1)).alias("tasks"), F.sum("n").alias("n"),
+                     F.sum("d").alias("ids"), even.alias("even"))
+
+
 def offset_totals(spark, sf):
     """A10: sum of end offsets over the bus partitions."""
     # only partition and offset are read: no payload is encoded
@@ -645,7 +660,19 @@ def lost_offsets(spark, sf):
 FILES_PER_TRIGGER = 4
 
 
-def _stream_into(spark, sf, lose_commit: bool = False, progress: ProgressLog | None = None):
+class _Flaky(tables.KeyedUpsertTable):
+    """A sink that is down for the first two writes of every epoch."""
+
+    def write_epoch(self, batch, epoch):
+        self.failed = getattr(self, "failed", {})
+        self.failed[epoch] = self.failed.get(epoch, 0) + 1
+        if self.failed[epoch] <= 2:
+            raise OSError("sink down")
+        super().write_epoch(batch, epoch)
+
+
+def _stream_into(spark, sf, lose_commit: bool = False, progress: ProgressLog | None = None,
+                 sink_type: type = tables.KeyedUpsertTable):
     """Events published to the bus twin, then streamed: parse -> foreachBatch upsert.
 
     With ``lose_commit`` the checkpoint loses its last commit, as in a crash
@@ -660,10 +687,10 @@ def _stream_into(spark, sf, lose_commit: bool = False, progress: ProgressLog | N
         return build_stream(src, EVENT_MESSAGE, offset_col="offset")
 
     # versions are ordered by the message offset: segments may arrive in any order
-    sink = tables.KeyedUpsertTable(spark, scratch_dir(spark, "created_users"), "id",
-                                   order_cols=["_offset"], global_order=True)
+    sink = sink_type(spark, scratch_dir(spark, "created_users"), "id",
+                     order_cols=["_offset"], global_order=True)
     metrics = tables.ParquetTable(spark, scratch_dir(spark, "batch_metrics"))
-    proc = BatchProcessor(sink, metrics, clock_ms=lambda: BATCH_START_MS)
+    proc = BatchProcessor(sink, metrics, clock_ms=lambda: BATCH_START_MS, sleep=lambda s: None)
     ckpt = scratch_dir(spark, "stream_ckpt")
     run_available_now(spark, records(), proc, ckpt, progress)
     if lose_commit:
@@ -685,6 +712,13 @@ def stream_replay(spark, sf):
     return sink.read(["event_type", "value", "event_ts_ms", "latency_ms"])
 
 
+def stream_retry(spark, sf):
+    """K6: every epoch's write fails twice and succeeds at the third attempt."""
+    sink, metrics = _stream_into(spark, sf, sink_type=_Flaky)
+    counted = metrics.read().agg(F.sum("rows")).first()[0]
+    return sink.read(["event_type", "value"]).withColumn("counted", F.lit(counted))
+
+
 def batch_metrics(spark, sf):
     """Per-epoch metrics of the streaming job, summed; a replay counts once."""
     _, metrics = _stream_into(spark, sf, lose_commit=True)
@@ -749,9 +783,11 @@ QUERIES: dict[str, Query] = {
     "rejected_records": rejected_records,
     "resolve_dim_key": resolve_dim_key,
     "scan_fact": scan_fact,
+    "spread_chunks": spread_chunks,
     "stream_enrich": stream_enrich,
     "stream_progress": stream_progress,
     "stream_replay": stream_replay,
+    "stream_retry": stream_retry,
     "table_diff": table_diff,
     "table_diff_tree": table_diff_tree,
     "to_message": to_message,
