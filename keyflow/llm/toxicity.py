@@ -57,7 +57,7 @@ SIGNAL = 2.0
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 K = 15
-BLOCK = 32
+BLOCK = 64
 #: terms whose postings are kept as tables
 COMMON = 2048
 #: blocks that a query scores before it compares bounds
@@ -314,7 +314,7 @@ def words_of(text: str) -> list[bytes]:
 class _Hits(dict):
     """Of each word that was seen, its terms in the vocabulary, packed."""
 
-    def __init__(self, place: dict[str, int]):
+    def __init__(self, place: dict[bytes, int]):
         super().__init__()
         self.place = place
 
@@ -322,7 +322,19 @@ class _Hits(dict):
         if len(self) > WORDS_KEPT:
             self.clear()
         find = self.place.get
-        hits = [find(t) for t in terms_of(word.decode("utf-8", "surrogatepass"))]
+        if word.isascii():
+            size, four, five = len(word), word[:4], word[:5]
+        else:
+            text = word.decode("utf-8", "surrogatepass")
+            size = len(text)
+            four, five = (text[:n].encode("utf-8", "surrogatepass") for n in (4, 5))
+        # a vocabulary has a word's beginnings with the word: without the shorter
+        # one there is no longer one, nor the word
+        hits = [find(four + b"*")] if size >= 4 else []
+        if size >= 5 and hits[0] is not None:
+            hits.append(find(five + b"*"))
+        if not hits or hits[-1] is not None:
+            hits.append(find(word))
         out = self[word] = b"".join(_pack(h) for h in hits if h is not None)
         return out
 
@@ -402,7 +414,7 @@ def document_frequencies(counted: DataFrame, terms: int) -> tuple[int, np.ndarra
     return int(df[-1]), df[:-1]
 
 
-def packed_examples(examples: list[tuple[int, str, int]], place: dict[str, int],
+def packed_examples(examples: list[tuple[object, str, int]], place: dict[bytes, int],
                     idf: np.ndarray) -> bytes:
     """Labelled (id, text, label) rows as term counts, and the weights: a worker
     builds the index from them, which is several times their size."""
@@ -446,7 +458,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     examples = sorted(set(labelled_sample(docs, labels, "toxic", FOLDS, HELD, sample)))
     vocabulary = sorted({t for e in examples for w in set(LETTERS.findall(e[1].lower()))
                          for t in terms_of(w)})
-    place = {t: k for k, t in enumerate(vocabulary)}
+    place = {t.encode("utf-8", "surrogatepass"): k for k, t in enumerate(vocabulary)}
     spark = docs.sparkSession.sparkContext
     places = spark.broadcast(place)
     name = uuid.uuid4().hex
