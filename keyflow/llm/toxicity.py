@@ -165,7 +165,7 @@ class BlockMaxIndex:
         slot = np.empty(self.n, dtype=np.int64)
         slot[order] = np.arange(self.n)
         full = np.zeros((self.slots, self.common), np.float32)
-        full[:self.n] = table[order]
+        np.take(table, order, axis=0, out=full[:self.n])
         self.tables = full.reshape(self.blocks, block, self.common)
         self.top, self.mean = self.tables.max(axis=1), self.tables.mean(axis=1)
         self.norm = np.sqrt((self.tables ** 2).sum(axis=2)).max(axis=1)
@@ -278,22 +278,23 @@ class Neighbours:
         self.index, self.idf, self.base, self.none = index, idf, base, none
 
     def scores(self, rows: list[tuple[np.ndarray, np.ndarray]], k: int = K
-               ) -> list[tuple[float, list, list[float]]]:
-        """Vote, example ids and cosines of each row of term ids and counts."""
+               ) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Vote, examples (their rows in the index) and cosines of each row of term
+        ids and counts."""
+        nobody = (self.none, np.zeros(0, np.int64), np.zeros(0))
         if self.index is None:
-            return [(self.none, [], [])] * len(rows)
+            return [nobody] * len(rows)
         place: dict[tuple[bytes, bytes], int] = {}
         which = [place.setdefault((ids.tobytes(), n.tobytes()), len(place)) for ids, n in rows]
         own = {w: i for i, w in reversed(list(enumerate(which)))}
         once = [rows[own[w]] for w in range(len(place))]
-        out: list[tuple[float, list, list[float]]] = [(self.none, [], [])] * len(once)
+        out = [nobody] * len(once)
         some = [i for i, (ids, _) in enumerate(once) if len(ids)]
         queries = [(once[i][0], weights(*once[i], self.idf)) for i in some]
         for i, (near, cos) in zip(some, self.index.nearest_of(queries, k) if queries else []):
             if len(near):
                 vote = (cos @ self.index.labels[near] + PRIOR * self.base) / (cos.sum() + PRIOR)
-                out[i] = (float(vote), [self.index.ids[r] for r in near.tolist()],
-                          np.round(cos, 6).tolist())
+                out[i] = (float(vote), near, np.round(cos, 6))
         return [out[w] for w in which]
 
 
@@ -355,13 +356,16 @@ def term_counter(hits: _Hits) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
 
 
 _HITS: dict[str, _Hits] = {}
+_MODEL: dict[str, Neighbours] = {}
 
 
 def hits_of(name: str, shared) -> _Hits:
     """The words seen so far, kept by the worker for its next task."""
     if name not in _HITS:
         _HITS.clear()
-        _HITS[name] = _Hits(shared.value)
+        _MODEL.clear()
+        terms = zlib.decompress(shared.value).split(b"\n")
+        _HITS[name] = _Hits({t: k for k, t in enumerate(terms)})
     return _HITS[name]
 
 
@@ -442,13 +446,11 @@ def build_index(packed: bytes) -> Neighbours:
     return Neighbours(BlockMaxIndex(inside, len(idf)) if inside else None, idf, base, none)
 
 
-_MODEL: dict[str, Neighbours] = {}
-
-
 def model_of(name: str, shared) -> Neighbours:
     """The index of the broadcast rows, kept by the worker for its next task."""
     if name not in _MODEL:
         _MODEL.clear()
+        _HITS.clear()  # the words are counted
         _MODEL[name] = build_index(shared.value)
     return _MODEL[name]
 
@@ -460,7 +462,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
                          for t in terms_of(w)})
     place = {t.encode("utf-8", "surrogatepass"): k for k, t in enumerate(vocabulary)}
     spark = docs.sparkSession.sparkContext
-    places = spark.broadcast(place)
+    # packed, as a worker keeps what was broadcast for as long as the driver does
+    places = spark.broadcast(zlib.compress(b"\n".join(place), 1))
     name = uuid.uuid4().hex
     counted = materialize(counted_terms(docs, name, places), "toxicity-terms")
     total, df = document_frequencies(counted, len(place))
@@ -470,16 +473,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     shared = spark.broadcast(packed_examples(examples, place, idf))
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(name, shared)
+        model, ids = model_of(name, shared), None
         for batch in it:
-            ids = pa.list_(batch.column(0).type)
+            if model.index is not None and ids is None:
+                ids = pa.array(model.index.ids).cast(batch.column(0).type)
             for part in by_bytes(batch, 1, QUERIES):
                 out = model.scores([(np.cumsum(unpacked(t.as_py())), unpacked(n.as_py()))
                                     for t, n in zip(part.column(1), part.column(2))])
+                ends = pa.array(np.cumsum([0, *(len(o[1]) for o in out)]), pa.int32())
+                rows = pa.array(np.concatenate([o[1] for o in out]))
+                near = ids.take(rows) if ids is not None else pa.nulls(0, batch.column(0).type)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([o[0] for o in out], pa.float64()),
-                     pa.array([o[1] for o in out], ids),
-                     pa.array([o[2] for o in out], pa.list_(pa.float64()))],
+                     pa.ListArray.from_arrays(ends, near),
+                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate([o[2] for o in out])))],
                     names=["doc_id", "score", "neighbours", "similarities"])
 
     kind = dict(docs.dtypes)["doc_id"]
