@@ -39,7 +39,6 @@ import re
 import struct
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -76,36 +75,32 @@ def terms_of(word: str) -> tuple[str, ...]:
     return (word, *(word[:n] + "*" for n in (4, 5) if len(word) >= n))
 
 
-def toxic_lean(texts: list[str], labels: list[int]) -> dict[str, float]:
-    """Chi-square between presence and label of the terms that lean toxic.
+def toxic_lean(texts: list[str], rows: list[np.ndarray], labels: list[int], terms: int
+               ) -> np.ndarray:
+    """Chi-square between presence and label of the terms that lean toxic, else 0;
+    ``rows``: the distinct term ids of each text.
 
     Copies and near copies count once (texts that share one of their three
     smallest shingles with an earlier one), else a copied text's every word
     would stand out.
     """
     seen_shingles: set[int] = set()
-    once = []
-    for text, y in zip(texts, labels, strict=True):
+    n = pos = 0
+    seen, toxic = np.zeros(terms), np.zeros(terms)
+    for text, ids, y in zip(texts, rows, labels, strict=True):
         own = shingle_set(text)[:3].tolist()
         if own and seen_shingles.isdisjoint(own):
-            once.append((text, y))
+            n, pos = n + 1, pos + y
+            seen[ids] += 1
+            toxic[ids] += y
         seen_shingles.update(own)
-    n, pos = len(once), sum(y for _, y in once)
-    if not 0 < pos < n:
-        return {}
-    seen, toxic = Counter(), Counter()
-    for text, y in once:
-        here = {t for w in set(LETTERS.findall(text.lower())) for t in terms_of(w)}
-        seen.update(here)
-        if y:
-            toxic.update(here)
-    lean = {}
-    for t, a in toxic.items():
-        df = seen[t]
-        diff = a - df * pos / n  # over what chance would give
-        if df < n and diff > 0:
-            lean[t] = diff * diff * n ** 3 / (df * (n - df) * pos * (n - pos))
-    return lean
+    out = np.zeros(terms)
+    diff = toxic - seen * (pos / max(n, 1))  # over what chance would give
+    lean = (diff > 0) & (seen < n)
+    if 0 < pos < n:
+        df = seen[lean]
+        out[lean] = diff[lean] ** 2 * float(n) ** 3 / (df * (n - df) * pos * (n - pos))
+    return out
 
 
 def weights(ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -418,16 +413,13 @@ def document_frequencies(counted: DataFrame, terms: int) -> tuple[int, np.ndarra
     return int(df[-1]), df[:-1]
 
 
-def packed_examples(examples: list[tuple[object, str, int]], place: dict[bytes, int],
-                    idf: np.ndarray) -> bytes:
-    """Labelled (id, text, label) rows as term counts, and the weights: a worker
+def packed_examples(rows: list[tuple], idf: np.ndarray) -> bytes:
+    """Labelled (id, label, term ids, counts) rows, and the weights: a worker
     builds the index from them, which is several times their size."""
-    terms_in = term_counter(_Hits(place))
-    rows = [(doc_id, y, *terms_in(text)) for doc_id, text, y in examples]
     return zlib.compress(pickle.dumps(
         ([(r[0], r[1], len(r[2])) for r in rows],
-         *(np.concatenate([np.zeros(0, np.int32), *(r[k] for r in rows)]).astype(np.int32)
-           for k in (2, 3)), idf)), 1)
+         *(np.concatenate([np.zeros(0, np.int32), *(r[k] for r in rows)]) for k in (2, 3)),
+         idf)), 1)
 
 
 def build_index(packed: bytes) -> Neighbours:
@@ -458,19 +450,25 @@ def model_of(name: str, shared) -> Neighbours:
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours and similarities of every row."""
     examples = sorted(set(labelled_sample(docs, labels, "toxic", FOLDS, HELD, sample)))
-    vocabulary = sorted({t for e in examples for w in set(LETTERS.findall(e[1].lower()))
-                         for t in terms_of(w)})
+    words: set[bytes] = set()
+    for _, text, _ in examples:
+        words.update(words_of(text))
+    vocabulary = sorted({t for w in words for t in terms_of(w.decode("utf-8", "surrogatepass"))})
+    del words
     place = {t.encode("utf-8", "surrogatepass"): k for k, t in enumerate(vocabulary)}
+    terms_in = term_counter(_Hits(place))
+    rows = [(doc_id, y, *(x.astype(np.int32) for x in terms_in(text)))
+            for doc_id, text, y in examples]
     spark = docs.sparkSession.sparkContext
     # packed, as a worker keeps what was broadcast for as long as the driver does
     places = spark.broadcast(zlib.compress(b"\n".join(place), 1))
     name = uuid.uuid4().hex
     counted = materialize(counted_terms(docs, name, places), "toxicity-terms")
     total, df = document_frequencies(counted, len(place))
-    lean = toxic_lean([e[1] for e in examples], [e[2] for e in examples])
     idf = np.log((1 + total) / (1 + df)) + 1
-    idf *= 1 + SIGNAL * np.sqrt([lean.get(t, 0.0) for t in vocabulary])
-    shared = spark.broadcast(packed_examples(examples, place, idf))
+    idf *= 1 + SIGNAL * np.sqrt(toxic_lean([e[1] for e in examples], [r[2] for r in rows],
+                                           [e[2] for e in examples], len(place)))
+    shared = spark.broadcast(packed_examples(rows, idf))
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, ids = model_of(name, shared), None

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from keyflow.llm import toxicity
 from keyflow.llm.common import labelled_sample
 from keyflow.llm.queries import op6_toxicity_knn
+from keyflow.llm.shingles import shingle_set
 
 SF = "/root/testdata/sf0.01"
 
@@ -26,17 +27,27 @@ def dense(llm):
         return out
 
     q = np.stack([counts(t) for _, t in rows])
-    lean = toxicity.toxic_lean([e[1] for e in examples], [e[2] for e in examples])
+    e = np.stack([counts(t) for _, t, _ in examples])
+    y = np.array([x[2] for x in examples], float)
+    # texts that share one of their three smallest shingles with an earlier one do not count
+    once, seen = np.zeros(len(y), dtype=bool), set()
+    for k, (_, text, _) in enumerate(examples):
+        own = shingle_set(text)[:3].tolist()
+        once[k] = bool(own) and not seen & set(own)
+        seen |= set(own)
+    n, pos = once.sum(), y[once].sum()
+    df, toxic = (e[once] > 0).sum(axis=0), (e[once & (y > 0)] > 0).sum(axis=0)
+    over = toxic - df * pos / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi = np.where((over > 0) & (df < n), over ** 2 * n ** 3. / (df * (n - df) * pos * (n - pos)), 0)
     idf = np.log((1 + len(rows)) / (1 + (q > 0).sum(axis=0))) + 1
-    idf *= 1 + toxicity.SIGNAL * np.sqrt([lean.get(t, 0.0) for t in place])
+    idf *= 1 + toxicity.SIGNAL * np.sqrt(chi)
 
     def unit(c):
         w = np.where(c > 0, 1 + np.log(np.maximum(c, 1)), 0) * idf
         return w / np.maximum(np.sqrt((w * w).sum(axis=1, keepdims=True)), 1e-300)
 
-    e = np.stack([counts(t) for _, t, _ in examples])
     cos = unit(q) @ unit(e).T
-    y = np.array([x[2] for x in examples], float)
     out = {}
     for (doc_id, _), c in zip(rows, cos):
         best = np.lexsort((np.arange(len(y)), -np.round(c, 9)))[:toxicity.K]
