@@ -716,7 +716,8 @@ def stream_retry(spark, sf):
     """K6: every epoch's write fails twice and succeeds at the third attempt."""
     sink, metrics = _stream_into(spark, sf, sink_type=_Flaky)
     counted = metrics.read().agg(F.sum("rows")).first()[0]
-    return sink.read(["event_type", "value"]).withColumn("counted", F.lit(counted))
+    return sink.read(["event_type", "value"]).withColumn(
+        "counted", F.lit(counted).cast("long"))
 
 
 def batch_metrics(spark, sf):
