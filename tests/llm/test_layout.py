@@ -230,6 +230,23 @@ def test_url_query_matches_sql_on_odd_urls(llm, tmp):
         assert sorted(map(tuple, got.collect()), key=str) == sorted(want.fetchall(), key=str)
 
 
+def test_url_query_gives_the_verdicts_of_its_contract(llm, tmp):
+    """Each rule of the contract on its host, a subdomain and against the terms."""
+    from keyflow.llm.queries import op8_url_vocabulary
+
+    rules = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block",
+             "com/fr/": "allow", "com/de/": "block"}
+    urls = [(f"https://{sub}{rule}{end}", rule) for rule in rules
+            for sub in ("", "A.") for end in ("", "2", "/casino", "?q", "#t")]
+    urls += [("https://example.org/en/2", "org/"), ("https://notexample.org/en/1", "org/"),
+             ("https://example.org/EN/1", "org/")]
+    llm.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)],
+                        "page_id long, url string").write.parquet(f"{tmp}/contract/pages.parquet")
+    got = {r["page_id"]: (r["rule"], r["verdict"])
+           for r in op8_url_vocabulary(llm, f"{tmp}/contract").collect()}
+    assert got == {i: (rule, rules[rule]) for i, (_, rule) in enumerate(urls)}
+
+
 def test_a_vocabulary_from_a_table(llm):
     table = llm.createDataFrame([("Gamble", True), ("win", False), ("win", True), ("promo", None),
                                  (None, True), (" ", True), ("loan", False)],
